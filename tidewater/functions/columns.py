@@ -129,7 +129,7 @@ def days_since(c: ColumnOrName, asof: datetime | str | Column) -> Column:
 
 def parse_yy_dd_mm(c: ColumnOrName) -> Column:
     """``YY.DD.MM`` text -> date (``17.14.11`` -> 2017-11-14); bad text -> null."""
-    return F.try_to_date(_c(c), F.lit("yy.dd.MM"))
+    return F.try_to_date(_c(c), "yy.dd.MM")
 
 
 def to_day(c: ColumnOrName) -> Column:

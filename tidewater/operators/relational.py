@@ -161,17 +161,17 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .withColumn("_pid", F.shiftright(F.col("_mid"), 33)))
     numbered = numbered.checkpoint(eager=True)
-    per = (numbered.groupBy("_pid", *group)
+    keys = [f"_g{i}" for i in range(len(group))]
+    per = (numbered.groupBy(F.col("_pid").alias("_ppid"), *[F.col(g).alias(k) for g, k in zip(group, keys)])
            .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")))
-    w = Window.partitionBy(*group).orderBy("_pid") if group else Window.orderBy("_pid")
+    w = Window.partitionBy(*keys).orderBy("_ppid") if keys else Window.orderBy("_ppid")
     per = per.withColumn("_off", F.sum("_n").over(w) - F.col("_n")).drop("_n")
-    per_b = bounded_broadcast(per)
-    cond = numbered["_pid"] == per_b["_pid"]
-    for g in group:
-        cond = cond & numbered[g].eqNullSafe(per_b[g])
-    out = numbered.join(per_b, cond, "inner")
-    rank = (per_b["_off"] + (numbered["_mid"] - per_b["_first"]) + 1).cast("int")
-    return out.select(*[numbered[c] for c in df.columns], rank.alias(name))
+    cond = F.col("_pid") == F.col("_ppid")
+    for g, k in zip(group, keys):
+        cond = cond & F.col(g).eqNullSafe(F.col(k))
+    out = numbered.join(bounded_broadcast(per), cond, "inner")
+    rank = (F.col("_off") + (F.col("_mid") - F.col("_first")) + 1).cast("long")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], rank.alias(name))
 
 
 def global_rank(df: DataFrame, order: Sequence[Column | str], name: str = "rank") -> DataFrame:
@@ -184,19 +184,22 @@ def share_pct(df: DataFrame, value: str, group: Sequence[str], name: str = "shar
     """``value / sum(value) over group * 100``, rounded.
 
     The group totals come from a partial aggregation and are joined back on the
-    group key (broadcast when their row count is proven small), so a hot group is
-    never gathered into one window task.
+    group key, so a hot group is never gathered into one window task.
     """
     group = list(group)
-    totals = df.groupBy(*group).agg(F.sum(value).alias("_group_total"))
-    totals = bounded_broadcast(totals)
+    keys = [f"_g{i}" for i in range(len(group))]
+    totals = (df.groupBy(*[F.col(g).alias(k) for g, k in zip(group, keys)])
+              .agg(F.sum(value).alias("_group_total")))
+    # no hint: the totals are derived, so probing their size would recompute the
+    # input; AQE turns this join into a broadcast at run time when the measured
+    # totals are small and keeps the shuffle join otherwise.
     cond = None
-    for g in group:
-        c = df[g].eqNullSafe(totals[g])
+    for g, k in zip(group, keys):
+        c = F.col(g).eqNullSafe(F.col(k))
         cond = c if cond is None else cond & c
     joined = df.join(totals, cond, "left")
-    share = F.round(F.try_divide(df[value].cast("double"), totals["_group_total"].cast("double")) * 100, digits)
-    return joined.select(*[df[c] for c in df.columns], share.alias(name))
+    share = F.round(F.try_divide(F.col(value).cast("double"), F.col("_group_total").cast("double")) * 100, digits)
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], share.alias(name))
 
 
 # ---------------------------------------------------------------- 2G sort / top-n

@@ -152,3 +152,178 @@ UNION ALL {_count_test('no_negative_revenue', 'facts WHERE total_revenue < 0')}"
 def p3_model_tests(spark, sf):
     _, dims, facts = _star(spark, sf)
     return rides.model_tests(facts, dims["dim_vendor"])
+
+
+# ============================================================== P4 medallion gold
+VIDEOS_SQL = """
+videos AS (
+  SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS video_id,
+         strftime(l.l_shipdate, '%y.%d.%m') AS trending_date,
+         p.p_name AS title, p.p_brand AS channel_title, l.l_partkey AS category_id,
+         CAST(trunc(l.l_extendedprice) AS BIGINT) AS views,
+         CAST(trunc(l.l_quantity) AS BIGINT) AS likes,
+         CAST(round(l.l_discount * 100) AS BIGINT) AS dislikes,
+         CAST(l.l_linenumber AS BIGINT) AS comment_count,
+         l.l_returnflag = 'R' AS comments_disabled,
+         lower(r.r_name) AS region
+  FROM lineitem l
+  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+  JOIN part p ON l.l_partkey = p.p_partkey),
+stats AS (
+  SELECT v.*, coalesce(cat.category_name, 'Unknown') AS category_name,
+         make_date(2000 + CAST(substr(v.trending_date, 1, 2) AS INTEGER),
+                   CAST(substr(v.trending_date, 7, 2) AS INTEGER),
+                   CAST(substr(v.trending_date, 4, 2) AS INTEGER)) AS trending_date_parsed,
+         CASE WHEN v.likes + v.dislikes > 0 THEN CAST(v.likes AS DOUBLE) / (v.likes + v.dislikes) END AS like_ratio,
+         CASE WHEN v.views > 0 THEN CAST(v.likes + v.dislikes + v.comment_count AS DOUBLE) / v.views END
+           AS engagement_rate
+  FROM videos v
+  LEFT JOIN (SELECT p_partkey AS id, min(p_type) AS category_name FROM part GROUP BY p_partkey) cat
+    ON v.category_id = cat.id),
+trending AS (
+  SELECT region, trending_date_parsed, count(video_id) AS total_videos,
+         CAST(sum(views) AS BIGINT) AS total_views, CAST(sum(likes) AS BIGINT) AS total_likes,
+         CAST(sum(dislikes) AS BIGINT) AS total_dislikes, CAST(sum(comment_count) AS BIGINT) AS total_comments,
+         avg(views) AS avg_views_per_video, avg(like_ratio) AS avg_like_ratio,
+         avg(engagement_rate) AS avg_engagement_rate, max(views) AS max_views,
+         count(DISTINCT channel_title) AS unique_channels, count(DISTINCT category_id) AS unique_categories
+  FROM stats GROUP BY region, trending_date_parsed),
+channels AS (
+  SELECT *, row_number() OVER (PARTITION BY region ORDER BY total_views DESC, channel_title) AS rank_in_region
+  FROM (
+    SELECT channel_title, region, count(DISTINCT video_id) AS total_videos,
+           CAST(sum(views) AS BIGINT) AS total_views, CAST(sum(likes) AS BIGINT) AS total_likes,
+           CAST(sum(comment_count) AS BIGINT) AS total_comments, avg(views) AS avg_views_per_video,
+           avg(engagement_rate) AS avg_engagement_rate, max(views) AS peak_views,
+           count(trending_date_parsed) AS times_trending, min(trending_date_parsed) AS first_trending,
+           max(trending_date_parsed) AS last_trending, list_sort(list(DISTINCT category_name)) AS categories
+    FROM stats GROUP BY channel_title, region)),
+categories AS (
+  SELECT *, round(CAST(total_views AS DOUBLE) / sum(total_views) OVER (PARTITION BY region, trending_date_parsed)
+                  * 100, 2) AS view_share_pct
+  FROM (
+    SELECT category_name, category_id, region, trending_date_parsed, count(video_id) AS video_count,
+           CAST(sum(views) AS BIGINT) AS total_views, CAST(sum(likes) AS BIGINT) AS total_likes,
+           CAST(sum(comment_count) AS BIGINT) AS total_comments, avg(engagement_rate) AS avg_engagement_rate,
+           count(DISTINCT channel_title) AS unique_channels
+    FROM stats GROUP BY category_name, category_id, region, trending_date_parsed))
+"""
+
+
+def _stats(spark, sf):
+    from tidewater.plans.flows import medallion as M
+    t = SI.Tables(spark, sf)
+    return M.enriched(M.silver(SI.videos(t)), SI.categories(t))
+
+
+def _gold(spark, sf, which):
+    from tidewater.plans.flows import medallion as M
+    return getattr(M, which)(_stats(spark, sf))
+
+
+@register("p4_trending_daily", f"""WITH {VIDEOS_SQL}
+SELECT region, trending_date_parsed, total_videos, total_views, total_likes, total_dislikes, total_comments,
+       round(avg_views_per_video, 4) AS avg_views_per_video, round(avg_like_ratio, 4) AS avg_like_ratio,
+       round(avg_engagement_rate, 4) AS avg_engagement_rate, max_views, unique_channels, unique_categories
+FROM trending""")
+def p4_trending_daily(spark, sf):
+    return rounded(_gold(spark, sf, "trending_daily"))
+
+
+@register("p4_channel_summary", f"""WITH {VIDEOS_SQL}
+SELECT channel_title, region, total_videos, total_views, total_likes, total_comments,
+       round(avg_views_per_video, 4) AS avg_views_per_video, round(avg_engagement_rate, 4) AS avg_engagement_rate,
+       peak_views, times_trending, first_trending, last_trending, categories, rank_in_region
+FROM channels""")
+def p4_channel_summary(spark, sf):
+    return rounded(_gold(spark, sf, "channel_summary"))
+
+
+@register("p4_category_daily", f"""WITH {VIDEOS_SQL}
+SELECT category_name, category_id, region, trending_date_parsed, video_count, total_views, total_likes,
+       total_comments, round(avg_engagement_rate, 4) AS avg_engagement_rate, unique_channels, view_share_pct
+FROM categories""")
+def p4_category_daily(spark, sf):
+    return rounded(_gold(spark, sf, "category_daily"))
+
+
+@register("e10_channels_in_regions", f"""WITH {VIDEOS_SQL}
+SELECT channel_title, count(DISTINCT region) AS regions, CAST(sum(total_views) AS BIGINT) AS total_views_global
+FROM channels GROUP BY channel_title HAVING count(DISTINCT region) >= 3
+ORDER BY total_views_global DESC, channel_title LIMIT 20""")
+def e10_channels_in_regions(spark, sf):
+    from tidewater.plans.flows import medallion as M
+    return M.channels_in_regions(_gold(spark, sf, "channel_summary"))
+
+
+@register("e11_category_by_region", f"""WITH {VIDEOS_SQL}
+SELECT category_name, region, CAST(sum(total_views) AS BIGINT) AS total_views,
+       CAST(sum(video_count) AS BIGINT) AS video_count
+FROM categories GROUP BY category_name, region ORDER BY total_views DESC, category_name, region LIMIT 50""")
+def e11_category_by_region(spark, sf):
+    from tidewater.plans.flows import medallion as M
+    return M.category_by_region(_gold(spark, sf, "category_daily"))
+
+
+@register("e12_like_ratio_by_region", f"""WITH {VIDEOS_SQL}
+SELECT region, round(avg(avg_like_ratio), 4) AS avg_like_ratio_across_days FROM trending GROUP BY region""")
+def e12_like_ratio_by_region(spark, sf):
+    from tidewater.plans.flows import medallion as M
+    return rounded(M.like_ratio_by_region(_gold(spark, sf, "trending_daily")))
+
+
+def _dash(spark, sf, part):
+    from tidewater.plans.flows import medallion as M
+    st = _stats(spark, sf)
+    return M.dashboard(M.category_daily(st), M.trending_daily(st), M.channel_summary(st))[part]
+
+
+@register("e18_views_by_category", f"""WITH {VIDEOS_SQL}
+SELECT category_name, CAST(sum(total_views) AS BIGINT) AS total_views FROM categories GROUP BY category_name""")
+def e18_views_by_category(spark, sf):
+    return _dash(spark, sf, "views_by_category")
+
+
+@register("e18_videos_by_region", f"""WITH {VIDEOS_SQL}
+SELECT region, CAST(sum(total_videos) AS BIGINT) AS video_count FROM trending GROUP BY region""")
+def e18_videos_by_region(spark, sf):
+    return _dash(spark, sf, "videos_by_region")
+
+
+@register("e18_views_by_date", f"""WITH {VIDEOS_SQL}
+SELECT trending_date_parsed, CAST(sum(total_views) AS BIGINT) AS total_views FROM trending GROUP BY 1""")
+def e18_views_by_date(spark, sf):
+    return _dash(spark, sf, "views_by_date")
+
+
+@register("e18_top_channels", f"""WITH {VIDEOS_SQL}
+SELECT channel_title, CAST(sum(total_views) AS BIGINT) AS total_views FROM channels GROUP BY channel_title
+ORDER BY total_views DESC, channel_title LIMIT 10""")
+def e18_top_channels(spark, sf):
+    return _dash(spark, sf, "top_channels")
+
+
+@register("e18_kpis", f"""WITH {VIDEOS_SQL}
+SELECT CAST(sum(total_videos) AS BIGINT) AS total_videos, round(sum(total_views) / sum(total_videos), 4) AS avg_views,
+       round(sum(total_likes) / sum(total_videos), 4) AS avg_likes FROM trending""")
+def e18_kpis(spark, sf):
+    return rounded(_dash(spark, sf, "kpis"))
+
+
+@register("e18_engagement_heatmap", f"""WITH {VIDEOS_SQL}
+SELECT region, category_name, round(avg(avg_engagement_rate), 4) AS avg_engagement_rate
+FROM categories GROUP BY region, category_name""")
+def e18_engagement_heatmap(spark, sf):
+    """Region x category heat map in long form; ``dashboard()`` also offers the pivot."""
+    from tidewater.plans.flows import medallion as M
+    c = M.category_daily(_stats(spark, sf))
+    return rounded(c.groupBy("region", "category_name").agg(F.avg("avg_engagement_rate").alias("avg_engagement_rate")))
+
+
+@register("e18_engagement_pivot")
+def e18_engagement_pivot(spark, sf):
+    """The heat map as a pivot (one column per category)."""
+    return rounded(_dash(spark, sf, "engagement_heatmap"))
