@@ -236,8 +236,7 @@ def apply_mapping(df: DataFrame, mapping: Sequence[tuple[str, str, str, str]]) -
         if name is None:
             cols.append(F.lit(None).cast(dtype).alias(dst))
         else:
-            cols.append(F.col(f"`{name}`").cast("string").try_cast(dtype).alias(dst)
-                        if dtype != "string" else F.col(f"`{name}`").cast("string").alias(dst))
+            cols.append(F.col(f"`{name}`").try_cast(dtype).alias(dst))
     return df.select(*cols)
 
 
