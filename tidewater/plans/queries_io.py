@@ -1 +1,342 @@
-"""Registered source / sink / catalog queries."""
+"""Registered source / sink / catalog queries.
+
+Each query writes the driver table in the layout the operator reads (a fresh
+folder under the shared checkpoint location), runs the operator and returns
+what it read back, so the oracle is the source table itself.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tidewater.functions import columns as C
+from tidewater.sources import catalog as CAT
+from tidewater.sources import readers as RD
+from tidewater.sources import writers as W
+from tidewater.plans import standins as SI
+from tidewater.plans.registry import register, rounded
+from tidewater.session import scratch_dir
+
+ASOF = SI.ASOF
+
+
+def T(spark, sf):
+    return SI.Tables(spark, sf)
+
+
+# ============================================================== 2A sources
+@register("a1_read_csv", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def a1_read_csv(spark, sf):
+    out = W.write_csv(T(spark, sf).nation, scratch_dir(spark, "a1"))
+    return RD.read_csv(spark, out).select("n_nationkey", "n_name", "n_regionkey")
+
+
+CUSTOMER_SCHEMA = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+
+
+@register("a2_read_csv_by_name", """SELECT c_custkey, c_name, c_nationkey,
+       CASE WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM customer""")
+def a2_read_csv_by_name(spark, sf):
+    c = T(spark, sf).customer
+    out = scratch_dir(spark, "a2")
+    seg = F.col("c_mktsegment")
+    # three header layouts in one folder: reordered, upper-cased, and one column missing
+    (c.where(seg.isin("BUILDING", "MACHINERY")).select("c_mktsegment", "c_acctbal", "c_custkey", "c_name",
+                                                         "c_nationkey")
+     .write.mode("append").option("header", True).csv(out))
+    (c.where(seg.isin("AUTOMOBILE", "HOUSEHOLD"))
+     .select(*[F.col(x).alias(x.upper()) for x in ["c_name", "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal"]])
+     .write.mode("append").option("header", True).csv(out))
+    (c.where(seg == "FURNITURE").select("c_nationkey", "c_custkey", "c_mktsegment", "c_name")
+     .write.mode("append").option("header", True).csv(out))
+    return RD.read_csv_by_name(spark, out, CUSTOMER_SCHEMA)
+
+
+SUPPLIER_COLS = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]
+
+
+@register("a3_read_csv_external", """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name || ', "ltd"' AS s_name,
+       CAST(s_nationkey AS VARCHAR) AS s_nationkey, CAST(s_acctbal AS VARCHAR) AS s_acctbal FROM supplier""")
+def a3_read_csv_external(spark, sf):
+    s = T(spark, sf).supplier.withColumn("s_name", F.concat("s_name", F.lit(', "ltd"')))
+    out = scratch_dir(spark, "a3")
+    s.write.option("header", True).option("escape", "\\").csv(out)
+    return RD.read_csv_external(spark, out, SUPPLIER_COLS)
+
+
+@register("a4_read_csv_prefix", """SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name,
+       CAST(n_regionkey AS VARCHAR) AS n_regionkey, '' AS n_comment FROM nation""")
+def a4_read_csv_prefix(spark, sf):
+    n = T(spark, sf).nation
+    out = scratch_dir(spark, "a4")
+    n.where(F.col("n_regionkey") < 2).write.option("header", True).csv(f"{out}/part_a")
+    n.where(F.col("n_regionkey") >= 2).write.option("header", True).csv(f"{out}/part_b")
+    return RD.read_csv_prefix(spark, out, ["n_nationkey", "n_name", "n_regionkey", "n_comment"]).drop("_source_file")
+
+
+EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+@register("a5_read_json_lines", "SELECT * FROM events")
+def a5_read_json_lines(spark, sf):
+    out = scratch_dir(spark, "a5")
+    W.write_json(T(spark, sf).events, out)
+    return RD.read_json_lines(spark, out, EVENTS_SCHEMA)
+
+
+@register("a6_read_json_array", "SELECT item_id, text FROM benchmark")
+def a6_read_json_array(spark, sf):
+    b = T(spark, sf).benchmark
+    out = scratch_dir(spark, "a6")
+    # one JSON array document per file: pages of at most 20 items
+    pages = (b.withColumn("page", F.floor(F.col("item_id") / 20))
+             .groupBy("page").agg(F.to_json(F.collect_list(F.struct("item_id", "text"))).alias("doc")))
+    pages.repartition("page").write.partitionBy("page").text(out)
+    return RD.read_json_array(spark, out, "item_id long, text string").select("item_id", "text")
+
+
+@register("a7_read_json_concat", "SELECT * FROM events")
+def a7_read_json_concat(spark, sf):
+    e = T(spark, sf).events
+    out = scratch_dir(spark, "a7")
+    # objects of one hour glued with no separator ("}{"), several hours per file
+    glued = (e.groupBy(F.date_trunc("hour", "ts").alias("h"))
+             .agg(F.concat_ws("", F.collect_list(W.json_text(*e.columns))).alias("value")))
+    glued.select("value").write.option("maxRecordsPerFile", 200).text(out)
+    return RD.read_json_concat(spark, out, EVENTS_SCHEMA).drop("_source_file")
+
+
+@register("a8_read_arrival_tree", """SELECT *, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
+       strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour FROM events""")
+def a8_read_arrival_tree(spark, sf):
+    e = T(spark, sf).events
+    out = scratch_dir(spark, "a8")
+    from tidewater.streaming.streams import archive_layout
+    archive_layout(e, "ts").write.partitionBy("year", "month", "day", "hour").options(**W.JSON_OPTIONS).json(out)
+    return RD.read_arrival_tree(spark, out, EVENTS_SCHEMA)
+
+
+@register("a9_read_partitioned", """SELECT l_returnflag, count(*) AS n, round(sum(l_extendedprice), 4) AS revenue
+FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY l_returnflag""")
+def a9_read_partitioned(spark, sf):
+    out = W.write_parquet(T(spark, sf).lineitem, scratch_dir(spark, "a9"), partition_by=["l_returnflag"])
+    df = RD.read_partitioned(spark, out, F.col("l_returnflag").isin("A", "R"))
+    return rounded(df.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"),
+                                                  F.sum("l_extendedprice").alias("revenue")))
+
+
+MIXED_MAPPING = [("c_custkey", "long", "customer_id", "long"), ("c_name", "string", "name", "string"),
+                 ("c_acctbal", "double", "balance", "double"), ("c_mktsegment", "string", "segment", "string")]
+
+
+@register("a10_read_mixed", """SELECT c_custkey AS customer_id, c_name AS name, c_acctbal AS balance,
+       c_mktsegment AS segment FROM customer""")
+def a10_read_mixed(spark, sf):
+    c = T(spark, sf).customer
+    out = scratch_dir(spark, "a10")
+    c.where(F.col("c_acctbal") >= 4500).write.option("header", True).csv(f"{out}/csv")
+    c.where(F.col("c_acctbal") < 4500).write.json(f"{out}/api")
+    return RD.read_mixed(spark, out, MIXED_MAPPING)
+
+
+def _nested_conversations(conv):
+    """Envelope documents ``{kind, etag, conv_id, items: [{id, snippet: {title, role}}]}``,
+    at most 50 items each, plus one document per conversation with no items."""
+    page = F.floor(F.col("turn") / 50)
+    docs = (conv.groupBy("conv_id", page.alias("page"))
+            .agg(F.collect_list(F.struct(F.col("turn").alias("id"),
+                                         F.struct(F.col("text").alias("title"), F.col("role")).alias("snippet")))
+                 .alias("items"))
+            .select(F.lit("listResponse").alias("kind"), F.concat(F.lit("etag-"), F.col("conv_id")).alias("etag"),
+                    "conv_id", "items"))
+    empty = (conv.select("conv_id").distinct()
+             .select(F.lit("listResponse").alias("kind"), F.lit("etag-empty").alias("etag"), "conv_id",
+                     F.array().cast("array<struct<id:bigint,snippet:struct<title:string,role:string>>>")
+                     .alias("items")))
+    return docs.unionByName(empty)
+
+
+@register("a11_explode_items", """SELECT conv_id, turn AS id, text AS snippet_title, role AS snippet_role
+FROM conversations""")
+def a11_explode_items(spark, sf):
+    out = scratch_dir(spark, "a11")
+    _nested_conversations(T(spark, sf).conversations).write.json(out)
+    docs = spark.read.json(out)
+    return RD.explode_items(docs, "items", keep=["conv_id"])
+
+
+@register("a12_envelope", "SELECT role AS region, count(*) AS items, count(DISTINCT conv_id) AS documents "
+                          "FROM conversations GROUP BY role")
+def a12_envelope(spark, sf):
+    conv = T(spark, sf).conversations
+    out = scratch_dir(spark, "a12")
+    env = RD.with_envelope(conv.select("conv_id", "role", "turn", "text"), ["conv_id", "role"],
+                           f"ing-{uuid.uuid4().hex[:8]}", "role", "api", ASOF)
+    env.drop("conv_id", "role").write.partitionBy("region", "date", "hour").json(out)
+    back = spark.read.json(out)
+    return back.groupBy("region").agg(F.sum("_pipeline_metadata.video_count").alias("items"),
+                                      F.count(F.lit(1)).alias("documents"))
+
+
+@register("a13_read_table", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
+def a13_read_table(spark, sf):
+    o = RD.read_table(spark, "taxi_source.orders", {"taxi_source.orders": T(spark, sf).path("orders")})
+    return o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("a20_list_files")
+def a20_list_files(spark, sf):
+    """Listing of the driver's parquet files (sizes and times vary): rows-only."""
+    return RD.list_files(spark, sf, suffix=".parquet", recursive=False)
+
+
+# ============================================================== 2B sinks
+@register("b1_write_parquet", "SELECT * FROM orders")
+def b1_write_parquet(spark, sf):
+    o = T(spark, sf).orders
+    out = scratch_dir(spark, "b1")
+    W.write_parquet(o, out, partition_by=["o_orderstatus"])
+    W.write_parquet(o, out, partition_by=["o_orderstatus"])     # whole-table overwrite: twice = once
+    return spark.read.parquet(out).select(*o.columns)
+
+
+@register("b2_write_idempotent", """SELECT l_returnflag, count(*) AS n, round(sum(l_extendedprice), 4) AS revenue
+FROM lineitem GROUP BY l_returnflag""")
+def b2_write_idempotent(spark, sf):
+    li = T(spark, sf).lineitem
+    out = scratch_dir(spark, "b2")
+    W.write_idempotent(li, out, ["l_returnflag"])
+    W.write_idempotent(li.where(F.col("l_returnflag") == "R"), out, ["l_returnflag"])  # rerun one partition
+    W.write_idempotent(li, out, ["l_returnflag"])                                       # rerun all
+    back = spark.read.parquet(out)
+    return rounded(back.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"),
+                                                    F.sum("l_extendedprice").alias("revenue")))
+
+
+@register("b3_write_dataset", "SELECT p_size, count(*) AS n FROM part GROUP BY p_size")
+def b3_write_dataset(spark, sf):
+    p = T(spark, sf).part
+    out = scratch_dir(spark, "b3")
+    name = f"b3_part_{uuid.uuid4().hex[:8]}"
+    W.write_dataset(p, out, "append", partition_by=["p_size"])
+    W.write_dataset(p, out, "append", partition_by=["p_size"])                  # two appends: doubled
+    W.write_dataset(p, out, "overwrite", partition_by=["p_size"], table=name)    # overwrite + register
+    W.write_dataset(p.where(F.col("p_size") <= 10), out, "overwrite_partitions", partition_by=["p_size"])
+    return spark.table(name).groupBy("p_size").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("b4_one_file_per_partition", "SELECT l_returnflag, 1 AS n_files FROM lineitem GROUP BY 1")
+def b4_one_file_per_partition(spark, sf):
+    out = scratch_dir(spark, "b4")
+    W.write_one_file_per_partition(T(spark, sf).lineitem, out, ["l_returnflag"])
+    files = RD.list_files(spark, out, suffix=".parquet")
+    return (files.select(F.regexp_extract("path", r"l_returnflag=([^/]+)/", 1).alias("l_returnflag"))
+            .groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_files")))
+
+
+@register("b5_write_csv", """SELECT row_number() OVER (ORDER BY n_nationkey) AS row_index, n_nationkey, n_name,
+       n_regionkey FROM nation""")
+def b5_write_csv(spark, sf):
+    out = scratch_dir(spark, "b5")
+    W.write_csv(T(spark, sf).nation, out, index_col="row_index", order=["n_nationkey"])
+    return spark.read.schema("row_index long, n_nationkey int, n_name string, n_regionkey int") \
+        .option("header", True).csv(out)
+
+
+@register("b9_to_messages", "SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS messages FROM events GROUP BY 1")
+def b9_to_messages(spark, sf):
+    msgs = W.to_messages(T(spark, sf).events, "user_id", order=["ts"])
+    return msgs.groupBy("key").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@register("b9_messages_ordered", """SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS out_of_order FROM (
+  SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events)
+WHERE prev > ts GROUP BY 1""")
+def b9_messages_ordered(spark, sf):
+    """Key-ordered delivery: within each key, messages leave in time order (no row is out of order)."""
+    e = T(spark, sf).events
+    msgs = W.to_messages(e, "user_id", order=["ts"]).withColumn("pos", F.monotonically_increasing_id())
+    parsed = msgs.select("key", "pos", F.get_json_object("value", "$.ts").alias("ts"))
+    from pyspark.sql import Window
+    w = Window.partitionBy("key").orderBy("pos")
+    return (parsed.withColumn("prev", F.lag("ts").over(w)).where(F.col("prev") > F.col("ts"))
+            .groupBy("key").agg(F.count(F.lit(1)).alias("out_of_order")))
+
+
+@register("b10_register_table", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2")
+def b10_register_table(spark, sf):
+    out = W.write_parquet(T(spark, sf).lineitem, scratch_dir(spark, "b10"), partition_by=["l_returnflag"])
+    name = CAT.register_table(spark, out, "tidewater_silver", f"lineitem_{uuid.uuid4().hex[:8]}")
+    return spark.sql(f"SELECT l_returnflag, l_linestatus, count(*) AS n FROM {name} GROUP BY 1, 2")
+
+
+@register("b11_catalog_path")
+def b11_catalog_path(spark, sf):
+    """Crawl a root of folders into tables (parquet, csv, json, one mixed folder): rows-only."""
+    t = T(spark, sf)
+    root = scratch_dir(spark, "b11")
+    t.orders.write.parquet(f"{root}/orders")
+    t.nation.write.option("header", True).csv(f"{root}/nation")
+    t.region.write.json(f"{root}/region")
+    t.region.write.json(f"{root}/mixed")
+    t.region.write.mode("append").parquet(f"{root}/mixed")
+    return CAT.catalog_path(spark, root, f"crawl_{uuid.uuid4().hex[:8]}")
+
+
+@register("b12_create_external", "SELECT * FROM region")
+def b12_create_external(spark, sf):
+    out = scratch_dir(spark, "b12")
+    T(spark, sf).region.write.option("header", True).csv(out)
+    name = f"region_ext_{uuid.uuid4().hex[:8]}"
+    CAT.create_external(spark, name, "r_regionkey int, r_name string", out, "csv", {"header": "true"})
+    return spark.table(name)
+
+
+@register("b13_landing_like")
+def b13_landing_like(spark, sf):
+    """Typed landing table, a second one ``LIKE`` it, and an append into it: rows-only."""
+    base = scratch_dir(spark, "b13")
+    a, b = f"landing_{uuid.uuid4().hex[:8]}", f"landing_like_{uuid.uuid4().hex[:8]}"
+    CAT.create_landing(spark, a, "o_orderkey bigint, o_totalprice double, o_orderdate timestamp_ntz", f"{base}/a")
+    CAT.create_landing(spark, b, "", f"{base}/b", like=a)
+    T(spark, sf).orders.select("o_orderkey", "o_totalprice", "o_orderdate").write.insertInto(b)
+    return spark.table(b).groupBy().agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("b15_materialize", """WITH by_status AS (SELECT o_orderstatus, round(sum(o_totalprice), 4) AS revenue,
+       count(*) AS orders FROM orders GROUP BY 1)
+SELECT o_orderstatus, revenue, orders, round(revenue / orders, 4) AS avg_order FROM by_status""")
+def b15_materialize(spark, sf):
+    m = CAT.Models(spark, {"taxi_source.facts": T(spark, sf).orders})
+    base = scratch_dir(spark, "b15")
+    m.materialize("by_status", lambda r: r.ref("taxi_source.facts").groupBy("o_orderstatus").agg(
+        F.sum("o_totalprice").alias("revenue"), F.count(F.lit(1)).alias("orders")), as_="table",
+        path=f"{base}/by_status")
+    out = m.materialize("avg_order", lambda r: r.ref("by_status").withColumn(
+        "avg_order", F.col("revenue") / F.col("orders")), as_="view")
+    return rounded(out)
+
+
+@register("b17_write_json", "SELECT * FROM nation")
+def b17_write_json(spark, sf):
+    out = W.write_json(T(spark, sf).nation, scratch_dir(spark, "b17"))
+    return spark.read.schema("n_nationkey int, n_name string, n_regionkey int").json(out)
+
+
+@register("b18_delivery_report", """SELECT count(DISTINCT CAST(ts AS DATE)) AS files, count(*) + count_if(event_type = 'error')
+       AS records, count(*) AS sent, count_if(event_type = 'error') AS skipped, 0 AS failed FROM events""")
+def b18_delivery_report(spark, sf):
+    e = T(spark, sf).events
+    out = scratch_dir(spark, "b18")
+    good = W.json_text(*e.columns)
+    # each error event is followed by a malformed line in the same daily file
+    lines = e.select(F.to_date("ts").alias("day"), F.explode(F.when(
+        F.col("event_type") == "error", F.array(good, F.lit("{not json"))).otherwise(F.array(good))).alias("value"))
+    lines.repartition("day").write.partitionBy("day").text(out)
+    lines = spark.read.text(out).select("value", F.col("_metadata.file_path").alias("file_path"))
+    report = W.delivery_report(lines)
+    summary = W.report_summary(report)
+    W.raise_on_failures(summary)
+    return summary.select("files", "records", "sent", "skipped", F.col("failed").cast("int").alias("failed"))

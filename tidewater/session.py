@@ -57,11 +57,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location for one run of ``name``."""
+    """A fresh (not yet existing) folder under the shared checkpoint location for one run of ``name``."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     if base.startswith("file:"):
         base = base[len("file:"):]
-    path = os.path.join(base, "tidewater-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    parent = os.path.join(base, "tidewater-scratch")
+    if "://" not in parent:
+        os.makedirs(parent, exist_ok=True)
+    # the leaf does not exist yet, so writers in their default mode accept it
+    return os.path.join(parent, f"{name}-{uuid.uuid4().hex[:12]}")

@@ -8,6 +8,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# JSON text keeps microseconds (Spark's default JSON timestamp format stops at milliseconds).
+JSON_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def json_text(*cols) -> "F.Column":
+    """Row -> JSON object text with microsecond timestamps."""
+    return F.to_json(F.struct(*cols), JSON_OPTIONS)
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] | None = None, compression: str = "snappy") -> str:
@@ -74,20 +85,20 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """One JSON record per line."""
-    df.write.mode(mode).json(path)
+    df.write.mode(mode).options(**JSON_OPTIONS).json(path)
     return path
 
 
 def to_ndjson(df: DataFrame, col: str = "value") -> DataFrame:
     """One JSON object text per row."""
-    return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias(col))
+    return df.select(json_text(*[F.col(f"`{c}`") for c in df.columns]).alias(col))
 
 
 def to_messages(df: DataFrame, key: str | None, partitions: int | None = None,
                 order: Sequence[str] = ()) -> DataFrame:
     """``(key, value)`` message rows.  With a key, rows of one key share a
     partition and keep ``order`` inside it; without, rows spread round-robin."""
-    body = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value")
+    body = json_text(*[F.col(f"`{c}`") for c in df.columns]).alias("value")
     if key:
         out = df.select(F.col(key).cast("string").alias("key"), *order, body)
         out = out.repartition(partitions, "key") if partitions else out.repartition("key")
@@ -97,14 +108,13 @@ def to_messages(df: DataFrame, key: str | None, partitions: int | None = None,
     return out.repartition(partitions) if partitions else out
 
 
-def delivery_report(good: DataFrame, corrupt_col: str = "_corrupt_record",
-                    file_col: str = "file_path") -> DataFrame:
-    """Per file ``(file_path, records, sent, skipped, failed)`` where records
-    that did not parse count as skipped.  See :func:`report_summary`."""
-    return (good.groupBy(file_col)
-            .agg(F.count(F.lit(1)).alias("records"),
-                 F.count_if(F.col(corrupt_col).isNull()).alias("sent"),
-                 F.count_if(F.col(corrupt_col).isNotNull()).alias("skipped"))
+def delivery_report(lines: DataFrame, value_col: str = "value", file_col: str = "file_path") -> DataFrame:
+    """Per file ``(file_path, records, sent, skipped, failed)`` from raw
+    record lines; a line that is not valid JSON is skipped, not sent."""
+    ok = F.try_parse_json(F.col(value_col)).isNotNull()
+    return (lines.groupBy(file_col)
+            .agg(F.count(F.lit(1)).alias("records"), F.count_if(ok).alias("sent"),
+                 F.count_if(~ok).alias("skipped"))
             .withColumn("failed", F.lit(0).cast("long")))
 
 
