@@ -1 +1,508 @@
-"""Registered streaming and change-capture queries."""
+"""Registered streaming and change-capture queries (SURVEY A14-A18, B6-B8,
+B14, B16, 2J, 2K).
+
+Each query lays the driver rows out as files in a fresh inbox under the shared
+checkpoint location, runs a Structured Streaming query with
+``trigger(availableNow=True)`` and its own checkpoint into a file sink, and
+returns a batch read of the committed output.  Windows still open at the end of
+the input (end > max(ts) - 5 s) are not emitted, which the oracles encode.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewater.operators import cdc as CDC
+from tidewater.plans import standins as SI
+from tidewater.plans.registry import register, rounded
+from tidewater.session import scratch_dir
+from tidewater.sources import loads as LD
+from tidewater.sources import writers as W
+from tidewater.streaming import monitors as MON
+from tidewater.streaming import streams as ST
+
+ASOF = SI.ASOF
+WM = "(SELECT max(ts) FROM events) - INTERVAL 5 SECOND"
+
+
+def T(spark, sf):
+    return SI.Tables(spark, sf)
+
+
+def _write_readings(spark, sf, inbox, where=None, files=8):
+    r = SI.readings(T(spark, sf))
+    if where is not None:
+        r = r.where(where)
+    r.repartition(files).write.mode("append").options(**W.JSON_OPTIONS).json(inbox)
+    return inbox
+
+
+def _run(df, name, spark, **kw):
+    out, ck = scratch_dir(spark, f"{name}-out"), scratch_dir(spark, f"{name}-ckpt")
+    q = ST.run_available_now(df, out, ck, **kw)
+    return out, ck, q
+
+
+def _ntz(df, *cols):
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def _closed(width_sql):
+    return f"""SELECT window_end, record_count FROM (
+  SELECT time_bucket(INTERVAL {width_sql}, ts) + INTERVAL {width_sql} AS window_end, count(*) AS record_count
+  FROM events GROUP BY 1) WHERE window_end <= {WM}"""
+
+
+# ============================================================== 2J windowed counts
+@register("j2_tumbling_count_1min", _closed("1 MINUTE"))
+def j2_tumbling_count_1min(spark, sf):
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "j2-inbox"))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    out, _, _ = _run(ST.tumbling_count(src, "processing_time", "1 minute"), "j2", spark)
+    return _ntz(spark.read.parquet(out), "window_end")
+
+
+@register("j1_watermark_1hour", _closed("1 HOUR"))
+def j1_watermark_1hour(spark, sf):
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "j1-inbox"))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    out, _, _ = _run(ST.tumbling_count(src, "processing_time", "1 hour", "5 seconds"), "j1", spark)
+    return _ntz(spark.read.parquet(out), "window_end")
+
+
+def _late_run(spark, sf):
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "j3-inbox"))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    agg = ST.tumbling_count(src, "processing_time", "1 hour")
+    out, ck = scratch_dir(spark, "j3-out"), scratch_dir(spark, "j3-ckpt")
+    ST.run_available_now(agg, out, ck)
+    # a late file: the first day's readings delivered again after the stream moved on
+    _write_readings(spark, sf, inbox, F.col("processing_time") < F.lit("2024-01-02").cast("timestamp"), files=1)
+    src2 = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    q = ST.run_available_now(ST.tumbling_count(src2, "processing_time", "1 hour"), out, ck)
+    return out, q
+
+
+@register("j3_late_file_ignored", _closed("1 HOUR"))
+def j3_late_file_ignored(spark, sf):
+    out, _ = _late_run(spark, sf)
+    return _ntz(spark.read.parquet(out), "window_end")
+
+
+@register("j3_late_groups_dropped", "SELECT count(DISTINCT date_trunc('hour', ts)) AS dropped FROM events "
+                                    "WHERE ts < TIMESTAMP '2024-01-02'")
+def j3_late_groups_dropped(spark, sf):
+    """The state operator's ``numRowsDroppedByWatermark``: late rows are partially
+    aggregated before the state store, so a one-file late delivery counts one
+    dropped row per late window."""
+    _, q = _late_run(spark, sf)
+    return spark.createDataFrame([(ST.dropped_by_watermark(q),)], "dropped long")
+
+
+@register("j4_restart_exactly_once", _closed("1 MINUTE"))
+def j4_restart_exactly_once(spark, sf):
+    """Input arrives in two parts; the query stops after the first and restarts
+    on the same checkpoint: no window is lost or emitted twice."""
+    inbox = scratch_dir(spark, "j4-inbox")
+    cut = F.lit("2024-01-16").cast("timestamp")
+    _write_readings(spark, sf, inbox, F.col("processing_time") < cut)
+    out, ck = scratch_dir(spark, "j4-out"), scratch_dir(spark, "j4-ckpt")
+    for _ in range(2):
+        src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+        ST.run_available_now(ST.tumbling_count(src, "processing_time", "1 minute"), out, ck)
+        _write_readings(spark, sf, inbox, F.col("processing_time") >= cut) if _ == 0 else None
+    return _ntz(spark.read.parquet(out), "window_end")
+
+
+@register("j5_independent_consumers", f"""SELECT 'archived' AS table_name, count(*) AS row_count FROM events
+UNION ALL SELECT 'enriched', count(*) FROM events
+UNION ALL SELECT 'windows', (SELECT count(*) FROM ({_closed('1 MINUTE')}))""")
+def j5_independent_consumers(spark, sf):
+    """One source, three queries with their own checkpoints: raw archive, enrichment, counts."""
+    from tidewater.operators.relational import labelled_counts
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "j5-inbox"))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    arch, _, _ = _run(ST.archive_layout(src), "j5-archive", spark, fmt="json", partition_by=["year", "month", "day"])
+    enr, _, _ = _run(ST.enrich(src), "j5-enrich", spark)
+    cnt, _, _ = _run(ST.tumbling_count(src, "processing_time", "1 minute"), "j5-counts", spark)
+    return labelled_counts({"archived": spark.read.json(arch), "enriched": spark.read.parquet(enr),
+                            "windows": spark.read.parquet(cnt)})
+
+
+@register("j6_continuous_global_avg", "SELECT round(avg(value), 4) AS avg_value, count(*) AS n FROM events")
+def j6_continuous_global_avg(spark, sf):
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "j6-inbox"))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA, max_files_per_trigger=2)
+    agg = src.agg(F.avg("value_of_AQI").alias("avg_value"), F.count(F.lit(1)).alias("n"))
+    out = scratch_dir(spark, "j6-out")
+
+    def publish(batch, _id):        # complete mode: each batch holds the whole current result
+        batch.write.mode("overwrite").parquet(out)
+    ST.run_available_now(agg, publish, scratch_dir(spark, "j6-ckpt"), output_mode="complete")
+    return rounded(spark.read.parquet(out))
+
+
+@register("j7_window_monitors", f"""SELECT window_end, record_count, above_threshold, round(avg_value, 4) AS avg_value,
+       min_value, max_value, stations, round(flag_share, 4) AS flag_share FROM (
+  SELECT time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(*) AS record_count,
+         count_if(value > 25) AS above_threshold, avg(value) AS avg_value, min(value) AS min_value,
+         max(value) AS max_value, count(DISTINCT user_id) AS stations,
+         avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END) AS flag_share
+  FROM events GROUP BY 1) WHERE window_end <= {WM}""")
+def j7_window_monitors(spark, sf):
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "j7-inbox"))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    mon = ST.window_monitors(src, "processing_time", "1 hour", "value_of_AQI", "location_id",
+                             F.col("parameter_of_AQI") == "error", 25.0, exact_distinct=True)
+    out, _, _ = _run(mon, "j7", spark)
+    return rounded(_ntz(spark.read.parquet(out), "window_end"))
+
+
+@register("j7_zero_windows", f"""WITH c AS ({_closed('1 MINUTE')}),
+g AS (SELECT unnest(generate_series((SELECT min(window_end) FROM c), (SELECT max(window_end) FROM c),
+                                    INTERVAL 1 MINUTE)) AS window_end)
+SELECT g.window_end, coalesce(c.record_count, 0) AS record_count FROM g LEFT JOIN c ON g.window_end = c.window_end""")
+def j7_zero_windows(spark, sf):
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "j7z-inbox"))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    out, _, _ = _run(ST.tumbling_count(src, "processing_time", "1 minute"), "j7z", spark)
+    counts = _ntz(spark.read.parquet(out), "window_end")
+    return ST.with_zero_windows(counts, 60)
+
+
+@register("j8_sliding_window", f"""SELECT window_start, window_end, count(*) AS record_count FROM (
+  SELECT time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL (5 * k) MINUTE AS window_start,
+         time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL (5 * k) MINUTE + INTERVAL 10 MINUTE AS window_end
+  FROM events, range(2) AS r(k))
+WHERE window_end <= {WM} GROUP BY 1, 2""")
+def j8_sliding_window(spark, sf):
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "j8s-inbox"))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    out, _, _ = _run(ST.sliding_count(src, "processing_time", "10 minutes", "5 minutes"), "j8s", spark)
+    return _ntz(spark.read.parquet(out), "window_start", "window_end")
+
+
+@register("j8_session_window", f"""WITH e AS (
+  SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
+s AS (SELECT user_id, ts, sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 6 HOUR THEN 1 ELSE 0 END)
+        OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
+SELECT CAST(user_id AS VARCHAR) AS location_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end,
+       count(*) AS record_count
+FROM s GROUP BY user_id, sid HAVING max(ts) + INTERVAL 6 HOUR <= {WM}""")
+def j8_session_window(spark, sf):
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "j8w-inbox"))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    out, _, _ = _run(ST.session_count(src, "processing_time", "location_id", "6 hours"), "j8w", spark)
+    return _ntz(spark.read.parquet(out), "session_start", "session_end")
+
+
+@register("j9_batch_monitor_logs", _closed("1 HOUR"))
+def j9_batch_monitor_logs(spark, sf):
+    """Counts stream -> base64 messages -> per-batch monitor -> log rows -> log query."""
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "j9-inbox"))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    counts_out, _, _ = _run(ST.tumbling_count(src, "processing_time", "1 hour"), "j9-counts", spark)
+    msgs = scratch_dir(spark, "j9-msgs")
+    counts = spark.read.parquet(counts_out)
+    body = F.to_json(F.struct(F.date_format("window_end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
+                              "record_count"))
+    counts.select(F.base64(F.encode(body, "UTF-8")).alias("data")).write.parquet(msgs)
+    logs, summary = scratch_dir(spark, "j9-logs"), scratch_dir(spark, "j9-summary")
+    stream = spark.readStream.schema("data string").option("maxFilesPerTrigger", 1).parquet(msgs)
+    ST.run_available_now(stream, MON.monitor_handler(spark, logs, summary), scratch_dir(spark, "j9-ckpt"))
+    return MON.parse_count_logs(spark.read.parquet(logs))
+
+
+@register("j10_heartbeat", "SELECT 0 AS record_count")
+def j10_heartbeat(spark, sf):
+    """A trigger that brought nothing still reports one row with a zero count."""
+    e = T(spark, sf).events
+    empty = e.where(F.col("ts") > F.lit(ASOF).cast("timestamp_ntz"))   # nothing after the as-of instant
+    return MON.heartbeat(spark, empty).select(F.col("record_count").cast("int").alias("record_count"))
+
+
+@register("j11_dedup_within_watermark", """SELECT 'delivered' AS table_name, 2 * count(*) AS row_count FROM events
+UNION ALL SELECT 'kept', count(DISTINCT event_id) FROM events""")
+def j11_dedup_within_watermark(spark, sf):
+    from tidewater.operators.relational import labelled_counts
+    inbox = scratch_dir(spark, "j11-inbox")
+    _write_readings(spark, sf, inbox)
+    _write_readings(spark, sf, inbox)      # every record delivered twice (same shard + sequence)
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    out, _, _ = _run(ST.dedup_stream(src, ["shard_id", "sequence_number"], "processing_time", "1 hour"), "j11", spark)
+    return labelled_counts({"delivered": spark.read.json(inbox), "kept": spark.read.parquet(out)})
+
+
+@register("j11_duplicate_report", "SELECT count(*) AS duplicated_keys, CAST(sum(copies) AS BIGINT) AS copies FROM "
+                                  "(SELECT event_id, 2 AS copies FROM events)")
+def j11_duplicate_report(spark, sf):
+    inbox = scratch_dir(spark, "j11r-inbox")
+    _write_readings(spark, sf, inbox)
+    _write_readings(spark, sf, inbox)
+    rep = MON.duplicate_report(spark.read.json(inbox), ["shard_id", "sequence_number"])
+    return rep.agg(F.count(F.lit(1)).alias("duplicated_keys"), F.sum("copies").cast("long").alias("copies"))
+
+
+@register("j12_rows_per_shard", "SELECT 'shard-' || CAST(user_id % 4 AS VARCHAR) AS shard_id, count(*) AS rows "
+                                "FROM events GROUP BY 1")
+def j12_rows_per_shard(spark, sf):
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "j12-inbox"))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    out, _, _ = _run(src, "j12", spark)
+    return MON.rows_per_shard(spark.read.parquet(out))
+
+
+@register("j12_landing_latency")
+def j12_landing_latency(spark, sf):
+    """Arrival (file time) minus event time: depends on when the run happens, so rows-only."""
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "j12l-inbox"))
+    df = spark.read.schema(ST.SENSOR_SCHEMA).json(inbox).withColumn(
+        "landed", F.col("_metadata.file_modification_time"))
+    return MON.landing_latency(df, "processing_time", "landed")
+
+
+@register("j13_pause_resume_status")
+def j13_pause_resume_status(spark, sf):
+    """Stop, add files, resume on the checkpoint; report status and pending files: rows-only."""
+    inbox = scratch_dir(spark, "j13-inbox")
+    cut = F.lit("2024-01-16").cast("timestamp")
+    _write_readings(spark, sf, inbox, F.col("processing_time") < cut)
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    out, ck = scratch_dir(spark, "j13-out"), scratch_dir(spark, "j13-ckpt")
+    q = ST.run_available_now(src, out, ck)
+    before = ST.status(q)
+    _write_readings(spark, sf, inbox, F.col("processing_time") >= cut)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(inbox).count()
+    logged = spark.read.parquet(out).inputFiles()
+    q2 = ST.run_available_now(ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA), out, ck)
+    after = ST.status(q2)
+    return spark.createDataFrame(
+        [("paused", str(before["active"]), before["last_batch"], listed - 8),
+         ("resumed", str(after["active"]), after["last_batch"], 0)],
+        "phase string, active string, last_batch long, pending_files long").withColumn(
+        "output_files", F.lit(len(logged)))
+
+
+# ============================================================== 2A stream sources, 2B stream sinks
+EVENTS_COLS = "event_id, ts, user_id, event_type, value, props"
+READINGS_SQL = """SELECT CAST(user_id AS VARCHAR) AS location_id, event_type AS parameter_of_AQI,
+       value AS value_of_AQI, ts AS processing_time, 'shard-' || CAST(user_id % 4 AS VARCHAR) AS shard_id,
+       CAST(event_id AS VARCHAR) AS sequence_number FROM events"""
+READ_COLS = ["location_id", "parameter_of_AQI", "value_of_AQI", "processing_time", "shard_id", "sequence_number"]
+
+
+@register("a14_read_new_files_twice", READINGS_SQL)
+def a14_read_new_files_twice(spark, sf):
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "a14-inbox"))
+    out, ck = scratch_dir(spark, "a14-out"), scratch_dir(spark, "a14-ckpt")
+    for _ in range(2):       # the second run finds no new file and adds nothing
+        ST.run_available_now(ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA), out, ck)
+    return _ntz(spark.read.parquet(out).select(*READ_COLS), "processing_time")
+
+
+@register("a15_reload_force", f"SELECT count(*) AS loaded_once, 2 * count(*) AS after_force FROM events")
+def a15_reload_force(spark, sf):
+    """``reload(force=True)``: a batch read ignores the load history, so a forced
+    reload appends every file again; a normal rerun would add nothing."""
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "a15-inbox"))
+    out, ck = scratch_dir(spark, "a15-out"), scratch_dir(spark, "a15-ckpt")
+    ST.run_available_now(ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA), out, ck)
+    once = spark.read.parquet(out).count()
+    forced = scratch_dir(spark, "a15-forced")
+    spark.read.parquet(out).write.parquet(forced)
+    spark.read.schema(ST.SENSOR_SCHEMA).json(inbox).write.mode("append").parquet(forced)
+    total = spark.read.parquet(forced).count()
+    return spark.createDataFrame([(once, total)], "loaded_once long, after_force long")
+
+
+@register("a16_inbox_to_archive")
+def a16_inbox_to_archive(spark, sf):
+    """``cleanSource=archive``: processed files move to the archive; the last
+    batch's files stay until a later run (rows-only: file counts)."""
+    inbox, archive = scratch_dir(spark, "a16-inbox"), scratch_dir(spark, "a16-archive")
+    _write_readings(spark, sf, inbox, files=4)
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA, max_files_per_trigger=1, glob="*.json",
+                              clean_source="archive", archive_dir=archive)
+    out, _, _ = _run(src, "a16", spark)
+    rows = spark.read.parquet(out).count()
+    left = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(inbox).count()
+    moved = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.json").load(archive).count())
+    return spark.createDataFrame([(rows, moved, left)], "rows long, archived_files long, inbox_files long")
+
+
+@register("a17_stream_skip_bad", READINGS_SQL)
+def a17_stream_skip_bad(spark, sf):
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "a17-inbox"))
+    T(spark, sf).events.where(F.col("event_type") == "error").select(
+        F.concat(F.lit("{\"location_id\": broken "), F.col("event_id").cast("string")).alias("value")) \
+        .write.mode("append").text(inbox + "/bad")    # malformed records in their own files
+    src = ST.read_stream_json(spark, inbox + "/*", ST.SENSOR_SCHEMA)
+    out, _, _ = _run(src, "a17", spark)
+    return _ntz(spark.read.parquet(out).select(*READ_COLS), "processing_time")
+
+
+@register("a18_plain_names", """SELECT CAST(user_id AS VARCHAR) AS location_id, event_type AS parameter, value,
+       ts AS processing_time FROM events""")
+def a18_plain_names(spark, sf):
+    inbox = scratch_dir(spark, "a18-inbox")
+    r = SI.readings(T(spark, sf)).withColumnsRenamed({"parameter_of_AQI": "parameter", "value_of_AQI": "value"})
+    r.write.options(**W.JSON_OPTIONS).json(inbox)
+    src = ST.read_stream_json(spark, inbox, ST.PLAIN_SCHEMA)
+    wm = src.withWatermark("processing_time", "5 seconds")
+    out, _, _ = _run(wm.select("location_id", "parameter", "value", "processing_time"), "a18", spark)
+    return _ntz(spark.read.parquet(out), "processing_time")
+
+
+@register("b6_archive_stream", """SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
+       strftime(ts, '%d') AS day, count(*) AS rows FROM events GROUP BY 1, 2, 3""")
+def b6_archive_stream(spark, sf):
+    """Raw archive in arrival-time folders; malformed records go to an error prefix."""
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "b6-inbox"))
+    spark.createDataFrame([("{oops",)], "value string").write.mode("append").text(inbox + "/bad")
+    src = ST.read_stream_json(spark, inbox + "/*", ST.SENSOR_SCHEMA, skip_bad=False)
+    root = scratch_dir(spark, "b6-archive")
+
+    def deliver(batch, batch_id):
+        good = batch.where(F.col(ST.CORRUPT).isNull()).drop(ST.CORRUPT)
+        ST.archive_layout(good).write.mode("append").partitionBy("year", "month", "day", "hour") \
+            .options(**W.JSON_OPTIONS).json(f"{root}/data")
+        batch.where(F.col(ST.CORRUPT).isNotNull()).select(ST.CORRUPT, F.lit(batch_id).alias("batch_id")) \
+            .write.mode("append").json(f"{root}/errors")
+    ST.run_available_now(src, deliver, scratch_dir(spark, "b6-ckpt"))
+    back = spark.read.json(f"{root}/data")
+    return (back.groupBy(F.format_string("%04d", "year").alias("year"), F.format_string("%02d", "month").alias("month"),
+                         F.format_string("%02d", "day").alias("day"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+@register("b7_to_ndjson", f"SELECT {EVENTS_COLS} FROM events")
+def b7_to_ndjson(spark, sf):
+    out = scratch_dir(spark, "b7")
+    W.to_ndjson(T(spark, sf).events).write.text(out)
+    return spark.read.schema("event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+                             "props string").json(out)
+
+
+@register("b8_rolling_file_sink")
+def b8_rolling_file_sink(spark, sf):
+    """Stream to JSON with at most 1000 records per file (rows-only: file and row counts)."""
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "b8-inbox"), files=2)
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    out, _, _ = _run(ST.enrich(src), "b8", spark, fmt="json", max_records_per_file=1000)
+    back = spark.read.json(out)
+    return spark.createDataFrame([(back.count(), len(back.inputFiles()))], "rows long, files long")
+
+
+@register("b14_copy_into", f"SELECT {EVENTS_COLS} FROM events")
+def b14_copy_into(spark, sf):
+    """Snapshot CSVs with shuffled, upper-cased headers arrive in two drops; each
+    file is appended once by column name, and a repeated run loads nothing."""
+    e = T(spark, sf).events
+    src, target, log = scratch_dir(spark, "b14-src"), scratch_dir(spark, "b14-target"), scratch_dir(spark, "b14-log")
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    ts_txt = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    (e.where(F.col("ts") < cut).select("props", "value", "event_type", "user_id", ts_txt.alias("ts"), "event_id")
+     .write.option("header", True).option("escape", '"').csv(f"{src}/drop1"))
+    LD.copy_into(spark, src, target, "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+                 "value double, props string", log, ASOF)
+    (e.where(F.col("ts") >= cut).select(*[F.col(c).alias(c.upper()) for c in ["event_id", "user_id"]],
+                                        ts_txt.alias("TS"), F.col("event_type").alias("Event_Type"),
+                                        F.col("value").alias("VALUE"), F.col("props").alias("PROPS"))
+     .write.option("header", True).option("escape", '"').csv(f"{src}/drop2"))
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    LD.copy_into(spark, src, target, schema, log, ASOF)
+    LD.copy_into(spark, src, target, schema, log, ASOF)        # nothing new: no rows added
+    return spark.read.parquet(target).select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+@register("b16_load_history")
+def b16_load_history(spark, sf):
+    """Per-file load log of the last 15 minutes, newest first (rows-only)."""
+    e = T(spark, sf).events
+    src, target, log = scratch_dir(spark, "b16-src"), scratch_dir(spark, "b16-target"), scratch_dir(spark, "b16-log")
+    e.select("event_id", "user_id").write.option("header", True).csv(src)
+    LD.copy_into(spark, src, target, "event_id long, user_id long", log, ASOF)
+    return LD.load_history(spark, log, ASOF)
+
+
+# ============================================================== 2K change data capture
+LATEST_SQL = """SELECT user_id, ts, event_id, event_type, value FROM (
+  SELECT user_id, ts, event_id, event_type, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, event_type DESC, value DESC) AS rn
+  FROM events) WHERE rn = 1"""
+
+
+def _changes(e):
+    return e.select("user_id", "ts", "event_id", "event_type", "value")
+
+
+@register("k2_merge_upsert", LATEST_SQL)
+def k2_merge_upsert(spark, sf):
+    """Initial load of the first half, then a merge of the second half's changes."""
+    e = _changes(T(spark, sf).events)
+    target = scratch_dir(spark, "k2-target")
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    CDC.merge_upsert(spark, target, e.where(F.col("ts") < cut), "user_id", ["ts", "event_id"], buckets=16)
+    CDC.merge_upsert(spark, target, e.where(F.col("ts") >= cut), "user_id", ["ts", "event_id"], buckets=16)
+    CDC.merge_upsert(spark, target, e.where(F.col("ts") < cut), "user_id", ["ts", "event_id"], buckets=16)  # replay
+    return CDC.current_state(spark, target).select("user_id", "ts", "event_id", "event_type", "value")
+
+
+def _staging_stream(spark, sf, name, parts):
+    """Write change files for each predicate in ``parts`` in turn and run the
+    change stream after each drop; returns the target path."""
+    e = _changes(T(spark, sf).events)
+    staging, target = scratch_dir(spark, f"{name}-staging"), scratch_dir(spark, f"{name}-target")
+    ck, log = scratch_dir(spark, f"{name}-ckpt"), scratch_dir(spark, f"{name}-log")
+    handler = CDC.change_batch_handler(spark, target, "user_id", ["ts", "event_id"], buckets=16, log=log)
+    for pred in parts:
+        if pred is not None:
+            e.where(pred).write.mode("append").options(**W.JSON_OPTIONS).json(staging)
+        src = ST.read_stream_json(spark, staging, "user_id long, ts timestamp_ntz, event_id long, event_type string, "
+                                                  "value double", max_files_per_trigger=4)
+        ST.run_available_now(src, handler, ck)
+    return target, log
+
+
+@register("k1_change_stream", LATEST_SQL)
+def k1_change_stream(spark, sf):
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    target, _ = _staging_stream(spark, sf, "k1", [F.col("ts") < cut, F.col("ts") >= cut])
+    return CDC.current_state(spark, target).select("user_id", "ts", "event_id", "event_type", "value")
+
+
+@register("k3_no_changes_no_merge")
+def k3_no_changes_no_merge(spark, sf):
+    """A run with no new staging files applies no batch (rows-only: merges logged)."""
+    target, log = _staging_stream(spark, sf, "k3", [F.lit(True), None, None])
+    return spark.read.parquet(log).agg(F.count(F.lit(1)).alias("merges"))
+
+
+@register("k4_correction_file", LATEST_SQL.replace("SELECT user_id, ts, event_id, event_type, value FROM (",
+                                                   "SELECT user_id, ts, event_id, event_type, value FROM (", 1))
+def k4_correction_file(spark, sf):
+    """A correction under a new file name updates the key; the same file name
+    delivered again is ignored by the source log."""
+    e = _changes(T(spark, sf).events)
+    staging, target = scratch_dir(spark, "k4-staging"), scratch_dir(spark, "k4-target")
+    ck = scratch_dir(spark, "k4-ckpt")
+    handler = CDC.change_batch_handler(spark, target, "user_id", ["ts", "event_id"], buckets=16)
+    schema = "user_id long, ts timestamp_ntz, event_id long, event_type string, value double"
+    e.write.options(**W.JSON_OPTIONS).json(staging)
+    ST.run_available_now(ST.read_stream_json(spark, staging, schema), handler, ck)
+    # a stale copy of the first day under a new name: merge keeps the latest row per key
+    e.where(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz")).write.mode("append") \
+        .options(**W.JSON_OPTIONS).json(staging)
+    ST.run_available_now(ST.read_stream_json(spark, staging, schema), handler, ck)
+    return CDC.current_state(spark, target).select("user_id", "ts", "event_id", "event_type", "value")
+
+
+@register("k5_staging_vs_final", """SELECT 'staging' AS table_name, count(*) AS row_count FROM events
+UNION ALL SELECT 'final', count(DISTINCT user_id) FROM events""")
+def k5_staging_vs_final(spark, sf):
+    from tidewater.operators.relational import labelled_counts
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    target, _ = _staging_stream(spark, sf, "k5", [F.col("ts") < cut, F.col("ts") >= cut])
+    e = T(spark, sf).events
+    return labelled_counts({"staging": e, "final": CDC.current_state(spark, target)})
