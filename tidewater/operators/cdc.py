@@ -71,6 +71,7 @@ def change_batch_handler(spark: SparkSession, target: str, key: Sequence[str] |
             return
         n = merge_upsert(spark, target, batch, key, order, buckets)
         if log:
-            (spark.createDataFrame([(int(batch_id), n)], "batch_id long, buckets long")
-             .withColumn("merged_at", F.current_timestamp()).write.mode("append").parquet(log))
+            from tidewater.sources.writers import write_batch
+            write_batch(spark.createDataFrame([(n,)], "buckets long").withColumn("merged_at", F.current_timestamp()),
+                        log, batch_id)
     return handle

@@ -57,9 +57,9 @@ facts AS (
 
 def _star(spark, sf):
     t = SI.Tables(spark, sf)
-    trips = SI.trips(t)
-    dims = rides.dimensions(trips)
-    return trips, dims, rides.fact(trips, dims)
+    g = rides.grain(SI.trips(t))
+    dims = rides.dimensions(g)
+    return g, dims, rides.fact(g, dims)
 
 
 @register("m1_dim_vendor", f"WITH {TRIPS_SQL} SELECT * FROM dim_vendor")

@@ -365,10 +365,10 @@ def b6_archive_stream(spark, sf):
 
     def deliver(batch, batch_id):
         good = batch.where(F.col(ST.CORRUPT).isNull()).drop(ST.CORRUPT)
-        ST.archive_layout(good).write.mode("append").partitionBy("year", "month", "day", "hour") \
-            .options(**W.JSON_OPTIONS).json(f"{root}/data")
-        batch.where(F.col(ST.CORRUPT).isNotNull()).select(ST.CORRUPT, F.lit(batch_id).alias("batch_id")) \
-            .write.mode("append").json(f"{root}/errors")
+        W.write_batch(ST.archive_layout(good), f"{root}/data", batch_id, ["year", "month", "day", "hour"],
+                      "json", **W.JSON_OPTIONS)
+        W.write_batch(batch.where(F.col(ST.CORRUPT).isNotNull()).select(ST.CORRUPT), f"{root}/errors", batch_id,
+                      fmt="json")
     ST.run_available_now(src, deliver, scratch_dir(spark, "b6-ckpt"))
     back = spark.read.json(f"{root}/data")
     return (back.groupBy(F.format_string("%04d", "year").alias("year"), F.format_string("%02d", "month").alias("month"),

@@ -59,6 +59,19 @@ def write_dataset(df: DataFrame, path: str, mode: str = "append",
     return path
 
 
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (),
+                fmt: str = "parquet", **options: str) -> str:
+    """Exactly-once output from ``foreachBatch``: rows are tagged with the batch id
+    and the batch's own partitions are replaced (dynamic overwrite), so a replayed
+    micro-batch rewrites the same folders instead of appending a second copy."""
+    keys = [*partition_by, "batch_id"]
+    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+     .repartition(*[F.col(k) for k in keys])
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options)
+     .partitionBy(*keys).format(fmt).save(path))
+    return path
+
+
 def write_one_file_per_partition(df: DataFrame, path: str, partition_by: Sequence[str],
                                  mode: str = "overwrite") -> str:
     """Exactly one file in each output partition folder.

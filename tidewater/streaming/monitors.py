@@ -26,16 +26,15 @@ def parse_count_logs(logs: DataFrame) -> DataFrame:
 
 
 def monitor_handler(spark: SparkSession, log_path: str, summary_path: str, payload: str = "data"):
-    """``foreachBatch`` function appending log rows and one summary row
-    ``(batch_id, received, status)`` per batch; an empty batch still writes a
-    heartbeat summary with ``received = 0``."""
+    """``foreachBatch`` function writing the batch's log rows and one
+    summary row ``(batch_id, received, status)``, keyed by batch id so a replay
+    does not duplicate them; an empty batch still writes a heartbeat summary."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        logs = log_rows(batch, payload)
-        logs.write.mode("append").parquet(log_path)
+        from tidewater.sources.writers import write_batch
+        write_batch(log_rows(batch, payload), log_path, batch_id)
         received = batch.count()
-        (spark.createDataFrame([(int(batch_id), int(received), "ok" if received else "heartbeat")],
-                               "batch_id long, received long, status string")
-         .write.mode("append").parquet(summary_path))
+        write_batch(spark.createDataFrame([(int(received), "ok" if received else "heartbeat")],
+                                          "received long, status string"), summary_path, batch_id)
     return handle
 
 

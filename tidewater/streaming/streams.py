@@ -154,6 +154,9 @@ def run_available_now(df: DataFrame, sink: str | Callable, checkpoint: str, outp
     ``sink`` is a path (file sink with its commit log: output is visible only
     when a batch commits) or a ``foreachBatch`` function.
     """
+    if partition_by and not callable(sink):
+        # one file per output folder per batch (not one per task per folder)
+        df = df.repartition(*[F.col(c) for c in partition_by])
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
