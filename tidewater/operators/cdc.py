@@ -10,7 +10,8 @@ partition overwrite:
 * the touched buckets of the target are read (partition pruning), unioned with
   the changes and reduced to the latest row per key again, so replaying a batch
   or applying an older change never regresses a row ("latest wins");
-* the result is checkpointed (lineage cut, survives executor loss) and written
+* the result is materialized under the checkpoint location (lineage cut,
+  survives executor loss) and written
   back over the same buckets.  A replay after a crash completes the merge.
 """
 
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.relational import dedup_latest
+from tidewater.session import materialize
 
 BUCKET = "_bucket"
 
@@ -49,7 +51,7 @@ def merge_upsert(spark: SparkSession, target: str, changes: DataFrame, key: Sequ
         current = spark.read.parquet(target)
         current = current.join(F.broadcast(touched), BUCKET, "left_semi")   # at most ``buckets`` rows
         merged = dedup_latest(current.unionByName(latest.select(*current.columns)), keys, list(order))
-    merged = merged.checkpoint(eager=True)
+    merged = materialize(merged, "merge")
     n = merged.select(BUCKET).distinct().count()
     (merged.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET).parquet(target))

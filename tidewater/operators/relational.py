@@ -22,6 +22,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.session import materialize
+
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
@@ -148,7 +150,8 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
     ``order`` must end with a unique tie-break so results repeat between runs.
     Steps: range-partition on ``group + order`` and sort inside partitions; number
     the rows with ``monotonically_increasing_id`` (partition index in the high
-    bits); checkpoint so a lost executor cannot renumber; count rows per
+    bits); materialize (Parquet under the checkpoint location) so a lost
+    executor cannot renumber; count rows per
     (partition, group); turn those counts into offsets with a window over that
     small table; add the offsets back with a (size-checked) broadcast join.
     """
@@ -160,7 +163,7 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
                 .sortWithinPartitions(*sort)
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .withColumn("_pid", F.shiftright(F.col("_mid"), 33)))
-    numbered = numbered.checkpoint(eager=True)
+    numbered = materialize(numbered, "rank")
     keys = [f"_g{i}" for i in range(len(group))]
     per = (numbered.groupBy(F.col("_pid").alias("_ppid"), *[F.col(g).alias(k) for g, k in zip(group, keys)])
            .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")))

@@ -5,9 +5,10 @@ Surrogate keys are deterministic.  ``monotonically_increasing_id`` recomputed
 after a shuffle need not give the keys that were written, so it is never used
 for keys.  Two methods:
 
-* ``rank``  dense 1-based rank of the natural key (range-partitioned, see
-  :func:`tidewater.operators.relational.rank_within`), stable across reruns on the
-  same data and comparable with SQL ``dense_rank``;
+* ``rank``  dense 1-based rank of the natural key, stable across reruns on the
+  same data and comparable with SQL ``dense_rank``: one ordered partition when
+  the dimension is proven small (``SMALL_DIM_ROWS``), else range-partitioned
+  numbering (:func:`tidewater.operators.relational.rank_within`);
 * ``hash``  ``xxhash64`` of the natural key columns, computed row by row with no
   shuffle at all; a one-row collision check fails loudly instead of merging
   two natural keys.
@@ -17,11 +18,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.relational import bounded_broadcast, rank_within
 
+# a dimension with at most this many natural keys is numbered in one ordered partition
+SMALL_DIM_ROWS = 100_000
+
 
 def build_dim(df: DataFrame, cols: Sequence[str], key: str, method: str = "rank") -> DataFrame:
     """M1 / M2: distinct natural keys ``cols`` plus a 64-bit surrogate ``key``."""
@@ -34,6 +38,9 @@ def build_dim(df: DataFrame, cols: Sequence[str], key: str, method: str = "rank"
             raise ValueError(f"surrogate key collision in {key}: {check['n']} keys, {check['k']} hashes")
         return dim.select(*cols, key)
     order = [F.col(c).asc_nulls_first() for c in cols]
+    if nat.limit(SMALL_DIM_ROWS + 1).count() <= SMALL_DIM_ROWS:
+        # proven small: one ordered partition is cheaper than range partitioning
+        return nat.select(*cols, F.dense_rank().over(Window.orderBy(*order)).cast("long").alias(key))
     return rank_within(nat, [], order, "_rk").select(*cols, F.col("_rk").cast("long").alias(key))
 
 

@@ -22,6 +22,7 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -66,3 +67,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         os.makedirs(parent, exist_ok=True)
     # the leaf does not exist yet, so writers in their default mode accept it
     return os.path.join(parent, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` as Parquet under the shared checkpoint location
+    and read it back.
+
+    Later stages (and retries after a lost executor) read the files instead of
+    recomputing the plan.  Parquet is columnar and compressed, so this is cheaper
+    than an RDD ``checkpoint()`` of the same rows.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
