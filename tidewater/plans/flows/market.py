@@ -56,3 +56,34 @@ def latest_prices(coin: DataFrame, market: DataFrame, price: DataFrame, n: int =
     j = latest_snapshot_join([coin, market, price])
     return top_n(j.select("id", "symbol", "name", "market_cap", "current_price", "market_cap_tier", "extracted_at"),
                  [F.col("market_cap").desc(), F.col("id")], n)
+
+
+LANDING_SCHEMAS = {
+    "coin_data": "id string, symbol string, name string, market_cap_tier string, extracted_at timestamp_ntz",
+    "market_data": ("id string, market_cap decimal(38,2), total_volume decimal(38,2), "
+                    "circulating_supply decimal(38,2), volume_to_mcap_ratio double, extracted_at timestamp_ntz"),
+    "price_data": ("id string, current_price double, high_24h double, low_24h double, ath double, "
+                   "ath_date timestamp_ntz, price_change_percentage_24h double, price_to_ath_ratio double, "
+                   "daily_price_range double, days_since_ath int, last_updated timestamp_ntz, "
+                   "extracted_at timestamp_ntz"),
+}
+
+
+def run(spark, raw: DataFrame, out: str, extracted_at: str, asof: str) -> dict[str, DataFrame]:
+    """One snapshot run: transform, land three CSVs (one folder each, stamped by
+    the run), append them by column name (each file once), upsert the current
+    state per coin, and answer the latest-snapshot query."""
+    from tidewater.operators import cdc
+    from tidewater.sources import loads
+    from tidewater.sources.writers import write_csv
+
+    stamp = extracted_at.replace("-", "").replace(":", "").replace(" ", "T")
+    tables = transform(raw, extracted_at, asof)
+    for name, df in tables.items():
+        write_csv(df, f"{out}/transformed/{name}/{stamp}", mode="errorifexists")
+        loads.copy_into(spark, f"{out}/transformed/{name}", f"{out}/landing/{name}", LANDING_SCHEMAS[name],
+                        f"{out}/load_history/{name}", asof)
+    landed = {n: spark.read.parquet(f"{out}/landing/{n}") for n in tables}
+    cdc.merge_upsert(spark, f"{out}/current/coin_data", landed["coin_data"], "id", ["extracted_at"], buckets=8)
+    return {**landed, "current": cdc.current_state(spark, f"{out}/current/coin_data"),
+            "latest": latest_prices(landed["coin_data"], landed["market_data"], landed["price_data"])}
