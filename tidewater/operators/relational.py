@@ -159,7 +159,10 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
     group = list(group)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = [F.col(g).asc_nulls_first() for g in group] + _sort_cols(order)
-    numbered = (df.repartitionByRange(n, *sort)
+    # the range partitioner samples its input: read that from files, not by
+    # re-running whatever plan produced ``df``
+    src = materialize(df, "rank-input")
+    numbered = (src.repartitionByRange(n, *sort)
                 .sortWithinPartitions(*sort)
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .withColumn("_pid", F.shiftright(F.col("_mid"), 33)))

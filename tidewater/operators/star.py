@@ -21,7 +21,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.relational import bounded_broadcast, rank_within
+from tidewater.operators.relational import rank_within
 
 # a dimension with at most this many natural keys is numbered in one ordered partition
 SMALL_DIM_ROWS = 100_000
@@ -39,8 +39,9 @@ def build_dim(df: DataFrame, cols: Sequence[str], key: str, method: str = "rank"
         return dim.select(*cols, key)
     order = [F.col(c).asc_nulls_first() for c in cols]
     if nat.limit(SMALL_DIM_ROWS + 1).count() <= SMALL_DIM_ROWS:
-        # proven small: one ordered partition is cheaper than range partitioning
-        return nat.select(*cols, F.dense_rank().over(Window.orderBy(*order)).cast("long").alias(key))
+        # proven small: one ordered partition is cheaper than range partitioning,
+        # and the bound just proven makes the dimension safe to broadcast
+        return F.broadcast(nat.select(*cols, F.dense_rank().over(Window.orderBy(*order)).cast("long").alias(key)))
     return rank_within(nat, [], order, "_rk").select(*cols, F.col("_rk").cast("long").alias(key))
 
 
@@ -54,7 +55,9 @@ def swap_keys(df: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str], str]
         for c in cols:
             e = out[c] == d[c]
             cond = e if cond is None else cond & e
-        out = out.join(bounded_broadcast(d), cond, "left").drop(*[d[c] for c in cols])
+        # no probe here: a dimension proven small carries its broadcast hint,
+        # a file-backed one is sized by the planner, anything else is left to AQE
+        out = out.join(d, cond, "left").drop(*[d[c] for c in cols])
     return out
 
 

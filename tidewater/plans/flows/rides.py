@@ -45,11 +45,16 @@ def grain(trips: DataFrame, checkpoint: bool = True) -> DataFrame:
 
 
 def dimensions(grain_df: DataFrame, method: str = "rank") -> dict[str, DataFrame]:
-    """M1 / M2: the three dimensions of the ride star (from trips or their grain)."""
+    """M1 / M2: the three dimensions of the ride star (from trips or their grain).
+
+    The distinct natural-key combinations are computed once and materialized;
+    each dimension is a distinct over that (much smaller) table.
+    """
+    keys = materialize(grain_df.select(*VENDOR_COLS, *PAYMENT_COLS, *LOCATION_COLS).distinct(), "ride-keys")
     return {
-        "dim_vendor": build_dim(grain_df, VENDOR_COLS, "vendor_key", method),
-        "dim_payment": build_dim(grain_df, PAYMENT_COLS, "payment_key", method),
-        "dim_location": build_dim(grain_df, LOCATION_COLS, "location_key", method),
+        "dim_vendor": build_dim(keys, VENDOR_COLS, "vendor_key", method),
+        "dim_payment": build_dim(keys, PAYMENT_COLS, "payment_key", method),
+        "dim_location": build_dim(keys, LOCATION_COLS, "location_key", method),
     }
 
 
