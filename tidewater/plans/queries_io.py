@@ -101,8 +101,9 @@ def a6_read_json_array(spark, sf):
 def a7_read_json_concat(spark, sf):
     e = T(spark, sf).events
     out = scratch_dir(spark, "a7")
-    # objects of one hour glued with no separator ("}{"), several hours per file
-    glued = (e.groupBy(F.date_trunc("hour", "ts").alias("h"))
+    # objects glued with no separator ("}{"), at most 200 per text (one delivery
+    # batch), several texts per file
+    glued = (e.groupBy(F.date_trunc("hour", "ts").alias("h"), F.floor(F.col("event_id") / 200).alias("b"))
              .agg(F.concat_ws("", F.collect_list(W.json_text(*e.columns))).alias("value")))
     glued.select("value").write.option("maxRecordsPerFile", 200).text(out)
     return RD.read_json_concat(spark, out, EVENTS_SCHEMA).drop("_source_file")
@@ -167,14 +168,16 @@ def a11_explode_items(spark, sf):
     return RD.explode_items(docs, "items", keep=["conv_id"])
 
 
-@register("a12_envelope", "SELECT role AS region, count(*) AS items, count(DISTINCT conv_id) AS documents "
+@register("a12_envelope", "SELECT role AS region, count(*) AS items, "
+                          "count(DISTINCT (conv_id, CAST(floor(turn / 50) AS BIGINT))) AS documents "
                           "FROM conversations GROUP BY role")
 def a12_envelope(spark, sf):
     conv = T(spark, sf).conversations
     out = scratch_dir(spark, "a12")
-    env = RD.with_envelope(conv.select("conv_id", "role", "turn", "text"), ["conv_id", "role"],
-                           f"ing-{uuid.uuid4().hex[:8]}", "role", "api", ASOF)
-    env.drop("conv_id", "role").write.partitionBy("region", "date", "hour").json(out)
+    # one envelope per (conversation, role) page of at most 50 turns: a bounded payload
+    pages = conv.select("conv_id", "role", "turn", "text", F.floor(F.col("turn") / 50).alias("page"))
+    env = RD.with_envelope(pages, ["conv_id", "role", "page"], f"ing-{uuid.uuid4().hex[:8]}", "role", "api", ASOF)
+    env.drop("conv_id", "role", "page").write.partitionBy("region", "date", "hour").json(out)
     back = spark.read.json(out)
     return back.groupBy("region").agg(F.sum("_pipeline_metadata.video_count").alias("items"),
                                       F.count(F.lit(1)).alias("documents"))
@@ -255,13 +258,17 @@ def b9_to_messages(spark, sf):
   SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events)
 WHERE prev > ts GROUP BY 1""")
 def b9_messages_ordered(spark, sf):
-    """Key-ordered delivery: within each key, messages leave in time order (no row is out of order)."""
+    """Key-ordered delivery: within each key, messages leave in time order (no row is out of order).
+
+    Checked with two skew-safe ranks per key (by delivery position, by time); a
+    message is out of order when they differ."""
+    from tidewater.operators.relational import rank_within
     e = T(spark, sf).events
     msgs = W.to_messages(e, "user_id", order=["ts"]).withColumn("pos", F.monotonically_increasing_id())
     parsed = msgs.select("key", "pos", F.get_json_object("value", "$.ts").alias("ts"))
-    from pyspark.sql import Window
-    w = Window.partitionBy("key").orderBy("pos")
-    return (parsed.withColumn("prev", F.lag("ts").over(w)).where(F.col("prev") > F.col("ts"))
+    by_pos = rank_within(parsed, ["key"], [F.col("pos")], "r_pos")
+    both = rank_within(by_pos, ["key"], [F.col("ts"), F.col("pos")], "r_ts")
+    return (both.where(F.col("r_pos") != F.col("r_ts"))
             .groupBy("key").agg(F.count(F.lit(1)).alias("out_of_order")))
 
 
