@@ -301,9 +301,9 @@ def b12_create_external(spark, sf):
     return spark.table(name)
 
 
-@register("b13_landing_like")
+@register("b13_landing_like", "SELECT count(*) AS n FROM orders")
 def b13_landing_like(spark, sf):
-    """Typed landing table, a second one ``LIKE`` it, and an append into it: rows-only."""
+    """Typed landing table, a second one ``LIKE`` it, and an append into it."""
     base = scratch_dir(spark, "b13")
     a, b = f"landing_{uuid.uuid4().hex[:8]}", f"landing_like_{uuid.uuid4().hex[:8]}"
     CAT.create_landing(spark, a, "o_orderkey bigint, o_totalprice double, o_orderdate timestamp_ntz", f"{base}/a")

@@ -315,10 +315,11 @@ def a15_reload_force(spark, sf):
     return spark.createDataFrame([(once, total)], "loaded_once long, after_force long")
 
 
-@register("a16_inbox_to_archive")
+@register("a16_inbox_to_archive", """SELECT count(*) AS rows, CAST(3 AS BIGINT) AS archived_files,
+       CAST(1 AS BIGINT) AS inbox_files FROM events""")
 def a16_inbox_to_archive(spark, sf):
-    """``cleanSource=archive``: processed files move to the archive; the last
-    batch's files stay until a later run (rows-only: file counts)."""
+    """``cleanSource=archive``: four files, one per batch; processed files move to
+    the archive and the last batch's file stays in the inbox until a later run."""
     inbox, archive = scratch_dir(spark, "a16-inbox"), scratch_dir(spark, "a16-archive")
     _write_readings(spark, sf, inbox, files=4)
     src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA, max_files_per_trigger=1, glob="*.json",
@@ -384,14 +385,17 @@ def b7_to_ndjson(spark, sf):
                              "props string").json(out)
 
 
-@register("b8_rolling_file_sink")
+@register("b8_rolling_file_sink", "SELECT count(*) AS rows, true AS max_1000_per_file FROM events")
 def b8_rolling_file_sink(spark, sf):
-    """Stream to JSON with at most 1000 records per file (rows-only: file and row counts)."""
+    """Stream to JSON with at most 1000 records per file: every row lands once and
+    no file holds more than 1000 records."""
     inbox = _write_readings(spark, sf, scratch_dir(spark, "b8-inbox"), files=2)
     src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
     out, _, _ = _run(ST.enrich(src), "b8", spark, fmt="json", max_records_per_file=1000)
-    back = spark.read.json(out)
-    return spark.createDataFrame([(back.count(), len(back.inputFiles()))], "rows long, files long")
+    per_file = spark.read.json(out).groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        F.count(F.lit(1)).alias("n"))
+    return per_file.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"),
+                        F.coalesce(F.max("n") <= 1000, F.lit(True)).alias("max_1000_per_file"))
 
 
 @register("b14_copy_into", f"SELECT {EVENTS_COLS} FROM events")
@@ -472,11 +476,14 @@ def k1_change_stream(spark, sf):
     return CDC.current_state(spark, target).select("user_id", "ts", "event_id", "event_type", "value")
 
 
-@register("k3_no_changes_no_merge")
+@register("k3_no_changes_no_merge", """SELECT 'merges' AS table_name, CAST(1 AS BIGINT) AS row_count FROM events
+GROUP BY 1 UNION ALL SELECT 'current_keys', count(DISTINCT user_id) FROM events""")
 def k3_no_changes_no_merge(spark, sf):
-    """A run with no new staging files applies no batch (rows-only: merges logged)."""
+    """One drop of changes, then two runs with no new staging files: only one
+    merge is applied (runs without changes apply no batch)."""
+    from tidewater.operators.relational import labelled_counts
     target, log = _staging_stream(spark, sf, "k3", [F.lit(True), None, None])
-    return spark.read.parquet(log).agg(F.count(F.lit(1)).alias("merges"))
+    return labelled_counts({"merges": spark.read.parquet(log), "current_keys": CDC.current_state(spark, target)})
 
 
 @register("k4_correction_file", LATEST_SQL.replace("SELECT user_id, ts, event_id, event_type, value FROM (",
