@@ -275,10 +275,16 @@ def e12_like_ratio_by_region(spark, sf):
     return rounded(M.like_ratio_by_region(_gold(spark, sf, "trending_daily")))
 
 
+DASH_INPUT = {"views_by_category": "categories", "engagement_heatmap": "categories", "videos_by_region": "trending",
+              "views_by_date": "trending", "kpis": "trending", "top_channels": "channels"}
+
+
 def _dash(spark, sf, part):
     from tidewater.plans.flows import medallion as M
     st = _stats(spark, sf)
-    return M.dashboard(M.category_daily(st), M.trending_daily(st), M.channel_summary(st))[part]
+    build = {"categories": M.category_daily, "trending": M.trending_daily, "channels": M.channel_summary}
+    src = DASH_INPUT[part]
+    return M.dashboard(**{src: build[src](st)})[part]
 
 
 @register("e18_views_by_category", f"""WITH {VIDEOS_SQL}
@@ -323,7 +329,9 @@ def e18_engagement_heatmap(spark, sf):
     return rounded(c.groupBy("region", "category_name").agg(F.avg("avg_engagement_rate").alias("avg_engagement_rate")))
 
 
-@register("e18_engagement_pivot")
+@register("e18_engagement_pivot", f"""WITH {VIDEOS_SQL}
+SELECT * FROM (PIVOT (SELECT region, category_name, avg_engagement_rate FROM categories)
+  ON category_name USING round(avg(avg_engagement_rate), 4) GROUP BY region)""")
 def e18_engagement_pivot(spark, sf):
     """The heat map as a pivot (one column per category)."""
     return rounded(_dash(spark, sf, "engagement_heatmap"))
