@@ -92,3 +92,17 @@ def test_zero_windows(spark):
     got = [(r.window_end.minute, r.record_count) for r in ST.with_zero_windows(counts, 60).orderBy("window_end")
            .collect()]
     assert got == [(1, 2), (2, 0), (3, 0), (4, 1)]
+
+
+def test_processing_time_stream_stop_and_resume(spark, tmp):
+    inbox, out, ck = tmp("pt-inbox"), tmp("pt-out"), tmp("pt-ck")
+    _readings(spark, inbox, range(0, 4))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA, max_bytes_per_trigger=1 << 20)
+    q = ST.start_stream(ST.enrich(src), out, ck, every="1 second")
+    q.processAllAvailable()
+    q.stop()
+    _readings(spark, inbox, range(4, 6))
+    q = ST.start_stream(ST.enrich(ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)), out, ck, every="1 second")
+    q.processAllAvailable()
+    q.stop()
+    assert spark.read.parquet(out).count() == 6

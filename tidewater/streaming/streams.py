@@ -40,7 +40,8 @@ def _with_corrupt(schema: str | StructType, spark: SparkSession) -> StructType:
 
 
 def read_stream_json(spark: SparkSession, path: str, schema: str | StructType, skip_bad: bool = True,
-                     max_files_per_trigger: int | None = None, glob: str | None = None,
+                     max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None,
+                     glob: str | None = None,
                      latest_first: bool = False, max_file_age: str | None = None,
                      clean_source: str | None = None, archive_dir: str | None = None) -> DataFrame:
     """Typed JSON stream, oldest files first; malformed records
@@ -50,6 +51,9 @@ def read_stream_json(spark: SparkSession, path: str, schema: str | StructType, s
          .option("columnNameOfCorruptRecord", CORRUPT).option("latestFirst", str(latest_first).lower()))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        # B6 size bound (a plain byte count, e.g. 5 * 1024 * 1024 for "5 MB")
+        r = r.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_file_age:
@@ -175,6 +179,28 @@ def run_available_now(df: DataFrame, sink: str | Callable, checkpoint: str, outp
     return q
 
 
+def start_stream(df: DataFrame, sink: str | Callable, checkpoint: str, every: str = "10 seconds",
+                 output_mode: str = "append", fmt: str = "parquet", partition_by: Sequence[str] | None = None,
+                 max_records_per_file: int | None = None, name: str | None = None) -> StreamingQuery:
+    """A long-running query with a processing-time trigger (flush
+    every ``every``; checkpoint and commit per batch).  Stop it with
+    ``query.stop()``; restarting on the same checkpoint resumes (J13)."""
+    if partition_by and not callable(sink):
+        df = df.repartition(*[F.col(c) for c in partition_by])
+    w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+    if name:
+        w = w.queryName(name)
+    if callable(sink):
+        w = w.foreachBatch(sink)
+    else:
+        w = w.format(fmt).option("path", sink)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        if max_records_per_file:
+            w = w.option("maxRecordsPerFile", max_records_per_file)
+    return w.trigger(processingTime=every).start()
+
+
 def dropped_by_watermark(q: StreamingQuery) -> int:
     """Rows the stateful operators dropped as late, over all recent batches."""
     total = 0
