@@ -40,7 +40,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def merge_upsert(spark: SparkSession, target: str, changes: DataFrame, key: Sequence[str] | str,
                  order: Sequence[str], buckets: int = 64) -> int:
     """K2: matched keys take the latest change (all columns), new keys are inserted.
-    Returns the number of buckets rewritten."""
+    Returns the number of buckets rewritten.
+
+    ``buckets`` fixes the table's layout: a merge rewrites every bucket its
+    changes touch, so size it to the table (roughly one bucket per 0.5-1 GB of
+    target data) and keep it constant for the life of the table."""
     keys = [key] if isinstance(key, str) else list(key)
     latest = dedup_latest(changes, keys, order)
     latest = latest.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))

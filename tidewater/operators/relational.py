@@ -157,7 +157,10 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
     """
     spark = df.sparkSession
     group = list(group)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # at least one range partition per core of the cluster (or the shuffle
+    # partition count when that is larger)
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              spark.sparkContext.defaultParallelism)
     sort = [F.col(g).asc_nulls_first() for g in group] + _sort_cols(order)
     # the range partitioner samples its input: read that from files, not by
     # re-running whatever plan produced ``df``
