@@ -11,6 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def create_database(spark: SparkSession, db: str, location: str | None = None) -> None:
+    """``CREATE DATABASE IF NOT EXISTS`` with its folder under the shared
+    checkpoint location (not the session's local warehouse folder)."""
+    if location is None:
+        from tidewater.session import scratch_dir
+        location = scratch_dir(spark, f"warehouse-{db}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{location}'")
+
+
 def _ddl_schema(df: DataFrame, skip: tuple[str, ...] = ()) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in skip)
 
@@ -19,7 +28,7 @@ def register_table(spark: SparkSession, path: str, db: str, name: str, fmt: str
                    partition_by: tuple[str, ...] = ()) -> str:
     """Create the database, drop and re-create the external table over
     ``path`` and recover its partitions.  Returns the qualified name."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    create_database(spark, db)
     full = f"`{db}`.`{name}`"
     spark.sql(f"DROP TABLE IF EXISTS {full}")
     probe = spark.read.format(fmt).load(path)
@@ -71,7 +80,7 @@ def catalog_path(spark: SparkSession, root: str, db: str, known: Mapping[str, st
                .where(~F.col("ext").isin("crc", "") & ~F.col("folder").startswith("_")
                       & ~F.col("folder").startswith("."))
                .groupBy("folder").agg(F.sort_array(F.collect_set("ext")).alias("exts")).collect())
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    create_database(spark, db)
     rows, seen = [], set()
     for r in sorted(listing, key=lambda x: x["folder"]):
         loc = f"{root.rstrip('/')}/{r['folder']}"
