@@ -5,9 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.functions import columns as C
-from tidewater.operators import quality as Q
-from tidewater.operators import relational as R
 from tidewater.operators import star as S
 from tidewater.plans import standins as SI
 from tidewater.plans.flows import rides

@@ -11,7 +11,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidewater.functions import columns as C
 from tidewater.sources import catalog as CAT
 from tidewater.sources import readers as RD
 from tidewater.sources import writers as W
