@@ -90,3 +90,13 @@ def test_to_messages_keeps_key_order(spark):
     msgs = W.to_messages(df, "k", partitions=2, order=["t"]).collect()
     ts = [int(F.__name__ and m.value.split('"t":')[1].rstrip("}")) for m in msgs if m.key == "1"]
     assert ts == sorted(ts)
+
+
+def test_copy_into_rerun_after_lost_log_does_not_duplicate(spark, tmp):
+    from tidewater.sources import loads as LD
+    src, target = tmp("ci-src"), tmp("ci-target")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string").write.option("header", True).csv(src)
+    assert LD.copy_into(spark, src, target, "id long, v string", tmp("ci-log1"), "2024-02-01 00:00:00") > 0
+    # the log write was lost (fresh log): the same files load again into the same load partition
+    LD.copy_into(spark, src, target, "id long, v string", tmp("ci-log2"), "2024-02-01 00:00:00")
+    assert LD.read_landing(spark, target).count() == 2

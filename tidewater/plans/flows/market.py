@@ -83,7 +83,7 @@ def run(spark, raw: DataFrame, out: str, extracted_at: str, asof: str) -> dict[s
         write_csv(df, f"{out}/transformed/{name}/{stamp}", mode="errorifexists")
         loads.copy_into(spark, f"{out}/transformed/{name}", f"{out}/landing/{name}", LANDING_SCHEMAS[name],
                         f"{out}/load_history/{name}", asof)
-    landed = {n: spark.read.parquet(f"{out}/landing/{n}") for n in tables}
+    landed = {n: loads.read_landing(spark, f"{out}/landing/{n}") for n in tables}
     cdc.merge_upsert(spark, f"{out}/current/coin_data", landed["coin_data"], "id", ["extracted_at"], buckets=8)
     return {**landed, "current": cdc.current_state(spark, f"{out}/current/coin_data"),
             "latest": latest_prices(landed["coin_data"], landed["market_data"], landed["price_data"])}

@@ -417,7 +417,7 @@ def b14_copy_into(spark, sf):
     schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
     LD.copy_into(spark, src, target, schema, log, ASOF)
     LD.copy_into(spark, src, target, schema, log, ASOF)        # nothing new: no rows added
-    return spark.read.parquet(target).select("event_id", "ts", "user_id", "event_type", "value", "props")
+    return LD.read_landing(spark, target).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 @register("b16_load_history")

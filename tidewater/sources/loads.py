@@ -8,6 +8,8 @@ appended after the data.  ``force=True`` ignores the history (reload).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,6 +18,7 @@ from tidewater.functions.columns import file_basename
 from tidewater.sources.readers import list_files
 
 LOG_SCHEMA = "file_name string, file_path string, row_count long, loaded_at timestamp, status string"
+LOAD_ID = "_load_id"
 
 
 def _log(spark: SparkSession, log_path: str) -> DataFrame:
@@ -37,7 +40,11 @@ def copy_into(spark: SparkSession, source: str, target: str, schema: str | Struc
     if not new:
         return 0
     data = _read_paths(spark, new, schema)
-    data.drop("_file").write.mode("append").parquet(target)
+    # the load id is a function of the file set, so a rerun after a crash between
+    # the data write and the log write replaces the same partition (no duplicates)
+    load_id = hashlib.sha1("\n".join(sorted(new)).encode()).hexdigest()[:16]
+    (data.drop("_file").withColumn(LOAD_ID, F.lit(load_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(LOAD_ID).parquet(target))
     counts = (data.groupBy("_file").agg(F.count(F.lit(1)).alias("row_count"))
               .select(file_basename("_file").alias("file_name"), F.col("_file").alias("file_path"), "row_count",
                       F.lit(loaded_at).cast("timestamp").alias("loaded_at"), F.lit("LOADED").alias("status")))
@@ -45,6 +52,11 @@ def copy_into(spark: SparkSession, source: str, target: str, schema: str | Struc
     return len(new)
 
 
+def read_landing(spark: SparkSession, target: str) -> DataFrame:
+    """The landed table without its load-id partition column."""
+    return spark.read.parquet(target).drop(LOAD_ID)
+
+
 def _read_paths(spark: SparkSession, paths: list[str], schema: str | StructType) -> DataFrame:
     """A2 over an explicit file list, keeping each row's file path in ``_file``."""
     from tidewater.sources.readers import _first_lines
