@@ -88,7 +88,7 @@ def test_register_table_and_catalog_path(spark, tmp):
 def test_to_messages_keeps_key_order(spark):
     df = spark.createDataFrame([(1, 3), (1, 1), (2, 2), (1, 2)], "k int, t int")
     msgs = W.to_messages(df, "k", partitions=2, order=["t"]).collect()
-    ts = [int(F.__name__ and m.value.split('"t":')[1].rstrip("}")) for m in msgs if m.key == "1"]
+    ts = [int(m.value.split('"t":')[1].rstrip("}")) for m in msgs if m.key == "1"]
     assert ts == sorted(ts)
 
 
