@@ -229,7 +229,7 @@ def b3_write_dataset(spark, sf):
     return spark.table(name).groupBy("p_size").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("b4_one_file_per_partition", "SELECT l_returnflag, 1 AS n_files FROM lineitem GROUP BY 1")
+@register("b4_one_file_per_partition", "SELECT l_returnflag, CAST(1 AS BIGINT) AS n_files FROM lineitem GROUP BY 1")
 def b4_one_file_per_partition(spark, sf):
     out = scratch_dir(spark, "b4")
     W.write_one_file_per_partition(T(spark, sf).lineitem, out, ["l_returnflag"])
@@ -331,8 +331,9 @@ def b17_write_json(spark, sf):
     return spark.read.schema("n_nationkey int, n_name string, n_regionkey int").json(out)
 
 
-@register("b18_delivery_report", """SELECT count(DISTINCT CAST(ts AS DATE)) AS files, count(*) + count_if(event_type = 'error')
-       AS records, count(*) AS sent, count_if(event_type = 'error') AS skipped, 0 AS failed FROM events""")
+@register("b18_delivery_report", """SELECT count(DISTINCT CAST(ts AS DATE)) AS files,
+       CAST(count(*) + count_if(event_type = 'error') AS BIGINT) AS records, count(*) AS sent,
+       CAST(count_if(event_type = 'error') AS BIGINT) AS skipped, 0 AS failed FROM events""")
 def b18_delivery_report(spark, sf):
     e = T(spark, sf).events
     out = scratch_dir(spark, "b18")

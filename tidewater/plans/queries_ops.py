@@ -245,8 +245,8 @@ def i13_parse_fields(spark, sf):
                     *C.parse_fields("props", r'"z":\s*(\d+)', ["z"]))
 
 
-@register("i14_row_to_json", """SELECT event_id, to_json(struct_pack(event_id := event_id, event_type := event_type,
-       user_id := user_id)) AS message FROM events""")
+@register("i14_row_to_json", """SELECT event_id, CAST(to_json(struct_pack(event_id := event_id, event_type := event_type,
+       user_id := user_id)) AS VARCHAR) AS message FROM events""")
 def i14_row_to_json(spark, sf):
     e = T(spark, sf).events
     return e.select("event_id", C.row_to_json("event_id", "event_type", "user_id").alias("message"))
@@ -304,8 +304,8 @@ def i21_time_bin(spark, sf):
 
 
 @register("a19_decode_payload", """SELECT event_id,
-       CASE WHEN event_type = 'error' THEN to_json(struct_pack(raw := 'not json ' || CAST(event_id AS VARCHAR)))
-            ELSE props END AS payload FROM events""")
+       CASE WHEN event_type = 'error' THEN CAST(to_json(struct_pack(raw := 'not json ' || CAST(event_id AS VARCHAR)))
+            AS VARCHAR) ELSE props END AS payload FROM events""")
 def a19_decode_payload(spark, sf):
     e = T(spark, sf).events
     text = F.when(F.col("event_type") == "error", F.concat(F.lit("not json "), F.col("event_id").cast("string"))) \
@@ -620,33 +620,36 @@ ORDERS_SPEC = {"critical": ["o_orderkey", "o_custkey", "o_totalprice", "o_orderd
 def _checks_sql(table, critical, present, range_col=None, max_value=None, ts_col=None, min_rows=10,
                 max_null=5.0):
     rows = [f"""SELECT 'row_count' AS "check", '{table}' AS table_name, CAST(NULL AS VARCHAR) AS column_name,
-       CAST(count(*) AS DOUBLE) AS value, {float(min_rows)} AS threshold, count(*) >= {min_rows} AS passed,
+       CAST(count(*) AS DOUBLE) AS value, CAST({float(min_rows)} AS DOUBLE) AS threshold, count(*) >= {min_rows} AS passed,
        printf('Row count: %d (min: %d)', count(*), {min_rows}) AS message FROM {table}"""]
     for c in critical:
         if c in present:
             pct = (f"(CASE WHEN count(*) > 0 THEN count_if({c} IS NULL) * 100.0 / count(*) ELSE 0.0 END)")
-            rows.append(f"""SELECT 'null_pct', '{table}', '{c}', round({pct}, 2), {max_null}, {pct} <= {max_null},
+            rows.append(f"""SELECT 'null_pct', '{table}', '{c}', CAST(round({pct}, 2) AS DOUBLE), CAST({max_null} AS DOUBLE),
+       {pct} <= {max_null},
        printf('{c} null%%: %.2f%% (max: %.1f%%)', {pct}, {max_null}) FROM {table}""")
         else:
-            rows.append(f"""SELECT 'null_pct', '{table}', '{c}', NULL, {max_null}, false,
+            rows.append(f"""SELECT 'null_pct', '{table}', '{c}', NULL, CAST({max_null} AS DOUBLE), false,
        'Column ''{c}'' missing from table'""")
     missing = sorted(c for c in critical if c not in present)
     msg = f"Missing columns: {', '.join(missing)}" if missing else "All expected columns present"
-    rows.append(f"SELECT 'schema', '{table}', NULL, {float(len(missing))}, 0.0, {str(not missing).lower()}, '{msg}'")
+    rows.append(f"SELECT 'schema', '{table}', NULL, CAST({float(len(missing))} AS DOUBLE), CAST(0.0 AS DOUBLE), "
+                f"{str(not missing).lower()}, '{msg}'")
     if range_col:
         neg, ext = f"count_if({range_col} < 0)", f"count_if({range_col} > {max_value})"
-        rows.append(f"""SELECT 'value_range', '{table}', '{range_col}', CAST({neg} + {ext} AS DOUBLE), {max_value},
+        rows.append(f"""SELECT 'value_range', '{table}', '{range_col}', CAST({neg} + {ext} AS DOUBLE),
+       CAST({max_value} AS DOUBLE),
        {neg} + {ext} = 0, printf('{range_col}: %d negative, %d extreme (>%d)', {neg}, {ext}, {int(max_value)})
        FROM {table}""")
     if ts_col:
         latest = f"max({ts_col})"
         cutoff = f"(TIMESTAMP '{ASOF}' - INTERVAL 48 HOUR)"
         rows.append(f"""SELECT 'freshness', '{table}', '{ts_col}',
-       CAST(floor((epoch_us({cutoff}) - epoch_us({latest})) / 3600000000) AS DOUBLE), 48.0,
+       CAST(floor((epoch_us({cutoff}) - epoch_us({latest})) / 3600000000) AS DOUBLE), CAST(48.0 AS DOUBLE),
        coalesce({latest} >= {cutoff}, true),
        'Latest: ' || CAST({latest} AS VARCHAR) || ', Cutoff: ' || CAST({cutoff} AS VARCHAR) FROM {table}""")
     else:
-        rows.append(f"""SELECT 'freshness', '{table}', NULL, NULL, 48.0, true,
+        rows.append(f"""SELECT 'freshness', '{table}', NULL, NULL, CAST(48.0 AS DOUBLE), true,
        'No timestamp column - skipping (backfill data)'""")
     return "\nUNION ALL ".join(rows)
 
@@ -699,7 +702,7 @@ def l7_read_failure(spark, sf):
 
 
 @register("l8_sample_bound", """SELECT 'row_count' AS "check", 'orders' AS table_name, CAST(NULL AS VARCHAR) AS column_name,
-       CAST(count(*) AS DOUBLE) AS value, 10.0 AS threshold, count(*) >= 10 AS passed,
+       CAST(count(*) AS DOUBLE) AS value, CAST(10.0 AS DOUBLE) AS threshold, count(*) >= 10 AS passed,
        printf('Row count: %d (min: %d)', count(*), 10) AS message FROM orders""")
 def l8_sample_bound(spark, sf):
     """The optional sample bound defaults to the whole table (no limit)."""

@@ -145,7 +145,7 @@ def j6_continuous_global_avg(spark, sf):
 @register("j7_window_monitors", f"""SELECT window_end, record_count, above_threshold, round(avg_value, 4) AS avg_value,
        min_value, max_value, stations, round(flag_share, 4) AS flag_share FROM (
   SELECT time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(*) AS record_count,
-         count_if(value > 25) AS above_threshold, avg(value) AS avg_value, min(value) AS min_value,
+         CAST(count_if(value > 25) AS BIGINT) AS above_threshold, avg(value) AS avg_value, min(value) AS min_value,
          max(value) AS max_value, count(DISTINCT user_id) AS stations,
          avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END) AS flag_share
   FROM events GROUP BY 1) WHERE window_end <= {WM}""")

@@ -118,7 +118,7 @@ def window_monitors(df: DataFrame, ts: str, width: str, value: str, station: str
     the share of a boolean flag.  ``exact_distinct`` counts the set of stations
     per window (streams reject ``count(DISTINCT)``); otherwise HyperLogLog."""
     # exact distinct in a stream: the size of the per-window set (bounded by the station count)
-    distinct = F.size(F.collect_set(station)) if exact_distinct else F.approx_count_distinct(station)
+    distinct = F.size(F.collect_set(station)).cast("long") if exact_distinct else F.approx_count_distinct(station)
     src = df.withWatermark(ts, lateness) if df.isStreaming else df
     return (src.groupBy(F.window(ts, width))
             .agg(F.count(F.lit(1)).alias("record_count"),
