@@ -55,6 +55,7 @@ def trips(t: Tables) -> DataFrame:
                       F.col("n_name").alias("dropoff_location"))
     li = t.lineitem.select("l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
     od = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    # pick / drop are the 25-row nation table: broadcast is bounded by definition
     cu = t.customer.select("c_custkey", "c_nationkey").join(F.broadcast(pick), "c_nationkey")
     su = t.supplier.select("s_suppkey", "s_nationkey").join(F.broadcast(drop), "s_nationkey")
     j = (li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -84,7 +85,7 @@ def videos(t: Tables) -> DataFrame:
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
                            "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
     od = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    cu = t.customer.select("c_custkey", "c_nationkey").join(F.broadcast(geo), "c_nationkey")
+    cu = t.customer.select("c_custkey", "c_nationkey").join(F.broadcast(geo), "c_nationkey")  # 25 rows
     pa = t.part.select("p_partkey", "p_name", "p_brand")
     j = (li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
          .join(cu, F.col("o_custkey") == F.col("c_custkey"))
