@@ -103,7 +103,7 @@ def main(argv):
     pats = [a for a in argv[1:] if not a.startswith("/")]
     import __spark_entry__ as E
     from tidewater.session import get_spark
-    spark = get_spark(master="local[8]", shuffle_partitions=8)
+    spark = get_spark(master="local[8]", shuffle_partitions=int(os.environ.get("ORACLE_SHUFFLE_PARTITIONS", "8")))
     con = duck(sf_dir)
     qs, orc = E.queries(), E.oracle_sql()
     bad = 0
