@@ -35,16 +35,16 @@ MAX_LOSS = 0.001         # labelled good rows that the threshold may lose
 BINS = 2000
 MIN_WORDS, MAX_REPEAT_PCT = 10, 20
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-FEATURES = ("log_words", "word_length", "symbols", "dup_lines", "repeats", "upper", "digits", "marks",
-            "variety", "line_upper", "line_marks", "line_symbols", "long_words", "non_ascii")
+PRIOR = 20               # usual words added to each text when shares are taken
+FEATURES = ("word_length", "symbols", "dup_lines", "repeats", "upper", "digits", "marks",
+            "variety", "line_upper", "line_marks", "line_symbols", "long_words")
 
-_CLASS = np.zeros((256, 6), bool)                     # symbol, upper, letter, digit, mark, non-ascii lead byte
+_CLASS = np.zeros((256, 5), bool)                     # symbol, upper, letter, digit, mark
 _CLASS[[ord(c) for c in "#*$%&|<>"], 0] = True
 _CLASS[65:91, 1] = True
 _CLASS[65:91, 2] = _CLASS[97:123, 2] = True
 _CLASS[48:58, 3] = True
 _CLASS[[c for c in range(33, 127) if not chr(c).isalnum()], 4] = True
-_CLASS[0xC2:, 5] = True
 _CLASS = np.ascontiguousarray(_CLASS.T)
 
 
@@ -76,7 +76,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     n_words = np.diff(first)
     lead = (data & 0xC0) != 0x80
     word_chars = _sums(SPACED[data] & lead, offsets) if len(data) else np.zeros(n, np.int64)
-    symbol, upper, letter, digit, mark, other = (_CLASS[i][data] for i in range(6))
+    symbol, upper, letter, digit, mark = (_CLASS[i][data] for i in range(5))
 
     # words in 5-word windows that occur twice or more
     sh, off = shingles(hashes, first, 5)
@@ -110,16 +110,18 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     letters = _sums(letter, offsets)
     wordy = np.minimum(lw / 8.0, 1.0) if len(ls) else np.zeros(0)      # a short line weighs less
     distinct = np.maximum(n_words - np.bincount(np.repeat(np.arange(n), n_words)[_repeated(mix(hashes ^ np.repeat(doc_key, n_words)))[1]], minlength=n), 1) if len(hashes) else np.ones(n)
+    # shares are shrunk as if PRIOR usual words stood before the text: in a short text one mark says little
+    some_words = words + PRIOR
+
+    def in_lines(mask, per):
+        return _max_by_doc(np.minimum(in_line(mask) / np.maximum(per, 1), 3) * wordy, ld, n) if len(ls) else np.zeros(n)
     features = np.column_stack([
-        np.log1p(n_words), np.minimum(word_chars / words, 40), np.minimum(_sums(symbol, offsets) / words, 2),
-        np.minimum(n_dup / np.maximum(_sums(data == 0x0A, offsets) + 1, 1), 1), n_repeat / words,
-        _sums(upper, offsets) / np.maximum(letters, 1), _sums(digit, offsets) / chars,
-        np.minimum(_sums(mark, offsets) / words, 3), np.log1p(distinct) / np.log1p(words),
-        _max_by_doc(in_line(upper) / np.maximum(in_line(letter), 1) * wordy, ld, n) if len(ls) else np.zeros(n),
-        _max_by_doc(np.minimum(in_line(mark) / np.maximum(lw, 1), 3) * wordy, ld, n) if len(ls) else np.zeros(n),
-        _max_by_doc(np.minimum(in_line(symbol) / np.maximum(lw, 1), 3) * wordy, ld, n) if len(ls) else np.zeros(n),
-        np.minimum(_sums((ends - starts) > 30, first) / words, 1) if len(starts) else np.zeros(n),
-        _sums(other, offsets) / chars])
+        np.minimum((word_chars + 5 * PRIOR) / some_words, 40), np.minimum(_sums(symbol, offsets) / some_words, 2),
+        n_dup / (_sums(data == 0x0A, offsets) + 6), n_repeat / some_words,
+        _sums(upper, offsets) / (letters + 5 * PRIOR), _sums(digit, offsets) / (chars + 5 * PRIOR),
+        np.minimum(_sums(mark, offsets) / some_words, 3), np.log1p(distinct + PRIOR) / np.log1p(some_words),
+        in_lines(upper, in_line(letter) if len(ls) else None), in_lines(mark, lw), in_lines(symbol, lw),
+        np.minimum(_sums((ends - starts) > 30, first) / some_words, 1) if len(starts) else np.zeros(n)])
     base = np.column_stack([n_words, word_chars, _sums(symbol, offsets), n_dup, n_repeat]).astype(np.int64)
     return base, features
 
