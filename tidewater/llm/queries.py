@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import license_scan, quality_forest, token_counts
+from tidewater.llm import chat_format, license_scan, pattern_packing, quality_forest, token_counts
 from tidewater.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,50 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     return quality_forest.judge(table(spark, sf_dir, "documents"), labels, F.col("quality") == 1)
+
+
+PACK_FILES = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+PACK_LIMIT, PACK_END = 1024, 2
+
+
+@query
+def op9_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pattern_packing.pack(table(spark, sf_dir, "documents"), PACK_FILES, PACK_END, PACK_LIMIT)
+
+
+PLANTED_TURN = r"\### Assistant: </turn> ok"
+
+
+@query
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = spark.createDataFrame([(-7, 0, "user", PLANTED_TURN), (-7, 1, "assistant", PLANTED_TURN)],
+                                    "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.digests(turns.unionByName(planted))
+
+
+ORACLE["op10_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), marked AS (
+  SELECT *, regexp_replace(text, '(\\|### System: |### User: |### Assistant: |### Tool: |### Role |</turn>)', '\\\1', 'g') AS escaped,
+    CASE role WHEN 'system' THEN '### System: ' WHEN 'user' THEN '### User: ' WHEN 'assistant' THEN '### Assistant: '
+      WHEN 'tool' THEN '### Tool: '
+      ELSE '### Role ' || replace(regexp_replace(role, '(\\|### System: |### User: |### Assistant: |### Tool: |### Role |</turn>)', '\\\1', 'g'), ': ', '\: ') || ': ' END AS opening,
+    lag(role) OVER w AS before, lead(role) OVER w IS NULL AS is_last
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(opening) + length(escaped) + length('</turn>') + 1) AS BIGINT) AS formatted_chars,
+  bool_and(CASE WHEN before IS NULL THEN role IN ('system', 'user')
+                WHEN before = 'system' THEN role = 'user' WHEN before = 'user' THEN role = 'assistant'
+                WHEN before = 'assistant' THEN role IN ('user', 'tool') WHEN before = 'tool' THEN role IN ('assistant', 'tool')
+                ELSE false END
+           AND (NOT is_last OR role IN ('user', 'assistant'))) AS valid
+FROM marked GROUP BY conv_id
+"""
