@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -41,9 +42,35 @@ def get_spark(app: str = "tidewater", master: str | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the executors, once for each application.
+
+    Functions passed to Spark are pickled by reference, so workers must be able to
+    import the package wherever the driver was started.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(root):     # else the package itself runs from a shipped archive
+        path = os.path.join(tempfile.mkdtemp(prefix="tidewater-"), "tidewater.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in os.walk(root):
+                for n in sorted(names):
+                    if n.endswith(".py"):
+                        full = os.path.join(folder, n)
+                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only when unset."""
     sc = spark.sparkContext
@@ -52,6 +79,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return base
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir() or base
@@ -60,13 +89,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh (not yet existing) folder under the shared checkpoint location for one run of ``name``."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    parent = os.path.join(base, "tidewater-scratch")
-    if "://" not in parent:
-        os.makedirs(parent, exist_ok=True)
-    # the leaf does not exist yet, so writers in their default mode accept it
-    return os.path.join(parent, f"{name}-{uuid.uuid4().hex[:12]}")
+    if base.startswith("file:"):      # plain paths also serve Python readers on the driver
+        base = "/" + base[len("file:"):].lstrip("/")
+    # the leaf does not exist yet, so writers in their default mode accept it; Spark makes the parents
+    return f"{base.rstrip('/')}/tidewater-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df, name: str):
