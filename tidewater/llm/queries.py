@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat_format, license_scan, pattern_packing, quality_forest, token_counts
+from tidewater.llm import chat_format, collision_ann, license_scan, pattern_packing, quality_forest, token_counts
 from tidewater.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,11 @@ SELECT conv_id, count(*) AS n_turns,
            AND (NOT is_last OR role IN ('user', 'assistant'))) AS valid
 FROM marked GROUP BY conv_id
 """
+
+
+NEIGHBOURS = 20
+
+
+@query
+def op8_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_ann.search(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, NEIGHBOURS)
