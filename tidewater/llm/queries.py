@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat_format, collision_ann, license_scan, pattern_packing, quality_forest, token_counts
+from tidewater.llm import chat_format, collision_ann, license_scan, near_dedup, pattern_packing, quality_forest, token_counts
 from tidewater.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,8 @@ NEIGHBOURS = 20
 @query
 def op8_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collision_ann.search(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, NEIGHBOURS)
+
+
+@query
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(table(spark, sf_dir, "documents"), k=3, percent=85)
