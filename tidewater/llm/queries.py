@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat_format, collision_ann, license_scan, near_dedup, pattern_packing, quality_forest, token_counts
+from tidewater.llm import chat_format, collision_ann, license_scan, near_dedup, pattern_packing, quality_forest, suffix_tree, token_counts
 from tidewater.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,9 @@ def op8_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+@query
+def op6_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    return suffix_tree.score(table(spark, sf_dir, "documents"), held_out)

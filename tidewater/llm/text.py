@@ -54,12 +54,13 @@ def buffers(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def chunks(data: np.ndarray, offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Split a batch into runs of whole documents of about ``limit`` bytes: (first document, bytes, offsets)."""
+def chunks(data: np.ndarray, offsets: np.ndarray, limit: int = 1 << 20, docs: int = 1 << 16) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Split a batch into runs of whole documents of about ``limit`` bytes and at most ``docs`` documents:
+    (first document, bytes, offsets)."""
     n, i = len(offsets) - 1, 0
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1
-        j = min(max(j, i + 1), n)
+        j = min(max(j, i + 1), n, i + docs)
         yield i, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
         i = j
 
@@ -134,3 +135,17 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarr
     starts, ends, first = spans(low, offsets, SPACED)
     sh, off = shingles(word_hashes(low, starts, ends), first, k)
     return [np.unique(sh[off[i]:off[i + 1]]) for i in range(len(off) - 1)]
+
+
+def gathered(batches: Iterator[pa.RecordBatch], text_at: int, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Join short batches until their texts hold about ``limit`` bytes: fewer, larger vector operations."""
+    run, size = [], 0
+    for b in batches:
+        if b.num_rows:
+            run.append(b)
+            size += b.column(text_at).nbytes
+        if size >= limit:
+            yield pa.Table.from_batches(run).combine_chunks().to_batches()[0]
+            run, size = [], 0
+    if run:
+        yield pa.Table.from_batches(run).combine_chunks().to_batches()[0]
