@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat_format, collision_ann, license_scan, near_dedup, pattern_packing, quality_forest, suffix_tree, token_counts
+from tidewater.llm import chat_format, collision_ann, language_id, license_scan, near_dedup, pattern_packing, piece_viterbi, quality_forest, suffix_tree, token_counts
 from tidewater.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,17 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
     return suffix_tree.score(table(spark, sf_dir, "documents"), held_out)
+
+
+@query
+def op4_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The public model holds merge ranks, so its pieces are scored by rank."""
+    return piece_viterbi.check(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_TOKENIZER), "zipf")
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, with text models trained on all documents."""
+    model = language_id.train(table(spark, sf_dir, "documents"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "html", "url")
+    return language_id.identify(pages, language_id.read_pages, model).withColumnRenamed("id", "page_id")
