@@ -3,7 +3,8 @@
 Each hash is a single projection.  A block of vectors keeps, for each
 projection, its values sorted.  A query opens a window around its own value on
 every projection; a vector inside the window collides there.  Virtual rehashing
-widens all windows step by step, and only the newly covered ends are counted.
+widens all windows step by step; a vector's places in the sorted arrays, held
+against the windows, give its collision count.
 Once enough vectors have collided on at least ``SHARE`` of the projections, all
 of these are verified with their exact inner product.
 
@@ -33,11 +34,11 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import col
 from tidewater.session import materialize
 
-BLOCK, QUERY_BLOCK = 8192, 1024
+BLOCK, QUERY_BLOCK = 16384, 1024
 PROJECTIONS = 64         # at least; whole orthonormal bases are drawn
 SHARE = 0.75             # of the projections that a vector must collide on
-ENOUGH, LEAST = 0.10, 400   # candidates wanted: this share of the block's vectors, and this many at least
-RADII = (0.3, 0.6, 0.9, 1.2, 1.5, 1.8, 2.2, 2.7, 3.3, 4.0, 6.0, 10.0)   # half windows, in typical projected lengths
+ENOUGH, LEAST = 0.08, 400   # candidates wanted: this share of the block's vectors, and this many at least
+RADII = (0.2, 0.4, 0.6, 0.9, 1.2, 1.5, 1.8, 2.2, 2.7, 3.3, 4.0, 6.0, 10.0)   # half windows, in typical projected lengths
 SCHEMA = "query_id long, vec_id long, score double"
 
 
@@ -54,50 +55,52 @@ class Block:
         self.directions = projections(x.shape[1] + 1)
         lift = np.sqrt(np.maximum(largest ** 2 - np.einsum("ij,ij->i", x, x), 0.0))
         values = np.column_stack([x, lift]) @ self.directions
-        self.order = np.ascontiguousarray(np.argsort(values, axis=0, kind="stable").T.astype(np.int32))
+        order = np.argsort(values, axis=0, kind="stable").T
         self.sorted = np.ascontiguousarray(np.sort(values, axis=0).T)
+        kind = np.uint16 if len(ids) < 1 << 16 else np.uint32
+        self.place = np.empty(order.shape, kind)
+        np.put_along_axis(self.place, order, np.arange(len(ids), dtype=kind)[None, :], axis=1)
+        self.shifted, self.inside = np.empty_like(self.place), np.empty(order.shape, bool)
+        self.counter = np.uint8 if len(order) < 256 else np.uint16
         self.unit = largest / np.sqrt(x.shape[1] + 1)
 
-    def windows(self, queries: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each radius the window bounds, one row for each query and a column for each projection."""
-        norms = np.linalg.norm(queries, axis=1, keepdims=True)
-        at = np.column_stack([queries / norms * self.largest, np.zeros(len(queries))]) @ self.directions
-        out = []
-        for r in RADII:
-            lo = np.column_stack([np.searchsorted(s, at[:, j] - r * self.unit, "left") for j, s in enumerate(self.sorted)])
-            hi = np.column_stack([np.searchsorted(s, at[:, j] + r * self.unit, "right") for j, s in enumerate(self.sorted)])
-            out.append((lo, hi))
-        return out
-
-    def candidates(self, bounds: list[tuple[list[int], list[int]]]) -> np.ndarray:
-        """Vectors that collide often enough, at the first radius with enough of them."""
-        n, m = len(self.ids), len(self.order)
+    def bounds(self, at: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+        """Windows of a radius around projected queries: one row for each query and a column for each projection."""
+        r = radius * self.unit
+        lo = np.column_stack([np.searchsorted(s, at[:, j] - r, "left") for j, s in enumerate(self.sorted)])
+        hi = np.column_stack([np.searchsorted(s, at[:, j] + r, "right") for j, s in enumerate(self.sorted)])
+        return lo.astype(self.place.dtype), hi.astype(self.place.dtype)
+
+    def candidates(self, window, start: int) -> tuple[np.ndarray, int]:
+        """Vectors that collide often enough, at the first radius (from ``start`` on) with enough of them.
+
+        A vector collides on a projection if its place in the sorted array lies in the window.
+        """
+        n, m = len(self.ids), len(self.place)
         need, share = min(n, max(LEAST, int(ENOUGH * n))), int(np.ceil(SHARE * m))
-        count = np.zeros(n, np.int32)
-        before = None
-        for lo, hi in bounds:
-            if before is None:
-                for j in range(m):
-                    count[self.order[j, lo[j]:hi[j]]] += 1
-            else:
-                for j in range(m):
-                    own = self.order[j]
-                    if lo[j] < before[0][j]:
-                        count[own[lo[j]:before[0][j]]] += 1
-                    if before[1][j] < hi[j]:
-                        count[own[before[1][j]:hi[j]]] += 1
-            before = lo, hi
-            found = np.flatnonzero(count >= share)
+        for r in range(start, len(RADII)):
+            lo, hi = window(r)
+            np.subtract(self.place, lo[:, None], out=self.shifted)      # unsigned: places before the window wrap around
+            np.less(self.shifted, (hi - lo)[:, None], out=self.inside)
+            found = np.flatnonzero(np.add.reduce(self.inside.view(np.uint8), axis=0, dtype=self.counter) >= share)
             if len(found) >= need:
-                return found
-        return np.arange(n)     # windows that hold too few even at the largest radius: all are verified
+                return found, r
+        return np.arange(n), r              # too few even at the largest radius: all are verified
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query id, vector id, score) of the ``k`` best verified vectors of each query."""
         q_out, v_out, s_out = [], [], []
-        windows = self.windows(queries)
+        norms = np.linalg.norm(queries, axis=1, keepdims=True)
+        at = np.column_stack([queries / norms * self.largest, np.zeros(len(queries))]) @ self.directions
+        made: dict[int, tuple] = {}
+        usual = 0.0             # where searches of this block ended so far, as a running mean
         for i, (own, q) in enumerate(zip(query_ids, queries)):
-            c = self.candidates([(lo[i].tolist(), hi[i].tolist()) for lo, hi in windows])
+            def window(r, i=i):
+                if r not in made:
+                    made[r] = self.bounds(at, RADII[r])
+                return made[r][0][i], made[r][1][i]
+            c, r = self.candidates(window, int(max(usual - 0.5, 0)))
+            usual = r if not i else 0.9 * usual + 0.1 * r
             c = c[self.ids[c] != own]
             score = np.einsum("ij,j->i", self.x[c], q)
             if len(c) > 4 * k:          # all that tie with the k-th stay in
