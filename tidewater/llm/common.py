@@ -23,6 +23,16 @@ def col(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def plain_names(df: DataFrame) -> DataFrame:
+    """The columns of ``df`` by number (c0, c1, ...): names may hold dots or differ in nothing that Spark sees."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def with_schema_of(df: DataFrame, like: DataFrame) -> DataFrame:
+    """``df`` under the column names of ``like``."""
+    return df.toDF(*like.columns)
+
+
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id`` (long) and ``text`` (null as empty); every other column is left out,
     so extra columns of any name cannot clash."""
@@ -57,4 +67,5 @@ def keep_rows(df: DataFrame, text_col: str, verdict: Callable[[pa.Array], object
             if b.num_rows:
                 yield b.filter(pa.array(verdict(b.column(at)), pa.bool_()))
     short_batches(df.sparkSession)
-    return df.mapInArrow(run, df.schema)
+    rows = plain_names(df)
+    return with_schema_of(rows.mapInArrow(run, rows.schema), df)

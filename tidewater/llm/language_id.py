@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import col, map_batches, short_batches
+from tidewater.llm.common import col, map_batches, plain_names, short_batches, with_schema_of
 from tidewater.llm.text import buffers, chunks
 from tidewater.session import materialize
 
@@ -158,6 +158,7 @@ def _codes(values: list, languages: list[str]) -> np.ndarray:
 
 def evidence_table(rows: DataFrame, read: Reader, model: TextModel) -> DataFrame:
     """id, text evidence, text verdict, codes of the declared language and the path, host, domain, suffix."""
+    rows = plain_names(rows)
     def run(b: pa.RecordBatch) -> pa.Table:
         texts, declared, parts = read(b)
         e = model.evidence(texts)
@@ -252,22 +253,22 @@ def keep(df: DataFrame, model: TextModel, text_col: str = "text", declared_col:
     host = F.coalesce(F.lower(col(host_col).cast("string")), F.lit(""))
     plain = df.select(F.lit(0).cast("long"), col(text_col).cast("string"), col(declared_col).cast("string"), host)
     tables, hosts = fuse_tables(evidence_table(plain, read_plain, model), model)
-    n, names = len(model.languages), df.columns
-    extra = next(x for x in (f"host_counts{i or ''}" for i in range(len(names) + 1)) if x.lower() not in {c.lower() for c in names})
-    hosts = hosts.select(F.col("host").alias(extra + "_host"), F.col("counts").alias(extra))
-    joined = df.join(hosts, host == F.col(extra + "_host"), "left").select(*[col(c) for c in names], col(extra))
-    at = [names.index(c) for c in (text_col, declared_col)]
+    n, rows = len(model.languages), plain_names(df)
+    width, names = len(rows.columns), df.columns
+    at = [names.index(c) for c in (text_col, declared_col, host_col)]
+    own = F.coalesce(F.lower(F.col(f"c{at[2]}").cast("string")), F.lit(""))
+    joined = rows.join(hosts, own == F.col("host"), "left").select(*rows.columns, "counts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            e = model.evidence(b.column(at[0]).cast(pa.string()))
+            e = model.evidence(b.column(at[0]))
             verdict = np.where(e.any(axis=1), np.argmax(e, axis=1), n - 1)
-            none = pa.array([[0] * (3 * n)], b.column(len(names)).type)
-            counts = _lists(b.column(len(names)).fill_null(none[0]), 3 * n).astype(float)
+            none = pa.scalar([0] * (3 * n), b.column(width).type)
+            counts = _lists(b.column(width).fill_null(none), 3 * n).astype(float)
             codes = _codes(b.column(at[1]).to_pylist(), model.languages)
             p = posterior(e, verdict, codes, np.full(len(e), n, np.int64), counts, tables)
-            yield b.select(list(range(len(names)))).filter(pa.array(_verdicts(p, model.languages, least)[2]))
+            yield b.select(list(range(width))).filter(pa.array(_verdicts(p, model.languages, least)[2]))
     short_batches(df.sparkSession)
-    return joined.mapInArrow(run, df.schema)
+    return with_schema_of(joined.mapInArrow(run, rows.schema), df)
