@@ -38,6 +38,7 @@ from tidewater.llm.common import id_and_text, map_batches, short_batches
 from tidewater.session import materialize
 
 NNLS_STEPS = 400
+SHARES = (1.0, 0.9, 0.7, 0.4, 0.0)      # of the fitted counts, tried in turn
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, place long"
 # texts of these characters are cut alike by both tokenizer libraries; others take the slower one
 _PLAIN = re.compile("[\t\n\r -~À-ɏ]*")
@@ -167,7 +168,19 @@ def fit_counts(pats: np.ndarray, hist: np.ndarray, steps: int = NNLS_STEPS) -> n
 
 
 def plan(hist: np.ndarray, limit: int) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths, repeats) that use every length exactly as often as ``hist`` says."""
+    """(lengths, repeats) that use every length exactly as often as ``hist`` says.
+
+    Where long pieces have too few short ones to go with, full patterns would use
+    these up on each other; so some shares of the fitted counts are tried, and the
+    plan with the fewest sequences is taken.
+    """
+    pats = patterns(np.flatnonzero(hist), limit)
+    x = fit_counts(pats, hist.astype(float))
+    plans = [_packed(hist, limit, pats, share * x) for share in SHARES]
+    return min(plans, key=lambda p: sum(n for _, n in p))
+
+
+def _packed(hist: np.ndarray, limit: int, pats: np.ndarray, x: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     left = hist.astype(np.int64).copy()
     out: list[tuple[tuple[int, ...], int]] = []
 
@@ -179,9 +192,6 @@ def plan(hist: np.ndarray, limit: int) -> list[tuple[tuple[int, ...], int]]:
         if n > 0:
             left[used] -= n * need[used]
             out.append((tuple(int(p) for p in pattern), n))
-        return n
-    pats = patterns(np.flatnonzero(left), limit)
-    x = fit_counts(pats, left.astype(float))
     for i in np.argsort(-x, kind="stable"):
         if x[i] < 1:
             break
