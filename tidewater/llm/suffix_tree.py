@@ -41,16 +41,18 @@ from tidewater.llm.common import id_and_text, short_batches
 from tidewater.llm.text import LOWER, SPACED, buffers, chunks, gathered, spans, word_hashes
 from tidewater.session import materialize
 
-DEPTH = 7                # longest context, in symbols (with the next one, the eight bytes of a key)
+DEPTH = 5                # longest context, in symbols (with the next one, six bytes of a key)
 LEAST_SHARE = 2e-6       # of all symbols, for a context to be a candidate
 LEAST_TIMES = 5          # and so many times in any case
 LEAST_GAIN, COST = 5.0, 0.3     # n * KL, in nats
 PULL = 5.0               # weight of the suffix's distribution in the smoothing, for each symbol seen
-HEAD = 1 << 19           # words that are broadcast, at most
+HEAD = 1 << 21           # words that are broadcast, at most
+AT_ONCE = 1 << 21        # bytes of text
+KEYS_AT_ONCE = 1 << 22   # distinct keys that a task holds before it passes them on
 BLANK, END = 0x20, 0x0A  # neither occurs in a word
-END_TOKEN = 0            # the end mark's key among the words
-GRAM, WORD, DOC = 0, 1, 2
-_EIGHT, _ALL = np.uint64(8), np.uint64(0xFFFFFFFFFFFFFFFF)
+END_TOKEN = 1            # the end mark's key among the words
+GRAM, WORD = 0, 1
+NAMES = ["key", "row", "times", "info"]
 
 
 def streams(low: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,92 +75,124 @@ def streams(low: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.n
 
 
 def grams(symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Key of each symbol with its ``DEPTH`` predecessors (the newest in the lowest byte); before a text stand end marks."""
-    n = len(symbols)
-    place = np.arange(n) - np.repeat(offsets[:-1], np.diff(offsets))
-    key = symbols.astype(np.uint64)
-    for j in range(1, DEPTH + 1):
-        before = np.full(n, END, np.uint8)
-        before[j:] = symbols[:n - j]
-        before[place < j] = END
-        key |= before.astype(np.uint64) << np.uint64(8 * j)
-    return key
+    """Key of each symbol with its ``DEPTH`` predecessors: the symbol in the highest of six bytes, then the
+    newest predecessor, and so on.  Before a text stand end marks."""
+    n = np.diff(offsets)
+    pad = DEPTH * np.arange(1, len(n) + 1)                    # marks before each text's symbols
+    at = np.arange(len(symbols)) + np.repeat(pad, n)
+    spaced = np.full(len(symbols) + DEPTH * len(n) + 8, END, np.uint8)
+    spaced[at] = symbols
+    eight = np.ndarray((len(spaced) - 7,), "<u8", spaced.data, strides=(1,))
+    return (eight[at - DEPTH] & np.uint64((1 << 8 * (DEPTH + 1)) - 1)).astype(np.int64)
 
 
-def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    u, n = np.unique(keys, return_counts=True)
-    return u.view(np.int64), n
+def word_keys(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Odd keys of the words (rows of documents get even ones)."""
+    return (word_hashes(low, starts, ends) | np.uint64(1)).view(np.int64)
+
+
+class _Counter:
+    """Key counts of one kind, merged now and then."""
+
+    def __init__(self):
+        self.parts, self.size = [], 0
+
+    def add(self, keys: np.ndarray) -> None:
+        self.parts.append(np.unique(keys, return_counts=True))
+        self.size += len(self.parts[-1][0])
+
+    def take(self, kind: int) -> pa.RecordBatch:
+        keys, n = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.argsort(keys)
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        self.parts, self.size = [], 0
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(first), kind, np.int32)), pa.array(keys[first]), pa.array(np.add.reduceat(n, first))], ["kind", "key", "n"])
 
 
 def counts(docs: DataFrame) -> DataFrame:
     """kind, key, n: counts of grams and words of all texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in gathered(batches, 0):
+        own = _Counter(), _Counter()
+        for b in gathered(batches, 0, AT_ONCE):
             data, offsets = buffers(b.column(0))
-            for _, d, o in chunks(data, offsets, 1 << 22):
+            for _, d, o in chunks(data, offsets, AT_ONCE):
                 low = LOWER[d]
                 starts, ends, first = spans(low, o, SPACED)
-                for kind, (key, n) in ((GRAM, _counted(grams(*streams(low, o, starts, ends, first)))), (WORD, _counted(word_hashes(low, starts, ends)))):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key), pa.array(n)], ["kind", "key", "n"])
-                yield pa.RecordBatch.from_arrays([pa.array([WORD], pa.int32()), pa.array([END_TOKEN], pa.int64()), pa.array([len(o) - 1], pa.int64())], ["kind", "key", "n"])
+                own[GRAM].add(grams(*streams(low, o, starts, ends, first)))
+                own[WORD].add(np.append(word_keys(low, starts, ends), np.full(len(o) - 1, END_TOKEN)))
+                for kind, c in enumerate(own):
+                    if c.size > KEYS_AT_ONCE:
+                        yield c.take(kind)
+        for kind, c in enumerate(own):
+            if c.size:
+                yield c.take(kind)
     short_batches(docs.sparkSession)
     return docs.select("text").mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def _low(key: Column, symbols: Column) -> Column:
-    return key.bitwiseAND(F.expr(f"CASE WHEN {symbols} < 8 THEN shiftleft(1L, 8 * ({symbols})) - 1 ELSE -1L END"))
-
-
 def tree_table(all_counts: DataFrame) -> DataFrame:
-    """level, key (context and next symbol), n, and n_context and symbols of the retained contexts."""
+    """level, key (symbol and context), n, and n_context and symbols of the retained contexts."""
     levels = all_counts.where(F.col("kind") == GRAM).select("key", "n", F.explode(F.sequence(F.lit(0), F.lit(DEPTH))).alias("level"))
-    levels = levels.groupBy("level", _low(F.col("key"), "level + 1").alias("key")).agg(F.sum("n").alias("n"))
-    levels = materialize(levels.withColumn("context", F.shiftrightunsigned("key", 8)), "levels")
+    levels = levels.groupBy("level", F.expr(f"shiftright(key, 8 * ({DEPTH} - level))").alias("key")).agg(F.sum("n").alias("n"))
+    levels = materialize(levels.withColumn("context", F.expr("key & (shiftleft(1L, 8 * level) - 1)")), "levels")
     totals = levels.groupBy("level", "context").agg(F.sum("n").alias("n_context"), F.count(F.lit(1)).alias("symbols"))
     all_symbols = levels.where("level = 0").agg(F.sum("n")).first()[0] or 0
     often = materialize(totals.where(F.col("n_context") >= max(LEAST_TIMES, LEAST_SHARE * all_symbols)), "contexts")
     rows = materialize(levels.join(often, ["level", "context"]), "candidates")
     above = rows.select((F.col("level") + 1).alias("level"), F.col("key").alias("suffix_key"), F.col("n").alias("n_suffix"), F.col("n_context").alias("n_suffix_context"))
     gain = F.col("n") * F.ln((F.col("n") / F.col("n_context")) / (F.col("n_suffix") / F.col("n_suffix_context")))
-    kept = rows.where("level > 0").withColumn("suffix_key", _low(F.col("key"), "level")).join(above, ["level", "suffix_key"]) \
+    kept = rows.where("level > 0").withColumn("suffix_key", F.shiftright("key", 8)).join(above, ["level", "suffix_key"]) \
         .groupBy("level", "context", "n_context", "symbols").agg(F.sum(gain).alias("gain")) \
         .where((F.col("gain") >= LEAST_GAIN) & (F.col("gain") >= COST * F.col("symbols") * F.ln("n_context")))
-    closed = kept.select("context", F.explode(F.sequence(F.lit(0), "level")).alias("level")) \
-        .select("level", _low(F.col("context"), "level").alias("context")).distinct()
-    return rows.join(closed.union(rows.where("level = 0").select("level", "context").distinct()).distinct(), ["level", "context"]).select("level", "key", "n", "n_context", "symbols")
+    closed = kept.select("context", F.col("level").alias("of"), F.explode(F.sequence(F.lit(0), "level")).alias("level")) \
+        .select("level", F.expr("shiftright(context, 8 * (of - level))").alias("context"))
+    closed = closed.union(rows.where("level = 0").select("level", "context")).distinct()
+    return rows.join(closed, ["level", "context"]).select("level", "key", "n", "n_context", "symbols")
 
 
 class Tree:
     """Retained contexts by length, as sorted arrays."""
 
     def __init__(self, table: pa.Table):
-        level, n, total, symbols = (table.column(c).to_numpy() for c in ("level", "n", "n_context", "symbols"))
-        key = table.column("key").to_numpy().view(np.uint64)
+        level, key, n, total, symbols = (table.column(c).to_numpy() for c in ("level", "key", "n", "n_context", "symbols"))
         self.levels = []
         for k in range(1, DEPTH + 1):
             own = np.flatnonzero(level == k)
             own = own[np.argsort(key[own], kind="stable")]
-            contexts, at = np.unique(key[own] >> _EIGHT, return_index=True)
+            contexts, at = np.unique(key[own] & ((1 << 8 * k) - 1), return_index=True)
             self.levels.append((contexts, total[own][at].astype(float), PULL * symbols[own][at], key[own], n[own].astype(float)))
         root = np.zeros(256)
-        root[key[level == 0].astype(np.int64)] = n[level == 0]
+        root[key[level == 0]] = n[level == 0]
         self.root = (root + 1) / (root.sum() + 256)
 
     def probabilities(self, keys: np.ndarray) -> np.ndarray:
-        """Probability of each key's last symbol after the longest retained suffix of the others."""
-        p = self.root[(keys & np.uint64(255)).astype(np.int64)]
-        live = np.arange(len(keys))
+        """Probability of each key's symbol after the longest retained suffix of its context.
+
+        ``keys`` are sorted: those of a common symbol and suffix stand together, so
+        each level looks up its own distinct ones only.
+        """
+        run = keys >> 8 * DEPTH
+        run = run[np.flatnonzero(np.append(True, run[1:] != run[:-1]))] if len(keys) else run
+        p, kept = self.root[run], np.ones(len(run), bool)
         for k, (contexts, total, pull, rows, n) in enumerate(self.levels, 1):
-            if not len(contexts) or not len(live):
-                break
-            own = keys[live] & (_ALL >> np.uint64(64 - 8 * (k + 1)))
-            at = np.minimum(np.searchsorted(contexts, own >> _EIGHT), len(contexts) - 1)
-            hit = contexts[at] == own >> _EIGHT
-            live, own, at = live[hit], own[hit], at[hit]
-            row = np.minimum(np.searchsorted(rows, own), len(rows) - 1)
-            seen = np.where(rows[row] == own, n[row], 0.0)
+            own = keys >> 8 * (DEPTH - k)
+            own = own[np.flatnonzero(np.append(True, own[1:] != own[:-1]))] if len(keys) else own
+            above = np.searchsorted(run, own >> 8)
+            p, kept, run = p[above], kept[above], own
+            if not len(contexts):
+                kept[:] = False
+                continue
+            live = np.flatnonzero(kept)
+            context = own[live] & ((1 << 8 * k) - 1)
+            at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
+            hit = contexts[at] == context
+            kept[live[~hit]] = False
+            live, at = live[hit], at[hit]
+            row = np.minimum(np.searchsorted(rows, own[live]), len(rows) - 1)
+            seen = np.where(rows[row] == own[live], n[row], 0.0)
             p[live] = (seen + pull[at] * p[live]) / (total[at] + pull[at])
-        return p
+        return p[np.searchsorted(run, keys)]
 
 
 def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -173,53 +207,47 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
     head = words.where(F.col("n") >= least).select("key", "n").toArrow()
     order = np.argsort(head.column("key").to_numpy())
     model = spark.sparkContext.broadcast((Tree(tree_table(gathered_counts).toArrow()), head.column("key").to_numpy()[order], head.column("n").to_numpy()[order]))
-    schema = "kind int, key long, row long, times long, known long, log_sum double, doc_id long, held_out boolean, n_tokens long, score double"
+    schema = ("key long, row long, times long, info struct<doc_id: long, held_out: boolean, n_tokens: long, "
+              "known: long, log_sum: double, score: double>")
+    about = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("log_sum", pa.float64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, keys, times = model.value
         row = TaskContext.get().partitionId() << 40
-        for b in gathered(batches, 1):
+        for b in gathered(batches, 1, AT_ONCE):
             data, offsets = buffers(b.column(1))
-            for at, d, o in chunks(data, offsets, 1 << 22):
+            for at, d, o in chunks(data, offsets, AT_ONCE):
                 low, n = LOWER[d], len(o) - 1
                 starts, ends, first = spans(low, o, SPACED)
-                # the tree's score: sort the grams, look each distinct one up once
+                # the tree's score: sort (gram, text), look each distinct gram up once
                 symbols, so = streams(low, o, starts, ends, first)
-                gram = grams(symbols, so)
-                order = np.argsort(gram)
-                gram, owner = gram[order], np.repeat(np.arange(n), np.diff(so))[order]
+                pairs = np.sort(grams(symbols, so).view(np.uint64) << np.uint64(16) | np.repeat(np.arange(n, dtype=np.uint64), np.diff(so)))
+                gram = (pairs >> np.uint64(16)).view(np.int64)
                 new = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
                 logs = np.log10(tree.probabilities(gram[new]))
-                tree_score = np.bincount(owner, np.repeat(logs, np.diff(np.append(new, len(gram)))), n)
+                tree_score = np.bincount((pairs & np.uint64(0xFFFF)).view(np.int64), np.repeat(logs, np.diff(np.append(new, len(gram)))), n)
                 # unigrams: the head here, the rest by a join
                 doc = np.append(np.repeat(np.arange(n), np.diff(first)), np.arange(n))
-                word = np.append(word_hashes(low, starts, ends), np.zeros(n, np.uint64)).view(np.int64)
+                word, same = np.unique(np.append(word_keys(low, starts, ends), np.full(n, END_TOKEN)), return_inverse=True)
                 place = np.minimum(np.searchsorted(keys, word), max(len(keys) - 1, 0))
                 found = keys[place] == word if len(keys) else np.zeros(len(word), bool)
-                log_sum = np.bincount(doc[found], np.log10(times[place[found]] + 1.0), n)
-                known = np.bincount(doc[found], minlength=n)
-                rest = ~found
-                order = np.lexsort((word[rest], doc[rest]))
-                w, who = word[rest][order], doc[rest][order]
-                cut = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (who[1:] != who[:-1]))) if len(w) else np.zeros(0, np.int64)
-                m = len(cut)
-                none = pa.nulls(m, pa.int64())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(m, WORD, np.int32)), pa.array(w[cut]), pa.array(row + who[cut]), pa.array(np.diff(np.append(cut, len(w))), pa.int64()),
-                    none, pa.nulls(m, pa.float64()), none, pa.nulls(m, pa.bool_()), none, pa.nulls(m, pa.float64())], schema_names)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(n, DOC, np.int32)), pa.array(row + np.arange(n)), pa.array(row + np.arange(n)), pa.array(np.zeros(n, np.int64)),
-                    pa.array(known, pa.int64()), pa.array(log_sum), b.column(0).slice(at, n), b.column(2).slice(at, n), pa.array(np.diff(first) + 1, pa.int64()), pa.array(tree_score)], schema_names)
-                row += n
-    schema_names = [c.split()[0] for c in schema.split(", ")]
+                value = np.zeros(len(word))
+                value[found] = np.log10(times[place[found]] + 1.0)
+                log_sum, known = np.bincount(doc, value[same], n), np.bincount(doc, found[same], n).astype(np.int64)
+                rest = ~found[same]
+                pair, many = np.unique(doc[rest] * len(word) + same[rest], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(word[pair % len(word)]), pa.array(row + 2 * (pair // len(word))), pa.array(many, pa.int64()), pa.nulls(len(pair), about)], NAMES)
+                info = pa.StructArray.from_arrays([b.column(0).slice(at, n), b.column(2).slice(at, n), pa.array(np.diff(first) + 1, pa.int64()), pa.array(known), pa.array(log_sum), pa.array(tree_score)], fields=list(about))
+                own = row + 2 * np.arange(n)
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(own), pa.array(np.zeros(n, np.int64)), info], NAMES)
+                row += 2 * n
     short_batches(spark)
     parts = docs.select("doc_id", "text", "held_out").mapInArrow(run, schema)
-    rare = words.where(F.col("n") < least).select("kind", "key", F.col("n").alias("seen"))
-    met = parts.join(rare, ["kind", "key"], "left")
+    rare = words.where(F.col("n") < least).select("key", F.col("n").alias("seen"))
+    met = parts.join(rare, "key", "left")
     each = met.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-        (F.sum(F.coalesce("known", F.lit(0))) + F.sum(F.when(F.col("seen").isNotNull(), F.col("times")).otherwise(0))).alias("n_known"),
-        (F.sum(F.coalesce("log_sum", F.lit(0.0))) + F.sum(F.coalesce(F.col("times") * F.log10(F.col("seen") + 1.0), F.lit(0.0)))).alias("log_sum"),
-        F.max("score").alias("score"))
+        *[F.max(f"info.{c}").alias(c) for c in ("doc_id", "held_out", "n_tokens", "score")],
+        (F.sum(F.coalesce("info.known", F.lit(0))) + F.sum(F.when(F.col("seen").isNotNull(), F.col("times")).otherwise(0))).alias("n_known"),
+        (F.sum(F.coalesce("info.log_sum", F.lit(0.0))) + F.sum(F.coalesce(F.col("times") * F.log10(F.col("seen") + 1.0), F.lit(0.0)))).alias("log_sum"))
     return each.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"),
                        (F.col("log_sum") - F.col("n_tokens") * F.log10(F.lit(float(total + distinct + 1)))).alias("base_score"), "score")
