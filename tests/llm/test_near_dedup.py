@@ -7,7 +7,6 @@ from tidewater.llm import near_dedup as N
 from tidewater.llm.components import components, spanning
 from tidewater.llm.superminhash_core import bands_for, signatures
 
-from .conftest import SF
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = {c: c + 32 for c in range(65, 91)}

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import col, id_and_text, keep_rows, map_batches
-from tidewater.llm.text import SPACED, _U, buffers, chunks, mix, shingles, spans, word_hashes
+from tidewater.llm.text import SPACED, buffers, chunks, mix, shingles, spans, word_hashes
 from tidewater.session import materialize
 
 TRAIN_ROWS = 20_000      # bound of the labelled sample that the trees are grown on
