@@ -121,8 +121,7 @@ def days_since(c: ColumnOrName, asof: datetime | str | Column) -> Column:
 
     ``asof`` is a parameter so a run is repeatable (never ``now()`` inside logic).
     """
-    ts = _c(c)
-    ts = ts.cast("timestamp")
+    ts = _c(c).try_cast("timestamp")
     a = asof if isinstance(asof, Column) else F.lit(asof).cast("timestamp")
     return F.floor((F.unix_micros(a) - F.unix_micros(ts)) / F.lit(86_400_000_000)).cast("int")
 
@@ -133,8 +132,8 @@ def parse_yy_dd_mm(c: ColumnOrName) -> Column:
 
 
 def to_day(c: ColumnOrName) -> Column:
-    """Timestamp (or timestamp text) -> date."""
-    return F.to_date(_c(c))
+    """Timestamp (or timestamp text) -> date; bad text -> null."""
+    return _c(c).try_cast("timestamp").cast("date")
 
 
 def rescale(c: ColumnOrName, factor: float = 1.8, offset: float = 32.0) -> Column:

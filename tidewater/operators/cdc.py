@@ -7,9 +7,10 @@ partition overwrite:
 
 * changes are reduced to the latest row per key first (several snapshots of one
   key in one batch are the normal case), as a partial aggregation;
-* the touched buckets of the target are read (partition pruning), unioned with
-  the changes and reduced to the latest row per key again, so replaying a batch
-  or applying an older change never regresses a row ("latest wins");
+* the touched buckets of the target are read (their numbers are literals, so other
+  folders are pruned), unioned with the changes and reduced to the latest row per
+  key again, so replaying a batch or applying an older change never regresses a
+  row ("latest wins"), and a change of the same instant corrects it;
 * the result is materialized under the checkpoint location (lineage cut,
   survives executor loss) and written
   back over the same buckets.  A replay after a crash completes the merge.
@@ -19,13 +20,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.relational import dedup_latest
-from tidewater.session import materialize
+from tidewater.session import materialize, scratch_scope
 
-BUCKET = "_bucket"
+BUCKET, SOURCE = "_bucket", "_from_change"
+DATA, LAYOUT = "data", "layout"       # folders of a target
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -37,34 +40,54 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _stored_buckets(spark: SparkSession, target: str) -> int | None:
+    """Bucket count that the table was laid out with (None: no table yet)."""
+    try:
+        return spark.read.parquet(f"{target}/{LAYOUT}").first()["buckets"]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def merge_upsert(spark: SparkSession, target: str, changes: DataFrame, key: Sequence[str] | str,
                  order: Sequence[str], buckets: int = 64) -> int:
     """K2: matched keys take the latest change (all columns), new keys are inserted.
     Returns the number of buckets rewritten.
 
+    Among changes of equal ``order`` the largest remaining columns win; a change
+    of equal ``order`` replaces the current row (a corrected file updates it).
+
     ``buckets`` fixes the table's layout: a merge rewrites every bucket its
     changes touch, so size it to the table (roughly one bucket per 0.5-1 GB of
-    target data) and keep it constant for the life of the table."""
+    target data).  It is stored with the table, and a different count is refused."""
     keys = [key] if isinstance(key, str) else list(key)
-    latest = dedup_latest(changes, keys, order)
-    latest = latest.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    if not _exists(spark, target):
+    stored = _stored_buckets(spark, target)
+    if stored is not None and stored != buckets:
+        raise ValueError(f"{target} has {stored} buckets, not {buckets}")
+    with scratch_scope(spark):
+        latest = dedup_latest(changes, keys, order)
+        latest = materialize(latest.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")), "changes")
+        touched = [r[0] for r in latest.select(BUCKET).distinct().collect()]        # at most ``buckets`` numbers
+        if not touched:
+            return 0
+        if stored is None:
+            spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.parquet(f"{target}/{LAYOUT}")
         merged = latest
-    else:
-        touched = latest.select(BUCKET).distinct()
-        current = spark.read.parquet(target)
-        current = current.join(F.broadcast(touched), BUCKET, "left_semi")   # at most ``buckets`` rows
-        merged = dedup_latest(current.unionByName(latest.select(*current.columns)), keys, list(order))
-    merged = materialize(merged, "merge")
-    n = merged.select(BUCKET).distinct().count()
-    (merged.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(target))
-    return n
+        if _exists(spark, f"{target}/{DATA}"):
+            # literal bucket numbers: only the touched folders are listed and read
+            current = spark.read.parquet(f"{target}/{DATA}").where(F.col(BUCKET).isin(touched))
+            both = current.withColumn(SOURCE, F.lit(0)).unionByName(latest.select(*current.columns).withColumn(SOURCE, F.lit(1)))
+            merged = dedup_latest(both, keys, [*order, SOURCE]).drop(SOURCE)
+        merged = materialize(merged, "merge")
+        (merged.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET).parquet(f"{target}/{DATA}"))
+    return len(touched)
 
 
 def current_state(spark: SparkSession, target: str) -> DataFrame:
     """The upserted table without its bucket column."""
-    return spark.read.parquet(target).drop(BUCKET)
+    return spark.read.parquet(f"{target}/{DATA}").drop(BUCKET)
 
 
 def change_batch_handler(spark: SparkSession, target: str, key: Sequence[str] | str, order: Sequence[str],

@@ -3,17 +3,17 @@
 All statistics for one table come from a single distributed aggregation; the
 check rows are then produced on the Spark side by exploding an array of structs
 built from that one-row result, so nothing but the final verdict ever reaches
-the driver.  Tables are checked whole by default; ``sample`` is an optional
-row bound.
+the driver.  Tables are always checked whole (L8: there is no row bound).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 # Gate thresholds.
 MIN_ROW_COUNT = 10
@@ -46,12 +46,9 @@ def table_checks(df: DataFrame, table: str, critical: Sequence[str],
                  min_rows: int = MIN_ROW_COUNT, max_null_pct: float = MAX_NULL_PCT,
                  range_column: str | None = None, max_value: float = MAX_VALUE,
                  freshness_columns: Sequence[str] = FRESHNESS_COLUMNS,
-                 asof: str | None = None, freshness_hours: int = FRESHNESS_HOURS,
-                 sample: int | None = None) -> DataFrame:
+                 *, asof: str, freshness_hours: int = FRESHNESS_HOURS) -> DataFrame:
     """L1-L5 (+L8) for one table, as check rows ``(check, table_name, column_name,
     value, threshold, passed, message)``."""
-    if sample is not None:
-        df = df.limit(sample)
     cols = {c.lower(): c for c in df.columns}
     aggs = [F.count(F.lit(1)).alias("n")]
     present = [c for c in critical if c.lower() in cols]
@@ -68,27 +65,27 @@ def table_checks(df: DataFrame, table: str, critical: Sequence[str],
 
     n = F.col("n")
     rows = [_row("row_count", table, None, n, min_rows, n >= min_rows,
-                 F.format_string("Row count: %d (min: %d)", n, F.lit(min_rows)))]
+                 F.format_string("%d rows, at least %d wanted", n, F.lit(min_rows)))]
     for c in critical:
         if c in present:
             k = F.col(f"null{present.index(c)}")
             pct = F.when(n > 0, k * 100.0 / n).otherwise(F.lit(0.0))
             rows.append(_row("null_pct", table, c, F.round(pct, 2), max_null_pct, pct <= max_null_pct,
-                             F.format_string(f"{c} null%%: %.2f%% (max: %.1f%%)", pct, F.lit(max_null_pct))))
+                             F.format_string(f"{c} is null in %.2f%% of rows, at most %.1f%% allowed", pct, F.lit(max_null_pct))))
         else:
             rows.append(_row("null_pct", table, c, None, max_null_pct, False,
-                             f"Column '{c}' missing from table"))
+                             f"no column {c}"))
     missing = sorted(set(c for c in critical if c.lower() not in cols))
     rows.append(_row("schema", table, None, F.lit(float(len(missing))), 0.0, not missing,
-                     f"Missing columns: {', '.join(missing)}" if missing else "All expected columns present"))
+                     f"absent: {', '.join(missing)}" if missing else "every critical column is there"))
     if do_range:
         neg, ext = F.col("neg"), F.col("ext")
         rows.append(_row("value_range", table, range_column, neg + ext, max_value, (neg + ext) == 0,
-                         F.format_string(f"{range_column}: %d negative, %d extreme (>%d)", neg, ext,
-                                         F.lit(int(max_value)))))
+                         F.format_string(f"{range_column} below 0 in %d rows, above %d in %d", neg,
+                                         F.lit(int(max_value)), ext)))
     if ts_col is None:
         rows.append(_row("freshness", table, None, None, float(freshness_hours), True,
-                         "No timestamp column - skipping (backfill data)"))
+                         "no time column to judge by"))
     else:
         latest = F.col("latest")
         cutoff = F.lit(asof).cast("timestamp") - F.make_interval(hours=F.lit(freshness_hours))
@@ -96,32 +93,33 @@ def table_checks(df: DataFrame, table: str, critical: Sequence[str],
                          F.floor((F.unix_micros(cutoff) - F.unix_micros(latest)) / F.lit(3_600_000_000)),
                          float(freshness_hours),
                          F.when(latest.isNull(), True).otherwise(latest >= cutoff),
-                         F.when(latest.isNull(), F.lit("Could not parse timestamps - skipping"))
-                         .otherwise(F.concat(F.lit("Latest: "), latest.cast("string"),
-                                             F.lit(", Cutoff: "), cutoff.cast("string")))))
+                         F.when(latest.isNull(), F.lit("no readable time"))
+                         .otherwise(F.concat(F.lit("newest "), latest.cast("string"),
+                                             F.lit(", due "), cutoff.cast("string")))))
     return stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def read_failure(spark: SparkSession, table: str, error: str) -> DataFrame:
     """An unreadable table becomes one failed ``read_table`` check row."""
-    return spark.createDataFrame([("read_table", table, None, None, None, False, error[:500])], CHECK_SCHEMA)
+    return spark.createDataFrame([("read_table", table, None, None, None, False, error)], CHECK_SCHEMA)
 
 
 def gate(spark: SparkSession, tables: Mapping[str, DataFrame | str], specs: Mapping[str, dict],
-         asof: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Run the checks of every table; an unreadable one is a failed check
-    and the others still run.  Returns ``(check_rows, summary_row)``."""
+         *, asof: str) -> tuple[DataFrame, DataFrame]:
+    """Run the checks of every table; an unreadable one, whether that shows when
+    its path is resolved or only when its files are read, is a failed check and
+    the others still run.  Returns ``(check_rows, summary_row)``."""
     parts = []
     for name, src in tables.items():
         spec = dict(specs.get(name, {}))
         spec.setdefault("critical", [])
         try:
             df = spark.read.parquet(src) if isinstance(src, str) else src
-            df.schema  # resolve now so a bad path fails here  # noqa: B018
-        except AnalysisException as e:
-            parts.append(read_failure(spark, name, str(e).splitlines()[0]))
+            rows = table_checks(df, name, asof=asof, **spec).collect()      # a few check rows; the table is read here
+        except (PySparkException, Py4JJavaError) as e:      # the latter when a task fails while reading
+            parts.append(read_failure(spark, name, str(e)))
             continue
-        parts.append(table_checks(df, name, asof=asof, **spec))
+        parts.append(spark.createDataFrame(rows, CHECK_SCHEMA))
     checks = parts[0]
     for p in parts[1:]:
         checks = checks.unionByName(p)
@@ -129,10 +127,12 @@ def gate(spark: SparkSession, tables: Mapping[str, DataFrame | str], specs: Mapp
 
 
 def summarise(checks: DataFrame) -> DataFrame:
-    """One row ``(quality_passed, checks_passed, checks_total)``."""
+    """One row ``(quality_passed, checks_passed, checks_total)``; a check without a
+    result has not passed."""
+    passed = F.coalesce("passed", F.lit(False))
     return checks.agg(
-        F.coalesce(F.bool_and("passed"), F.lit(True)).alias("quality_passed"),
-        F.count_if("passed").cast("int").alias("checks_passed"),
+        F.coalesce(F.bool_and(passed), F.lit(True)).alias("quality_passed"),
+        F.count_if(passed).cast("int").alias("checks_passed"),
         F.count(F.lit(1)).cast("int").alias("checks_total"),
     )
 
@@ -169,7 +169,11 @@ def relationships(child: DataFrame, parent: DataFrame, child_col: str, parent_co
 
 
 def assert_empty(df: DataFrame) -> DataFrame:
-    """A singular test; every returned row is a failure."""
+    """A singular test is a query whose rows are its failures.  Raises on one, else
+    returns the (empty) frame."""
+    n = df.count()
+    if n:
+        raise AssertionError(f"{n} failing rows")
     return df
 
 

@@ -2,9 +2,9 @@
 
 Scale notes
 -----------
-* Broadcast only behind a size check (:func:`bounded_broadcast`); beyond the bound
-  the join is left to the planner (sort-merge, with AQE skew splitting and runtime
-  broadcast conversion when the real size turns out small).
+* No broadcast hints on data of unknown size: file-backed sides are sized by the
+  planner in bytes, derived ones by AQE at run time; beyond the threshold the join
+  stays a sort-merge join with skew splitting.
 * Per-key reductions use ``groupBy`` + ``max(struct(...))`` so partial
   aggregation shrinks every hot key before the shuffle; no group is ever
   collected into one task.
@@ -21,27 +21,15 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewater.session import materialize
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
 
 def _cols(xs) -> list[str]:
     return [xs] if isinstance(xs, str) else list(xs)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The proof is a ``limit(max_rows + 1).count()`` which stops reading as soon
-    as the bound is exceeded.  Larger inputs are returned unchanged so the
-    planner (and AQE at run time) picks the join strategy.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     cond = None
     for k in keys:
@@ -64,45 +52,53 @@ def inner_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str]) -> Data
     return fact.join(dim, on=_cols(on), how="inner")
 
 
+def _source(df: DataFrame, name: str) -> Column | None:
+    """Column ``name`` of ``df``: a top-level column of that (maybe dotted) name, or a struct field."""
+    if name in df.columns:
+        return F.col("`" + name.replace("`", "``") + "`")
+    root, _, rest = name.partition(".")
+    if not rest or root not in df.columns or not isinstance(df.schema[root].dataType, StructType):
+        return None
+    return F.col(name) if rest in df.schema[root].dataType.fieldNames() else None
+
+
 def lookup_left(fact: DataFrame, dim: DataFrame | None, fact_key: str, dim_key: str,
-                values: Mapping[str, str], defaults: Mapping[str, object] | None = None,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                values: Mapping[str, str], defaults: Mapping[str, object] | None = None) -> DataFrame:
     """Enrich ``fact`` with ``values`` (dim column -> output name) looked up by key.
 
-    The dimension is reduced to one row per key deterministically (smallest value
-    tuple), broadcast when its size is proven small, joined left and the output
-    columns' nulls are filled with ``defaults``.  When the dimension is missing or
-    lacks a needed column the fact passes through with the default values.
+    The dimension's key is first read as the fact's key type (a key that cannot be
+    read is dropped), then reduced to one row per key deterministically (smallest
+    value tuple), so that no fact row is doubled.  The join is left; the planner
+    sizes the reduced side.  Output nulls are filled with ``defaults``.  When the
+    dimension is missing or lacks a needed column the fact passes through with
+    the default values.
     """
     defaults = dict(defaults or {})
     out_names = list(values.values())
-    if dim is None or dim_key not in dim.columns or any(v not in dim.columns for v in values):
+    sources = None if dim is None else {v: _source(dim, v) for v in [dim_key, *values]}
+    if sources is None or any(c is None for c in sources.values()):
         return fact.select("*", *[F.lit(defaults.get(n)).alias(n) for n in out_names])
-    src_cols = list(values.keys())
-    reduced = (dim.where(F.col(dim_key).isNotNull())
-               .groupBy(F.col(dim_key).alias("_lk_key"))
-               .agg(F.min(F.struct(*src_cols)).alias("_lk"))
-               .select("_lk_key", *[F.col(f"_lk.{s}").alias(o) for s, o in values.items()]))
-    # the join key is cast to the fact's type so the equality is well typed
-    key_type = dict(fact.dtypes)[fact_key]
-    reduced = reduced.withColumn("_lk_key", F.col("_lk_key").cast(key_type))
-    joined = fact.join(bounded_broadcast(reduced, max_broadcast_rows),
-                       F.col(fact_key) == F.col("_lk_key"), "left").drop("_lk_key")
+    key_type = fact.schema[fact_key].dataType
+    reduced = (dim.select(sources[dim_key].try_cast(key_type).alias("_lk_key"), *[sources[s].alias(o) for s, o in values.items()])
+               .where(F.col("_lk_key").isNotNull())
+               .groupBy("_lk_key").agg(F.min(F.struct(*out_names)).alias("_lk"))
+               .select("_lk_key", *[F.col(f"_lk.{o}").alias(o) for o in out_names]))
+    joined = fact.join(reduced, F.col(fact_key) == F.col("_lk_key"), "left").drop("_lk_key")
     fills = {n: defaults[n] for n in out_names if n in defaults and defaults[n] is not None}
     return joined.fillna(fills) if fills else joined
 
 
 def latest_snapshot_join(frames: Sequence[DataFrame], keys: Sequence[str] = ("id", "extracted_at"),
                          ts: str = "extracted_at") -> DataFrame:
-    """Join snapshot tables on ``keys``, keeping only the latest snapshot.
+    """Join snapshot tables on ``keys``, keeping only the latest snapshot of the first.
 
-    The latest timestamp is a one-row aggregate joined on equality (a broadcast of
-    one row), which Catalyst pushes below the other joins.
+    The latest instant is read once (one value) and given to every frame as a
+    literal filter, so partitions and row groups of the other histories are pruned.
     """
-    first = frames[0]
-    latest = first.agg(F.max(ts).alias(ts))
-    out = first.join(F.broadcast(latest), on=[ts], how="inner")
-    for fr in frames[1:]:
+    latest = frames[0].agg(F.max(ts)).first()[0]
+    kept = [fr.where(F.col(ts) == F.lit(latest)) for fr in frames]      # an empty history: null, no rows
+    out = kept[0]
+    for fr in kept[1:]:
         out = out.join(fr, on=list(keys), how="inner")
     return out
 
@@ -150,10 +146,10 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
     ``order`` must end with a unique tie-break so results repeat between runs.
     Steps: range-partition on ``group + order`` and sort inside partitions; number
     the rows with ``monotonically_increasing_id`` (partition index in the high
-    bits); materialize (Parquet under the checkpoint location) so a lost
-    executor cannot renumber; count rows per
-    (partition, group); turn those counts into offsets with a window over that
-    small table; add the offsets back with a (size-checked) broadcast join.
+    bits); materialize once (Parquet under the checkpoint location) so a lost
+    executor cannot renumber; count rows per (partition, group); turn those counts
+    into offsets with a window over that small table; join the offsets back (left
+    to the planner).
     """
     spark = df.sparkSession
     group = list(group)
@@ -162,10 +158,7 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                               spark.sparkContext.defaultParallelism)
     sort = [F.col(g).asc_nulls_first() for g in group] + _sort_cols(order)
-    # the range partitioner samples its input: read that from files, not by
-    # re-running whatever plan produced ``df``
-    src = materialize(df, "rank-input")
-    numbered = (src.repartitionByRange(n, *sort)
+    numbered = (df.repartitionByRange(n, *sort)
                 .sortWithinPartitions(*sort)
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .withColumn("_pid", F.shiftright(F.col("_mid"), 33)))
@@ -178,7 +171,7 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
     cond = F.col("_pid") == F.col("_ppid")
     for g, k in zip(group, keys):
         cond = cond & F.col(g).eqNullSafe(F.col(k))
-    out = numbered.join(bounded_broadcast(per), cond, "inner")
+    out = numbered.join(per, cond, "inner")
     rank = (F.col("_off") + (F.col("_mid") - F.col("_first")) + 1).cast("long")
     return out.select(*[F.col(f"`{c}`") for c in df.columns], rank.alias(name))
 
@@ -192,16 +185,15 @@ def share_pct(df: DataFrame, value: str, group: Sequence[str], name: str = "shar
               digits: int = 2) -> DataFrame:
     """``value / sum(value) over group * 100``, rounded.
 
-    The group totals come from a partial aggregation and are joined back on the
-    group key, so a hot group is never gathered into one window task.
+    The input is evaluated once (materialized); the group totals come from a
+    partial aggregation and are joined back on the group key, so a hot group is
+    never gathered into one window task.
     """
+    df = materialize(df, "share")
     group = list(group)
     keys = [f"_g{i}" for i in range(len(group))]
     totals = (df.groupBy(*[F.col(g).alias(k) for g, k in zip(group, keys)])
               .agg(F.sum(value).alias("_group_total")))
-    # no hint: the totals are derived, so probing their size would recompute the
-    # input; AQE turns this join into a broadcast at run time when the measured
-    # totals are small and keeps the shuffle join otherwise.
     cond = None
     for g, k in zip(group, keys):
         c = F.col(g).eqNullSafe(F.col(k))

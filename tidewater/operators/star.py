@@ -5,44 +5,37 @@ Surrogate keys are deterministic.  ``monotonically_increasing_id`` recomputed
 after a shuffle need not give the keys that were written, so it is never used
 for keys.  Two methods:
 
-* ``rank``  dense 1-based rank of the natural key, stable across reruns on the
-  same data and comparable with SQL ``dense_rank``: one ordered partition when
-  the dimension is proven small (``SMALL_DIM_ROWS``), else range-partitioned
-  numbering (:func:`tidewater.operators.relational.rank_within`);
-* ``hash``  ``xxhash64`` of the natural key columns, computed row by row with no
-  shuffle at all; a one-row collision check fails loudly instead of merging
-  two natural keys.
+* ``hash``  ``xxhash64`` of the natural key columns: a key never moves when other
+  natural keys come or go, so facts written earlier keep their meaning; a one-row
+  collision check fails loudly instead of merging two natural keys;
+* ``rank``  dense 1-based rank of the natural key, comparable with SQL
+  ``dense_rank``, by range-partitioned numbering
+  (:func:`tidewater.operators.relational.rank_within`).  It moves when a smaller
+  key arrives: dimensions and facts have to be rebuilt together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.relational import rank_within
-
-# a dimension with at most this many natural keys is numbered in one ordered partition
-SMALL_DIM_ROWS = 100_000
-
+from tidewater.session import materialize
 
 def build_dim(df: DataFrame, cols: Sequence[str], key: str, method: str = "rank") -> DataFrame:
     """M1 / M2: distinct natural keys ``cols`` plus a 64-bit surrogate ``key``."""
     cols = list(cols)
     nat = df.select(*cols).distinct()
     if method == "hash":
-        dim = nat.withColumn(key, F.xxhash64(*cols))
+        dim = materialize(nat.withColumn(key, F.xxhash64(*cols)), "dimension")      # the distinct runs once
         check = dim.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(key).alias("k")).first()
         if check["n"] != check["k"]:
             raise ValueError(f"surrogate key collision in {key}: {check['n']} keys, {check['k']} hashes")
         return dim.select(*cols, key)
     order = [F.col(c).asc_nulls_first() for c in cols]
-    if nat.limit(SMALL_DIM_ROWS + 1).count() <= SMALL_DIM_ROWS:
-        # proven small: one ordered partition is cheaper than range partitioning,
-        # and the bound just proven makes the dimension safe to broadcast
-        return F.broadcast(nat.select(*cols, F.dense_rank().over(Window.orderBy(*order)).cast("long").alias(key)))
-    return rank_within(nat, [], order, "_rk").select(*cols, F.col("_rk").cast("long").alias(key))
+    return rank_within(nat, [], order, key).select(*cols, key)
 
 
 def swap_keys(df: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str], str]]) -> DataFrame:
@@ -55,8 +48,7 @@ def swap_keys(df: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str], str]
         for c in cols:
             e = out[c] == d[c]
             cond = e if cond is None else cond & e
-        # no probe here: a dimension proven small carries its broadcast hint,
-        # a file-backed one is sized by the planner, anything else is left to AQE
+        # dimensions are file-backed, so the planner knows their size
         out = out.join(d, cond, "left").drop(*[d[c] for c in cols])
     return out
 

@@ -12,6 +12,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -20,7 +21,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -47,6 +47,7 @@ def get_spark(app: str = "tidewater", master: str | None = None,
 
 
 _shipped: set[str] = set()
+_scratch: list[str] = []      # folders that materialize() has written
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -106,4 +107,27 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
+    _scratch.append(path)
     return spark.read.parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the cluster's file system; nothing happens when it is absent."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete, at the end, what was materialized inside.
+
+    For steps that write their own result: frames that are read lazily after the
+    scope must not depend on anything materialized in it.
+    """
+    start = len(_scratch)
+    try:
+        yield
+    finally:
+        for path in _scratch[start:]:
+            delete_path(spark, path)
+        del _scratch[start:]

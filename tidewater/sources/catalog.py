@@ -5,6 +5,7 @@ the session catalog; dropping an external table keeps its files."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,7 +75,8 @@ def catalog_path(spark: SparkSession, root: str, db: str, known: Mapping[str, st
     from tidewater.sources.readers import list_files
 
     files = list_files(spark, root).select("path")
-    rel = F.regexp_replace(F.col("path"), "^(file:)?" + root.rstrip("/").replace("file:", "") + "/", "")
+    at = "/" + root.rstrip("/").replace("file:", "").lstrip("/") if "://" not in root or root.startswith("file:") else root.rstrip("/")
+    rel = F.regexp_replace(F.regexp_replace("path", "^file:/+", "/"), "^" + re.escape(at) + "/", "")
     listing = (files.select(F.split(rel, "/").getItem(0).alias("folder"),
                             F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)).alias("ext"))
                .where(~F.col("ext").isin("crc", "") & ~F.col("folder").startswith("_")
@@ -109,34 +111,51 @@ def catalog_path(spark: SparkSession, root: str, db: str, known: Mapping[str, st
 
 
 class Models:
-    """Models materialised by name; ``ref(name)`` resolves a logical source
-    or an earlier model, models run in dependency (insertion) order."""
+    """Models materialised by name; ``ref(name)`` resolves a logical source or
+    another model.  Models may be declared in any order: one that refers to another
+    builds it first, and a circle is refused."""
 
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame | str]):
         self.spark = spark
         self.sources = dict(sources)
+        self.declared: dict[str, tuple] = {}
         self.built: dict[str, DataFrame] = {}
+        self.building: list[str] = []
+
+    def declare(self, name: str, build: Callable[["Models"], DataFrame], as_: str = "view", path: str | None = None) -> None:
+        if as_ == "table" and path is None:
+            raise ValueError("a table model needs a path")
+        self.declared[name] = build, as_, path
 
     def ref(self, name: str) -> DataFrame:
         if name in self.built:
             return self.built[name]
+        if name in self.declared:
+            return self._build(name)
         src = self.sources[name]
         return self.spark.read.parquet(src) if isinstance(src, str) else src
 
-    def materialize(self, name: str, build: Callable[["Models"], DataFrame], as_: str = "view",
-                    path: str | None = None) -> DataFrame:
-        df = build(self)
+    def _build(self, name: str) -> DataFrame:
+        if name in self.building:
+            raise ValueError("models refer to each other in a circle: " + " -> ".join([*self.building, name]))
+        build, as_, path = self.declared[name]
+        self.building.append(name)
+        try:
+            df = build(self)
+        finally:
+            self.building.pop()
         if as_ == "table":
-            if path is None:
-                raise ValueError("a table model needs a path")
             df.write.mode("overwrite").parquet(path)
             df = self.spark.read.parquet(path)
         df.createOrReplaceTempView(name)
         self.built[name] = df
         return df
 
+    def run(self) -> dict[str, DataFrame]:
+        """Build every declared model, each after those it refers to."""
+        return {name: self.ref(name) for name in self.declared}
 
-def load_history(log: DataFrame, since_ts: str, minutes: int = 15) -> DataFrame:
-    """Files loaded in the last ``minutes`` before ``since_ts``, newest first."""
-    cutoff = F.lit(since_ts).cast("timestamp") - F.expr(f"INTERVAL {minutes} MINUTES")
-    return log.where(F.col("loaded_at") >= cutoff).orderBy(F.col("loaded_at").desc(), "file_name")
+    def materialize(self, name: str, build: Callable[["Models"], DataFrame], as_: str = "view",
+                    path: str | None = None) -> DataFrame:
+        self.declare(name, build, as_, path)
+        return self.ref(name)

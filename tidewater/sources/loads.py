@@ -1,81 +1,117 @@
 """File-level loads with a load history.
 
-``copy_into`` appends each file once: the files under the source folder are
-listed, files already in the load log are left out (an anti join by file name),
-the rest are read by column name (A2) and appended, and one log row per file is
-appended after the data.  ``force=True`` ignores the history (reload).
+``copy_into`` appends each file once.  The history is keyed on a file's whole
+path and holds one row for each listed file, also for one without data rows.
+
+A load writes three things in turn: its files as ``LOADING`` under a new load id,
+the data in a partition of that id, the files again as ``LOADED``.  A load that
+broke off has no second mark: the next one removes its partition first and loads
+its files again, whatever has arrived meanwhile.
+
+``force=True`` loads every listed file again and replaces what was there: its
+files are marked ``RELOADED``, and partitions of loads before it are removed.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewater.functions.columns import file_basename
-from tidewater.sources.readers import list_files
+from tidewater.session import delete_path, materialize, scratch_scope
+from tidewater.sources.readers import list_files, read_csv_by_name
 
-LOG_SCHEMA = "file_name string, file_path string, row_count long, loaded_at timestamp, status string"
+LOG_SCHEMA = ("load_id string, file_path string, file_name string, row_count long, loaded_at timestamp, "
+              "status string, seq long")
 LOAD_ID = "_load_id"
+DONE = ("LOADED", "RELOADED")
 
 
 def _log(spark: SparkSession, log_path: str) -> DataFrame:
+    """The history; a log not yet written is empty."""
     try:
-        return spark.read.parquet(log_path)
-    except Exception:  # noqa: BLE001 - first load: no history yet
+        return spark.read.schema(LOG_SCHEMA).parquet(log_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], LOG_SCHEMA)
 
 
+def _loads(spark: SparkSession, log_path: str) -> list:
+    """One row for each load: id, order, whether it was finished, whether it replaced what was before."""
+    return (_log(spark, log_path).groupBy("load_id", "seq")
+            .agg(F.bool_or(F.col("status").isin(*DONE)).alias("done"), F.bool_or(F.col("status") == "RELOADED").alias("reload"))
+            .orderBy("seq").collect())
+
+
+def _sweep(spark: SparkSession, target: str, loads: list) -> list[str]:
+    """Remove partitions of broken-off and of replaced loads; returns the ids that count."""
+    last = max((r["seq"] for r in loads if r["reload"] and r["done"]), default=-1)
+    for r in loads:
+        if not r["done"] or r["seq"] < last:
+            delete_path(spark, f"{target}/{LOAD_ID}={r['load_id']}")
+    return [r["load_id"] for r in loads if r["done"] and r["seq"] >= last]
+
+
 def copy_into(spark: SparkSession, source: str, target: str, schema: str | StructType, log_path: str,
               loaded_at: str, force: bool = False, glob: str = "*.csv") -> int:
-    """Append new files by column name; returns the number of files loaded."""
-    files = list_files(spark, source).where(F.col("path").like(glob.replace("*", "%")))
-    files = files.withColumn("file_name", file_basename("path"))
-    if not force:
-        done = _log(spark, log_path).select("file_name").distinct()
-        files = files.join(done, "file_name", "left_anti")
-    new = [r["path"] for r in files.select("path").collect()]   # file names only: the scan needs them
-    if not new:
-        return 0
-    data = _read_paths(spark, new, schema)
-    # the load id is a function of the file set, so a rerun after a crash between
-    # the data write and the log write replaces the same partition (no duplicates)
-    load_id = hashlib.sha1("\n".join(sorted(new)).encode()).hexdigest()[:16]
-    (data.drop("_file").withColumn(LOAD_ID, F.lit(load_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(LOAD_ID).parquet(target))
-    counts = (data.groupBy("_file").agg(F.count(F.lit(1)).alias("row_count"))
-              .select(file_basename("_file").alias("file_name"), F.col("_file").alias("file_path"), "row_count",
-                      F.lit(loaded_at).cast("timestamp").alias("loaded_at"), F.lit("LOADED").alias("status")))
-    counts.write.mode("append").parquet(log_path)
-    return len(new)
+    """Append new files by column name; returns the number of files loaded."""
+    with scratch_scope(spark):
+        loads = _loads(spark, log_path)
+        unknown = _partitions(spark, target) - {r["load_id"] for r in loads}
+        if unknown:
+            raise ValueError(f"{target} holds loads that {log_path} does not know: {sorted(unknown)}")
+        _sweep(spark, target, loads)
+        listed = list_files(spark, source).select("path", "modification_time").where(
+            F.element_at(F.split("path", "/"), -1).like(glob.replace("_", "\\_").replace("*", "%")))
+        if not force:
+            done = _log(spark, log_path).where(F.col("status").isin(*DONE)).select(F.col("file_path").alias("path")).distinct()
+            listed = listed.join(done, "path", "left_anti")
+        new = materialize(listed, "new-files")
+        n, since = new.agg(F.count(F.lit(1)), F.min("modification_time")).first()
+        if not n:
+            return 0
+        load_id, seq = uuid.uuid4().hex, max((r["seq"] for r in loads), default=0) + 1
+
+        def entries(status: str, counts: DataFrame | None = None) -> DataFrame:
+            rows = new.select(F.col("path").alias("file_path"))
+            rows = rows.join(counts, "file_path", "left") if counts is not None else rows.withColumn("row_count", F.lit(None).cast("long"))
+            return rows.select(F.lit(load_id).alias("load_id"), "file_path", file_basename("file_path").alias("file_name"),
+                               F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
+                               F.lit(loaded_at).cast("timestamp").alias("loaded_at"), F.lit(status).alias("status"),
+                               F.lit(seq).cast("long").alias("seq"))
+        entries("LOADING").write.mode("append").parquet(log_path)
+        # the new files by their paths; the reader only lists what is as young as the oldest of them
+        rows = read_csv_by_name(spark, source, schema, glob, files=new.select("path"), keep_file="_file", not_before=since)
+        (rows.withColumnRenamed("_file", "_file_path").withColumn(LOAD_ID, F.lit(load_id))
+         .write.mode("append").partitionBy(LOAD_ID).parquet(target))
+        counts = (spark.read.parquet(f"{target}/{LOAD_ID}={load_id}") if load_id in _partitions(spark, target) else rows.withColumnRenamed("_file", "_file_path").limit(0)) \
+            .groupBy(F.col("_file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("row_count"))
+        entries("RELOADED" if force else "LOADED", counts).write.mode("append").parquet(log_path)
+        _sweep(spark, target, _loads(spark, log_path))
+        return n
+
+
+def _partitions(spark: SparkSession, target: str) -> set[str]:
+    """Load ids that the target has a partition of."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return {n.removeprefix(f"{LOAD_ID}=") for n in names if n.startswith(f"{LOAD_ID}=")}
 
 
 def read_landing(spark: SparkSession, target: str) -> DataFrame:
-    """The landed table without its load-id partition column."""
-    return spark.read.parquet(target).drop(LOAD_ID)
-
-
-def _read_paths(spark: SparkSession, paths: list[str], schema: str | StructType) -> DataFrame:
-    """A2 over an explicit file list, keeping each row's file path in ``_file``."""
-    from tidewater.sources.readers import _first_lines
-    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    heads = (spark.createDataFrame([(p,) for p in paths], "path string")
-             .mapInPandas(_first_lines, "path string, header string")
-             .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
-    out = None
-    for g in heads:
-        df = spark.read.option("header", True).option("escape", '"').csv(list(g["paths"]))
-        by_lower = {c.lower().strip(): c for c in df.columns}
-        cols = [(F.col(f"`{by_lower[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in by_lower
-                 else F.lit(None).cast(f.dataType)).alias(f.name) for f in st.fields]
-        part = df.select(*cols, F.col("_metadata.file_path").alias("_file"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """The landed table without its load-id partition and file columns."""
+    return spark.read.parquet(target).drop(LOAD_ID, "_file_path")
 
 
 def load_history(spark: SparkSession, log_path: str, asof: str, minutes: int = 15) -> DataFrame:
-    """Files loaded in the ``minutes`` before ``asof``, newest first."""
+    """Files whose load was finished in the ``minutes`` before ``asof``, newest first."""
     cutoff = F.lit(asof).cast("timestamp") - F.make_interval(mins=F.lit(minutes))
-    return _log(spark, log_path).where(F.col("loaded_at") >= cutoff).orderBy(F.col("loaded_at").desc(), "file_name")
+    return (_log(spark, log_path).where(F.col("status").isin(*DONE) & (F.col("loaded_at") >= cutoff))
+            .select("file_name", "file_path", "row_count", "loaded_at", "status")
+            .orderBy(F.col("loaded_at").desc(), "file_path"))

@@ -2,21 +2,24 @@
 external), JSON (lines, arrays, glued objects, nested items), arrival-time
 folders, Hive partitions, mixed formats and file listings.
 
-Only two helpers run Python inside tasks, both per file and both bounded by a
-file: reading a CSV header line and splitting glued JSON objects.
+Only one helper runs Python inside tasks, per file and bounded by a file: the
+splitter of glued JSON objects.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Mapping, Sequence
+from datetime import timedelta
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.functions import columns as C
+from tidewater.operators.relational import rank_within
+from tidewater.session import materialize
 
 # ---------------------------------------------------------------- listings
 def list_files(spark: SparkSession, path: str, suffix: str | None = None, recursive: bool = True) -> DataFrame:
@@ -28,7 +31,8 @@ def list_files(spark: SparkSession, path: str, suffix: str | None = None, recurs
         r = r.option("pathGlobFilter", f"*{suffix}")
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    return (r.load(path).select("path", "length", F.col("modificationTime").alias("modification_time"))
+    # the path as the other readers report a row's file, so that listings can be joined to rows
+    return (r.load(path).select(F.col("_metadata.file_path").alias("path"), "length", F.col("modificationTime").alias("modification_time"))
             .orderBy("path"))
 
 
@@ -46,73 +50,78 @@ def read_csv_external(spark: SparkSession, path: str, cols: Sequence[str]) -> Da
             .csv(path))
 
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Executor side: read only the first line of each file (local or Hadoop-style path)."""
-    from urllib.parse import urlparse
+def _csv_text(spark: SparkSession, path: str, glob: str, not_before) -> DataFrameReader:
+    r = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    if not_before is not None:      # a listing filter of Spark's; it takes whole seconds, so one is given away
+        r = r.option("modifiedAfter", (not_before - timedelta(seconds=2)).strftime("%Y-%m-%dT%H:%M:%S"))
+    return r
 
-    import pyarrow.fs as pafs
 
-    for pdf in batches:
-        heads = []
-        for p in pdf["path"]:
-            u = urlparse(p)
-            if u.scheme in ("", "file"):
-                fs, fpath = pafs.LocalFileSystem(), u.path
-            else:
-                fs, fpath = pafs.FileSystem.from_uri(p)
-            with fs.open_input_stream(fpath) as f:
-                buf = b""
-                while b"\n" not in buf:
-                    chunk = f.read(65536)
-                    if not chunk:
-                        break
-                    buf += chunk
-            heads.append(buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
-        yield pd.DataFrame({"path": pdf["path"], "header": heads})
-
-
-def csv_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """``(path, header)`` for every CSV file under ``path``; headers are read by
-    executors, one short read per file."""
-    files = list_files(spark, path, suffix=None).where(F.col("path").like(glob.replace("*", "%")))
-    return files.select("path").mapInPandas(_first_lines, "path string, header string")
-
-
-def read_csv_by_name(spark: SparkSession, path: str, schema: str | StructType, glob: str = "*.csv") -> DataFrame:
+def csv_headers(spark: SparkSession, path: str, glob: str = "*.csv", not_before=None) -> DataFrame:
+    """``(path, names)`` for every CSV file under ``path``: its first line, as lower-cased trimmed names.
+
+    The first line is the earliest one of a file's first block; lines of a block keep
+    their order inside a task, and the minimum is taken map-side.  Spark opens the
+    files, so whatever it can read works."""
+    lines = _csv_text(spark, path, glob, not_before).text(path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
+    first = lines.where("at = 0").groupBy("path").agg(F.min_by("value", "n").alias("header"))
+    plain = F.regexp_replace("header", "^\ufeff", "")
+    names = F.transform(F.split(plain, ","), lambda x: F.lower(F.trim(F.regexp_replace(x, '^\\s*"|"\\s*$', ""))))
+    return first.select("path", names.alias("names"))
+
+
+def read_csv_by_name(spark: SparkSession, path: str, schema: str | StructType, glob: str = "*.csv",
+                     files: DataFrame | None = None, keep_file: str | None = None, not_before=None) -> DataFrame:
     """A2: load CSV files whose columns come in any order and case.
 
-    Files are grouped by their header line; each group is read with its own
-    header, columns are matched to ``schema`` by lower-cased name and typed with
-    ``try_cast``; the groups are unioned by name (absent columns become null).
-    Plain ``header=True`` over mixed files silently takes the first file's order.
+    Rows are read by position (Spark skips each file's own header line), and each
+    field of ``schema`` is taken from the place where the file's header names it,
+    typed with ``try_cast``; absent columns are null.  Files share few layouts: with
+    one, the places are literals; with several, a row's file finds its layout by a
+    join that the planner sizes.  No list of paths reaches the driver.
+
+    ``files`` (a frame with a ``path`` column) restricts the files; ``keep_file``
+    names a column for a row's file; ``not_before`` leaves out older files.
     """
     st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    groups = (csv_headers(spark, path, glob).groupBy("header")
-              .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
-    out = None
-    for g in groups:
-        df = spark.read.option("header", True).option("escape", '"').csv(list(g["paths"]))
-        by_lower = {c.lower().strip(): c for c in df.columns}
-        cols = []
-        for f in st.fields:
-            src = by_lower.get(f.name.lower())
-            cols.append((F.col(f"`{src}`").try_cast(f.dataType) if src else F.lit(None).cast(f.dataType)).alias(f.name))
-        part = df.select(*cols)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
-        return spark.createDataFrame([], st)
-    return out
+    heads = csv_headers(spark, path, glob, not_before)
+    if files is not None:
+        heads = heads.join(files.select("path"), "path", "left_semi")
+    heads = materialize(heads.select("path", F.size("names").alias("width"), F.array(*[
+        F.array_position("names", F.lit(f.name.lower())).cast("int") for f in st.fields]).alias("places")), "csv-headers")
+    layouts = heads.select("places").distinct().limit(2).collect()
+    width = heads.agg(F.max("width")).first()[0]
+    if not layouts:
+        empty = StructType(st.fields + ([StructField(keep_file, StringType())] if keep_file else []))
+        return spark.createDataFrame([], empty)
+    raw = (_csv_text(spark, path, glob, not_before).schema(", ".join(f"_c{i} string" for i in range(width)))
+           .option("header", True).option("escape", '"').csv(path)
+           .select("*", F.col("_metadata.file_path").alias("path")))
+    if len(layouts) > 1 or files is not None:
+        raw = raw.join(heads.select("path", "places"), "path")
+    cells = F.array(*[F.col(f"_c{i}") for i in range(width)])
+    out = []
+    for i, f in enumerate(st.fields):
+        if len(layouts) == 1:
+            at = layouts[0]["places"][i]
+            cell = F.col(f"_c{at - 1}") if at else F.lit(None).cast("string")
+        else:
+            at = F.col("places")[i]
+            cell = F.when(at > 0, F.get(cells, at - 1))
+        out.append(cell.try_cast(f.dataType).alias(f.name))
+    return raw.select(*out, *([F.col("path").alias(keep_file)] if keep_file else []))
 
 
 def read_csv_prefix(spark: SparkSession, prefix: str, fields: Sequence[str], missing: str = "") -> DataFrame:
-    """A4: all CSV files under a prefix, a fixed field list (absent or empty ->
-    ``missing``), with the source file and the files' sorted order."""
-    df = (spark.read.option("header", True).option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", "*.csv").csv(prefix))
-    lower = {c.lower(): c for c in df.columns}
-    cols = [F.coalesce(F.col(f"`{lower[f.lower()]}`"), F.lit(missing)).alias(f) if f.lower() in lower
-            else F.lit(missing).alias(f) for f in fields]
-    return df.select(*cols, F.col("_metadata.file_path").alias("_source_file"))
+    """A4: all CSV files under a prefix, a fixed field list (absent or empty -> ``missing``), each
+    file read by its own header, with its path in ``_source_file``.
+
+    Files are read in the sorted order of their paths by whoever orders by
+    ``_source_file``; a frame itself has no order."""
+    st = StructType([StructField(f, StringType(), True) for f in fields])
+    df = read_csv_by_name(spark, prefix, st, keep_file="_source_file")
+    return df.select(*[F.coalesce(F.col(f"`{f}`"), F.lit(missing)).alias(f) for f in fields], "_source_file")
 
 
 # ---------------------------------------------------------------- JSON
@@ -135,7 +144,7 @@ def _split_glued(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     text that does not decode is kept as one bad record."""
     dec = json.JSONDecoder()
     for pdf in batches:
-        paths, docs = [], []
+        paths, docs, good = [], [], []
         for p, text in zip(pdf["path"], pdf["value"]):
             i, n = 0, len(text)
             while i < n:
@@ -145,26 +154,35 @@ def _split_glued(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     break
                 try:
                     _, j = dec.raw_decode(text, i)
-                    docs.append(text[i:j])
+                    good.append(True)
                 except ValueError:
                     nxt = text.find("{", i + 1)
                     j = n if nxt < 0 else nxt
-                    docs.append(text[i:j])
+                    good.append(False)
+                docs.append(text[i:j])
                 paths.append(p)
                 i = j
-        yield pd.DataFrame({"path": paths, "doc": docs})
+        yield pd.DataFrame({"path": paths, "doc": docs, "good": good})
 
 
-def read_json_concat(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+def read_json_concat(spark: SparkSession, path: str, schema: str | StructType, skip_bad: bool = True,
+                     corrupt: str = "_corrupt_record") -> DataFrame:
     """Files of JSON objects glued together without separators.
 
     Each file (bounded by the delivery flush size) is one ``wholetext`` row; the
     splitter runs per file inside tasks and the objects are typed by Spark's
-    ``from_json``.  ``spark.read.json`` would keep only the first object.
+    ``from_json``.  ``spark.read.json`` would keep only the first object.  A piece
+    that is no object is dropped, or with ``skip_bad=False`` kept as a row whose
+    ``corrupt`` column holds its text.
     """
     raw = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
-    docs = raw.mapInPandas(_split_glued, "path string, doc string")
-    return docs.select(F.from_json("doc", schema).alias("r"), "path").select("r.*", F.col("path").alias("_source_file"))
+    docs = raw.mapInPandas(_split_glued, "path string, doc string, good boolean")
+    typed = F.from_json("doc", schema)
+    good = F.col("good") & F.startswith("doc", F.lit("{")) & typed.isNotNull()
+    if skip_bad:
+        return docs.where(good).select(typed.alias("r"), "path").select("r.*", F.col("path").alias("_source_file"))
+    return docs.select(F.when(good, typed).alias("r"), F.when(~good, F.col("doc")).alias(corrupt), "path") \
+        .select("r.*", corrupt, F.col("path").alias("_source_file"))
 
 
 def explode_items(df: DataFrame, items: str = "items", keep: Sequence[str] = ()) -> DataFrame:
@@ -173,20 +191,27 @@ def explode_items(df: DataFrame, items: str = "items", keep: Sequence[str] = ())
     return C.flatten_struct(df.select(*keep, F.explode(items).alias("_item")).select(*keep, "_item.*"))
 
 
+# Envelope fields.
+ENVELOPE = ("ingestion_id", "region", "ingestion_timestamp", "video_count", "source")
+
+
 def with_envelope(items: DataFrame, group: Sequence[str], ingestion_id: str, region: Column | str,
-                  source: str, ts: str) -> DataFrame:
-    """Wrap rows into ``{items: [...], _pipeline_metadata: {...}}`` documents,
-    one per ``group`` (a bounded page), with the item count and the
-    ``region/date/hour`` layout columns."""
+                  source: str, ts: str, order: Column | str, page_size: int = 50) -> DataFrame:
+    """Wrap rows into ``{items: [...], _pipeline_metadata: {...}}`` documents of at most
+    ``page_size`` items, with the item count and the ``region/date/hour`` layout columns.
+
+    Rows are numbered within ``group`` by ``order`` (which has to be unique in it)
+    without bringing a group together, and cut into pages; only a page is collected.
+    """
     reg = F.col(region) if isinstance(region, str) else region
     body = [c for c in items.columns if c not in group]
-    g = items.groupBy(*group).agg(F.collect_list(F.struct(*body)).alias("items"), F.first(reg).alias("_region"))
+    numbered = rank_within(items.withColumn("_region", reg), group, [order], "_n")
+    paged = numbered.withColumn("_page", F.floor((F.col("_n") - 1) / page_size))
+    g = paged.groupBy(*group, "_page").agg(F.collect_list(F.struct(*body)).alias("items"), F.first("_region").alias("_region"))
     tsc = F.lit(ts).cast("timestamp")
+    values = (F.lit(ingestion_id), F.col("_region"), F.date_format(tsc, "yyyy-MM-dd HH:mm:ss"), F.size("items"), F.lit(source))
     return g.select(
-        "items",
-        F.struct(F.lit(ingestion_id).alias("ingestion_id"), F.col("_region").alias("region"),
-                 F.date_format(tsc, "yyyy-MM-dd HH:mm:ss").alias("ingestion_timestamp"),
-                 F.size("items").alias("video_count"), F.lit(source).alias("source")).alias("_pipeline_metadata"),
+        "items", F.struct(*[v.alias(n) for n, v in zip(ENVELOPE, values)]).alias("_pipeline_metadata"),
         F.col("_region").alias("region"), F.date_format(tsc, "yyyy-MM-dd").alias("date"),
         F.date_format(tsc, "HH").alias("hour"), *group)
 
@@ -214,8 +239,9 @@ def read_partitioned(spark: SparkSession, path: str, predicate: Column | str | N
 def read_mixed(spark: SparkSession, path: str, mapping: Sequence[tuple[str, str, str, str]],
                csv_glob: str = "*.csv", json_glob: str = "*.json") -> DataFrame:
     """A10: one table from CSV rows and JSON rows under one prefix (C4 mapping on each)."""
-    csv = (spark.read.option("header", True).option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", csv_glob).csv(path))
+    # each CSV file by its own header; the sources that the mapping names, as text
+    names = StructType([StructField(m[0], StringType(), True) for m in mapping])
+    csv = read_csv_by_name(spark, path, names, csv_glob)
     js = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", json_glob).json(path)
     return C.apply_mapping(csv, mapping).unionByName(C.apply_mapping(js, mapping), allowMissingColumns=True)
 

@@ -22,8 +22,8 @@ def json_text(*cols) -> "F.Column":
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] | None = None, compression: str = "snappy") -> str:
-    """B1: whole-table write (overwrite by default), optionally Hive-partitioned."""
-    w = df.write.mode(mode).option("compression", compression)
+    """B1: whole-table write (overwrite by default: old partitions go too), optionally Hive-partitioned."""
+    w = df.write.mode(mode).option("compression", compression).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -48,8 +48,7 @@ def write_dataset(df: DataFrame, path: str, mode: str = "append",
     given the table is registered (external, at ``path``) in the same call."""
     spark_mode = "overwrite" if mode in ("overwrite", "overwrite_partitions") else "append"
     w = df.write.mode(spark_mode).format(fmt)
-    if mode == "overwrite_partitions":
-        w = w.option("partitionOverwriteMode", "dynamic")
+    w = w.option("partitionOverwriteMode", "dynamic" if mode == "overwrite_partitions" else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if table:
@@ -63,10 +62,13 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
                 fmt: str = "parquet", **options: str) -> str:
     """Exactly-once output from ``foreachBatch``: rows are tagged with the batch id
     and the batch's own partitions are replaced (dynamic overwrite), so a replayed
-    micro-batch rewrites the same folders instead of appending a second copy."""
+    micro-batch rewrites the same folders instead of appending a second copy.
+
+    ``rebalance`` evens out the files by size: few rows give one file, and a batch
+    whose rows all belong to one folder is still written by many tasks."""
     keys = [*partition_by, "batch_id"]
     (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-     .repartition(*[F.col(k) for k in keys])
+     .hint("rebalance", *[F.col(k) for k in partition_by])
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options)
      .partitionBy(*keys).format(fmt).save(path))
     return path
@@ -78,6 +80,8 @@ def write_one_file_per_partition(df: DataFrame, path: str, partition_by: Sequenc
 
     ``repartition(*keys)`` sends each partition value to one task in parallel,
     instead of funnelling the whole table through one task with ``coalesce(1)``.
+    A partition value is one task's work by definition, so this is for small
+    tables; large ones are written with :func:`write_rebalanced`.
     """
     (df.repartition(*[F.col(k) for k in partition_by]).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
@@ -85,6 +89,11 @@ def write_one_file_per_partition(df: DataFrame, path: str, partition_by: Sequenc
     return path
 
 
+def write_rebalanced(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
+    """B2 with even files: each partition value gets as many files as its size asks for."""
+    return write_idempotent(df.hint("rebalance", *[F.col(k) for k in partition_by]), path, partition_by)
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite",
               index_col: str | None = None, order: Sequence[str] | None = None) -> str:
     """CSV with a header; optional 1-based row index column by ``order``."""
@@ -121,25 +130,30 @@ def to_messages(df: DataFrame, key: str | None, partitions: int | None = None,
     return out.repartition(partitions) if partitions else out
 
 
-def delivery_report(lines: DataFrame, value_col: str = "value", file_col: str = "file_path") -> DataFrame:
-    """Per file ``(file_path, records, sent, skipped, failed)`` from raw
-    record lines; a line that is not valid JSON is skipped, not sent."""
+def delivery_report(lines: DataFrame, unreadable: DataFrame | None = None, value_col: str = "value",
+                    file_col: str = "file_path") -> DataFrame:
+    """Per file ``(file_path, records, sent, skipped, failed)`` from raw record lines.
+
+    A line that is not valid JSON is skipped, not sent.  A file fails when it could
+    not be read (``unreadable``: its path) or when it holds records and none of
+    them could be sent; a failed file counts once, and the others still go.
+    """
     ok = F.try_parse_json(F.col(value_col)).isNotNull()
-    return (lines.groupBy(file_col)
-            .agg(F.count(F.lit(1)).alias("records"), F.count_if(ok).alias("sent"),
-                 F.count_if(~ok).alias("skipped"))
-            .withColumn("failed", F.lit(0).cast("long")))
+    out = (lines.groupBy(file_col)
+           .agg(F.count(F.lit(1)).alias("records"), F.count_if(ok).alias("sent"),
+                F.count_if(~ok).alias("skipped"))
+           .withColumn("failed", (F.col("sent") == 0).cast("long")))
+    if unreadable is not None:
+        none = F.lit(0).cast("long")
+        out = out.unionByName(unreadable.select(file_col, none.alias("records"), none.alias("sent"), none.alias("skipped"),
+                                                F.lit(1).cast("long").alias("failed")))
+    return out
 
 
 def report_summary(report: DataFrame) -> DataFrame:
     """One run row: files, records, sent, skipped, failed files."""
-    return report.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.sum("records"), F.lit(0)).cast("long").alias("records"),
-        F.coalesce(F.sum("sent"), F.lit(0)).cast("long").alias("sent"),
-        F.coalesce(F.sum("skipped"), F.lit(0)).cast("long").alias("skipped"),
-        F.coalesce(F.sum("failed"), F.lit(0)).cast("long").alias("failed"),
-    )
+    return report.agg(F.count(F.lit(1)).alias("files"), *[
+        F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("records", "sent", "skipped", "failed")])
 
 
 def raise_on_failures(summary: DataFrame) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,20 +29,28 @@ def parse_count_logs(logs: DataFrame) -> DataFrame:
 def monitor_handler(spark: SparkSession, log_path: str, summary_path: str, payload: str = "data"):
     """``foreachBatch`` function writing the batch's log rows and one
     summary row ``(batch_id, received, status)``, keyed by batch id so a replay
-    does not duplicate them; an empty batch still writes a heartbeat summary."""
+    does not duplicate them; an empty batch still writes a heartbeat summary.
+
+    The batch is read once: the summary counts the log rows that were written."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         from tidewater.sources.writers import write_batch
         write_batch(log_rows(batch, payload), log_path, batch_id)
-        received = batch.count()
+        try:
+            received = spark.read.parquet(log_path).where(F.col("batch_id") == batch_id).count()
+        except AnalysisException:       # nothing was ever written: no rows, no files
+            received = 0
         write_batch(spark.createDataFrame([(int(received), "ok" if received else "heartbeat")],
                                           "received long, status string"), summary_path, batch_id)
     return handle
 
 
-def heartbeat(spark: SparkSession, batch: DataFrame) -> DataFrame:
-    """One row with ``record_count = 0`` when a trigger brought no records,
-    else the batch's count."""
-    return batch.agg(F.count(F.lit(1)).cast("long").alias("record_count"))
+def window_record(counts: DataFrame, window_end: str, time_col: str = "window_end",
+                  count_col: str = "record_count") -> DataFrame:
+    """The record published for one window: its count, or ``(window_end, 0)`` when
+    the trigger brought none."""
+    end = F.lit(window_end).cast("timestamp_ntz")
+    return counts.where(F.col(time_col).cast("timestamp_ntz") == end).agg(
+        F.coalesce(F.sum(count_col), F.lit(0)).cast("long").alias(count_col)).select(end.alias(time_col), count_col)
 
 
 def rows_per_shard(df: DataFrame, shard: str = "shard_id") -> DataFrame:

@@ -11,21 +11,22 @@ files.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.functions import columns as C
 
-# Sensor source: 13 data fields + 3 stream metadata fields.
+# The sensor source's 13 data fields + 3 stream metadata fields.
 SENSOR_FIELDS = ("location_id string, location_name string, parameter_of_AQI string, value_of_AQI double, "
                  "unit string, timezone string, latitude double, longitude double, country_iso string, "
                  "isMobile boolean, isMonitor boolean, owner_name string, provider string")
 SENSOR_SCHEMA = SENSOR_FIELDS + ", processing_time timestamp, shard_id string, sequence_number string"
 SENSOR_DATA_COLUMNS = [f.strip().split(" ")[0] for f in SENSOR_FIELDS.split(",")]
-# Second source definition with plain names.
+# The second source definition with plain names.
 PLAIN_SCHEMA = ("location_id string, location_name string, parameter string, value double, unit string, "
                 "processing_time timestamp, shard_id string, sequence_number string")
 
@@ -115,11 +116,26 @@ def session_count(df: DataFrame, ts: str, key: str, gap: str, lateness: str = "5
 def window_monitors(df: DataFrame, ts: str, width: str, value: str, station: str, flag: Column,
                     threshold: float, lateness: str = "5 seconds", exact_distinct: bool = False) -> DataFrame:
     """Per-window count above a threshold, avg/min/max, distinct stations and
-    the share of a boolean flag.  ``exact_distinct`` counts the set of stations
-    per window (streams reject ``count(DISTINCT)``); otherwise HyperLogLog."""
-    # exact distinct in a stream: the size of the per-window set (bounded by the station count)
-    distinct = F.size(F.collect_set(station)).cast("long") if exact_distinct else F.approx_count_distinct(station)
+    the share of a boolean flag.
+
+    ``exact_distinct`` chains two aggregations, first (window, station), then
+    window: a window's state is one row of counts for each station, spread over
+    tasks by both, and never a set in one row (streams reject ``count(DISTINCT)``).
+    Otherwise the distinct count is HyperLogLog's."""
     src = df.withWatermark(ts, lateness) if df.isStreaming else df
+    if exact_distinct:
+        each = (src.groupBy(F.window(ts, width), F.col(station).alias("_station"))
+                .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(value) > threshold).alias("above"),
+                     F.sum(value).alias("total"), F.count(value).alias("known"), F.min(value).alias("least"),
+                     F.max(value).alias("most"), F.sum(flag.cast("double")).alias("flagged"), F.count(flag).alias("judged")))
+        return (each.groupBy(F.window(F.window_time("window"), width))
+                .agg(F.sum("n").alias("record_count"), F.sum("above").alias("above_threshold"),
+                     F.try_divide(F.sum("total"), F.sum("known")).alias("avg_value"), F.min("least").alias("min_value"),
+                     F.max("most").alias("max_value"), F.count("_station").alias("stations"),
+                     F.try_divide(F.sum("flagged"), F.sum("judged")).alias("flag_share"))
+                .select(F.col("window.end").alias("window_end"), "record_count", "above_threshold", "avg_value",
+                        "min_value", "max_value", "stations", "flag_share"))
+    distinct = F.approx_count_distinct(station)
     return (src.groupBy(F.window(ts, width))
             .agg(F.count(F.lit(1)).alias("record_count"),
                  F.count_if(F.col(value) > threshold).alias("above_threshold"),
@@ -134,13 +150,17 @@ def with_zero_windows(counts: DataFrame, width_seconds: int, time_col: str = "wi
     """Add the windows that saw no records (count 0) between the first and
     last emitted window.
 
-    The full window grid is generated by Spark from the range of emitted ends
-    (``sequence`` + ``explode``; the range is one row) and left-joined to the
-    counts, so the grid is built on executors, not on the driver.
+    The full window grid is ``spark.range`` over the number of windows between the
+    first and the last end (two values read once), so it is built by many tasks
+    and left-joined to the counts.
     """
-    bounds = counts.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi"))
-    grid = bounds.select(F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {width_seconds} SECONDS")))
-                         .alias(time_col))
+    micros = width_seconds * 1_000_000
+    at = F.unix_micros(F.col(time_col).cast("timestamp"))
+    lo, hi = counts.agg(F.min(at), F.max(at)).first()
+    kind = counts.schema[time_col].dataType
+    n = 0 if lo is None else (hi - lo) // micros + 1
+    grid = counts.sparkSession.range(n).select(
+        F.timestamp_micros(F.lit(lo or 0) + F.col("id") * F.lit(micros)).cast(kind).alias(time_col))
     return (grid.join(counts, time_col, "left")
             .select(time_col, F.coalesce(F.col(count_col), F.lit(0)).cast("long").alias(count_col)))
 
@@ -150,29 +170,44 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, lateness: str = "5
     return df.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
+def _writer(df: DataFrame, sink: str | Callable, checkpoint: str, output_mode: str, fmt: str,
+            partition_by: Sequence[str] | None, max_records_per_file: int | None, max_file_bytes: int | None, name: str | None):
+    if not callable(sink) and max_file_bytes:
+        # Files close at a record count or a size, whichever comes first.  The size is kept by
+        # giving a file at most so many records as the widest record allows.
+        widest = max(1, _row_bytes(df))
+        max_records_per_file = min(max_records_per_file or max_file_bytes, max(1, max_file_bytes // widest))
+    w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+    if name:
+        w = w.queryName(name)
+    if callable(sink):
+        return w.foreachBatch(sink)
+    w = w.format(fmt).option("path", sink)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    return w
+
+
+def _row_bytes(df: DataFrame) -> int:
+    """Planned width of a row: fixed types by their size, text by a generous bound."""
+    width = {"string": 64, "double": 24, "bigint": 20, "int": 11, "boolean": 5, "timestamp": 32}
+    return sum(width.get(t, 64) + len(c) + 6 for c, t in df.dtypes)
+
+
 def run_available_now(df: DataFrame, sink: str | Callable, checkpoint: str, output_mode: str = "append",
                       fmt: str = "parquet", partition_by: Sequence[str] | None = None,
-                      max_records_per_file: int | None = None, name: str | None = None) -> StreamingQuery:
+                      max_records_per_file: int | None = None, max_file_bytes: int | None = None,
+                      name: str | None = None) -> StreamingQuery:
     """Process everything available now, then stop (exactly once per file).
 
     ``sink`` is a path (file sink with its commit log: output is visible only
-    when a batch commits) or a ``foreachBatch`` function.
+    when a batch commits) or a ``foreachBatch`` function.  Rows are written by the
+    tasks that hold them: a folder that takes a whole batch is no one task's work.
     """
-    if partition_by and not callable(sink):
-        # one file per output folder per batch (not one per task per folder)
-        df = df.repartition(*[F.col(c) for c in partition_by])
-    w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
-    if name:
-        w = w.queryName(name)
-    if callable(sink):
-        w = w.foreachBatch(sink)
-    else:
-        w = w.format(fmt).option("path", sink)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        if max_records_per_file:
-            w = w.option("maxRecordsPerFile", max_records_per_file)
-    q = w.trigger(availableNow=True).start()
+    q = _writer(df, sink, checkpoint, output_mode, fmt, partition_by, max_records_per_file, max_file_bytes, name) \
+        .trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()
@@ -181,33 +216,47 @@ def run_available_now(df: DataFrame, sink: str | Callable, checkpoint: str, outp
 
 def start_stream(df: DataFrame, sink: str | Callable, checkpoint: str, every: str = "10 seconds",
                  output_mode: str = "append", fmt: str = "parquet", partition_by: Sequence[str] | None = None,
-                 max_records_per_file: int | None = None, name: str | None = None) -> StreamingQuery:
+                 max_records_per_file: int | None = None, max_file_bytes: int | None = None,
+                 name: str | None = None) -> StreamingQuery:
     """A long-running query with a processing-time trigger (flush
     every ``every``; checkpoint and commit per batch).  Stop it with
     ``query.stop()``; restarting on the same checkpoint resumes (J13)."""
-    if partition_by and not callable(sink):
-        df = df.repartition(*[F.col(c) for c in partition_by])
-    w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
-    if name:
-        w = w.queryName(name)
-    if callable(sink):
-        w = w.foreachBatch(sink)
-    else:
-        w = w.format(fmt).option("path", sink)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        if max_records_per_file:
-            w = w.option("maxRecordsPerFile", max_records_per_file)
-    return w.trigger(processingTime=every).start()
+    return _writer(df, sink, checkpoint, output_mode, fmt, partition_by, max_records_per_file, max_file_bytes, name) \
+        .trigger(processingTime=every).start()
+
+
+class DropCounter(StreamingQueryListener):
+    """Rows that stateful operators dropped as late, summed over every batch of every query.
+
+    A listener sees each batch once; a query's own progress list keeps only the last ones.
+    """
 
+    def __init__(self):
+        self.dropped = 0
 
-def dropped_by_watermark(q: StreamingQuery) -> int:
-    """Rows the stateful operators dropped as late, over all recent batches."""
-    total = 0
-    for p in q.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else []:
-            total += int(op.get("numRowsDroppedByWatermark", 0))
-    return total
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.dropped += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+@contextmanager
+def counting_drops(spark: SparkSession):
+    """A :class:`DropCounter` for the queries run inside."""
+    counter = DropCounter()
+    spark.streams.addListener(counter)
+    try:
+        yield counter
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(counter)
 
 
 def archive_layout(df: DataFrame, ts: str = "processing_time") -> DataFrame:
@@ -216,10 +265,11 @@ def archive_layout(df: DataFrame, ts: str = "processing_time") -> DataFrame:
                      F.date_format(ts, "dd").alias("day"), F.date_format(ts, "HH").alias("hour"))
 
 
-def status(q: StreamingQuery, source_log_files: int | None = None, listed_files: int | None = None) -> dict:
-    """State of a query plus files still pending (listed minus logged)."""
-    s = q.status
-    out = {"active": q.isActive, "message": s.get("message"), "last_batch": (q.lastProgress or {}).get("batchId")}
-    if source_log_files is not None and listed_files is not None:
-        out["pending_files"] = max(0, listed_files - source_log_files)
-    return out
+def status(q: StreamingQuery) -> dict:
+    """State of a query."""
+    return {"active": q.isActive, "message": q.status.get("message"), "last_batch": (q.lastProgress or {}).get("batchId")}
+
+
+def pending_files(listed: DataFrame, landed: DataFrame, path: str = "path", source: str = "source_file") -> DataFrame:
+    """Files of a listing that no landed row comes from yet."""
+    return listed.join(landed.select(F.col(source).alias(path)).distinct(), path, "left_anti")
