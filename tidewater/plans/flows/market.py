@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import columns as C
 from tidewater.operators.star import snapshot_split
 
+# Raw snapshot fields.
 RAW_FIELDS = ["id", "symbol", "name", "current_price", "market_cap", "total_volume", "high_24h", "low_24h",
               "price_change_percentage_24h", "circulating_supply", "ath", "ath_date", "last_updated"]
 
@@ -20,7 +21,8 @@ def transform(raw: DataFrame, extracted_at: str, asof: str) -> dict[str, DataFra
     Absent or null numbers count as 0 before arithmetic (C10); ratios are null
     when the denominator is 0; instants are kept as UTC wall-clock timestamps.
     """
-    df = raw.select(*[F.col(c) for c in RAW_FIELDS])
+    text = {"id", "symbol", "name", "ath_date", "last_updated"}
+    df = raw.select(*[F.col(c) if c in raw.columns else F.lit(None).cast("string" if c in text else "double").alias(c) for c in RAW_FIELDS])
     z = {c: C.zero_if_null(c) for c in ["market_cap", "total_volume", "current_price", "ath", "high_24h", "low_24h"]}
     ath_date = C.parse_instant("ath_date")
     df = df.select(
@@ -50,12 +52,17 @@ def transform(raw: DataFrame, extracted_at: str, asof: str) -> dict[str, DataFra
     })
 
 
+# Columns of the latest-snapshot report.
+REPORT = ("id", "symbol", "name", "market_cap_tier", "market_cap", "current_price", "volume_to_mcap_ratio",
+          "price_to_ath_ratio", "daily_price_range", "days_since_ath", "extracted_at")
+
+
 def latest_prices(coin: DataFrame, market: DataFrame, price: DataFrame, n: int = 10) -> DataFrame:
-    """D5 + G2: the latest snapshot joined across the three tables, top ``n`` by market cap."""
+    """D5 + G2: the latest snapshot joined across the three tables, the report's 11 columns, top
+    ``n`` by market cap."""
     from tidewater.operators.relational import latest_snapshot_join, top_n
     j = latest_snapshot_join([coin, market, price])
-    return top_n(j.select("id", "symbol", "name", "market_cap", "current_price", "market_cap_tier", "extracted_at"),
-                 [F.col("market_cap").desc(), F.col("id")], n)
+    return top_n(j.select(*REPORT), [F.col("market_cap").desc(), F.col("id")], n)
 
 
 LANDING_SCHEMAS = {
@@ -71,19 +78,27 @@ LANDING_SCHEMAS = {
 
 def run(spark, raw: DataFrame, out: str, extracted_at: str, asof: str) -> dict[str, DataFrame]:
     """One snapshot run: transform, land three CSVs (one folder each, stamped by
-    the run), append them by column name (each file once), upsert the current
-    state per coin, and answer the latest-snapshot query."""
+    the run), append them by column name (each file once), apply each table's new
+    files to its current state through a change stream, and answer the
+    latest-snapshot query."""
     from tidewater.operators import cdc
     from tidewater.sources import loads
     from tidewater.sources.writers import write_csv
+    from tidewater.streaming.streams import run_available_now
 
     stamp = extracted_at.replace("-", "").replace(":", "").replace(" ", "T")
     tables = transform(raw, extracted_at, asof)
+    current = {}
     for name, df in tables.items():
         write_csv(df, f"{out}/transformed/{name}/{stamp}", mode="errorifexists")
         loads.copy_into(spark, f"{out}/transformed/{name}", f"{out}/landing/{name}", LANDING_SCHEMAS[name],
                         f"{out}/load_history/{name}", asof)
+        # the landing table's new files are the change stream: a run merges its own snapshot only
+        schema = spark.read.parquet(f"{out}/landing/{name}").schema
+        changes = spark.readStream.schema(schema).parquet(f"{out}/landing/{name}").drop(loads.LOAD_ID, "_file_path")
+        handler = cdc.change_batch_handler(spark, f"{out}/current/{name}", "id", ["extracted_at"], buckets=8)
+        run_available_now(changes, handler, f"{out}/_checkpoints/{name}")
+        current[name] = cdc.current_state(spark, f"{out}/current/{name}")
     landed = {n: loads.read_landing(spark, f"{out}/landing/{n}") for n in tables}
-    cdc.merge_upsert(spark, f"{out}/current/coin_data", landed["coin_data"], "id", ["extracted_at"], buckets=8)
-    return {**landed, "current": cdc.current_state(spark, f"{out}/current/coin_data"),
+    return {**landed, "current": current["coin_data"], **{f"current_{n}": c for n, c in current.items()},
             "latest": latest_prices(landed["coin_data"], landed["market_data"], landed["price_data"])}

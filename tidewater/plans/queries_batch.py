@@ -52,10 +52,10 @@ facts AS (
 """
 
 
-def _star(spark, sf):
+def _star(spark, sf, method="hash"):
     t = SI.Tables(spark, sf)
     g = rides.grain(SI.trips(t))
-    dims = rides.dimensions(g)
+    dims = rides.dimensions(g, method)
     return g, dims, rides.fact(g, dims)
 
 
@@ -87,7 +87,7 @@ SELECT vendor_key, payment_key, location_key, trip_date, total_trips,
        round(avg_fare, 4) AS avg_fare, round(total_tolls, 4) AS total_tolls
 FROM facts""")
 def m3_fact_trips(spark, sf):
-    return rounded(_star(spark, sf)[2])
+    return rounded(_star(spark, sf, "rank")[2])
 
 
 @register("p3_total_revenue", f"""WITH {TRIPS_SQL}
@@ -326,9 +326,13 @@ def e18_engagement_heatmap(spark, sf):
     return rounded(c.groupBy("region", "category_name").agg(F.avg("avg_engagement_rate").alias("avg_engagement_rate")))
 
 
-@register("e18_engagement_pivot", f"""WITH {VIDEOS_SQL}
-SELECT * FROM (PIVOT (SELECT region, category_name, avg_engagement_rate FROM categories)
-  ON category_name USING round(avg(avg_engagement_rate), 4) GROUP BY region)""")
+# The categories that the heat map shows.
+HEATMAP_CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+_PIVOT_SQL = ", ".join(f"""round(avg(CASE WHEN category_name = '{c}' THEN avg_engagement_rate END), 4) AS "{c}\"""" for c in HEATMAP_CATEGORIES)
+
+
+@register("e18_engagement_pivot", f"WITH {VIDEOS_SQL} SELECT region, count(*) AS cells, {_PIVOT_SQL} FROM categories GROUP BY region")
 def e18_engagement_pivot(spark, sf):
-    """The heat map as a pivot (one column per category)."""
-    return rounded(_dash(spark, sf, "engagement_heatmap"))
+    """The heat map as a pivot (one column for each listed category)."""
+    from tidewater.plans.flows import medallion as M
+    return rounded(M.dashboard(M.category_daily(_stats(spark, sf)), names=HEATMAP_CATEGORIES)["engagement_heatmap"])

@@ -66,13 +66,17 @@ def a3_read_csv_external(spark, sf):
 
 
 @register("a4_read_csv_prefix", """SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name,
-       CAST(n_regionkey AS VARCHAR) AS n_regionkey, '' AS n_comment FROM nation""")
+       CAST(n_regionkey AS VARCHAR) AS n_regionkey, '' AS n_comment,
+       CASE WHEN n_regionkey < 2 THEN 'part_a' ELSE 'part_b' END AS folder FROM nation""")
 def a4_read_csv_prefix(spark, sf):
+    """Two folders whose headers differ in order and case: each file is read by its own."""
     n = T(spark, sf).nation
     out = scratch_dir(spark, "a4")
     n.where(F.col("n_regionkey") < 2).write.option("header", True).csv(f"{out}/part_a")
-    n.where(F.col("n_regionkey") >= 2).write.option("header", True).csv(f"{out}/part_b")
-    return RD.read_csv_prefix(spark, out, ["n_nationkey", "n_name", "n_regionkey", "n_comment"]).drop("_source_file")
+    n.where(F.col("n_regionkey") >= 2).select(F.col("n_regionkey").alias("N_REGIONKEY"), "n_name", F.col("n_nationkey").alias("N_NationKey")) \
+        .write.option("header", True).csv(f"{out}/part_b")
+    df = RD.read_csv_prefix(spark, out, ["n_nationkey", "n_name", "n_regionkey", "n_comment"])
+    return df.withColumn("folder", F.regexp_extract("_source_file", "/(part_[ab])/", 1)).drop("_source_file")
 
 
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -89,23 +93,26 @@ def a5_read_json_lines(spark, sf):
 def a6_read_json_array(spark, sf):
     b = T(spark, sf).benchmark
     out = scratch_dir(spark, "a6")
-    # one JSON array document per file: pages of at most 20 items
-    pages = (b.withColumn("page", F.floor(F.col("item_id") / 20))
-             .groupBy("page").agg(F.to_json(F.collect_list(F.struct("item_id", "text"))).alias("doc")))
-    pages.repartition("page").write.partitionBy("page").text(out)
+    # one JSON array document per file: pages of at most 20 items, all in one folder
+    pages = (b.groupBy(F.floor(F.col("item_id") / 20).alias("page"))
+             .agg(F.to_json(F.collect_list(F.struct("item_id", "text"))).alias("doc")))
+    pages.select("doc").write.option("maxRecordsPerFile", 1).text(out)
     return RD.read_json_array(spark, out, "item_id long, text string").select("item_id", "text")
 
 
-@register("a7_read_json_concat", "SELECT * FROM events")
+@register("a7_read_json_concat", """SELECT event_id, ts, user_id, event_type, value, props, CAST(NULL AS VARCHAR) AS bad FROM events
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, '{"broken" ' || CAST(event_id AS VARCHAR) FROM events WHERE event_id % 500 = 0""")
 def a7_read_json_concat(spark, sf):
+    """Glued objects with broken ones among them: the good ones are typed, a broken one keeps its text."""
     e = T(spark, sf).events
     out = scratch_dir(spark, "a7")
     # objects glued with no separator ("}{"), at most 200 per text (one delivery
-    # batch), several texts per file
+    # batch), several texts per file; some texts end in a broken object
     glued = (e.groupBy(F.date_trunc("hour", "ts").alias("h"), F.floor(F.col("event_id") / 200).alias("b"))
-             .agg(F.concat_ws("", F.collect_list(W.json_text(*e.columns))).alias("value")))
+             .agg(F.concat_ws("", F.collect_list(W.json_text(*e.columns)), F.collect_list(F.when(
+                 F.col("event_id") % 500 == 0, F.concat(F.lit('{"broken" '), F.col("event_id").cast("string"))))).alias("value")))
     glued.select("value").write.option("maxRecordsPerFile", 200).text(out)
-    return RD.read_json_concat(spark, out, EVENTS_SCHEMA).drop("_source_file")
+    return RD.read_json_concat(spark, out, EVENTS_SCHEMA, skip_bad=False, corrupt="bad").withColumn("bad", F.rtrim("bad")).drop("_source_file")
 
 
 @register("a8_read_arrival_tree", """SELECT *, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
@@ -134,9 +141,12 @@ MIXED_MAPPING = [("c_custkey", "long", "customer_id", "long"), ("c_name", "strin
 @register("a10_read_mixed", """SELECT c_custkey AS customer_id, c_name AS name, c_acctbal AS balance,
        c_mktsegment AS segment FROM customer""")
 def a10_read_mixed(spark, sf):
+    """CSV files with two header orders, and JSON rows, under one prefix."""
     c = T(spark, sf).customer
     out = scratch_dir(spark, "a10")
-    c.where(F.col("c_acctbal") >= 4500).write.option("header", True).csv(f"{out}/csv")
+    c.where(F.col("c_acctbal") >= 7000).write.option("header", True).csv(f"{out}/csv/a")
+    c.where((F.col("c_acctbal") >= 4500) & (F.col("c_acctbal") < 7000)).select("c_mktsegment", "c_acctbal", "c_name", "c_custkey") \
+        .write.option("header", True).csv(f"{out}/csv/b")
     c.where(F.col("c_acctbal") < 4500).write.json(f"{out}/api")
     return RD.read_mixed(spark, out, MIXED_MAPPING)
 
@@ -167,19 +177,19 @@ def a11_explode_items(spark, sf):
     return RD.explode_items(docs, "items", keep=["conv_id"])
 
 
-@register("a12_envelope", "SELECT role AS region, count(*) AS items, "
-                          "count(DISTINCT (conv_id, CAST(floor(turn / 50) AS BIGINT))) AS documents "
-                          "FROM conversations GROUP BY role")
+@register("a12_envelope", """SELECT role AS region, CAST(sum(n) AS BIGINT) AS items, CAST(sum((n + 49) // 50) AS BIGINT) AS documents,
+       CAST(max(least(n, 50)) AS INTEGER) AS largest FROM (SELECT role, source, count(*) AS n FROM
+       (SELECT role, conv_id % 3 AS source FROM conversations) GROUP BY 1, 2) GROUP BY role""")
 def a12_envelope(spark, sf):
     conv = T(spark, sf).conversations
     out = scratch_dir(spark, "a12")
-    # one envelope per (conversation, role) page of at most 50 turns: a bounded payload
-    pages = conv.select("conv_id", "role", "turn", "text", F.floor(F.col("turn") / 50).alias("page"))
-    env = RD.with_envelope(pages, ["conv_id", "role", "page"], f"ing-{uuid.uuid4().hex[:8]}", "role", "api", ASOF)
-    env.drop("conv_id", "role", "page").write.partitionBy("region", "date", "hour").json(out)
+    rows = conv.select("role", (F.col("conv_id") % 3).alias("source"), F.concat_ws("/", F.lpad(F.col("conv_id").cast("string"), 12, "0"),
+                       F.lpad(F.col("turn").cast("string"), 6, "0")).alias("id"), "text")
+    env = RD.with_envelope(rows, ["role", "source"], f"ing-{uuid.uuid4().hex[:8]}", "role", "api", ASOF, order="id")
+    env.drop("role", "source").write.partitionBy("region", "date", "hour").json(out)
     back = spark.read.json(out)
-    return back.groupBy("region").agg(F.sum("_pipeline_metadata.video_count").alias("items"),
-                                      F.count(F.lit(1)).alias("documents"))
+    n = F.col("_pipeline_metadata.video_count")
+    return back.groupBy("region").agg(F.sum(n).alias("items"), F.count(F.lit(1)).alias("documents"), F.max(n).cast("int").alias("largest"))
 
 
 @register("a13_read_table", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
@@ -188,19 +198,23 @@ def a13_read_table(spark, sf):
     return o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("a20_list_files")
+@register("a20_list_files", "SELECT r_name AS name, true AS has_rows FROM region")
 def a20_list_files(spark, sf):
-    """Listing of the driver's parquet files (sizes and times vary): rows-only."""
-    return RD.list_files(spark, sf, suffix=".parquet", recursive=False)
+    """Listing of files under their names: one file is written for each region, in a folder of its name."""
+    out = scratch_dir(spark, "a20")
+    T(spark, sf).region.repartition("r_name").write.partitionBy("r_name").parquet(out)
+    files = RD.list_files(spark, out, suffix=".parquet")
+    return files.select(F.url_decode(F.regexp_extract("path", "r_name=([^/]+)/", 1)).alias("name"), (F.col("length") > 0).alias("has_rows"))
 
 
 # ============================================================== 2B sinks
-@register("b1_write_parquet", "SELECT * FROM orders")
+@register("b1_write_parquet", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
 def b1_write_parquet(spark, sf):
+    """Whole-table overwrite by a subset of the partitions: the others are gone."""
     o = T(spark, sf).orders
     out = scratch_dir(spark, "b1")
     W.write_parquet(o, out, partition_by=["o_orderstatus"])
-    W.write_parquet(o, out, partition_by=["o_orderstatus"])     # whole-table overwrite: twice = once
+    W.write_parquet(o.where(F.col("o_orderstatus") == "F"), out, partition_by=["o_orderstatus"])
     return spark.read.parquet(out).select(*o.columns)
 
 
@@ -217,15 +231,16 @@ def b2_write_idempotent(spark, sf):
                                                     F.sum("l_extendedprice").alias("revenue")))
 
 
-@register("b3_write_dataset", "SELECT p_size, count(*) AS n FROM part GROUP BY p_size")
+@register("b3_write_dataset", """SELECT p_size, count(*) * CASE WHEN p_size <= 5 THEN 2 ELSE 1 END AS n FROM part WHERE p_size <= 20 GROUP BY p_size""")
 def b3_write_dataset(spark, sf):
+    """Append, overwrite by a subset (the rest goes), replace single partitions (the rest stays)."""
     p = T(spark, sf).part
     out = scratch_dir(spark, "b3")
     name = f"b3_part_{uuid.uuid4().hex[:8]}"
     W.write_dataset(p, out, "append", partition_by=["p_size"])
-    W.write_dataset(p, out, "append", partition_by=["p_size"])                  # two appends: doubled
-    W.write_dataset(p, out, "overwrite", partition_by=["p_size"], table=name)    # overwrite + register
-    W.write_dataset(p.where(F.col("p_size") <= 10), out, "overwrite_partitions", partition_by=["p_size"])
+    W.write_dataset(p.where(F.col("p_size") <= 20), out, "overwrite", partition_by=["p_size"], table=name)
+    W.write_dataset(p.where(F.col("p_size") <= 10), out, "append", partition_by=["p_size"])
+    W.write_dataset(p.where(F.col("p_size").between(6, 10)), out, "overwrite_partitions", partition_by=["p_size"])
     return spark.table(name).groupBy("p_size").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -253,22 +268,22 @@ def b9_to_messages(spark, sf):
     return msgs.groupBy("key").agg(F.count(F.lit(1)).alias("messages"))
 
 
-@register("b9_messages_ordered", """SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS out_of_order FROM (
-  SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events)
-WHERE prev > ts GROUP BY 1""")
+@register("b9_messages_ordered", """SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS messages, CAST(0 AS BIGINT) AS out_of_order
+FROM events GROUP BY 1""")
 def b9_messages_ordered(spark, sf):
-    """Key-ordered delivery: within each key, messages leave in time order (no row is out of order).
+    """Key-ordered delivery: within each key, messages leave in time order.
 
     Checked with two skew-safe ranks per key (by delivery position, by time); a
     message is out of order when they differ."""
     from tidewater.operators.relational import rank_within
     e = T(spark, sf).events
-    msgs = W.to_messages(e, "user_id", order=["ts"]).withColumn("pos", F.monotonically_increasing_id())
-    parsed = msgs.select("key", "pos", F.get_json_object("value", "$.ts").alias("ts"))
+    # written as they leave: position is the place in the file of the key's partition
+    sent = scratch_dir(spark, "b9-sent")
+    W.to_messages(e, "user_id", order=["ts"]).withColumn("pos", F.monotonically_increasing_id()).write.parquet(sent)
+    parsed = spark.read.parquet(sent).select("key", "pos", F.get_json_object("value", "$.ts").alias("ts"))
     by_pos = rank_within(parsed, ["key"], [F.col("pos")], "r_pos")
     both = rank_within(by_pos, ["key"], [F.col("ts"), F.col("pos")], "r_ts")
-    return (both.where(F.col("r_pos") != F.col("r_ts"))
-            .groupBy("key").agg(F.count(F.lit(1)).alias("out_of_order")))
+    return both.groupBy("key").agg(F.count(F.lit(1)).alias("messages"), F.count_if(F.col("r_pos") != F.col("r_ts")).alias("out_of_order"))
 
 
 @register("b10_register_table", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2")
@@ -278,17 +293,24 @@ def b10_register_table(spark, sf):
     return spark.sql(f"SELECT l_returnflag, l_linestatus, count(*) AS n FROM {name} GROUP BY 1, 2")
 
 
-@register("b11_catalog_path")
+@register("b11_catalog_path", """SELECT * FROM (VALUES ('mixed', 'json,parquet', 'rejected: mixed formats', CAST(NULL AS BIGINT)),
+  ('nation', 'csv', 'registered', (SELECT count(*) FROM nation)), ('orders', 'parquet', 'registered', (SELECT count(*) FROM orders)),
+  ('region', 'json', 'registered', (SELECT count(*) FROM region))) AS v(table_name, format, status, rows)""")
 def b11_catalog_path(spark, sf):
-    """Crawl a root of folders into tables (parquet, csv, json, one mixed folder): rows-only."""
+    """Crawl a root of folders into tables (parquet, csv, json, one mixed folder), and count each table's rows."""
     t = T(spark, sf)
-    root = scratch_dir(spark, "b11")
+    root, db = scratch_dir(spark, "b11"), f"crawl_{uuid.uuid4().hex[:8]}"
     t.orders.write.parquet(f"{root}/orders")
     t.nation.write.option("header", True).csv(f"{root}/nation")
     t.region.write.json(f"{root}/region")
     t.region.write.json(f"{root}/mixed")
     t.region.write.mode("append").parquet(f"{root}/mixed")
-    return CAT.catalog_path(spark, root, f"crawl_{uuid.uuid4().hex[:8]}")
+    found = CAT.catalog_path(spark, root, db)
+    counts = None
+    for name in ("nation", "orders", "region"):
+        n = spark.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        counts = n if counts is None else counts.unionByName(n)
+    return found.join(counts, "table_name", "left").select("table_name", "format", "status", "rows")
 
 
 @register("b12_create_external", "SELECT * FROM region")
@@ -315,14 +337,13 @@ def b13_landing_like(spark, sf):
        count(*) AS orders FROM orders GROUP BY 1)
 SELECT o_orderstatus, revenue, orders, round(revenue / orders, 4) AS avg_order FROM by_status""")
 def b15_materialize(spark, sf):
+    """The model that refers to the other one is declared first."""
     m = CAT.Models(spark, {"taxi_source.facts": T(spark, sf).orders})
-    base = scratch_dir(spark, "b15")
-    m.materialize("by_status", lambda r: r.ref("taxi_source.facts").groupBy("o_orderstatus").agg(
+    m.declare("avg_order", lambda r: r.ref("by_status").withColumn("avg_order", F.col("revenue") / F.col("orders")))
+    m.declare("by_status", lambda r: r.ref("taxi_source.facts").groupBy("o_orderstatus").agg(
         F.sum("o_totalprice").alias("revenue"), F.count(F.lit(1)).alias("orders")), as_="table",
-        path=f"{base}/by_status")
-    out = m.materialize("avg_order", lambda r: r.ref("by_status").withColumn(
-        "avg_order", F.col("revenue") / F.col("orders")), as_="view")
-    return rounded(out)
+        path=f"{scratch_dir(spark, 'b15')}/by_status")
+    return rounded(m.run()["avg_order"])
 
 
 @register("b17_write_json", "SELECT * FROM nation")
@@ -331,19 +352,27 @@ def b17_write_json(spark, sf):
     return spark.read.schema("n_nationkey int, n_name string, n_regionkey int").json(out)
 
 
-@register("b18_delivery_report", """SELECT count(DISTINCT CAST(ts AS DATE)) AS files,
-       CAST(count(*) + count_if(event_type = 'error') AS BIGINT) AS records, count(*) AS sent,
-       CAST(count_if(event_type = 'error') AS BIGINT) AS skipped, 0 AS failed FROM events""")
+@register("b18_delivery_report", """WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n, count_if(event_type = 'error') AS bad FROM events GROUP BY 1)
+SELECT count(*) + 1 AS files, CAST(sum(CASE WHEN day(day) = 13 THEN n ELSE n + bad END) AS BIGINT) AS records,
+       CAST(sum(CASE WHEN day(day) = 13 THEN 0 ELSE n END) AS BIGINT) AS sent, CAST(sum(CASE WHEN day(day) = 13 THEN n ELSE bad END) AS BIGINT) AS skipped,
+       CAST(1 + count_if(day(day) = 13) AS BIGINT) AS failed, true AS raised FROM d""")
 def b18_delivery_report(spark, sf):
+    """Daily folders of record lines: one day holds no readable record and one file cannot be read at all;
+    both fail, the others are sent, and the run raises after every file was tried."""
     e = T(spark, sf).events
     out = scratch_dir(spark, "b18")
     good = W.json_text(*e.columns)
-    # each error event is followed by a malformed line in the same daily file
-    lines = e.select(F.to_date("ts").alias("day"), F.explode(F.when(
+    # each error event is followed by a malformed line in the same daily folder
+    lines = e.select(F.to_date("ts").alias("day"), F.explode(F.when(F.dayofmonth("ts") == 13, F.array(F.lit("{broken"))).when(
         F.col("event_type") == "error", F.array(good, F.lit("{not json"))).otherwise(F.array(good))).alias("value"))
-    lines.repartition("day").write.partitionBy("day").text(out)
-    lines = spark.read.text(out).select("value", F.col("_metadata.file_path").alias("file_path"))
-    report = W.delivery_report(lines)
-    summary = W.report_summary(report)
-    W.raise_on_failures(summary)
-    return summary.select("files", "records", "sent", "skipped", F.col("failed").cast("int").alias("failed"))
+    lines.write.partitionBy("day").text(out)
+    lines = spark.read.text(out).select("value", F.regexp_extract(F.col("_metadata.file_path"), "day=([^/]+)/", 1).alias("file_path"))
+    unreadable = e.select(F.lit("torn").alias("file_path")).distinct()
+    summary = W.report_summary(W.delivery_report(lines, unreadable))
+    try:
+        W.raise_on_failures(summary)
+        raised = False
+    except RuntimeError:
+        raised = True
+    return summary.withColumn("raised", F.lit(raised))
+

@@ -4,6 +4,8 @@ market snapshot split (M4, M5).  Each function is ``(spark, sf_dir) -> DataFrame
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from tidewater.functions import columns as C
@@ -12,6 +14,7 @@ from tidewater.operators import relational as R
 from tidewater.operators import star as S
 from tidewater.plans import standins as SI
 from tidewater.plans.registry import register, rounded
+from tidewater.session import scratch_dir
 
 ASOF = SI.ASOF
 
@@ -188,10 +191,14 @@ def i6_rounded_diff(spark, sf):
 
 
 @register("i7_days_since", f"""SELECT o_orderkey, CAST(floor((epoch_us(TIMESTAMP '{ASOF}') - epoch_us(o_orderdate))
-       / 86400000000) AS INTEGER) AS days_since FROM orders""")
+       / 86400000000) AS INTEGER) AS days_since, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE
+       CAST(floor((epoch_us(TIMESTAMP '{ASOF}') - epoch_us(o_orderdate)) / 86400000000) AS INTEGER) END AS days_since_text
+FROM orders""")
 def i7_days_since(spark, sf):
+    """Instants and instant text; text that is no instant gives null."""
     o = T(spark, sf).orders
-    return o.select("o_orderkey", C.days_since("o_orderdate", ASOF).alias("days_since"))
+    text = F.when(F.col("o_orderstatus") == "F", F.lit("soon")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    return o.select("o_orderkey", C.days_since("o_orderdate", ASOF).alias("days_since"), C.days_since(text, ASOF).alias("days_since_text"))
 
 
 @register("i8_parse_instant", """SELECT o_orderkey, strftime(o_orderdate + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS parsed,
@@ -213,9 +220,11 @@ def i9_parse_yy_dd_mm(spark, sf):
                     C.parse_yy_dd_mm(F.concat(F.lit("x"), txt)).alias("parsed_bad"))
 
 
-@register("i10_to_date", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date FROM orders")
+@register("i10_to_date", """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date,
+       CASE WHEN o_orderstatus = 'F' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS text_date FROM orders""")
 def i10_to_date(spark, sf):
-    return T(spark, sf).orders.select("o_orderkey", C.to_day("o_orderdate").alias("order_date"))
+    text = F.when(F.col("o_orderstatus") == "F", F.lit("no day")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    return T(spark, sf).orders.select("o_orderkey", C.to_day("o_orderdate").alias("order_date"), C.to_day(text).alias("text_date"))
 
 
 @register("i11_positive_ratio", """SELECT l_orderkey, l_linenumber,
@@ -260,12 +269,13 @@ def i15_run_stamps(spark, sf):
     return e.select("event_id", *C.run_stamps("ts"))
 
 
-@register("i16_aggregated_at")
+@register("i16_aggregated_at", "SELECT o_orderstatus, count(*) AS n, true AS stamped_now FROM orders GROUP BY 1")
 def i16_aggregated_at(spark, sf):
-    """current_timestamp stamp column: nondeterministic, so rows-only."""
+    """The stamp is the run's own instant: one for all rows, and within a day of the driver's clock."""
     o = T(spark, sf).orders
-    return o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).withColumn("_aggregated_at",
-                                                                                   F.current_timestamp())
+    now = datetime.now(timezone.utc)
+    out = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).withColumn("_aggregated_at", F.current_timestamp())
+    return out.select("o_orderstatus", "n", (F.abs(F.unix_seconds("_aggregated_at") - F.lit(int(now.timestamp()))) < 86_400).alias("stamped_now"))
 
 
 @register("i17_minus_interval", f"""SELECT count(*) AS recent FROM events
@@ -320,9 +330,12 @@ FROM orders o LEFT JOIN (SELECT c_custkey, min(c_mktsegment) AS seg FROM custome
                          WHERE c_custkey IS NOT NULL AND c_acctbal >= 0 GROUP BY c_custkey) c
   ON o.o_custkey = c.c_custkey""")
 def d1_lookup_left(spark, sf):
+    """Lookup keys are text, as a file would bring them: every key comes in two spellings, and there are
+    keys that are no number; neither may double a fact row or fail."""
     t = T(spark, sf)
     # customers in debit are absent from the lookup, so the default is exercised
-    dim = t.customer.where(F.col("c_acctbal") >= 0)
+    dim = t.customer.where(F.col("c_acctbal") >= 0).select(F.col("c_custkey").cast("string"), "c_mktsegment")
+    dim = dim.union(dim.select(F.concat(F.lit("0"), "c_custkey"), "c_mktsegment")).union(dim.select(F.concat(F.lit("x"), "c_custkey"), F.lit("BAD")))
     return R.lookup_left(t.orders.select("o_orderkey", "o_custkey"), dim, "o_custkey", "c_custkey",
                          {"c_mktsegment": "segment"}, {"segment": "UNKNOWN"}).select("o_orderkey", "segment")
 
@@ -410,8 +423,10 @@ def d6_join_extra_equality(spark, sf):
 SELECT i.id, count(*) AS pairs FROM snap_id i JOIN snap_px p ON i.id = p.id GROUP BY i.id""")
 def d7_join_id_only_fanout(spark, sf):
     ident, _, px = _snapshots(T(spark, sf).events)
-    j = ident.select("id").join(px.select("id"), "id")   # fans out across snapshots, kept as documented
-    return j.groupBy("id").agg(F.count(F.lit(1)).alias("pairs"))
+    # an id's rows on either side meet in all pairs, so their number is a product; no pair is made
+    a = ident.groupBy("id").agg(F.count(F.lit(1)).alias("a"))
+    b = px.groupBy("id").agg(F.count(F.lit(1)).alias("b"))
+    return R.inner_join(a, b, "id").select("id", (F.col("a") * F.col("b")).alias("pairs"))
 
 
 # ============================================================== 2E aggregates
@@ -537,10 +552,13 @@ def g3_sort_by_number_text(spark, sf):
     return R.sort_by_number(s, "acctbal_text", tie=["s_suppkey"]).limit(10)
 
 
-@register("g4_preview_limit")
+@register("g4_preview_limit", """SELECT least(10, count(*)) AS rows, true AS all_from_table FROM events""")
 def g4_preview_limit(spark, sf):
-    """LIMIT n preview: which rows come back is unspecified, so rows-only."""
-    return T(spark, sf).events.limit(10)
+    """LIMIT n preview: which rows come back is unspecified, so their number and origin are compared."""
+    e = T(spark, sf).events
+    known = e.select("event_id", F.lit(True).alias("known")).distinct()
+    return e.limit(10).select("event_id").join(known, "event_id", "left").agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.bool_and(F.coalesce("known", F.lit(False))), F.lit(True)).alias("all_from_table"))
 
 
 @register("g5_newest_log_view", r"""SELECT ts, nullif(regexp_extract(props, '"k":\s*(\d+)', 1), '') AS k, event_id
@@ -621,25 +639,25 @@ def _checks_sql(table, critical, present, range_col=None, max_value=None, ts_col
                 max_null=5.0):
     rows = [f"""SELECT 'row_count' AS "check", '{table}' AS table_name, CAST(NULL AS VARCHAR) AS column_name,
        CAST(count(*) AS DOUBLE) AS value, CAST({float(min_rows)} AS DOUBLE) AS threshold, count(*) >= {min_rows} AS passed,
-       printf('Row count: %d (min: %d)', count(*), {min_rows}) AS message FROM {table}"""]
+       printf('%d rows, at least %d wanted', count(*), {min_rows}) AS message FROM {table}"""]
     for c in critical:
         if c in present:
             pct = (f"(CASE WHEN count(*) > 0 THEN count_if({c} IS NULL) * 100.0 / count(*) ELSE 0.0 END)")
             rows.append(f"""SELECT 'null_pct', '{table}', '{c}', CAST(round({pct}, 2) AS DOUBLE), CAST({max_null} AS DOUBLE),
        {pct} <= {max_null},
-       printf('{c} null%%: %.2f%% (max: %.1f%%)', {pct}, {max_null}) FROM {table}""")
+       printf('{c} is null in %.2f%% of rows, at most %.1f%% allowed', {pct}, {max_null}) FROM {table}""")
         else:
             rows.append(f"""SELECT 'null_pct', '{table}', '{c}', NULL, CAST({max_null} AS DOUBLE), false,
-       'Column ''{c}'' missing from table'""")
+       'no column {c}'""")
     missing = sorted(c for c in critical if c not in present)
-    msg = f"Missing columns: {', '.join(missing)}" if missing else "All expected columns present"
+    msg = f"absent: {', '.join(missing)}" if missing else "every critical column is there"
     rows.append(f"SELECT 'schema', '{table}', NULL, CAST({float(len(missing))} AS DOUBLE), CAST(0.0 AS DOUBLE), "
                 f"{str(not missing).lower()}, '{msg}'")
     if range_col:
         neg, ext = f"count_if({range_col} < 0)", f"count_if({range_col} > {max_value})"
         rows.append(f"""SELECT 'value_range', '{table}', '{range_col}', CAST({neg} + {ext} AS DOUBLE),
        CAST({max_value} AS DOUBLE),
-       {neg} + {ext} = 0, printf('{range_col}: %d negative, %d extreme (>%d)', {neg}, {ext}, {int(max_value)})
+       {neg} + {ext} = 0, printf('{range_col} below 0 in %d rows, above %d in %d', {neg}, {int(max_value)}, {ext})
        FROM {table}""")
     if ts_col:
         latest = f"max({ts_col})"
@@ -647,10 +665,10 @@ def _checks_sql(table, critical, present, range_col=None, max_value=None, ts_col
         rows.append(f"""SELECT 'freshness', '{table}', '{ts_col}',
        CAST(floor((epoch_us({cutoff}) - epoch_us({latest})) / 3600000000) AS DOUBLE), CAST(48.0 AS DOUBLE),
        coalesce({latest} >= {cutoff}, true),
-       'Latest: ' || CAST({latest} AS VARCHAR) || ', Cutoff: ' || CAST({cutoff} AS VARCHAR) FROM {table}""")
+       'newest ' || CAST({latest} AS VARCHAR) || ', due ' || CAST({cutoff} AS VARCHAR) FROM {table}""")
     else:
         rows.append(f"""SELECT 'freshness', '{table}', NULL, NULL, CAST(48.0 AS DOUBLE), true,
-       'No timestamp column - skipping (backfill data)'""")
+       'no time column to judge by'""")
     return "\nUNION ALL ".join(rows)
 
 
@@ -694,19 +712,27 @@ def l6_l7_gate(spark, sf):
     return summary
 
 
-@register("l7_read_failure")
+@register("l7_read_failure", f"""SELECT "check", table_name, passed FROM ({ORDERS_CHECKS_SQL})
+UNION ALL SELECT 'read_table', 'absent', false UNION ALL SELECT 'read_table', 'torn', false""")
 def l7_read_failure(spark, sf):
-    """Unreadable table -> one failed check row (message is the engine's error text): rows-only."""
-    checks, _ = Q.gate(spark, {"missing_table": f"{sf}/no_such_table.parquet"}, {}, asof=ASOF)
-    return checks
+    """One table is absent, one cannot be read when its files are opened; the third is checked as usual."""
+    t = T(spark, sf)
+    torn = scratch_dir(spark, "l7-torn")
+    t.nation.write.parquet(f"{torn}/good")
+    # text under a Parquet name: the schema comes from the good file, the fault shows on reading
+    t.nation.select("n_name").coalesce(1).write.text(f"{torn}/text")
+    files = spark.read.schema(t.nation.schema).option("recursiveFileLookup", "true").parquet(f"{torn}/good", f"{torn}/text")
+    checks, _ = Q.gate(spark, {"orders": t.orders, "absent": f"{sf}/no_such_table.parquet", "torn": files},
+                       {"orders": ORDERS_SPEC, "torn": {"critical": ["n_name"]}}, asof=ASOF)
+    return checks.select("check", "table_name", "passed")
 
 
 @register("l8_sample_bound", """SELECT 'row_count' AS "check", 'orders' AS table_name, CAST(NULL AS VARCHAR) AS column_name,
        CAST(count(*) AS DOUBLE) AS value, CAST(10.0 AS DOUBLE) AS threshold, count(*) >= 10 AS passed,
-       printf('Row count: %d (min: %d)', count(*), 10) AS message FROM orders""")
+       printf('%d rows, at least %d wanted', count(*), 10) AS message FROM orders""")
 def l8_sample_bound(spark, sf):
-    """The optional sample bound defaults to the whole table (no limit)."""
-    checks = Q.table_checks(T(spark, sf).orders, "orders", [], asof=ASOF, sample=None)
+    """Checks see the whole table: the row count they report is the table's."""
+    checks = Q.table_checks(T(spark, sf).orders, "orders", [], asof=ASOF)
     return checks.where(F.col("check") == "row_count")
 
 
@@ -731,5 +757,5 @@ def l9_l13_tests(spark, sf):
         "unique_lineitem_order_line": Q.unique(li, ["l_orderkey", "l_linenumber"]),
         "accepted_values_orders_status": Q.accepted_values(o, "o_orderstatus", ["F", "O"]),
         "relationships_orders_customer": Q.relationships(o, t.customer, "o_custkey", "c_custkey"),
-        "assert_empty_negative_price": Q.assert_empty(o.where(F.col("o_totalprice") < 0)),
+        "assert_empty_negative_price": o.where(F.col("o_totalprice") < 0),
     })

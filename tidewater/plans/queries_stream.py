@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import cdc as CDC
 from tidewater.plans import standins as SI
 from tidewater.plans.registry import register, rounded
-from tidewater.session import scratch_dir
+from tidewater.session import materialize, scratch_dir
 from tidewater.sources import loads as LD
 from tidewater.sources import writers as W
 from tidewater.streaming import monitors as MON
@@ -29,11 +29,12 @@ def T(spark, sf):
     return SI.Tables(spark, sf)
 
 
-def _write_readings(spark, sf, inbox, where=None, files=8):
+def _write_readings(spark, sf, inbox, where=None, records_per_file=10_000):
+    """Files bounded by their record count, however large the table is."""
     r = SI.readings(T(spark, sf))
     if where is not None:
         r = r.where(where)
-    r.repartition(files).write.mode("append").options(**W.JSON_OPTIONS).json(inbox)
+    r.write.mode("append").option("maxRecordsPerFile", records_per_file).options(**W.JSON_OPTIONS).json(inbox)
     return inbox
 
 
@@ -77,10 +78,11 @@ def _late_run(spark, sf):
     out, ck = scratch_dir(spark, "j3-out"), scratch_dir(spark, "j3-ckpt")
     ST.run_available_now(agg, out, ck)
     # a late file: the first day's readings delivered again after the stream moved on
-    _write_readings(spark, sf, inbox, F.col("processing_time") < F.lit("2024-01-02").cast("timestamp"), files=1)
+    _write_readings(spark, sf, inbox, F.col("processing_time") < F.lit("2024-01-02").cast("timestamp"))
     src2 = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
-    q = ST.run_available_now(ST.tumbling_count(src2, "processing_time", "1 hour"), out, ck)
-    return out, q
+    with ST.counting_drops(spark) as late:
+        ST.run_available_now(ST.tumbling_count(src2, "processing_time", "1 hour"), out, ck)
+    return out, late.dropped
 
 
 @register("j3_late_file_ignored", _closed("1 HOUR"))
@@ -89,14 +91,15 @@ def j3_late_file_ignored(spark, sf):
     return _ntz(spark.read.parquet(out), "window_end")
 
 
-@register("j3_late_groups_dropped", "SELECT count(DISTINCT date_trunc('hour', ts)) AS dropped FROM events "
-                                    "WHERE ts < TIMESTAMP '2024-01-02'")
+@register("j3_late_groups_dropped", "SELECT count(DISTINCT date_trunc('hour', ts)) > 0 AS late_rows_dropped, "
+                                    "count(*) AS late_rows FROM events WHERE ts < TIMESTAMP '2024-01-02'")
 def j3_late_groups_dropped(spark, sf):
-    """The state operator's ``numRowsDroppedByWatermark``: late rows are partially
-    aggregated before the state store, so a one-file late delivery counts one
-    dropped row per late window."""
-    _, q = _late_run(spark, sf)
-    return spark.createDataFrame([(ST.dropped_by_watermark(q),)], "dropped long")
+    """The state operators' dropped rows, summed by a listener: late rows are partially
+    aggregated before the state store, so their number depends on the tasks; that
+    there are any does not."""
+    _, dropped = _late_run(spark, sf)
+    late = T(spark, sf).events.where(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz"))
+    return late.agg(F.lit(dropped > 0).alias("late_rows_dropped"), F.count(F.lit(1)).alias("late_rows"))
 
 
 @register("j4_restart_exactly_once", _closed("1 MINUTE"))
@@ -213,12 +216,18 @@ def j9_batch_monitor_logs(spark, sf):
     return MON.parse_count_logs(spark.read.parquet(logs))
 
 
-@register("j10_heartbeat", "SELECT 0 AS record_count")
+@register("j10_heartbeat", f"""SELECT TIMESTAMP '{ASOF}' AS window_end, 0 AS record_count
+UNION ALL SELECT max(window_end), CAST(sum(record_count) FILTER (window_end = top) AS INTEGER) FROM (
+  SELECT *, max(window_end) OVER () AS top FROM ({_closed('1 HOUR')}))""")
 def j10_heartbeat(spark, sf):
-    """A trigger that brought nothing still reports one row with a zero count."""
-    e = T(spark, sf).events
-    empty = e.where(F.col("ts") > F.lit(ASOF).cast("timestamp_ntz"))   # nothing after the as-of instant
-    return MON.heartbeat(spark, empty).select(F.col("record_count").cast("int").alias("record_count"))
+    """The record of a trigger that brought nothing (its window and 0), and of the newest closed window."""
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "j10-inbox"))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    out, _, _ = _run(ST.tumbling_count(src, "processing_time", "1 hour"), "j10", spark)
+    counts = _ntz(spark.read.parquet(out), "window_end")
+    newest = str(counts.agg(F.max("window_end")).first()[0])
+    both = MON.window_record(counts, ASOF).union(MON.window_record(counts, newest))
+    return both.select("window_end", F.col("record_count").cast("int").alias("record_count"))
 
 
 @register("j11_dedup_within_watermark", """SELECT 'delivered' AS table_name, 2 * count(*) AS row_count FROM events
@@ -252,35 +261,42 @@ def j12_rows_per_shard(spark, sf):
     return MON.rows_per_shard(spark.read.parquet(out))
 
 
-@register("j12_landing_latency")
+@register("j12_landing_latency", f"""SELECT round((epoch_us(TIMESTAMP '{ASOF}') - epoch_us(max(ts))) / 1000000.0, 4) AS min_latency_s,
+       round((epoch_us(TIMESTAMP '{ASOF}') - epoch_us(min(ts))) / 1000000.0, 4) AS max_latency_s, true AS files_are_newer FROM events""")
 def j12_landing_latency(spark, sf):
-    """Arrival (file time) minus event time: depends on when the run happens, so rows-only."""
+    """Latency against a fixed landing instant; the files' own times differ by run, but are later than it."""
     inbox = _write_readings(spark, sf, scratch_dir(spark, "j12l-inbox"))
-    df = spark.read.schema(ST.SENSOR_SCHEMA).json(inbox).withColumn(
-        "landed", F.col("_metadata.file_modification_time"))
-    return MON.landing_latency(df, "processing_time", "landed")
+    df = spark.read.schema(ST.SENSOR_SCHEMA).json(inbox).select(
+        "processing_time", F.col("_metadata.file_modification_time").alias("file_time"), F.lit(ASOF).cast("timestamp").alias("landed"))
+    real = MON.landing_latency(df, "processing_time", "file_time").select(F.col("min_latency_s").alias("real"))
+    both = MON.landing_latency(df, "processing_time", "landed").join(F.broadcast(real), F.col("real") >= F.col("min_latency_s"), "left")
+    return rounded(both.select("min_latency_s", "max_latency_s", F.col("real").isNotNull().alias("files_are_newer")))
 
 
-@register("j13_pause_resume_status")
+@register("j13_pause_resume_status", """SELECT 'paused' AS phase, false AS active, count(*) AS rows, true AS files_pending
+FROM events WHERE ts < TIMESTAMP '2024-01-16' UNION ALL SELECT 'resumed', false, count(*), false FROM events""")
 def j13_pause_resume_status(spark, sf):
-    """Stop, add files, resume on the checkpoint; report status and pending files: rows-only."""
+    """Stop, add files, resume on the checkpoint: state, landed rows and files pending in either phase."""
     inbox = scratch_dir(spark, "j13-inbox")
     cut = F.lit("2024-01-16").cast("timestamp")
     _write_readings(spark, sf, inbox, F.col("processing_time") < cut)
-    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
     out, ck = scratch_dir(spark, "j13-out"), scratch_dir(spark, "j13-ckpt")
-    q = ST.run_available_now(src, out, ck)
-    before = ST.status(q)
+
+    def run():
+        src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA).withColumn("source_file", F.col("_metadata.file_path"))
+        return ST.status(ST.run_available_now(src, out, ck))
+
+    def report(phase, state):
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(inbox).select("path")
+        landed = spark.read.parquet(out)
+        pending = ST.pending_files(listed, landed).agg((F.count(F.lit(1)) > 0).alias("files_pending"))
+        rows = landed.agg(F.count(F.lit(1)).alias("rows"))
+        one = rows.withColumn("k", F.lit(1)).join(F.broadcast(pending.withColumn("k", F.lit(1))), "k")     # one row each
+        return materialize(one.select(F.lit(phase).alias("phase"), F.lit(state["active"]).alias("active"), "rows", "files_pending"), "j13")
+    state = run()
     _write_readings(spark, sf, inbox, F.col("processing_time") >= cut)
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(inbox).count()
-    logged = spark.read.parquet(out).inputFiles()
-    q2 = ST.run_available_now(ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA), out, ck)
-    after = ST.status(q2)
-    return spark.createDataFrame(
-        [("paused", str(before["active"]), before["last_batch"], listed - 8),
-         ("resumed", str(after["active"]), after["last_batch"], 0)],
-        "phase string, active string, last_batch long, pending_files long").withColumn(
-        "output_files", F.lit(len(logged)))
+    paused = report("paused", state)
+    return paused.unionByName(report("resumed", run()))
 
 
 # ============================================================== 2A stream sources, 2B stream sinks
@@ -300,36 +316,52 @@ def a14_read_new_files_twice(spark, sf):
     return _ntz(spark.read.parquet(out).select(*READ_COLS), "processing_time")
 
 
-@register("a15_reload_force", f"SELECT count(*) AS loaded_once, 2 * count(*) AS after_force FROM events")
+CSV_EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+def _event_csv(df):
+    return df.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).write.mode("append").option("header", True).option("escape", '"')
+
+
+@register("a15_reload_force", """SELECT 'first' AS run, count(*) AS rows FROM events WHERE ts < TIMESTAMP '2024-01-16'
+UNION ALL SELECT 'again', count(*) FROM events WHERE ts < TIMESTAMP '2024-01-16'
+UNION ALL SELECT 'forced', count(*) FROM events UNION ALL SELECT 'after', count(*) FROM events""")
 def a15_reload_force(spark, sf):
-    """``reload(force=True)``: a batch read ignores the load history, so a forced
-    reload appends every file again; a normal rerun would add nothing."""
-    inbox = _write_readings(spark, sf, scratch_dir(spark, "a15-inbox"))
-    out, ck = scratch_dir(spark, "a15-out"), scratch_dir(spark, "a15-ckpt")
-    ST.run_available_now(ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA), out, ck)
-    once = spark.read.parquet(out).count()
-    forced = scratch_dir(spark, "a15-forced")
-    spark.read.parquet(out).write.parquet(forced)
-    spark.read.schema(ST.SENSOR_SCHEMA).json(inbox).write.mode("append").parquet(forced)
-    total = spark.read.parquet(forced).count()
-    return spark.createDataFrame([(once, total)], "loaded_once long, after_force long")
-
-
-@register("a16_inbox_to_archive", """SELECT count(*) AS rows, CAST(3 AS BIGINT) AS archived_files,
-       CAST(1 AS BIGINT) AS inbox_files FROM events""")
+    """A rerun adds nothing; a forced reload with one more drop holds every file once, and so does a run after it."""
+    e = T(spark, sf).events
+    src, target, log = (scratch_dir(spark, f"a15-{x}") for x in ("src", "target", "log"))
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    _event_csv(e.where(F.col("ts") < cut)).csv(f"{src}/d1")
+    out = None
+    for run, force in (("first", False), ("again", False), ("forced", True), ("after", False)):
+        if run == "forced":
+            _event_csv(e.where(F.col("ts") >= cut)).csv(f"{src}/d2")
+        LD.copy_into(spark, src, target, CSV_EVENTS, log, ASOF, force=force)
+        n = materialize(LD.read_landing(spark, target).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(run).alias("run"), "rows"), "a15")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+@register("a16_inbox_to_archive", """SELECT count(*) AS rows, true AS all_but_one_archived, CAST(1 AS BIGINT) AS inbox_files FROM events""")
 def a16_inbox_to_archive(spark, sf):
-    """``cleanSource=archive``: four files, one per batch; processed files move to
-    the archive and the last batch's file stays in the inbox until a later run."""
+    """``cleanSource=archive``: one file per batch; processed files move to the archive
+    and the last batch's file stays in the inbox until a later run."""
     inbox, archive = scratch_dir(spark, "a16-inbox"), scratch_dir(spark, "a16-archive")
-    _write_readings(spark, sf, inbox, files=4)
+    days = F.dayofmonth("processing_time")
+    for lo, hi in ((0, 11), (11, 21), (21, 32)):        # three deliveries
+        _write_readings(spark, sf, inbox, (days >= lo) & (days < hi), records_per_file=100_000)
+    json_files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
+    name = F.element_at(F.split("path", "/"), -1).alias("name")
+    listed = materialize(json_files.load(inbox).select(name), "a16-listed")
     src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA, max_files_per_trigger=1, glob="*.json",
                               clean_source="archive", archive_dir=archive)
     out, _, _ = _run(src, "a16", spark)
-    rows = spark.read.parquet(out).count()
-    left = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(inbox).count()
-    moved = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.json").load(archive).count())
-    return spark.createDataFrame([(rows, moved, left)], "rows long, archived_files long, inbox_files long")
+    moved = json_files.option("recursiveFileLookup", "true").load(archive).select(name)
+    left = json_files.load(inbox).select(name)
+    per = listed.join(moved.withColumn("moved", F.lit(1)), "name", "left").join(left.withColumn("left", F.lit(1)), "name", "left")
+    files = per.agg((F.sum("moved") == F.count(F.lit(1)) - 1).alias("all_but_one_archived"), F.sum("left").alias("inbox_files"))
+    rows = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("rows")).withColumn("k", F.lit(1))
+    return rows.join(F.broadcast(files.withColumn("k", F.lit(1))), "k").select("rows", "all_but_one_archived", "inbox_files")    # one row each
 
 
 @register("a17_stream_skip_bad", READINGS_SQL)
@@ -385,17 +417,17 @@ def b7_to_ndjson(spark, sf):
                              "props string").json(out)
 
 
-@register("b8_rolling_file_sink", "SELECT count(*) AS rows, true AS max_1000_per_file FROM events")
+@register("b8_rolling_file_sink", "SELECT count(*) AS rows, true AS max_1000_per_file, true AS max_size FROM events")
 def b8_rolling_file_sink(spark, sf):
-    """Stream to JSON with at most 1000 records per file: every row lands once and
-    no file holds more than 1000 records."""
-    inbox = _write_readings(spark, sf, scratch_dir(spark, "b8-inbox"), files=2)
+    """Stream to JSON files that close at 1000 records or 100 kB: every row lands once, no file holds more."""
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "b8-inbox"))
     src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
-    out, _, _ = _run(ST.enrich(src), "b8", spark, fmt="json", max_records_per_file=1000)
-    per_file = spark.read.json(out).groupBy(F.col("_metadata.file_path").alias("f")).agg(
+    out, _, _ = _run(ST.enrich(src), "b8", spark, fmt="json", max_records_per_file=1000, max_file_bytes=100_000)
+    per_file = spark.read.json(out).groupBy(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("size")).agg(
         F.count(F.lit(1)).alias("n"))
     return per_file.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"),
-                        F.coalesce(F.max("n") <= 1000, F.lit(True)).alias("max_1000_per_file"))
+                        F.coalesce(F.max("n") <= 1000, F.lit(True)).alias("max_1000_per_file"),
+                        F.coalesce(F.max("size") <= 100_000, F.lit(True)).alias("max_size"))
 
 
 @register("b14_copy_into", f"SELECT {EVENTS_COLS} FROM events")
@@ -420,14 +452,42 @@ def b14_copy_into(spark, sf):
     return LD.read_landing(spark, target).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
-@register("b16_load_history")
+@register("b14_same_names_and_empty_files", """SELECT count(*) AS rows, count(DISTINCT event_id) AS events,
+       CAST(3 AS BIGINT) AS listed_folders, CAST(0 AS BIGINT) AS loaded_again FROM events""")
+def b14_same_names_and_empty_files(spark, sf):
+    """Two folders with files of the same base names, and files that hold a header only: each file is
+    loaded once, by its whole path."""
+    e = T(spark, sf).events
+    src, target, log = (scratch_dir(spark, f"b14s-{x}") for x in ("src", "target", "log"))
+    same = "part.csv"
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    for folder, rows in (("d1", e.where(F.col("ts") < cut)), ("d2", e.where(F.col("ts") >= cut)), ("d3", e.where(F.lit(False)))):
+        _event_csv(rows).csv(f"{src}/{folder}/{same}")      # a folder of one name, so base names repeat below it
+        if folder == "d3":
+            spark.createDataFrame([("event_id,ts,user_id,event_type,value,props",)], "value string").coalesce(1) \
+                .write.mode("append").option("compression", "none").text(f"{src}/{folder}/{same}")
+    # text files are written without the suffix that is looked for: list them too
+    LD.copy_into(spark, src, target, CSV_EVENTS, log, ASOF, glob="*")
+    again = LD.copy_into(spark, src, target, CSV_EVENTS, log, ASOF, glob="*")
+    folders = spark.read.parquet(log).select(F.regexp_extract("file_path", "/(d[0-9])/", 1).alias("d")).where("d != ''").distinct().agg(
+        F.count(F.lit(1)).alias("listed_folders")).withColumn("k", F.lit(1))
+    rows = LD.read_landing(spark, target).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("event_id").alias("events")).withColumn("k", F.lit(1))
+    return rows.join(F.broadcast(folders), "k").select("rows", "events", "listed_folders", F.lit(again).cast("long").alias("loaded_again"))
+
+
+@register("b16_load_history", f"""SELECT 'recent' AS kind, count(*) AS rows, TIMESTAMP '{ASOF}' AS loaded_at, 'LOADED' AS status
+FROM events WHERE ts >= TIMESTAMP '2024-01-16'""")
 def b16_load_history(spark, sf):
-    """Per-file load log of the last 15 minutes, newest first (rows-only)."""
+    """Load log of the last 15 minutes: an earlier load is outside, the newer one inside."""
     e = T(spark, sf).events
-    src, target, log = scratch_dir(spark, "b16-src"), scratch_dir(spark, "b16-target"), scratch_dir(spark, "b16-log")
-    e.select("event_id", "user_id").write.option("header", True).csv(src)
-    LD.copy_into(spark, src, target, "event_id long, user_id long", log, ASOF)
-    return LD.load_history(spark, log, ASOF)
+    src, target, log = (scratch_dir(spark, f"b16-{x}") for x in ("src", "target", "log"))
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    _event_csv(e.where(F.col("ts") < cut)).csv(f"{src}/d1")
+    LD.copy_into(spark, src, target, CSV_EVENTS, log, "2024-01-31 12:00:00")
+    _event_csv(e.where(F.col("ts") >= cut)).csv(f"{src}/d2")
+    LD.copy_into(spark, src, target, CSV_EVENTS, log, ASOF)
+    return LD.load_history(spark, log, ASOF).groupBy(F.lit("recent").alias("kind"), F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"), "status") \
+        .agg(F.sum("row_count").alias("rows")).select("kind", "rows", "loaded_at", "status")
 
 
 # ============================================================== 2K change data capture
@@ -487,23 +547,29 @@ def k3_no_changes_no_merge(spark, sf):
     return labelled_counts({"merges": spark.read.parquet(log), "current_keys": CDC.current_state(spark, target)})
 
 
-@register("k4_correction_file", LATEST_SQL.replace("SELECT user_id, ts, event_id, event_type, value FROM (",
-                                                   "SELECT user_id, ts, event_id, event_type, value FROM (", 1))
+@register("k4_correction_file", LATEST_SQL.replace("event_type, value FROM (", "event_type, value + 1000 AS value FROM (", 1))
 def k4_correction_file(spark, sf):
-    """A correction under a new file name updates the key; the same file name
-    delivered again is ignored by the source log."""
+    """A correction (same key, same instant, other value) under a new file name updates the row; a stale
+    copy delivered after it changes nothing, nor does a file delivered again under its own name."""
     e = _changes(T(spark, sf).events)
     staging, target = scratch_dir(spark, "k4-staging"), scratch_dir(spark, "k4-target")
     ck = scratch_dir(spark, "k4-ckpt")
     handler = CDC.change_batch_handler(spark, target, "user_id", ["ts", "event_id"], buckets=16)
     schema = "user_id long, ts timestamp_ntz, event_id long, event_type string, value double"
-    e.write.options(**W.JSON_OPTIONS).json(staging)
-    ST.run_available_now(ST.read_stream_json(spark, staging, schema), handler, ck)
-    # a stale copy of the first day under a new name: merge keeps the latest row per key
-    e.where(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz")).write.mode("append") \
-        .options(**W.JSON_OPTIONS).json(staging)
-    ST.run_available_now(ST.read_stream_json(spark, staging, schema), handler, ck)
-    return CDC.current_state(spark, target).select("user_id", "ts", "event_id", "event_type", "value")
+    deliver = lambda df: df.write.mode("append").options(**W.JSON_OPTIONS).json(staging)
+    apply = lambda: ST.run_available_now(ST.read_stream_json(spark, staging, schema), handler, ck)
+    deliver(e.withColumn("value", F.col("value") + 2000))       # larger values: only arrival decides, not size
+    apply()
+    deliver(e.withColumn("value", F.col("value") + 1000))
+    apply()
+    deliver(e.where(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz")))
+    apply()
+    apply()
+    newest = e.groupBy("user_id").agg(F.max("ts").alias("newest"))
+    # keys whose newest change is in the stale drop were corrected back by it: they are the drop's
+    out = CDC.current_state(spark, target).join(newest, "user_id")
+    value = F.when(F.col("newest") < F.lit("2024-01-02").cast("timestamp_ntz"), F.col("value") + 1000).otherwise(F.col("value"))
+    return out.select("user_id", "ts", "event_id", "event_type", value.alias("value"))
 
 
 @register("k5_staging_vs_final", """SELECT 'staging' AS table_name, count(*) AS row_count FROM events

@@ -74,4 +74,4 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from tidewater.plans import queries_batch, queries_io, queries_ops, queries_stream  # noqa: F401
+    from tidewater.plans import queries_batch, queries_flows, queries_io, queries_ops, queries_stream  # noqa: F401
