@@ -1,5 +1,6 @@
 """Readers, writers and the catalog: round trips and the edge rows of FIXTURES.md."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.sources import catalog as CAT
@@ -92,11 +93,63 @@ def test_to_messages_keeps_key_order(spark):
     assert ts == sorted(ts)
 
 
-def test_copy_into_rerun_after_lost_log_does_not_duplicate(spark, tmp):
+def test_a_load_that_broke_off_is_loaded_again_once(spark, tmp):
     from tidewater.sources import loads as LD
-    src, target = tmp("ci-src"), tmp("ci-target")
-    spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string").write.option("header", True).csv(src)
-    assert LD.copy_into(spark, src, target, "id long, v string", tmp("ci-log1"), "2024-02-01 00:00:00") > 0
-    # the log write was lost (fresh log): the same files load again into the same load partition
-    LD.copy_into(spark, src, target, "id long, v string", tmp("ci-log2"), "2024-02-01 00:00:00")
-    assert LD.read_landing(spark, target).count() == 2
+    src, target, log = tmp("ci-src"), tmp("ci-target"), tmp("ci-log")
+    schema, asof = "id long, v string", "2024-02-01 00:00:00"
+    spark.createDataFrame([(1, "a"), (2, "b")], schema).write.option("header", True).csv(f"{src}/d1")
+    n = LD.copy_into(spark, src, target, schema, log, asof)
+    assert n > 0
+    # the last mark never got written: the same history without it
+    broken = tmp("ci-broken")
+    spark.read.parquet(log).where("status = 'LOADING'").write.parquet(broken)
+    spark.createDataFrame([(3, "c")], schema).write.option("header", True).csv(f"{src}/d2")       # and a file came meanwhile
+    assert LD.copy_into(spark, src, target, schema, broken, asof) > n
+    assert sorted(r.id for r in LD.read_landing(spark, target).collect()) == [1, 2, 3]
+    assert LD.copy_into(spark, src, target, schema, broken, asof) == 0
+    with pytest.raises(ValueError):     # a history that does not know the loads is refused
+        LD.copy_into(spark, src, target, schema, tmp("ci-other"), asof)
+
+
+def test_header_order_differs_between_files(spark, tmp):
+    out = tmp("orders")
+    spark.createDataFrame([("1", "2")], "a string, b string").write.option("header", True).csv(f"{out}/x")
+    spark.createDataFrame([("20", "10")], "b string, a string").write.option("header", True).csv(f"{out}/y")
+    assert sorted((r.a, r.b) for r in RD.read_csv_prefix(spark, out, ["a", "b"]).collect()) == [("1", "2"), ("10", "20")]
+
+
+def test_bad_objects_keep_their_text(spark, tmp):
+    out = tmp("glued-bad")
+    spark.createDataFrame([('{"a": 1}{broken{"a": 3}',)], "value string").write.text(out)
+    rows = RD.read_json_concat(spark, out, "a int", skip_bad=False, corrupt="bad").collect()
+    assert sorted((r.a or 0, r.bad) for r in rows) == [(0, "{broken"), (1, None), (3, None)]
+    assert RD.read_json_concat(spark, out, "a int").count() == 2
+
+
+def test_whole_table_overwrite_drops_other_partitions(spark, tmp):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string")
+    for write in (lambda d, o: W.write_parquet(d, o, partition_by=["p"]), lambda d, o: W.write_dataset(d, o, "overwrite", ["p"])):
+        out = tmp("overwrite")
+        write(df, out)
+        write(df.where("p = 'a'"), out)
+        assert [tuple(r) for r in spark.read.parquet(out).select("v", "p").collect()] == [(1, "a")]
+
+
+def test_models_build_what_they_refer_to_first(spark):
+    m = CAT.Models(spark, {"s": spark.range(3)})
+    m.declare("b", lambda r: r.ref("a").selectExpr("id + 1 AS id"))
+    m.declare("a", lambda r: r.ref("s").selectExpr("id * 10 AS id"))
+    assert sorted(r.id for r in m.run()["b"].collect()) == [1, 11, 21]
+    m.declare("x", lambda r: r.ref("y"))
+    m.declare("y", lambda r: r.ref("x"))
+    with pytest.raises(ValueError):
+        m.run()
+
+
+def test_materialized_data_of_a_scope_is_deleted(spark):
+    import os
+    from tidewater.session import materialize, scratch_scope
+    with scratch_scope(spark):
+        path = materialize(spark.range(5), "scoped").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import cdc as CDC
@@ -55,6 +56,40 @@ def test_upsert_is_latest_per_key_and_replay_safe(spark, tmp):
     assert got == [(1, 2, "b"), (2, 5, "d"), (3, 1, "e")]
 
 
+def test_a_correction_of_the_same_instant_wins(spark, tmp):
+    target = tmp("correct")
+    row = lambda v: spark.createDataFrame([(1, 1, v)], "k int, t int, v int")
+    CDC.merge_upsert(spark, target, row(9), "k", ["t"], buckets=4)
+    CDC.merge_upsert(spark, target, row(5), "k", ["t"], buckets=4)
+    assert [tuple(r) for r in CDC.current_state(spark, target).select("k", "t", "v").collect()] == [(1, 1, 5)]
+
+
+def test_another_bucket_count_is_refused(spark, tmp):
+    target, rows = tmp("buckets"), spark.range(50).select(F.col("id").alias("k"), F.lit(1).alias("t"))
+    CDC.merge_upsert(spark, target, rows, "k", ["t"], buckets=8)
+    with pytest.raises(ValueError):
+        CDC.merge_upsert(spark, target, rows, "k", ["t"], buckets=16)
+    assert CDC.current_state(spark, target).count() == 50
+
+
+def test_a_check_without_result_does_not_pass(spark):
+    checks = spark.createDataFrame([("a", "t", None, None, None, True, ""), ("b", "t", None, None, None, None, "")], Q.CHECK_SCHEMA)
+    s = Q.summarise(checks).first()
+    assert (s.quality_passed, s.checks_passed, s.checks_total) == (False, 1, 2)
+
+
+def test_a_batch_of_one_folder_is_written_by_several_tasks(spark, tmp):
+    from tidewater.sources import writers as W
+    out = tmp("one-hour")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        W.write_batch(spark.range(200_000, numPartitions=8).withColumn("hour", F.lit(3)).withColumn("x", F.sha2(F.col("id").cast("string"), 256)), out, 0, ["hour"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = spark.read.parquet(out).inputFiles()
+    assert len(files) > 1 and spark.read.parquet(out).count() == 200_000
+
+
 def _readings(spark, inbox, minutes):
     base = dt.datetime(2024, 1, 1)
     rows = [(f"s{m % 3}", "co", 1.0, base + dt.timedelta(minutes=m, seconds=10), "shard-0", str(m)) for m in minutes]
@@ -70,11 +105,12 @@ def test_tumbling_count_restart_and_late_rows(spark, tmp):
     _readings(spark, inbox, range(5, 10))
     ST.run_available_now(ST.tumbling_count(ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)), out, ck)
     _readings(spark, inbox, [0, 1])            # late: behind the watermark now
-    q = ST.run_available_now(ST.tumbling_count(ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)), out, ck)
+    with ST.counting_drops(spark) as late:
+        ST.run_available_now(ST.tumbling_count(ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)), out, ck)
     got = sorted((r.window_end.minute, r.record_count) for r in spark.read.parquet(out).collect())
     # 10 one-minute windows; the last stays open (its end is after max(ts) - 5 s)
     assert got == [(m, 1) for m in range(1, 10)]
-    assert ST.dropped_by_watermark(q) == 2
+    assert late.dropped == 2
 
 
 def test_dedup_within_watermark(spark, tmp):
