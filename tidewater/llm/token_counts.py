@@ -19,7 +19,6 @@ table and leaves the cache as it is; other columns are not carried.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -103,5 +102,7 @@ def count(df: DataFrame, cache_path: str, tokenizer: str, limit: int, id_col: st
         fresh = map_batches(chosen.select(F.col("own").alias("digest"), "text"), encode, "digest binary, n_tokens long") \
             .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
         fresh.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache_path)
-    counts = read_cache(spark, cache_path).where(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # one row for each digest, even if two runs appended it; written, so that the join below can split a group of copies
+    counts = materialize(read_cache(spark, cache_path).where(F.col("tokenizer") == version)
+                         .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "counts")
     return keys.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
