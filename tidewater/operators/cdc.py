@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,23 +30,22 @@ BUCKET, SOURCE = "_bucket", "_from_change"
 DATA, LAYOUT = "data", "layout"       # folders of a target
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     # dynamic partition overwrite moves finished partitions in at commit and
     # writes no root _SUCCESS marker, so the folder itself marks a committed table
+    fs, p = _fs(spark, path)
     return fs.exists(p)
 
 
 def _stored_buckets(spark: SparkSession, target: str) -> int | None:
-    """Bucket count that the table was laid out with (None: no table yet)."""
-    try:
-        return spark.read.parquet(f"{target}/{LAYOUT}").first()["buckets"]
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    """Bucket count that the table was laid out with, kept as a folder's name (None: no table yet)."""
+    fs, p = _fs(spark, f"{target}/{LAYOUT}")
+    return int(fs.listStatus(p)[0].getPath().getName().partition("=")[2]) if fs.exists(p) else None
 
 
 def merge_upsert(spark: SparkSession, target: str, changes: DataFrame, key: Sequence[str] | str,
@@ -72,14 +70,14 @@ def merge_upsert(spark: SparkSession, target: str, changes: DataFrame, key: Sequ
         if not touched:
             return 0
         if stored is None:
-            spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.parquet(f"{target}/{LAYOUT}")
-        merged = latest
+            fs, p = _fs(spark, f"{target}/{LAYOUT}/buckets={buckets}")
+            fs.mkdirs(p)
+        merged = latest         # already written, and no part of the target
         if _exists(spark, f"{target}/{DATA}"):
             # literal bucket numbers: only the touched folders are listed and read
             current = spark.read.parquet(f"{target}/{DATA}").where(F.col(BUCKET).isin(touched))
             both = current.withColumn(SOURCE, F.lit(0)).unionByName(latest.select(*current.columns).withColumn(SOURCE, F.lit(1)))
-            merged = dedup_latest(both, keys, [*order, SOURCE]).drop(SOURCE)
-        merged = materialize(merged, "merge")
+            merged = materialize(dedup_latest(both, keys, [*order, SOURCE]).drop(SOURCE), "merge")
         (merged.hint("rebalance", F.col(BUCKET)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET).parquet(f"{target}/{DATA}"))
     return len(touched)

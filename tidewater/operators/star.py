@@ -6,8 +6,9 @@ after a shuffle need not give the keys that were written, so it is never used
 for keys.  Two methods:
 
 * ``hash``  ``xxhash64`` of the natural key columns: a key never moves when other
-  natural keys come or go, so facts written earlier keep their meaning; a one-row
-  collision check fails loudly instead of merging two natural keys;
+  natural keys come or go, so facts written earlier keep their meaning, and a fact
+  finds its keys without a join; a collision fails loudly instead of merging two
+  natural keys;
 * ``rank``  dense 1-based rank of the natural key, comparable with SQL
   ``dense_rank``, by range-partitioned numbering
   (:func:`tidewater.operators.relational.rank_within`).  It moves when a smaller
@@ -22,18 +23,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.relational import rank_within
-from tidewater.session import materialize
 
 def build_dim(df: DataFrame, cols: Sequence[str], key: str, method: str = "rank") -> DataFrame:
     """M1 / M2: distinct natural keys ``cols`` plus a 64-bit surrogate ``key``."""
     cols = list(cols)
-    nat = df.select(*cols).distinct()
     if method == "hash":
-        dim = materialize(nat.withColumn(key, F.xxhash64(*cols)), "dimension")      # the distinct runs once
-        check = dim.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(key).alias("k")).first()
-        if check["n"] != check["k"]:
-            raise ValueError(f"surrogate key collision in {key}: {check['n']} keys, {check['k']} hashes")
-        return dim.select(*cols, key)
+        # one aggregation finds the distinct natural keys and proves that no two share a hash
+        row = F.struct(*cols)
+        dim = df.select(*cols, F.xxhash64(*cols).alias(key)).groupBy(key).agg(F.min(row).alias("_lo"), F.max(row).alias("_hi"))
+        same = F.when(F.col("_lo").eqNullSafe(F.col("_hi")), F.col("_lo")).otherwise(
+            F.raise_error(F.lit(f"surrogate key collision in {key}")))
+        return dim.select(same.alias("_row"), key).select("_row.*", key)
+    nat = df.select(*cols).distinct()
     order = [F.col(c).asc_nulls_first() for c in cols]
     return rank_within(nat, [], order, key).select(*cols, key)
 
@@ -48,11 +49,21 @@ def swap_keys(df: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str], str]
         for c in cols:
             e = out[c] == d[c]
             cond = e if cond is None else cond & e
-        # dimensions are file-backed, so the planner knows their size
         out = out.join(d, cond, "left").drop(*[d[c] for c in cols])
     return out
 
 
+def hash_keys(df: DataFrame, dims: Sequence[tuple[Sequence[str], str]]) -> DataFrame:
+    """M3 first half for hash keys: a natural key's surrogate is computed where the row is.  As with a
+    join, a null in any natural column gives a null key."""
+    for cols, key in dims:
+        known = F.lit(True)
+        for c in cols:
+            known = known & F.col(c).isNotNull()
+        df = df.withColumn(key, F.when(known, F.xxhash64(*cols)))
+    return df
+
+
 def build_fact(df: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str], str]],
                grain: Sequence[str], measures: Mapping[str, object]) -> DataFrame:
     """M3: swap natural keys for surrogate keys, then aggregate to ``grain``.

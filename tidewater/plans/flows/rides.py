@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import columns as C
 from tidewater.operators import quality as Q
 from tidewater.operators.relational import top_n
-from tidewater.operators.star import build_dim, build_fact
+from tidewater.operators.star import build_dim, build_fact, hash_keys
 from tidewater.session import materialize, scratch_scope
 
 VENDOR_COLS = ["vendor_id"]
@@ -59,14 +59,14 @@ def dimensions(grain_df: DataFrame, method: str = "hash") -> dict[str, DataFrame
     }
 
 
-def fact(grain_df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def fact(grain_df: DataFrame, dims: dict[str, DataFrame] | None = None) -> DataFrame:
     """M3: swap natural keys for surrogate keys on the pre-aggregated grain and
-    aggregate to the fact grain (null natural keys share the null surrogate)."""
+    aggregate to the fact grain (null natural keys share the null surrogate).
+    Without ``dims`` the keys are hashes and no join is needed."""
+    keys = [(VENDOR_COLS, "vendor_key"), (PAYMENT_COLS, "payment_key"), (LOCATION_COLS, "location_key")]
     return build_fact(
-        grain_df,
-        [(dims["dim_vendor"], VENDOR_COLS, "vendor_key"),
-         (dims["dim_payment"], PAYMENT_COLS, "payment_key"),
-         (dims["dim_location"], LOCATION_COLS, "location_key")],
+        hash_keys(grain_df, keys) if dims is None else grain_df,
+        [] if dims is None else [(dims["dim_" + key.removesuffix("_key")], cols, key) for cols, key in keys],
         GRAIN,
         {
             "total_trips": F.sum("total_trips"),
@@ -155,7 +155,7 @@ def run(spark: SparkSession, trips: DataFrame, out: str, landing: bool = False)
             write_parquet(d, f"{out}/{name}")
         dims = {name: spark.read.parquet(f"{out}/{name}") for name in ("dim_vendor", "dim_payment", "dim_location")}
         # rows of a day come together, so a day's folder gets few files
-        write_parquet(fact(g, dims).hint("rebalance", F.col("trip_date")), f"{out}/fact_trips", partition_by=["trip_date"])
+        write_parquet(fact(g).hint("rebalance", F.col("trip_date")), f"{out}/fact_trips", partition_by=["trip_date"])
     facts = spark.read.parquet(f"{out}/fact_trips")
     return {
         **dims,

@@ -56,7 +56,7 @@ def _star(spark, sf, method="hash"):
     t = SI.Tables(spark, sf)
     g = rides.grain(SI.trips(t))
     dims = rides.dimensions(g, method)
-    return g, dims, rides.fact(g, dims)
+    return g, dims, rides.fact(g, dims if method == "rank" else None)
 
 
 @register("m1_dim_vendor", f"WITH {TRIPS_SQL} SELECT * FROM dim_vendor")
