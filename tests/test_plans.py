@@ -24,7 +24,7 @@ def test_hot_path_queries_stay_in_the_jvm(spark, name):
     assert not any(node in plan for node in PYTHON_NODES), plan
 
 
-def test_fact_build_broadcasts_proven_small_dimensions(spark):
+def test_fact_build_broadcasts_small_dimensions(spark):
     from tidewater.plans import standins as SI
     from tidewater.plans.flows import rides
     g = rides.grain(SI.trips(SI.Tables(spark, SF)))
