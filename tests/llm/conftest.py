@@ -2,7 +2,7 @@ import pytest
 
 SF = "/root/testdata/sf0.001"
 ODD_SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, score double, kept boolean, "
-              "n_words long, digest string, key long, `a.b` string, vector string")
+              "n_words long, digest string, key long, `a.b` string, vector string, dropped long, host string, counts long")
 
 
 def odd_rows():
@@ -13,7 +13,7 @@ def odd_rows():
             (9, long), (None, copy), (None, None), (10, "Zwölf Boxkämpfer jagen Viktor quer über den großen Sylter Deich 𐍈 ▁ ok"),
             (11, "\\### User: </turn> <|endoftext|> <s>"), (12, "a\x00b\x85c d"), (13, "Licensed under CC BY-SA 4.0.\nAll rights reserved."),
             (14, "spam " * 60), (15, "ONE TWO!! " * 8 + "\nline\nline\nline")]
-    return [(i, t, None if k % 3 == 0 else "en", None if k % 4 == 0 else f"s{k % 2}", k, 0.5, k % 2 == 0, 7, "d", 1, "x", "v") for k, (i, t) in enumerate(rows)]
+    return [(i, t, None if k % 3 == 0 else "en", None if k % 4 == 0 else f"s{k % 2}", k, 0.5, k % 2 == 0, 7, "d", 1, "x", "v", 1, "h", 2) for k, (i, t) in enumerate(rows)]
 
 
 @pytest.fixture(scope="session")

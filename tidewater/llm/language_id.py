@@ -47,7 +47,7 @@ SMOOTH = 0.5             # added to each trigram bucket
 TEXT_WEIGHT, TEXT_ROOM = 0.3, 300.0    # trigrams overlap; a long text counts as this many of them
 KAPPA = (10.0, 20.0, 50.0, 1.0)        # pull of domain on host, suffix on domain, all on suffix, even on all
 UND, UND_PRIOR = "und", 0.01
-MIN_CONFIDENCE = 0.65
+MIN_CONFIDENCE = 0.4     # a text that mixes two known languages is still kept
 
 _LETTER = np.full(256, 0x20, np.uint8)
 _LETTER[97:123] = np.arange(97, 123)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import col, id_and_text, map_batches, short_batches
+from tidewater.llm.common import id_and_text, map_batches, plain_names, short_batches, with_schema_of
 from tidewater.llm.components import components, spanning
 from tidewater.llm.superminhash_core import band_keys, bands_for, signatures
 from tidewater.llm.text import buffers, chunks, shingle_sets
@@ -203,8 +203,10 @@ def groups(df: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col
 def keep(df: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group, with all its columns: the one with the smallest id."""
     judged = materialize(groups(df, k, percent, id_col, text_col), "groups")
-    dropped = materialize(judged.where(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
-    out = df.join(dropped, col(id_col).cast("long") == F.col("_dropped"), "left_anti")
-    if judged.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return out
-    return out.where(col(id_col).isNull()).unionByName(out.where(col(id_col).isNotNull()).dropDuplicates([id_col]))
+    dropped = materialize(judged.where(~F.col("kept")).select(F.col("doc_id").alias("dropped")).distinct(), "dropped")
+    rows, own = plain_names(df), F.col(f"c{df.columns.index(id_col)}")
+    out = rows.join(dropped, own.cast("long") == F.col("dropped"), "left_anti")
+    if not judged.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        # an id that occurs more than once keeps one of its rows
+        out = out.where(own.isNull()).unionByName(out.where(own.isNotNull()).dropDuplicates([f"c{df.columns.index(id_col)}"]))
+    return with_schema_of(out, df)
