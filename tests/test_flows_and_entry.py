@@ -37,6 +37,46 @@ def test_medallion_flow_idempotent(spark, tmp):
         second["channel_analytics"].select("region").distinct().count()
 
 
+def test_medallion_flow_from_folders(spark, tmp):
+    """Bronze as CSV files of two header orders and API JSON rows, the reference as nested JSON documents;
+    mixed-type numbers, an all-null column, a region in several spellings; silver is registered."""
+    bronze, ref, out = tmp("m-bronze"), tmp("m-ref"), tmp("m-out")
+    cols = "video_id string, trending_date string, title string, channel_title string, category_id string, views string, likes string, dislikes string, comment_count string, region string"
+    rows = [(f"v{i}", "17.14.11", "t", f"c{i % 3}", str(i % 2 + 1), "many" if i == 5 else str(i * 10), "3", "1", "0", (" US ", "us", "Us")[i % 3]) for i in range(30)]
+    df = spark.createDataFrame(rows, cols)
+    df.where("video_id < 'v2'").write.option("header", True).csv(f"{bronze}/a")
+    df.where("video_id >= 'v2' AND video_id < 'v5'").select(*reversed(df.columns)).write.option("header", True).csv(f"{bronze}/b")
+    df.where("video_id >= 'v5'").write.json(f"{bronze}/api")
+    docs = ['{"kind": "k", "items": [{"id": "1", "snippet": {"title": "One"}}, {"id": "01", "snippet": {"title": "Uno"}}, {"id": "x", "snippet": {"title": "X"}}]}']
+    spark.createDataFrame([(d,) for d in docs], "value string").coalesce(1).write.text(ref)
+    for _ in range(2):
+        res = medallion.run(spark, bronze, ref, out, ASOF, regions=["US"], database="medallion_folders")
+    assert res["silver"].count() == 30 and "tags" not in res["silver"].columns
+    got = {r.category_name: (r.video_count, r.total_views) for r in res["category_analytics"].collect()}
+    assert got == {"One": (15, sum(i * 10 for i in range(0, 30, 2))), "Unknown": (15, sum(i * 10 for i in range(1, 30, 2)) - 50)}
+    with pytest.raises(RuntimeError):       # rows stamped long ago are not fresh
+        medallion.run(spark, bronze, ref, tmp("m-old"), ASOF, regions=["us"], processed_at="2023-01-01 00:00:00")
+
+
+def test_queries_run_from_any_working_directory():
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import importlib.util
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+spec = importlib.util.spec_from_file_location("entry", {os.path.join(root, '__spark_entry__.py')!r})
+entry = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(entry)
+print("ROWS", entry.queries()["a7_read_json_concat"](spark, {SF!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd="/tmp", env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS" in done.stdout, done.stderr[-2000:]
+
+
 def test_market_flow_two_snapshots(spark, tmp):
     t = SI.Tables(spark, SF)
     out = tmp("market")
