@@ -422,7 +422,8 @@ def b8_rolling_file_sink(spark, sf):
     """Stream to JSON files that close at 1000 records or 100 kB: every row lands once, no file holds more."""
     inbox = _write_readings(spark, sf, scratch_dir(spark, "b8-inbox"))
     src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
-    out, _, _ = _run(ST.enrich(src), "b8", spark, fmt="json", max_records_per_file=1000, max_file_bytes=100_000)
+    out = scratch_dir(spark, "b8-out")
+    ST.run_available_now(ST.enrich(src), ST.rolling_json(out, 1000, 100_000), scratch_dir(spark, "b8-ckpt"))
     per_file = spark.read.json(out).groupBy(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("size")).agg(
         F.count(F.lit(1)).alias("n"))
     return per_file.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"),

@@ -19,6 +19,8 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.functions import columns as C
+from tidewater.session import materialize, scratch_scope
+from tidewater.sources.writers import json_text
 
 # The sensor source's 13 data fields + 3 stream metadata fields.
 SENSOR_FIELDS = ("location_id string, location_name string, parameter_of_AQI string, value_of_AQI double, "
@@ -171,12 +173,7 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, lateness: str = "5
 
 
 def _writer(df: DataFrame, sink: str | Callable, checkpoint: str, output_mode: str, fmt: str,
-            partition_by: Sequence[str] | None, max_records_per_file: int | None, max_file_bytes: int | None, name: str | None):
-    if not callable(sink) and max_file_bytes:
-        # Files close at a record count or a size, whichever comes first.  The size is kept by
-        # giving a file at most so many records as the widest record allows.
-        widest = max(1, _row_bytes(df))
-        max_records_per_file = min(max_records_per_file or max_file_bytes, max(1, max_file_bytes // widest))
+            partition_by: Sequence[str] | None, max_records_per_file: int | None, name: str | None):
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
@@ -190,23 +187,33 @@ def _writer(df: DataFrame, sink: str | Callable, checkpoint: str, output_mode: s
     return w
 
 
-def _row_bytes(df: DataFrame) -> int:
-    """Planned width of a row: fixed types by their size, text by a generous bound."""
-    width = {"string": 64, "double": 24, "bigint": 20, "int": 11, "boolean": 5, "timestamp": 32}
-    return sum(width.get(t, 64) + len(c) + 6 for c, t in df.dtypes)
+def rolling_json(path: str, max_records: int, max_bytes: int) -> Callable:
+    """A ``foreachBatch`` sink of JSON lines whose files close at a record count or a size,
+    whichever comes first.
+
+    A file gets at most as many records as would fit if each were as long as the
+    batch's longest; only a record longer than ``max_bytes`` makes a larger file, of
+    its own.  A batch's folder is replaced as a whole, so a replay does not add to it."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            lines = materialize(batch.select(json_text(*batch.columns).alias("value")), "rolling")
+            longest = lines.agg(F.max(F.octet_length("value"))).first()[0]
+            if longest is not None:
+                n = max(1, min(max_records, max_bytes // (longest + 1)))
+                lines.write.mode("overwrite").option("maxRecordsPerFile", n).text(f"{path}/batch_id={batch_id}")
+    return handle
 
 
 def run_available_now(df: DataFrame, sink: str | Callable, checkpoint: str, output_mode: str = "append",
                       fmt: str = "parquet", partition_by: Sequence[str] | None = None,
-                      max_records_per_file: int | None = None, max_file_bytes: int | None = None,
-                      name: str | None = None) -> StreamingQuery:
+                      max_records_per_file: int | None = None, name: str | None = None) -> StreamingQuery:
     """Process everything available now, then stop (exactly once per file).
 
     ``sink`` is a path (file sink with its commit log: output is visible only
     when a batch commits) or a ``foreachBatch`` function.  Rows are written by the
     tasks that hold them: a folder that takes a whole batch is no one task's work.
     """
-    q = _writer(df, sink, checkpoint, output_mode, fmt, partition_by, max_records_per_file, max_file_bytes, name) \
+    q = _writer(df, sink, checkpoint, output_mode, fmt, partition_by, max_records_per_file, name) \
         .trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception():
@@ -216,12 +223,11 @@ def run_available_now(df: DataFrame, sink: str | Callable, checkpoint: str, outp
 
 def start_stream(df: DataFrame, sink: str | Callable, checkpoint: str, every: str = "10 seconds",
                  output_mode: str = "append", fmt: str = "parquet", partition_by: Sequence[str] | None = None,
-                 max_records_per_file: int | None = None, max_file_bytes: int | None = None,
-                 name: str | None = None) -> StreamingQuery:
+                 max_records_per_file: int | None = None, name: str | None = None) -> StreamingQuery:
     """A long-running query with a processing-time trigger (flush
     every ``every``; checkpoint and commit per batch).  Stop it with
     ``query.stop()``; restarting on the same checkpoint resumes (J13)."""
-    return _writer(df, sink, checkpoint, output_mode, fmt, partition_by, max_records_per_file, max_file_bytes, name) \
+    return _writer(df, sink, checkpoint, output_mode, fmt, partition_by, max_records_per_file, name) \
         .trigger(processingTime=every).start()
 
 
