@@ -72,7 +72,10 @@ def copy_into(spark: SparkSession, source: str, target: str, schema: str | Struc
             done = _log(spark, log_path).where(F.col("status").isin(*DONE)).select(F.col("file_path").alias("path")).distinct()
             listed = listed.join(done, "path", "left_anti")
         new = materialize(listed, "new-files")
-        n, since = new.agg(F.count(F.lit(1)), F.min("modification_time")).first()
+        # a little before the oldest of them, in UTC
+        before = F.to_utc_timestamp(F.min("modification_time") - F.make_interval(secs=F.lit(2)), F.current_timezone())
+        oldest = F.date_format(before, "yyyy-MM-dd'T'HH:mm:ss")
+        n, since = new.agg(F.count(F.lit(1)), oldest).first()
         if not n:
             return 0
         load_id, seq = uuid.uuid4().hex, max((r["seq"] for r in loads), default=0) + 1

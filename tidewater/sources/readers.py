@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Mapping, Sequence
-from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -52,8 +51,8 @@ def read_csv_external(spark: SparkSession, path: str, cols: Sequence[str]) -> Da
 
 def _csv_text(spark: SparkSession, path: str, glob: str, not_before) -> DataFrameReader:
     r = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-    if not_before is not None:      # a listing filter of Spark's; it takes whole seconds, so one is given away
-        r = r.option("modifiedAfter", (not_before - timedelta(seconds=2)).strftime("%Y-%m-%dT%H:%M:%S"))
+    if not_before is not None:      # a listing filter of Spark's; cells are read as text, so the zone serves it alone
+        r = r.option("modifiedAfter", not_before).option("timeZone", "UTC")
     return r
 
 
@@ -82,7 +81,8 @@ def read_csv_by_name(spark: SparkSession, path: str, schema: str | StructType, g
     join that the planner sizes.  No list of paths reaches the driver.
 
     ``files`` (a frame with a ``path`` column) restricts the files; ``keep_file``
-    names a column for a row's file; ``not_before`` leaves out older files.
+    names a column for a row's file; ``not_before`` (a UTC time, as text) leaves out files
+    that are not younger.
     """
     st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     heads = csv_headers(spark, path, glob, not_before)
