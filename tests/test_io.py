@@ -111,6 +111,20 @@ def test_a_load_that_broke_off_is_loaded_again_once(spark, tmp):
         LD.copy_into(spark, src, target, schema, tmp("ci-other"), asof)
 
 
+def test_copy_into_in_another_time_zone(spark, tmp):
+    from tidewater.sources import loads as LD
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    src, target, log = tmp("tz-src"), tmp("tz-target"), tmp("tz-log")
+    try:
+        for i, z in enumerate(("Pacific/Auckland", "America/Los_Angeles", "UTC")):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            spark.createDataFrame([(i,)], "id long").coalesce(1).write.option("header", True).csv(f"{src}/d{i}")
+            assert LD.copy_into(spark, src, target, "id long", log, "2024-02-01 00:00:00") == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert sorted(r.id for r in LD.read_landing(spark, target).collect()) == [0, 1, 2]
+
+
 def test_header_order_differs_between_files(spark, tmp):
     out = tmp("orders")
     spark.createDataFrame([("1", "2")], "a string, b string").write.option("header", True).csv(f"{out}/x")
