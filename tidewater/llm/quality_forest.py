@@ -178,7 +178,7 @@ def grow(sample: np.ndarray, low: np.ndarray, high: np.ndarray, trees: int = TRE
     size = 2 ** (depth + 1)
     feature, value = np.full((trees, size), -1, np.int64), np.zeros((trees, size))
     left, path = np.zeros((trees, size), np.int64), np.zeros((trees, size))
-    wide = np.flatnonzero(high > low)
+    wide, most = np.flatnonzero(high > low), 1
     for t in range(trees):
         pick = sample[rng.choice(len(sample), rows, replace=False)]
         todo, used = [(0, np.arange(rows), low.copy(), high.copy(), 0)], 1
@@ -195,7 +195,10 @@ def grow(sample: np.ndarray, low: np.ndarray, high: np.ndarray, trees: int = TRE
             lo_r[f] = hi_l[f] = cut
             todo += [(used, own[~right], lo, hi_l, d + 1), (used + 1, own[right], lo_r, hi, d + 1)]
             used += 2
-    return Forest(feature, value, left, path, max(_expected(rows), 1.0))
+        most = max(most, used)
+    # every worker holds a copy: only the nodes in use, in narrow types
+    return Forest(feature[:, :most].astype(np.int16), value[:, :most].copy(), left[:, :most].astype(np.int32),
+                  path[:, :most].astype(np.float32), max(_expected(rows), 1.0))
 
 
 def statistics_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
