@@ -22,11 +22,12 @@ gives an empty table; other columns are left out.
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,19 +54,25 @@ class Tokenizer:
     """
 
     def __init__(self, path: str, ranks: str | None = None, pattern: str | None = None):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import tokenizers
-        self.slow = tokenizers.Tokenizer.from_file(path)
-        self.slow.no_truncation()
-        self.slow.no_padding()
-        self.special = [t.content for t in self.slow.get_added_tokens_decoder().values()]
-        self.fast = None
+        self.path, self.fast = path, None
+        with open(path, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f).get("added_tokens", [])]
         if ranks:
             import tiktoken
             with open(ranks, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
+    @cached_property
+    def slow(self):
+        """The file's own tokenizer, loaded when a text first needs it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tokenizers
+        tok = tokenizers.Tokenizer.from_file(self.path)
+        tok.no_truncation()
+        tok.no_padding()
+        return tok
+
     def ids(self, text: str) -> np.ndarray:
         if self.fast and _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
             return np.array(self.fast.encode_ordinary(text), np.uint32)
