@@ -14,8 +14,10 @@ BATCH_ROWS = 512
 
 
 def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the Arrow batches of this session to ``rows`` rows."""
+    """Bound the Arrow batches of this session to ``rows`` rows, and let small shuffle partitions be
+    joined up to the advisory size: the many small tables between the steps then have few files."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
 
 
 def col(name: str):
