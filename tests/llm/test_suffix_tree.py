@@ -126,3 +126,22 @@ def test_learning_helps_on_held_out_text(spark):
     r = got.where("held_out").agg(F.sum("score"), F.sum("n_tokens"), F.sum(F.length(F.lit("x")))).first()
     even = math.log10(1 / 256)       # a uniform guess for each byte; words have more than four bytes with their blank
     assert r[0] / r[1] > 4 * even * 0.55
+
+
+def test_contexts_are_kept_by_times_and_divergence_in_a_large_corpus(spark):
+    """A context seen 1,999 times among 1e9 symbols; the deepest one has seven symbols."""
+    def key(context, symbol):
+        return int(np.array([int.from_bytes(context + symbol, "little")], np.uint64).view(np.int64)[0])
+    rows = [(0, key(b"aaaaaaa", b"a"), 10 ** 9), (0, key(b"qrstuvw", b"x"), 1999), (0, key(b"Qrstuvw", b"y"), 1999), (0, key(b"aaaaaaa", b"\xe9"), 7)]
+    tree = S.Tree(S.tree_table(spark.createDataFrame(rows, "kind int, key long, n long")).toArrow())
+    assert int.from_bytes(b"qrstuvw", "little") in tree.levels[7][0]
+
+
+@pytest.mark.parametrize("bound", [0, 300, 3000])
+def test_contexts_beyond_the_broadcast_ones_are_joined(spark, odd, documents, monkeypatch, bound):
+    docs = documents.select("doc_id", "text").limit(60).union(odd.select("doc_id", "text"))
+    want = sorted((repr(r.doc_id), r.n_known, r.base_score, r.score) for r in S.score(docs, split()).collect())
+    monkeypatch.setattr(S, "TREE_ROWS", bound)
+    got = sorted((repr(r.doc_id), r.n_known, r.base_score, r.score) for r in S.score(docs, split()).collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [x for g in got for x in g[2:]] == pytest.approx([x for w in want for x in w[2:]], rel=1e-9)

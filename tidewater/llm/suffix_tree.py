@@ -7,19 +7,21 @@ of at most ``DEPTH`` preceding symbols.
 *   All (context, next symbol) counts of the training texts are gathered: each
     task counts its own, a grouped sum adds them.  Counts of shorter contexts
     are sums over the longest ones.
-*   A context is a candidate if it makes up at least ``LEAST_SHARE`` of all
-    symbols.  It is retained if its next-symbol counts diverge from those of its
+*   A context is a candidate if it was seen ``LEAST_TIMES``, whatever the size of
+    the table.  It is retained if its next-symbol counts diverge from those of its
     suffix: n * KL must exceed ``COST`` times the number of its symbols times ln n
     (and ``LEAST_GAIN``).  Suffixes of retained contexts are retained.
 *   A retained context's distribution is smoothed towards its suffix's, whose
     weight is ``PULL`` for each symbol seen after the context, down to the root,
     which adds one to each of 256 symbols.
 
-The tree is what is broadcast; at most 1 / ``LEAST_SHARE`` contexts of each
-length can be candidates, so its size has a bound that does not depend on the
-corpus.  Word counts (for the unigram base score) have no such bound: words that
-make up at least 1 / ``HEAD`` of all tokens (so ``HEAD`` at most) are
-broadcast, and the tokens of all others meet their counts in a join.
+The tree grows with the corpus.  Its most frequent contexts, with ``TREE_ROWS``
+rows at most, are broadcast; a suffix is at least as frequent as its context, so
+they form a tree themselves.  Where a text leaves it at a context that goes on
+beyond it, the gram meets the rest of its contexts in a join.  Words (for the
+unigram base score) are treated alike: those that make up at least 1 / ``HEAD``
+of all tokens (so ``HEAD`` at most) are broadcast, and the tokens of all others
+meet their counts in a join.
 
 Defined results: null or empty text is the end mark alone; a null id counts as
 the empty string when the split is made; rows are scored one by one, repeated
@@ -41,18 +43,20 @@ from tidewater.llm.common import id_and_text, short_batches
 from tidewater.llm.text import LOWER, SPACED, buffers, chunks, gathered, spans, word_hashes
 from tidewater.session import materialize
 
-DEPTH = 5                # longest context, in symbols (with the next one, six bytes of a key)
-LEAST_SHARE = 2e-6       # of all symbols, for a context to be a candidate
-LEAST_TIMES = 5          # and so many times in any case
+DEPTH = 7                # longest context, in symbols (with the next one, the eight bytes of a key)
+LEAST_SHARE = 0.0        # no share of all symbols is asked of a candidate
+LEAST_TIMES = 5          # but so many times
 LEAST_GAIN, COST = 5.0, 0.3     # n * KL, in nats
 PULL = 5.0               # weight of the suffix's distribution in the smoothing, for each symbol seen
 HEAD = 1 << 21           # words that are broadcast, at most
+TREE_ROWS = 6_000_000    # rows (context, symbol) of the tree that are broadcast, at most
 AT_ONCE = 1 << 21        # bytes of text
 KEYS_AT_ONCE = 1 << 22   # distinct keys that a task holds before it passes them on
 BLANK, END = 0x20, 0x0A  # neither occurs in a word
 END_TOKEN = 1            # the end mark's key among the words
-GRAM, WORD = 0, 1
-NAMES = ["key", "row", "times", "info"]
+GRAM, WORD, DOC = 0, 1, 2
+CONTEXT = "key & (shiftleft(1L, 8 * level) - 1)"      # of a row with level and key
+NAMES = ["kind", "key", "row", "times", "info"]
 
 
 def streams(low: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,15 +79,22 @@ def streams(low: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.n
 
 
 def grams(symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Key of each symbol with its ``DEPTH`` predecessors: the symbol in the highest of six bytes, then the
-    newest predecessor, and so on.  Before a text stand end marks."""
+    """Key of each symbol with its ``DEPTH`` predecessors: the symbol in byte 5, its five newest predecessors
+    below it (the newest in byte 4), the two older ones in bytes 7 and 6.  Before a text stand end marks."""
     n = np.diff(offsets)
     pad = DEPTH * np.arange(1, len(n) + 1)                    # marks before each text's symbols
     at = np.arange(len(symbols)) + np.repeat(pad, n)
     spaced = np.full(len(symbols) + DEPTH * len(n) + 8, END, np.uint8)
     spaced[at] = symbols
     eight = np.ndarray((len(spaced) - 7,), "<u8", spaced.data, strides=(1,))
-    return (eight[at - DEPTH] & np.uint64((1 << 8 * (DEPTH + 1)) - 1)).astype(np.int64)
+    key = eight[at - DEPTH]
+    return (key >> np.uint64(16) | key << np.uint64(48)).view(np.int64)
+
+
+def by_symbol(keys: np.ndarray) -> np.ndarray:
+    """Keys of ``grams`` with the symbol in the highest byte, then the newest predecessor, and so on."""
+    key = keys.view(np.uint64)
+    return key << np.uint64(16) | key >> np.uint64(48)
 
 
 def word_keys(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -119,7 +130,7 @@ def counts(docs: DataFrame) -> DataFrame:
             for _, d, o in chunks(data, offsets, AT_ONCE):
                 low = LOWER[d]
                 starts, ends, first = spans(low, o, SPACED)
-                own[GRAM].add(grams(*streams(low, o, starts, ends, first)))
+                own[GRAM].add(by_symbol(grams(*streams(low, o, starts, ends, first))).view(np.int64))
                 own[WORD].add(np.append(word_keys(low, starts, ends), np.full(len(o) - 1, END_TOKEN)))
                 for kind, c in enumerate(own):
                     if c.size > KEYS_AT_ONCE:
@@ -133,58 +144,80 @@ def counts(docs: DataFrame) -> DataFrame:
 
 def tree_table(all_counts: DataFrame) -> DataFrame:
     """level, key (symbol and context), n, and n_context and symbols of the retained contexts."""
-    levels = all_counts.where(F.col("kind") == GRAM).select("key", "n", F.explode(F.sequence(F.lit(0), F.lit(DEPTH))).alias("level"))
-    levels = levels.groupBy("level", F.expr(f"shiftright(key, 8 * ({DEPTH} - level))").alias("key")).agg(F.sum("n").alias("n"))
-    levels = materialize(levels.withColumn("context", F.expr("key & (shiftleft(1L, 8 * level) - 1)")), "levels")
-    totals = levels.groupBy("level", "context").agg(F.sum("n").alias("n_context"), F.count(F.lit(1)).alias("symbols"))
-    all_symbols = levels.where("level = 0").agg(F.sum("n")).first()[0] or 0
-    often = materialize(totals.where(F.col("n_context") >= max(LEAST_TIMES, LEAST_SHARE * all_symbols)), "contexts")
-    rows = materialize(levels.join(often, ["level", "context"]), "candidates")
+    rest = all_counts.where(F.col("kind") == GRAM).select("key", "n")
+    levels = rest.select(F.lit(DEPTH).alias("level"), "key", "n")
+    for level in reversed(range(DEPTH)):
+        rest = materialize(rest.groupBy(F.expr("shiftrightunsigned(key, 8)").alias("key")).agg(F.sum("n").alias("n")), f"level-{level}")
+        levels = levels.union(rest.select(F.lit(level).alias("level"), "key", "n"))
+    # a context has at most 256 next symbols, so its rows can be gathered
+    levels = levels.withColumn("context", F.expr(CONTEXT))
+    often = levels.groupBy("level", "context").agg(F.sum("n").alias("n_context"), F.collect_list(F.struct("key", "n")).alias("each")) \
+        .where((F.col("n_context") >= LEAST_TIMES) | (F.col("level") == 0))
+    rows = materialize(often.select("level", "context", "n_context", F.size("each").cast("long").alias("symbols"), F.inline("each")), "candidates")
     above = rows.select((F.col("level") + 1).alias("level"), F.col("key").alias("suffix_key"), F.col("n").alias("n_suffix"), F.col("n_context").alias("n_suffix_context"))
     gain = F.col("n") * F.ln((F.col("n") / F.col("n_context")) / (F.col("n_suffix") / F.col("n_suffix_context")))
-    kept = rows.where("level > 0").withColumn("suffix_key", F.shiftright("key", 8)).join(above, ["level", "suffix_key"]) \
+    kept = rows.where("level > 0").withColumn("suffix_key", F.expr("shiftrightunsigned(key, 8)")).join(above, ["level", "suffix_key"]) \
         .groupBy("level", "context", "n_context", "symbols").agg(F.sum(gain).alias("gain")) \
         .where((F.col("gain") >= LEAST_GAIN) & (F.col("gain") >= COST * F.col("symbols") * F.ln("n_context")))
     closed = kept.select("context", F.col("level").alias("of"), F.explode(F.sequence(F.lit(0), "level")).alias("level")) \
-        .select("level", F.expr("shiftright(context, 8 * (of - level))").alias("context"))
+        .select("level", F.expr("shiftrightunsigned(context, 8 * (of - level))").alias("context"))
     closed = closed.union(rows.where("level = 0").select("level", "context")).distinct()
     return rows.join(closed, ["level", "context"]).select("level", "key", "n", "n_context", "symbols")
 
 
+def head_times(tree: DataFrame) -> int:
+    """Least number of times of the contexts that are broadcast: the least power of two by which they have ``TREE_ROWS`` rows at most."""
+    sizes = {r["size"]: r["count"] for r in tree.where("level > 0").groupBy(F.floor(F.log2("n_context")).cast("int").alias("size")).count().collect()}
+    least, held = 63, 0
+    while least > 0 and held + sizes.get(least - 1, 0) <= TREE_ROWS:
+        least -= 1
+        held += sizes.get(least, 0)
+    return 1 << least
+
+
 class Tree:
-    """Retained contexts by length, as sorted arrays."""
+    """Contexts by length, as sorted arrays.  ``beyond``: level and context of those that go on in contexts that are not here."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, beyond: pa.Table | None = None):
         level, key, n, total, symbols = (table.column(c).to_numpy() for c in ("level", "key", "n", "n_context", "symbols"))
-        self.levels = []
-        for k in range(1, DEPTH + 1):
+        key = key.view(np.uint64)
+        self.levels, self.open = [], []
+        for k in range(DEPTH + 1):
             own = np.flatnonzero(level == k)
             own = own[np.argsort(key[own], kind="stable")]
-            contexts, at = np.unique(key[own] & ((1 << 8 * k) - 1), return_index=True)
+            contexts, at = np.unique(key[own] & np.uint64((1 << 8 * k) - 1), return_index=True)
             self.levels.append((contexts, total[own][at].astype(float), PULL * symbols[own][at], key[own], n[own].astype(float)))
+            more = np.zeros(0, np.uint64) if beyond is None else beyond.column("context").to_numpy()[beyond.column("level").to_numpy() == k].view(np.uint64)
+            self.open.append(np.isin(contexts, more) if k else np.array([len(more) > 0]))
         root = np.zeros(256)
-        root[key[level == 0]] = n[level == 0]
+        root[self.levels[0][3].astype(np.int64)] = self.levels[0][4]
         self.root = (root + 1) / (root.sum() + 256)
 
     def probabilities(self, keys: np.ndarray) -> np.ndarray:
-        """Probability of each key's symbol after the longest retained suffix of its context.
+        """Probability of the symbol of each key (of ``grams``) after the longest suffix of its context."""
+        distinct, same = np.unique(by_symbol(keys), return_inverse=True)
+        return self.walk(distinct)[0][same]
+
+    def walk(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For sorted distinct keys with the symbol first: its probability after the longest suffix of the
+        context that is here, that suffix's length, and whether it goes on beyond this tree.
 
-        ``keys`` are sorted: those of a common symbol and suffix stand together, so
-        each level looks up its own distinct ones only.
+        Keys of a common symbol and suffix stand together, so each level looks up its own distinct ones only.
         """
-        run = keys >> 8 * DEPTH
+        run = keys >> np.uint64(8 * DEPTH)
         run = run[np.flatnonzero(np.append(True, run[1:] != run[:-1]))] if len(keys) else run
-        p, kept = self.root[run], np.ones(len(run), bool)
-        for k, (contexts, total, pull, rows, n) in enumerate(self.levels, 1):
-            own = keys >> 8 * (DEPTH - k)
+        p, kept = self.root[run.astype(np.int64)], np.ones(len(run), bool)
+        depth, more = np.zeros(len(run), np.int32), np.full(len(run), self.open[0][0])
+        for k, (contexts, total, pull, rows, n) in enumerate(self.levels[1:], 1):
+            own = keys >> np.uint64(8 * (DEPTH - k))
             own = own[np.flatnonzero(np.append(True, own[1:] != own[:-1]))] if len(keys) else own
-            above = np.searchsorted(run, own >> 8)
-            p, kept, run = p[above], kept[above], own
+            above = np.searchsorted(run, own >> np.uint64(8))
+            p, kept, depth, more, run = p[above], kept[above], depth[above], more[above], own
             if not len(contexts):
                 kept[:] = False
                 continue
             live = np.flatnonzero(kept)
-            context = own[live] & ((1 << 8 * k) - 1)
+            context = own[live] & np.uint64((1 << 8 * k) - 1)
             at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
             hit = contexts[at] == context
             kept[live[~hit]] = False
@@ -192,7 +225,31 @@ class Tree:
             row = np.minimum(np.searchsorted(rows, own[live]), len(rows) - 1)
             seen = np.where(rows[row] == own[live], n[row], 0.0)
             p[live] = (seen + pull[at] * p[live]) / (total[at] + pull[at])
-        return p[np.searchsorted(run, keys)]
+            depth[live], more[live] = k, self.open[k][at]
+        return p, depth, more
+
+
+def rare_grams(parts: DataFrame, tail: DataFrame, model) -> DataFrame:
+    """key, value: logarithm of the probability of every gram that leaves the broadcast tree, by the contexts of ``tail``."""
+    def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = model.value[0]
+        for b in batches:
+            keys = np.sort(b.column(0).to_numpy().view(np.uint64))
+            p, depth, _ = tree.walk(keys)
+            for k in range(1, DEPTH + 1):
+                at = np.flatnonzero(depth < k)
+                own = keys[at] >> np.uint64(8 * (DEPTH - k))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(keys[at].view(np.int64)), pa.array(p[at]), pa.array(np.full(len(at), k, np.int32)),
+                    pa.array((own & np.uint64((1 << 8 * k) - 1)).view(np.int64)), pa.array((own >> np.uint64(8 * k)).astype(np.int32))],
+                    ["key", "p", "level", "context", "symbol"])
+    grams_out = parts.where(F.col("kind") == GRAM).select("key").distinct().mapInArrow(chains, "key long, p double, level int, context long, symbol int")
+    symbol = F.expr("cast(shiftrightunsigned(key, 8 * level) as int)")
+    contexts = tail.groupBy("level", F.expr(CONTEXT).alias("context"), "n_context", "symbols").agg(F.map_from_entries(F.collect_list(F.struct(symbol, "n"))).alias("seen"))
+    step = F.when(F.col("n_context").isNotNull(), F.struct(
+        "level", F.coalesce(F.expr("seen[symbol]"), F.lit(0)).cast("double").alias("n"), F.col("n_context").cast("double").alias("total"), (PULL * F.col("symbols")).alias("pull")))
+    return grams_out.join(contexts, ["level", "context"], "left").groupBy("key").agg(F.first("p").alias("p"), F.array_sort(F.collect_list(step)).alias("steps")) \
+        .select("key", F.log10(F.expr("aggregate(steps, p, (q, x) -> (x.n + x.pull * q) / (x.total + x.pull))")).alias("value"))
 
 
 def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -206,8 +263,13 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
     least = max(1.0, total / HEAD)
     head = words.where(F.col("n") >= least).select("key", "n").toArrow()
     order = np.argsort(head.column("key").to_numpy())
-    model = spark.sparkContext.broadcast((Tree(tree_table(gathered_counts).toArrow()), head.column("key").to_numpy()[order], head.column("n").to_numpy()[order]))
-    schema = ("key long, row long, times long, info struct<doc_id: long, held_out: boolean, n_tokens: long, "
+    tree = materialize(tree_table(gathered_counts), "tree")
+    often = (F.col("n_context") >= head_times(tree)) | (F.col("level") == 0)
+    tail, top = tree.where(~often), tree.where(often)
+    deeper = tail.select((F.col("level") - 1).alias("level"), F.shiftrightunsigned(F.expr(CONTEXT), 8).alias("context")).distinct()
+    beyond = top.select("level", F.expr(CONTEXT).alias("context")).distinct().join(deeper, ["level", "context"]).toArrow()
+    model = spark.sparkContext.broadcast((Tree(top.toArrow(), beyond), head.column("key").to_numpy()[order], head.column("n").to_numpy()[order]))
+    schema = ("kind int, key long, row long, times long, info struct<doc_id: long, held_out: boolean, n_tokens: long, "
               "known: long, log_sum: double, score: double>")
     about = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("log_sum", pa.float64()), ("score", pa.float64())])
 
@@ -219,13 +281,21 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
             for at, d, o in chunks(data, offsets, AT_ONCE):
                 low, n = LOWER[d], len(o) - 1
                 starts, ends, first = spans(low, o, SPACED)
-                # the tree's score: sort (gram, text), look each distinct gram up once
+                # the tree's score: sort the grams, look each distinct one up once
                 symbols, so = streams(low, o, starts, ends, first)
-                pairs = np.sort(grams(symbols, so).view(np.uint64) << np.uint64(16) | np.repeat(np.arange(n, dtype=np.uint64), np.diff(so)))
-                gram = (pairs >> np.uint64(16)).view(np.int64)
+                gram = by_symbol(grams(symbols, so))
+                order = np.argsort(gram)
+                gram, owner = gram[order], np.repeat(np.arange(n), np.diff(so))[order]
                 new = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
-                logs = np.log10(tree.probabilities(gram[new]))
-                tree_score = np.bincount((pairs & np.uint64(0xFFFF)).view(np.int64), np.repeat(logs, np.diff(np.append(new, len(gram)))), n)
+                p, _, more = tree.walk(gram[new])
+                many = np.diff(np.append(new, len(gram)))
+                tree_score = np.bincount(owner, np.repeat(np.where(more, 0.0, np.log10(p)), many), n)
+                if more.any():                 # the contexts beyond the broadcast ones, by a join
+                    out = np.repeat(more, many)
+                    distinct, same = np.unique(gram[out], return_inverse=True)
+                    pair, many = np.unique(owner[out] * len(distinct) + same, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), GRAM, np.int32)), pa.array(distinct[pair % len(distinct)].view(np.int64)),
+                                                      pa.array(row + 2 * (pair // len(distinct))), pa.array(many, pa.int64()), pa.nulls(len(pair), about)], NAMES)
                 # unigrams: the head here, the rest by a join
                 doc = np.append(np.repeat(np.arange(n), np.diff(first)), np.arange(n))
                 word, same = np.unique(np.append(word_keys(low, starts, ends), np.full(n, END_TOKEN)), return_inverse=True)
@@ -236,18 +306,23 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
                 log_sum, known = np.bincount(doc, value[same], n), np.bincount(doc, found[same], n).astype(np.int64)
                 rest = ~found[same]
                 pair, many = np.unique(doc[rest] * len(word) + same[rest], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(word[pair % len(word)]), pa.array(row + 2 * (pair // len(word))), pa.array(many, pa.int64()), pa.nulls(len(pair), about)], NAMES)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), WORD, np.int32)), pa.array(word[pair % len(word)]), pa.array(row + 2 * (pair // len(word))), pa.array(many, pa.int64()), pa.nulls(len(pair), about)], NAMES)
                 info = pa.StructArray.from_arrays([b.column(0).slice(at, n), b.column(2).slice(at, n), pa.array(np.diff(first) + 1, pa.int64()), pa.array(known), pa.array(log_sum), pa.array(tree_score)], fields=list(about))
                 own = row + 2 * np.arange(n)
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(own), pa.array(np.zeros(n, np.int64)), info], NAMES)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, DOC, np.int32)), pa.array(own), pa.array(own), pa.array(np.zeros(n, np.int64)), info], NAMES)
                 row += 2 * n
     short_batches(spark)
     parts = docs.select("doc_id", "text", "held_out").mapInArrow(run, schema)
-    rare = words.where(F.col("n") < least).select("key", F.col("n").alias("seen"))
-    met = parts.join(rare, "key", "left")
+    rare = words.where(F.col("n") < least).select("kind", "key", F.log10(F.col("n") + 1.0).alias("value"))
+    if len(beyond):
+        parts = materialize(parts, "parts")
+        rare = rare.union(rare_grams(parts, tail, model).select(F.lit(GRAM).alias("kind"), "key", "value"))
+    met = parts.join(rare, ["kind", "key"], "left")
+    word, gram = F.col("kind") == WORD, F.col("kind") == GRAM
     each = met.groupBy("row").agg(
-        *[F.max(f"info.{c}").alias(c) for c in ("doc_id", "held_out", "n_tokens", "score")],
-        (F.sum(F.coalesce("info.known", F.lit(0))) + F.sum(F.when(F.col("seen").isNotNull(), F.col("times")).otherwise(0))).alias("n_known"),
-        (F.sum(F.coalesce("info.log_sum", F.lit(0.0))) + F.sum(F.coalesce(F.col("times") * F.log10(F.col("seen") + 1.0), F.lit(0.0)))).alias("log_sum"))
+        *[F.max(f"info.{c}").alias(c) for c in ("doc_id", "held_out", "n_tokens")],
+        (F.sum(F.coalesce("info.known", F.lit(0))) + F.sum(F.when(word & F.col("value").isNotNull(), F.col("times")).otherwise(0))).alias("n_known"),
+        (F.sum(F.coalesce("info.log_sum", F.lit(0.0))) + F.sum(F.when(word & F.col("value").isNotNull(), F.col("times") * F.col("value")).otherwise(0.0))).alias("log_sum"),
+        (F.max("info.score") + F.sum(F.when(gram, F.col("times") * F.col("value")).otherwise(0.0))).alias("score"))
     return each.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"),
                        (F.col("log_sum") - F.col("n_tokens") * F.log10(F.lit(float(total + distinct + 1)))).alias("base_score"), "score")
