@@ -63,3 +63,28 @@ def test_detections_carry_their_places(spark):
     text = "Intro. Licensed under the MIT License. All rights reserved"
     found = L.detections(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
     assert any(r.label == "mit" and "mit license" in text.lower()[r.start:r.end] for r in found)
+
+
+GLUED = ["licensed under GPLv3", "GPLv2", "GPL3", "LGPLv2.1", "AGPLv3 only", "EUPLv1.2", "GPL_version_2", "gplversion3", "0BSD", "FreeBSD License",
+         "Berkeley Software Distribution License", "Expat Licence", "the Unlicence", "\u201cMIT License\u201d", "GNU\u00a0GPL 2.0", "CDDLv1.1",
+         "nocopyright 2020", "(c) copyrighted", "see mygnu.org/licenses/gpl-3.0", "CC0", "CC01.0", "spdxlicenseidentifier: MIT", "cc_by 4.0",
+         "Uncreative Commons Attribution 4.0", "without warranty of any kindness", "rewtfpl.network", "PHP License 3.01"]
+
+
+def test_prefilter_loses_no_detection(texts):
+    import numpy as np
+    sc, every = L.scanner(L.rule_set()), set(range(len(L.rule_set())))
+    names = [n + g + v for _, _, names, versions, _ in L.FAMILIES for n in names for v in versions for g in ("", "v", " version ")]
+    for t in GLUED + names + [t for _, t in sorted(texts.items())[:25]]:
+        low = L.LOWER[np.frombuffer(t.encode(), np.uint8)]
+        text = low.tobytes().decode()
+        assert sc.detect(text, sc.gate(low, np.array([0, len(low)])).get(0, set())) == sc.detect(text, every), t
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("licensed under GPLv3", {"gpl-3.0"}), ("LGPLv2.1", {"lgpl-2.1"}), ("FreeBSD License", {"bsd-2-clause"}), ("Expat License", {"mit"}), ("0BSD", {"bsd-0-clause"}),
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", {"mit", "apache-2.0"}),
+    ("// SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR (BSD-3-Clause AND ISC)\nand MPL", {"gpl-2.0", "bsd-3-clause", "isc"})])
+def test_glued_names_and_whole_expressions(spark, text, labels):
+    r = L.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert set(r.labels.split(",")) == labels and r.score > 0

@@ -1,10 +1,12 @@
 """License scan: ordered signature rules with keyword prefilter, priorities and
 interval-containment suppression.
 
-A rule is a regular expression with a label, a priority, a score and one keyword
-(a word that must occur for the expression to match).  Words of the whole batch
-are hashed at once; only texts that hold a rule's keyword are decoded, and only
-the rules of the keywords found run on them.  A detection that lies inside
+A rule is a regular expression with a label, a priority, a score and keywords, at
+least one of which is in every possible match: as a whole run of letters (so
+GPLv3 has the keyword gplv), or, where the expression does not end at a run's
+ends, as any part of the text.  Runs of the whole batch are hashed at once; only
+texts that hold a rule's keyword are decoded, and only the rules of the keywords
+found run on them.  SPDX rules run on each member of a tag's whole expression.  A detection that lies inside
 another of higher rank (priority, then length, then place, then rule order) is
 suppressed; containment is transitive, so one sweep decides all of them.
 
@@ -40,6 +42,9 @@ BASE_PHRASES = (
 )
 BASE_SCORE = 0.6
 
+LETTERS = np.zeros(256, bool)
+LETTERS[97:123] = True
+
 # a gap between words: bounded, so that no expression scans far
 _GAP = r"[\W_]{1,6}"
 
@@ -152,6 +157,23 @@ class Rule:
     score: float
     keyword: str
     pattern: str
+    others: tuple[str, ...] = ()     # further keywords: every match holds one of them or the first
+    part: bool = True                # the keyword may be a part of a longer run of letters
+    spdx: bool = False               # the expression is searched in the expressions of SPDX tags
+
+
+#: a tag and its expression: members joined by operators, with or without brackets
+_MEMBER = r"[(\s]*[a-z0-9.+\-]+(?:\s{0,4}\))*"
+SPDX = re.compile(rf"spdx[\W_]{{0,2}}license[\W_]{{0,2}}identifier[\W_]{{1,4}}({_MEMBER}(?:\s{{1,4}}(?:and|or|with)\b{_MEMBER})*)")
+
+
+def _runs_of(name: str, keyword: str, versioned: bool) -> list[str]:
+    """Runs of letters, one of which is in every text that the name stands for."""
+    runs = re.findall("[a-z]+", name)
+    wanted = re.findall("[a-z]+", keyword)[0]
+    run = wanted if wanted in runs else max((r for r in runs if r != "licence"), key=lambda r: (r != "license", len(r)))
+    out = [run] + [run + glue for glue in ("v", "ver", "version") if versioned and name.endswith(run)]
+    return out + [r.replace("license", "licence") for r in out if "license" in r]
 
 
 def rule_set() -> tuple[Rule, ...]:
@@ -159,26 +181,29 @@ def rule_set() -> tuple[Rule, ...]:
     out: list[Rule] = []
     grant = rf"(?:licen[cs]ed|released|distributed|available|provided){_GAP}under{_GAP}(?:the{_GAP})?(?:terms{_GAP}of{_GAP}(?:the{_GAP})?)?"
     for stem, keyword, names, versions, addresses in FAMILIES:
+        def named(label: str, priority: int, score: float, pattern: str, of: tuple[str, ...], versioned: bool) -> Rule:
+            runs = dict.fromkeys(r for n in of for r in _runs_of(n, keyword, versioned))
+            return Rule(label, priority, score, next(iter(runs)), pattern, tuple(runs)[1:], part=False)
         for v in versions:
             label = f"{stem}-{v}" if v else stem
             tag = re.escape(label).replace(r"\.0", r"(?:\.0)?")
-            out.append(Rule(label, 100, 1.0, "spdx", rf"spdx[\W_]{{0,2}}license[\W_]{{0,2}}identifier[\W_]{{1,4}}{tag}(?:-only|-or-later|\+)?(?![\w.]*[a-z0-9])"))
+            out.append(Rule(label, 100, 1.0, "spdx", rf"(?<![\w.+\-]){tag}(?:-only|-or-later|\+)?(?![\w.]*[a-z0-9])", spdx=True))
             out += [Rule(label, 90, 0.95, a.split(r"\.")[0].rsplit("/", 1)[-1], a.format(v=re.escape(v) if v else "")) for a in addresses]
             name = "(?:" + "|".join(_words(n) for n in names) + ")"
             versioned = rf"(?<!\w){name}{_version(v)}" if v else rf"(?<!\w){name}(?!\w)"
-            out.append(Rule(label, 80, 0.9, keyword, grant + versioned.removeprefix(r"(?<!\w)")))
-            out.append(Rule(label, 70 if v else 60, 0.85 if v else 0.8, keyword, versioned))
+            out.append(named(label, 80, 0.9, grant + versioned.removeprefix(r"(?<!\w)"), names, bool(v)))
+            out.append(named(label, 70 if v else 60, 0.85 if v else 0.8, versioned, names, bool(v)))
         if "" not in versions:
-            out += [Rule(stem, 50, 0.75, keyword, rf"(?<!\w){_words(n)}(?!\w)") for n in names]
+            out += [named(stem, 50, 0.75, rf"(?<!\w){_words(n)}(?!\w)", (n,), False) for n in names]
     for code, words in CREATIVE:
         short = rf"(?<!\w)cc[\W_]{{1,3}}" + code.replace("-", r"[\W_]{1,3}")
         long = rf"creative{_GAP}commons{_GAP}" + _words(words).replace("sharealike", r"share[\W_]?alike").replace("noderivatives", r"no[\W_]?deriv(?:ative)?s?(?:ives)?").replace("noncommercial", r"non[\W_]?commercial")
         for v in CREATIVE_VERSIONS:
             n = len(code)
-            out.append(Rule(f"cc-{code}-{v}", 85 + n, 0.95, "cc", short + r"[\W_]{1,3}" + re.escape(v) + r"(?![0-9])"))
+            out.append(Rule(f"cc-{code}-{v}", 85 + n, 0.95, "cc", short + r"[\W_]{1,3}" + re.escape(v) + r"(?![0-9])", part=False))
             out.append(Rule(f"cc-{code}-{v}", 85 + n, 0.95, "creativecommons", rf"creativecommons\.org/licenses/{code}/{re.escape(v)}"))
             out.append(Rule(f"cc-{code}-{v}", 85 + n, 0.95, "creative", long + rf"[\w\W]{{0,20}}?{re.escape(v)}(?![0-9])"))
-        out.append(Rule(f"cc-{code}", 60 + len(code), 0.8, "cc", short + r"(?!\w)"))
+        out.append(Rule(f"cc-{code}", 60 + len(code), 0.8, "cc", short + r"(?!\w)", part=False))
         out.append(Rule(f"cc-{code}", 60 + len(code), 0.8, "creative", long + r"(?!\w)"))
     out += [Rule(label, 40, 0.5, keyword, pattern) for label, keyword, pattern in NOTICES]
     return tuple(out)
@@ -190,8 +215,13 @@ class Scanner:
     def __init__(self, rules: tuple[Rule, ...]):
         self.rules = [(r, re.compile(r.pattern)) for r in rules]
         self.by_keyword: dict[int, list[int]] = {}
+        self.by_part: dict[bytes, list[int]] = {}
         for i, r in enumerate(rules):
-            self.by_keyword.setdefault(int(_hash_of(r.keyword)[0]), []).append(i)
+            for k in (r.keyword, *r.others):
+                if r.part:
+                    self.by_part.setdefault(k.encode(), []).append(i)
+                else:
+                    self.by_keyword.setdefault(int(_hash_of(k)[0]), []).append(i)
         self.keywords = np.sort(np.array(list(self.by_keyword), np.uint64))
         self.maybe = np.zeros(1 << 16, bool)          # first look at the low bits only
         self.maybe[(self.keywords & np.uint64(0xFFFF)).astype(np.int64)] = True
@@ -201,11 +231,35 @@ class Scanner:
         at = np.flatnonzero(self.maybe[(hashes & np.uint64(0xFFFF)).astype(np.int64)])
         return at[np.isin(hashes[at], self.keywords)]
 
-    def detect(self, text: str, found: set[int]) -> list[tuple[int, int, Rule]]:
-        """Detections that survive suppression, by place; ``text`` is lower-cased."""
+    def gate(self, low: np.ndarray, offsets: np.ndarray) -> dict[int, set[int]]:
+        """Document -> rules that may match in it."""
+        starts, ends, word0 = spans(low, offsets, LETTERS)
+        h = word_hashes(low, starts, ends)
+        keyed = self.keywords_at(h)
+        out: dict[int, set[int]] = {}
+        for d, k in zip((np.searchsorted(word0, keyed, "right") - 1).tolist(), h[keyed].tolist()):
+            out.setdefault(d, set()).update(self.by_keyword[k])
+        text = low[:offsets[-1]].tobytes()
+        for part, rules in self.by_part.items():
+            at = text.find(part, int(offsets[0]))
+            while at >= 0:
+                d = int(np.searchsorted(offsets, at, "right")) - 1
+                if at + len(part) <= offsets[d + 1]:
+                    out.setdefault(d, set()).update(rules)
+                    at = text.find(part, int(offsets[d + 1]))
+                else:
+                    at = text.find(part, at + 1)
+        return out
+
+    def detect(self, text: str, rules: set[int]) -> list[tuple[int, int, Rule]]:
+        """Detections of these rules that survive suppression, by place; ``text`` is lower-cased."""
         hits: list[tuple[int, int, int]] = []
-        for i in sorted({i for k in found for i in self.by_keyword[k]}):
-            hits += [(m.start(), m.end(), i) for m in self.rules[i][1].finditer(text)]
+        tags = [m.span(1) + (m.start(),) for m in SPDX.finditer(text)] if any(self.rules[i][0].spdx for i in rules) else []
+        for i in sorted(rules):
+            if self.rules[i][0].spdx:
+                hits += [(tag if m.start() == a else m.start(), m.end(), i) for a, e, tag in tags for m in self.rules[i][1].finditer(text, a, e)]
+            else:
+                hits += [(m.start(), m.end(), i) for m in self.rules[i][1].finditer(text)]
         return [(s, e, self.rules[i][0]) for s, e, i in survivors(hits, lambda i: -self.rules[i][0].priority)]
 
 
@@ -277,9 +331,7 @@ def scan_batch(ids: pa.Array, texts: pa.Array, rules: tuple[Rule, ...]) -> pa.Ta
                 last[d] = max(last[d], place)
                 base_labels[d].add(label)
                 score[d] = max(score[d], BASE_SCORE)
-        keyed = sc.keywords_at(h)
-        for d in np.unique(doc[keyed]):
-            found = {int(x) for x in h[keyed[doc[keyed] == d]]}
+        for d, found in sc.gate(low, off).items():
             text = low[off[d]:off[d + 1]].tobytes().decode()
             kept = sc.detect(text, found)
             n_det[at + d] = len(kept)
@@ -308,11 +360,9 @@ def detections(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ru
         sc, rows = scanner(rules), []
         data, offsets = buffers(b.column(1))
         low = LOWER[data]
-        starts, ends, word0 = spans(low, offsets, ALNUM)
-        h = word_hashes(low, starts, ends)
+        gate = sc.gate(low, offsets)
         for d, i in enumerate(b.column(0).to_pylist()):
-            own = h[word0[d]:word0[d + 1]]
-            found = {int(x) for x in own[sc.keywords_at(own)]}
+            found = gate.get(d)
             if found:
                 text = low[offsets[d]:offsets[d + 1]].tobytes().decode()
                 rows += [(i, r.label, s, e, r.priority, r.score) for s, e, r in sc.detect(text, found)]
