@@ -93,3 +93,12 @@ def test_empty_tables(spark, odd, model):
 def test_clean_documents_stay(spark):
     docs = spark.read.parquet(f"{SF2}/documents.parquet").join(spark.read.parquet(f"{SF2}/labels.parquet").where("quality = 1"), "doc_id", "left_semi")
     assert L.keep(docs, L.train(docs)).count() == docs.count()
+
+
+def test_a_language_is_modelled_whatever_the_size_of_the_table(spark):
+    rare = spark.createDataFrame([("xx", "qoph zayin teth lamed samekh ayin " * 10)] * 20 + [("yy", "too little")], "lang string, text string")
+    models = [L.train(rare.union(spark.range(n).select(F.lit("en"), F.lit("the cat sat on the mat and it slept")))) for n in (200, 100_000)]
+    assert [m.languages for m in models] == [["en", "xx", L.UND]] * 2
+    assert models[0].log_p[:, 1] == pytest.approx(models[1].log_p[:, 1])
+    rows = spark.createDataFrame([(1, "samekh ayin teth lamed " * 5, "xx", "h")], "id long, text string, declared string, host string")
+    assert L.identify(rows, L.read_plain, models[1]).first().lang == "xx"

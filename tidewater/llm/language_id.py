@@ -12,9 +12,9 @@
     domain, that towards its address suffix, that towards all rows.  A row's own
     verdict is taken out of every level before it is judged.
 
-Only tables with a bound reach the driver: languages are those of at least
-``LEAST_SHARE`` of the labelled texts (so 1 / LEAST_SHARE at most), with ``BUCKETS``
-counts each; declared values and paths count as a language, ``other`` or ``none``.
+Languages are those with at least ``LEAST_TRIGRAMS`` in the labelled texts, whatever
+the size of the table; their models, ``BUCKETS`` counts each, reach the driver.
+Declared values and paths count as a language, ``other`` or ``none``.
 Hosts have no bound: their counts stay a table and are joined (a frequent host's
 rows are then the planner's to split).
 
@@ -42,7 +42,7 @@ from tidewater.llm.text import buffers, chunks
 from tidewater.session import materialize
 
 BUCKETS = 1 << 14
-LEAST_SHARE = 0.0005
+LEAST_TRIGRAMS = 1000    # labelled, for a language to have a model
 SMOOTH = 0.5             # added to each trigram bucket
 TEXT_WEIGHT, TEXT_ROOM = 0.3, 300.0    # trigrams overlap; a long text counts as this many of them
 KAPPA = (10.0, 20.0, 50.0, 1.0)        # pull of domain on host, suffix on domain, all on suffix, even on all
@@ -110,9 +110,6 @@ class TextModel:
 def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> TextModel:
     """Trigram distributions of the languages in ``labelled``, counted over all of its texts."""
     rows = labelled.select(F.lower(col(lang_col).cast("string")).alias("lang"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text")).where("lang IS NOT NULL AND lang != ''")
-    per = rows.groupBy("lang").count()
-    total = per.agg(F.sum("count")).first()[0] or 0
-    languages = sorted(r["lang"] for r in per.where(F.col("count") >= LEAST_SHARE * total).collect())
 
     def run(b: pa.RecordBatch) -> pa.Table:
         data, offsets = buffers(b.column(1))
@@ -124,8 +121,10 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -
             counts += np.bincount(code[at + doc] * BUCKETS + bucket, minlength=counts.size).reshape(counts.shape)
         who, bucket = np.nonzero(counts)
         return pa.table({"lang": lang.dictionary.take(pa.array(who)), "bucket": bucket, "n": counts[who, bucket]})
-    table = map_batches(rows.where(F.col("lang").isin(languages)) if languages else rows.limit(0), run, "lang string, bucket long, n long") \
-        .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    found = materialize(map_batches(rows, run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "trigrams")
+    known = found.groupBy("lang").agg(F.sum("n").alias("all")).where(F.col("all") >= LEAST_TRIGRAMS).select("lang")
+    languages = sorted(r["lang"] for r in known.collect())
+    table = found.join(known, "lang", "left_semi").toArrow()
     counts = np.full((BUCKETS, len(languages) + 1), SMOOTH)
     counts[:, -1] = 1.0
     place = {x: i for i, x in enumerate(languages)}
