@@ -100,3 +100,12 @@ def test_collision_counts_by_hand(monkeypatch):
     want = (np.abs(values - at) <= 1.2 * b.unit).sum(1)
     got = ((b.place >= lo[0][:, None]) & (b.place < hi[0][:, None])).sum(0)
     assert got.tolist() == want.tolist()
+
+
+def test_each_length_is_searched_among_its_own(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(3 if i < 60 else 5).round(3).tolist()) for i in range(100)]
+    got = found(A.search(frame(spark, rows), lambda i: i % 20 == 0, 4))
+    want = brute(rows[:60], 4, 20) | brute(rows[60:], 4, 20)
+    assert set(got) == {0, 20, 40, 60, 80}
+    same(got, want)

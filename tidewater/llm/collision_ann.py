@@ -18,8 +18,8 @@ Of identical vectors only the k+1 smallest ids are kept, which loses nothing:
 they score alike, a query drops at most its own id, and ties go to smaller ids.
 
 Defined results: vectors that are null, zero, hold null or non-finite
-components, or differ in length from the most frequent length take no part, nor
-do rows with a null id; repeated rows count once; an id with several vectors
+components take no part, nor do rows with a null id; vectors of different
+lengths do not meet, each length is searched among its own; repeated rows count once; an id with several vectors
 counts with its best; an empty table gives an empty table; other columns are
 not carried.
 """
@@ -127,30 +127,34 @@ def search(df: DataFrame, is_query, k: int, id_col: str = "vec_id", vector_col:
         F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0)
         & F.forall(v, lambda a: a.isNotNull() & ~F.isnan(a) & (F.abs(a) < float("inf"))) & F.exists(v, lambda a: a != 0))
     rows = materialize(usable.dropDuplicates(["vec_id", "vector"]), "vectors")
-    lengths = rows.groupBy(F.size("vector").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
-    most = lengths.orderBy(F.desc("n"), "dim").first()
-    if most is None:
-        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("vector") == most["dim"])
+    dim = F.size("vector")
     norm2 = F.aggregate("vector", F.lit(0.0), lambda s, a: s + a.cast("double") * a.cast("double"))
-    largest = float(rows.agg(F.max(norm2)).first()[0]) ** 0.5
-    blocks, query_blocks = -(-most["n"] // BLOCK), max(1, -(-rows.where(is_query(F.col("vec_id"))).count() // QUERY_BLOCK))
+    lengths = rows.groupBy(dim.alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(norm2).alias("norm2"),
+                                                 F.count(F.when(is_query(F.col("vec_id")), 1)).alias("queries")).collect()
+    if not lengths:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    largest = {r["dim"]: float(r["norm2"]) ** 0.5 for r in lengths}
+
+    def of_length(count: dict[int, int]):
+        return F.create_map(*[F.lit(x) for pair in count.items() for x in pair])[dim]
+    blocks = of_length({r["dim"]: -(-r["n"] // BLOCK) for r in lengths})
+    query_blocks = of_length({r["dim"]: max(1, -(-r["queries"] // QUERY_BLOCK)) for r in lengths})
 
     twins = Window.partitionBy("vector").orderBy("vec_id")
     index = rows.withColumn("_twin", F.row_number().over(twins)).where(F.col("_twin") <= k + 1).select(
-        "vec_id", "vector", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"))
+        "vec_id", "vector", dim.alias("dim"), F.pmod(F.xxhash64("vec_id"), blocks.cast("long")).alias("block"),
+        F.explode(F.sequence(F.lit(0), query_blocks - 1)).alias("query_block"))
     queries = rows.where(is_query(F.col("vec_id"))).select(
-        "vec_id", "vector", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
-        F.pmod(F.xxhash64(F.lit("query"), "vec_id"), F.lit(query_blocks)).cast("int").alias("query_block"))
+        "vec_id", "vector", dim.alias("dim"), F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)).alias("block"),
+        F.pmod(F.xxhash64(F.lit("query"), "vec_id"), query_blocks).cast("int").alias("query_block"))
 
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+    def meet(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             out = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         else:
-            out = Block(*_vectors(left), largest).search(*_vectors(right), k)
+            out = Block(*_vectors(left), largest[key[0].as_py()]).search(*_vectors(right), k)
         return pa.table(dict(zip(("query_id", "vec_id", "score"), out)))
-    found = index.groupBy("block", "query_block").cogroup(queries.groupBy("block", "query_block")).applyInArrow(meet, SCHEMA)
+    found = index.groupBy("dim", "block", "query_block").cogroup(queries.groupBy("dim", "block", "query_block")).applyInArrow(meet, SCHEMA)
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranks = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
