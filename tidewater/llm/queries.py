@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat_format, collision_ann, language_id, license_scan, near_dedup, pattern_packing, piece_viterbi, quality_forest, suffix_tree, token_counts
+from tidewater.llm import chat_format, collision_ann, language_id, license_scan, near_dedup, pattern_packing, periodic_runs, piece_viterbi, quality_forest, shortest_pack, suffix_tree, token_counts, turn_repair
 from tidewater.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,62 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.train(table(spark, sf_dir, "documents"))
     pages = table(spark, sf_dir, "pages").select("page_id", "html", "url")
     return language_id.identify(pages, language_id.read_pages, model).withColumnRenamed("id", "page_id")
+
+
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """Turns of which some are dropped, emptied, stripped of their stops, repeated, or said by a user."""
+    def name(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(name("conv_id"), F.lit(":"), name("turn")).cast("binary")) % 20
+    return (turns.withColumn("kind", kind).where("kind != 0")
+            .select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+                    F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+                    F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+            .drop("copy"))
+
+
+@query
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = turn_repair.turns(table(spark, sf_dir, "conversations"))
+    return turn_repair.report(damaged_turns(turns), turns)
+
+
+SHORTEST_LIMIT, SHORTEST_END = 2048, 1
+
+
+@query
+def op12_shortest_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shortest_pack.pack(table(spark, sf_dir, "documents"), PACK_FILES, SHORTEST_END, SHORTEST_LIMIT)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Whole texts; in one of ten (by a hash of its id) the words from some place on repeat."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words):        # an argument, so that the text is split once
+        n = F.size(words)
+        a = g % F.greatest(n, F.lit(1))
+        p = F.floor((n - a) / (3 + g % 8)) + 1
+        # the words before a, then word after word of the period
+        again = F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(1)).cast("long") - 1),
+                            lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+        return F.array_join(again, " ")
+    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    planted = F.get(F.transform(F.array(words), repeated), F.lit(0))
+    return docs.select("doc_id", F.when(h % 10 == 0, planted).otherwise(text).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs and collapsed texts, as digests; a document without an id has no words planted."""
+    found = periodic_runs.detect(with_planted_runs(table(spark, sf_dir, "documents")))
+    best = F.get(F.array_sort("runs", lambda a, b: F.when(a["length"] != b["length"], b["length"] - a["length"])
+                              .when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(a["period"] - b["period"]).cast("int")), F.lit(0))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))), "\n")
+    return (found.withColumn("best", best)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+                    F.col("best.period").alias("period"), F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+                    F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit("")).cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
