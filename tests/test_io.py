@@ -167,3 +167,58 @@ def test_materialized_data_of_a_scope_is_deleted(spark):
         path = materialize(spark.range(5), "scoped").inputFiles()[0].removeprefix("file://")
         assert os.path.exists(path)
     assert not os.path.exists(path)
+
+
+# ---------------------------------------------------------------- quoted CSV
+def _files(spark, path, **texts):
+    """Files of exactly these texts, as ``path/<name>.csv``."""
+    import os
+    os.makedirs(path)
+    for name, text in texts.items():
+        with open(f"{path}/{name}.csv", "w", newline="") as f:
+            f.write(text)
+    return path
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_quoted_header_names_and_cells(spark, tmp, multi_line):
+    out = _files(spark, tmp("quoted"), a='"a,x",b,c\n1,2,3\n', b='\n\nC , "B"\r\n"3,""3""",2\r\n', c='\ufeffb\n5\n\n')
+    got = RD.read_csv_by_name(spark, out, "b int, c string, `a,x` int", multi_line=multi_line).collect()
+    assert sorted((r.b, r.c, r["a,x"]) for r in got) == [(2, "3", 1), (2, '3,"3"', None), (5, None, None)]
+
+
+def test_quoted_line_breaks(spark, tmp):
+    out = _files(spark, tmp("breaks"), a='id,"no\nte",z\n1,"line ""one""\nline, two",5\n2,plain,6\n', b='Z,ID\n1,3\n')
+    schema = "id int, `no\nte` string, z int"
+    with pytest.raises(ValueError, match="multi_line"):
+        RD.read_csv_by_name(spark, out, schema)
+    got = sorted(tuple(r) for r in RD.read_csv_by_name(spark, out, schema, multi_line=True).collect())
+    assert got == [(1, 'line "one"\nline, two', 5), (2, "plain", 6), (3, None, 1)]
+
+
+def test_an_unclosed_quote_is_refused(spark, tmp):
+    out = _files(spark, tmp("unclosed"), a='id,note\n1,"never closed\n2,x\n')
+    for multi_line in (False, True):
+        with pytest.raises(ValueError, match="a.csv"):
+            RD.read_csv_by_name(spark, out, "id int, note string", multi_line=multi_line)
+
+
+def test_quotes_that_are_no_open_cell_are_read(spark, tmp):
+    out = _files(spark, tmp("inch"), a='id,note,z\n1,"x,""",5\n2,"5"" pipe",6\n3,5" pipe,7\n5,"","9"\n6,"' + '""' * 20_001 + '",1\n')
+    got = sorted(tuple(r) for r in RD.read_csv_by_name(spark, out, "id int, note string, z int").collect())
+    assert got[:4] == [(1, 'x,"', 5), (2, '5" pipe', 6), (3, '5" pipe', 7), (5, None, 9)] and len(got[4][1]) == 20_001
+
+
+def test_copy_into_takes_any_glob_and_catches_up(spark, tmp):
+    from tidewater.sources import loads as LD
+    src = tmp("globs")
+    for folder in ("x", "y"):
+        _files(spark, f"{src}/{folder}", p1="id\n1\n", p2="id\n2\n", q1="id\n3\n")
+    asof, n = "2024-02-01 00:00:00", lambda glob: LD.copy_into(spark, src, tmp("t"), "id int", tmp("l"), asof, glob=glob)
+    assert [n(g) for g in ("p?.csv", "*.{csv,tsv}", "p[12].csv", "[!p]*.csv", "*")] == [4, 6, 4, 2, 6]
+    target, log = tmp("refresh-target"), tmp("refresh-log")
+    load = lambda **kw: LD.refresh(spark, src, target, "id int", log, asof, **kw)
+    assert [load(prefix="x/"), load(prefix="x"), load(modified_after="2999-01-01 00:00:00"), load(modified_after="2000-01-01 00:00:00"), load()] == [3, 0, 0, 3, 0]
+    assert LD.read_landing(spark, target).count() == 6
+    with pytest.raises(ValueError):
+        LD.copy_into(spark, src, target, "id int", log, asof, force=True, modified_after=asof)

@@ -41,8 +41,8 @@ def a2_read_csv_by_name(spark, sf):
     c = T(spark, sf).customer
     out = scratch_dir(spark, "a2")
     seg = F.col("c_mktsegment")
-    # three header layouts in one folder: reordered, upper-cased, and one column missing
-    (c.where(seg.isin("BUILDING", "MACHINERY")).select("c_mktsegment", "c_acctbal", "c_custkey", "c_name",
+    # three header layouts in one folder: reordered behind a name that holds a comma, upper-cased, and one column missing
+    (c.where(seg.isin("BUILDING", "MACHINERY")).select(F.lit("1,2").alias("c_name,c_custkey"), "c_mktsegment", "c_acctbal", "c_custkey", "c_name",
                                                          "c_nationkey")
      .write.mode("append").option("header", True).csv(out))
     (c.where(seg.isin("AUTOMOBILE", "HOUSEHOLD"))
@@ -53,6 +53,24 @@ def a2_read_csv_by_name(spark, sf):
     return RD.read_csv_by_name(spark, out, CUSTOMER_SCHEMA)
 
 
+@register("a2_read_csv_multi_line", """SELECT c_custkey, c_name || chr(10) || '"of", ' || c_mktsegment AS c_name, c_nationkey, c_acctbal,
+       c_mktsegment, true AS line_reader_refuses FROM customer""")
+def a2_read_csv_multi_line(spark, sf):
+    """Quoted cells with line breaks, commas and quotes, in the header too; read line by line they are refused."""
+    c = T(spark, sf).customer
+    out = scratch_dir(spark, "a2m")
+    c = c.withColumn("c_name", F.concat("c_name", F.lit('\n"of", '), "c_mktsegment"))
+    odd = c.where(F.col("c_custkey") % 2 == 1).select(F.lit("n").alias("free\ntext, quoted"), "c_name", "c_acctbal", "c_custkey", "c_mktsegment", "c_nationkey")
+    for part in (odd, c.where(F.col("c_custkey") % 2 == 0).select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal", "c_name")):
+        part.write.mode("append").option("header", True).option("escape", '"').csv(out)
+    try:
+        RD.read_csv_by_name(spark, out, CUSTOMER_SCHEMA)
+        refused = False
+    except ValueError:
+        refused = True
+    return RD.read_csv_by_name(spark, out, CUSTOMER_SCHEMA, multi_line=True).withColumn("line_reader_refuses", F.lit(refused))
+
+
 SUPPLIER_COLS = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]
 
 
@@ -66,16 +84,16 @@ def a3_read_csv_external(spark, sf):
 
 
 @register("a4_read_csv_prefix", """SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name,
-       CAST(n_regionkey AS VARCHAR) AS n_regionkey, '' AS n_comment,
+       CAST(n_regionkey AS VARCHAR) AS n_regionkey, '' AS n_comment, n_name || ', "the"' AS "long,name",
        CASE WHEN n_regionkey < 2 THEN 'part_a' ELSE 'part_b' END AS folder FROM nation""")
 def a4_read_csv_prefix(spark, sf):
     """Two folders whose headers differ in order and case: each file is read by its own."""
-    n = T(spark, sf).nation
+    n = T(spark, sf).nation.withColumn("long,name", F.concat("n_name", F.lit(', "the"')))
     out = scratch_dir(spark, "a4")
-    n.where(F.col("n_regionkey") < 2).write.option("header", True).csv(f"{out}/part_a")
-    n.where(F.col("n_regionkey") >= 2).select(F.col("n_regionkey").alias("N_REGIONKEY"), "n_name", F.col("n_nationkey").alias("N_NationKey")) \
-        .write.option("header", True).csv(f"{out}/part_b")
-    df = RD.read_csv_prefix(spark, out, ["n_nationkey", "n_name", "n_regionkey", "n_comment"])
+    n.where(F.col("n_regionkey") < 2).write.option("header", True).option("escape", '"').csv(f"{out}/part_a")
+    n.where(F.col("n_regionkey") >= 2).select(F.col("long,name").alias("LONG,name"), F.col("n_regionkey").alias("N_REGIONKEY"), "n_name", F.col("n_nationkey").alias("N_NationKey")) \
+        .write.option("header", True).option("escape", '"').csv(f"{out}/part_b")
+    df = RD.read_csv_prefix(spark, out, ["n_nationkey", "n_name", "n_regionkey", "n_comment", "long,name"])
     return df.withColumn("folder", F.regexp_extract("_source_file", "/(part_[ab])/", 1)).drop("_source_file")
 
 

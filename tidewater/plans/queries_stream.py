@@ -342,6 +342,27 @@ def a15_reload_force(spark, sf):
     return out
 
 
+@register("a15_refresh", """WITH d AS (SELECT count_if(day(ts) <= 10) AS a, count_if(day(ts) > 10 AND day(ts) <= 20) AS b, count_if(day(ts) > 20) AS c FROM events)
+SELECT 'one folder' AS run, CAST(b AS BIGINT) AS rows FROM d UNION ALL SELECT 'later files', CAST(b AS BIGINT) FROM d
+UNION ALL SELECT 'two folders by name', CAST(a + b AS BIGINT) FROM d UNION ALL SELECT 'all', CAST(a + b + c AS BIGINT) FROM d""")
+def a15_refresh(spark, sf):
+    """Catch-up after a pause: one folder, then files younger than an instant (none), then by patterns."""
+    e = T(spark, sf).events
+    src, target, log = (scratch_dir(spark, f"a15r-{x}") for x in ("src", "target", "log"))
+    day = F.dayofmonth("ts")
+    for folder, rows in (("d1", day <= 10), ("d2", (day > 10) & (day <= 20)), ("d3", day > 20)):
+        _event_csv(e.where(rows)).csv(f"{src}/{folder}")
+    out = None
+    for run, load in (("one folder", lambda: LD.refresh(spark, src, target, CSV_EVENTS, log, ASOF, prefix="d2")),
+                      ("later files", lambda: LD.refresh(spark, src, target, CSV_EVENTS, log, ASOF, modified_after="2999-01-01 00:00:00")),
+                      ("two folders by name", lambda: LD.copy_into(spark, f"{src}/d[12]", target, CSV_EVENTS, log, ASOF, glob="p?rt-[0-9]*.{csv,tsv}")),
+                      ("all", lambda: LD.refresh(spark, src, target, CSV_EVENTS, log, ASOF, modified_after="1999-01-01 00:00:00"))):
+        load()
+        n = materialize(LD.read_landing(spark, target).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(run).alias("run"), "rows"), "a15r")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
 @register("a16_inbox_to_archive", """SELECT count(*) AS rows, true AS all_but_one_archived, CAST(1 AS BIGINT) AS inbox_files FROM events""")
 def a16_inbox_to_archive(spark, sf):
     """``cleanSource=archive``: one file per batch; processed files move to the archive
@@ -431,25 +452,25 @@ def b8_rolling_file_sink(spark, sf):
                         F.coalesce(F.max("size") <= 100_000, F.lit(True)).alias("max_size"))
 
 
-@register("b14_copy_into", f"SELECT {EVENTS_COLS} FROM events")
+@register("b14_copy_into", """SELECT event_id, ts, user_id, event_type, value,
+       props || chr(10) || repeat(chr(34), 2) || 'more' || repeat(chr(34), 2) || ', ' || event_type AS props FROM events""")
 def b14_copy_into(spark, sf):
-    """Snapshot CSVs with shuffled, upper-cased headers arrive in two drops; each
-    file is appended once by column name, and a repeated run loads nothing."""
-    e = T(spark, sf).events
+    """Snapshot CSVs with shuffled, upper-cased headers (one name holds a comma) and quoted line breaks arrive in
+    two drops; each file is appended once by column name, and a repeated run loads nothing."""
+    e = T(spark, sf).events.withColumn("props", F.concat("props", F.lit('\n""more"", '), "event_type"))
     src, target, log = scratch_dir(spark, "b14-src"), scratch_dir(spark, "b14-target"), scratch_dir(spark, "b14-log")
     cut = F.lit("2024-01-16").cast("timestamp_ntz")
     ts_txt = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
     (e.where(F.col("ts") < cut).select("props", "value", "event_type", "user_id", ts_txt.alias("ts"), "event_id")
      .write.option("header", True).option("escape", '"').csv(f"{src}/drop1"))
-    LD.copy_into(spark, src, target, "event_id long, ts timestamp_ntz, user_id long, event_type string, "
-                 "value double, props string", log, ASOF)
-    (e.where(F.col("ts") >= cut).select(*[F.col(c).alias(c.upper()) for c in ["event_id", "user_id"]],
+    LD.copy_into(spark, src, target, schema, log, ASOF, multi_line=True)
+    (e.where(F.col("ts") >= cut).select(*[F.col(c).alias(c.upper()) for c in ["event_id", "user_id"]], F.lit("-").alias("ts,value"),
                                         ts_txt.alias("TS"), F.col("event_type").alias("Event_Type"),
                                         F.col("value").alias("VALUE"), F.col("props").alias("PROPS"))
      .write.option("header", True).option("escape", '"').csv(f"{src}/drop2"))
-    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-    LD.copy_into(spark, src, target, schema, log, ASOF)
-    LD.copy_into(spark, src, target, schema, log, ASOF)        # nothing new: no rows added
+    LD.copy_into(spark, src, target, schema, log, ASOF, multi_line=True)
+    LD.copy_into(spark, src, target, schema, log, ASOF, multi_line=True)        # nothing new: no rows added
     return LD.read_landing(spark, target).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 

@@ -58,16 +58,24 @@ def _sweep(spark: SparkSession, target: str, loads: list) -> list[str]:
 
 
 def copy_into(spark: SparkSession, source: str, target: str, schema: str | StructType, log_path: str,
-              loaded_at: str, force: bool = False, glob: str = "*.csv") -> int:
-    """Append new files by column name; returns the number of files loaded."""
+              loaded_at: str, force: bool = False, glob: str = "*.csv", multi_line: bool = False,
+              modified_after: str | None = None) -> int:
+    """Append new files by column name; returns the number of files loaded.
+
+    ``glob`` is matched against file names by the reader's own listing, so whatever Spark accepts
+    (``?``, ``[ab]``, ``{csv,tsv}``) loads what it matches.  ``modified_after`` (an instant, as text)
+    leaves out files that are not younger."""
+    if force and modified_after is not None:
+        raise ValueError("force replaces the whole table, so it cannot leave out older files")
     with scratch_scope(spark):
         loads = _loads(spark, log_path)
         unknown = _partitions(spark, target) - {r["load_id"] for r in loads}
         if unknown:
             raise ValueError(f"{target} holds loads that {log_path} does not know: {sorted(unknown)}")
         _sweep(spark, target, loads)
-        listed = list_files(spark, source).select("path", "modification_time").where(
-            F.element_at(F.split("path", "/"), -1).like(glob.replace("_", "\\_").replace("*", "%")))
+        listed = list_files(spark, source, glob=glob).select("path", "modification_time")
+        if modified_after is not None:
+            listed = listed.where(F.col("modification_time") > F.lit(modified_after).cast("timestamp"))
         if not force:
             done = _log(spark, log_path).where(F.col("status").isin(*DONE)).select(F.col("file_path").alias("path")).distinct()
             listed = listed.join(done, "path", "left_anti")
@@ -89,7 +97,7 @@ def copy_into(spark: SparkSession, source: str, target: str, schema: str | Struc
                                F.lit(seq).cast("long").alias("seq"))
         entries("LOADING").write.mode("append").parquet(log_path)
         # the new files by their paths; the reader only lists what is as young as the oldest of them
-        rows = read_csv_by_name(spark, source, schema, glob, files=new.select("path"), keep_file="_file", not_before=since)
+        rows = read_csv_by_name(spark, source, schema, glob, files=new.select("path"), keep_file="_file", not_before=since, multi_line=multi_line)
         (rows.withColumnRenamed("_file", "_file_path").withColumn(LOAD_ID, F.lit(load_id))
          .write.mode("append").partitionBy(LOAD_ID).parquet(target))
         counts = (spark.read.parquet(f"{target}/{LOAD_ID}={load_id}") if load_id in _partitions(spark, target) else rows.withColumnRenamed("_file", "_file_path").limit(0)) \
@@ -99,6 +107,14 @@ def copy_into(spark: SparkSession, source: str, target: str, schema: str | Struc
         return n
 
 
+def refresh(spark: SparkSession, source: str, target: str, schema: str | StructType, log_path: str, loaded_at: str,
+            prefix: str = "", modified_after: str | None = None, glob: str = "*.csv", multi_line: bool = False) -> int:
+    """Catch up after a pause, for the files of one folder below ``source`` and younger than an
+    instant; files that the history knows are not loaded again.  Returns the number of files loaded."""
+    folder = f"{source.rstrip('/')}/{prefix.strip('/')}" if prefix.strip("/") else source
+    return copy_into(spark, folder, target, schema, log_path, loaded_at, glob=glob, multi_line=multi_line, modified_after=modified_after)
+
+
 def _partitions(spark: SparkSession, target: str) -> set[str]:
     """Load ids that the target has a partition of."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)

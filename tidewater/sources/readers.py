@@ -21,13 +21,14 @@ from tidewater.operators.relational import rank_within
 from tidewater.session import materialize
 
 # ---------------------------------------------------------------- listings
-def list_files(spark: SparkSession, path: str, suffix: str | None = None, recursive: bool = True) -> DataFrame:
-    """``(path, length, modification_time)`` of matching files, sorted by path.
+def list_files(spark: SparkSession, path: str, suffix: str | None = None, recursive: bool = True, glob: str | None = None) -> DataFrame:
+    """``(path, length, modification_time)`` of the files whose names match ``glob`` (or end in
+    ``suffix``), sorted by path.
     The binary-file source is used without its ``content`` column, so nothing but
     the listing is read."""
     r = spark.read.format("binaryFile")
-    if suffix:
-        r = r.option("pathGlobFilter", f"*{suffix}")
+    if glob or suffix:
+        r = r.option("pathGlobFilter", glob or f"*{suffix}")
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     # the path as the other readers report a row's file, so that listings can be joined to rows
@@ -56,39 +57,78 @@ def _csv_text(spark: SparkSession, path: str, glob: str, not_before) -> DataFram
     return r
 
 
-def csv_headers(spark: SparkSession, path: str, glob: str = "*.csv", not_before=None) -> DataFrame:
-    """``(path, names)`` for every CSV file under ``path``: its first line, as lower-cased trimmed names.
+#: A CSV record whose last quoted cell does not close: whole cells and their commas, then a quote with no end.
+OPEN_QUOTE = r'(?s)^(?:(?:"[^"]*+(?:""[^"]*+)*+"[^",][^,]*+|"[^"]*+(?:""[^"]*+)*+"|[^",][^,]*+|),)*+"[^"]*+(?:""[^"]*+)*+$'
+_RAW = "_raw"
 
-    The first line is the earliest one of a file's first block; lines of a block keep
+
+def _csv_records(spark: SparkSession, path: str, glob: str, not_before, multi_line: bool) -> DataFrame:
+    """``(path, at, n, record)``: every record's own text, in the order of its file by ``n`` within a block
+    that begins at ``at``.
+
+    A record is a line, or, with ``multi_line``, what Spark's CSV parser takes as one: read into a
+    single column, all others are "corrupt" and keep their text."""
+    r = _csv_text(spark, path, glob, not_before)
+    if multi_line:
+        lines = (r.schema(f"_c0 string, {_RAW} string").option("columnNameOfCorruptRecord", _RAW).option("multiLine", True)
+                 .option("escape", '"').csv(path).withColumn("value", F.coalesce(_RAW, "_c0")))
+    else:
+        lines = r.text(path)
+    return lines.select(F.col("value").alias("record"), F.col("_metadata.file_path").alias("path"),
+                        F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
+
+
+def csv_headers(spark: SparkSession, path: str, glob: str = "*.csv", not_before=None, multi_line: bool = False) -> DataFrame:
+    """``(path, names)`` for every CSV file under ``path``: its first record that is not blank, cut into
+    cells by Spark's CSV parser, as lower-cased trimmed names.
+
+    The header is the earliest record of a file's first block; records of a block keep
     their order inside a task, and the minimum is taken map-side.  Spark opens the
-    files, so whatever it can read works."""
-    lines = _csv_text(spark, path, glob, not_before).text(path).select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
-    first = lines.where("at = 0").groupBy("path").agg(F.min_by("value", "n").alias("header"))
-    plain = F.regexp_replace("header", "^\ufeff", "")
-    names = F.transform(F.split(plain, ","), lambda x: F.lower(F.trim(F.regexp_replace(x, '^\\s*"|"\\s*$', ""))))
-    return first.select("path", names.alias("names"))
+    files, so whatever it can read works.
+
+    The same pass looks for records that end inside an open quote.  Read line by line, such a record
+    goes on in the next line, so the files are refused; read with ``multi_line``, the quote
+    swallowed the rest of its file, and they are refused as well."""
+    text = F.col("record")
+    odd = (F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))) % 2 == 1
+    heads = materialize(
+        _csv_records(spark, path, glob, not_before, multi_line).where(F.trim(text) != "").groupBy("path")
+        .agg(F.min_by(F.when(F.col("at") == 0, text), F.when(F.col("at") == 0, F.col("n"))).alias("header"),
+             F.count_if(F.when(odd, text.rlike(OPEN_QUOTE)).otherwise(F.lit(False))).alias("open")), "csv-records")
+    torn, which, commas = heads.agg(F.sum("open"), F.min(F.when(F.col("open") > 0, F.col("path"))),
+                                    F.max(F.length("header") - F.length(F.replace("header", F.lit(","), F.lit(""))))).first()
+    if torn:
+        how = "its quote is never closed" if multi_line else "read them with multi_line, if a cell may hold line breaks"
+        raise ValueError(f"{torn} CSV record(s) end inside a quoted cell, the first in {which}: {how}")
+    wide = ", ".join(f"c{i} string" for i in range((commas or 0) + 1))      # at least as many cells as any header has
+    cells = F.from_csv(F.regexp_replace("header", "^\ufeff", ""), wide, {
+        "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "multiLine": "true"})
+    names = F.transform(F.array(*[cells[f"c{i}"] for i in range((commas or 0) + 1)]), lambda x: F.lower(F.trim(x)))
+    return heads.where(F.col("header").isNotNull()).select("path", names.alias("names"))
 
 
 def read_csv_by_name(spark: SparkSession, path: str, schema: str | StructType, glob: str = "*.csv",
-                     files: DataFrame | None = None, keep_file: str | None = None, not_before=None) -> DataFrame:
+                     files: DataFrame | None = None, keep_file: str | None = None, not_before=None,
+                     multi_line: bool = False) -> DataFrame:
     """A2: load CSV files whose columns come in any order and case.
 
     Rows are read by position (Spark skips each file's own header line), and each
-    field of ``schema`` is taken from the place where the file's header names it,
-    typed with ``try_cast``; absent columns are null.  Files share few layouts: with
-    one, the places are literals; with several, a row's file finds its layout by a
+    field of ``schema`` is taken from the place where the file's header names it (the
+    first, if it does so twice), typed with ``try_cast``; absent columns are null.  Files share few
+    layouts: with one, the places are literals; with several, a row's file finds its layout by a
     join that the planner sizes.  No list of paths reaches the driver.
 
     ``files`` (a frame with a ``path`` column) restricts the files; ``keep_file``
     names a column for a row's file; ``not_before`` (a UTC time, as text) leaves out files
-    that are not younger.
+    that are not younger.  Quoted cells may hold commas and quotes; with ``multi_line`` also line
+    breaks, at the price that a file is then one task's work.  Without it such files are refused.
     """
     st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    heads = csv_headers(spark, path, glob, not_before)
+    heads = csv_headers(spark, path, glob, not_before, multi_line)
     if files is not None:
         heads = heads.join(files.select("path"), "path", "left_semi")
-    heads = materialize(heads.select("path", F.size("names").alias("width"), F.array(*[
+    last = F.array_max(F.transform("names", lambda x, i: F.when(x.isNotNull(), i + 1)))
+    heads = materialize(heads.select("path", F.coalesce(last, F.lit(1)).alias("width"), F.array(*[
         F.array_position("names", F.lit(f.name.lower())).cast("int") for f in st.fields]).alias("places")), "csv-headers")
     layouts = heads.select("places").distinct().limit(2).collect()
     width = heads.agg(F.max("width")).first()[0]
@@ -96,7 +136,7 @@ def read_csv_by_name(spark: SparkSession, path: str, schema: str | StructType, g
         empty = StructType(st.fields + ([StructField(keep_file, StringType())] if keep_file else []))
         return spark.createDataFrame([], empty)
     raw = (_csv_text(spark, path, glob, not_before).schema(", ".join(f"_c{i} string" for i in range(width)))
-           .option("header", True).option("escape", '"').csv(path)
+           .option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
            .select("*", F.col("_metadata.file_path").alias("path")))
     if len(layouts) > 1 or files is not None:
         raw = raw.join(heads.select("path", "places"), "path")
@@ -113,14 +153,14 @@ def read_csv_by_name(spark: SparkSession, path: str, schema: str | StructType, g
     return raw.select(*out, *([F.col("path").alias(keep_file)] if keep_file else []))
 
 
-def read_csv_prefix(spark: SparkSession, prefix: str, fields: Sequence[str], missing: str = "") -> DataFrame:
+def read_csv_prefix(spark: SparkSession, prefix: str, fields: Sequence[str], missing: str = "", multi_line: bool = False) -> DataFrame:
     """A4: all CSV files under a prefix, a fixed field list (absent or empty -> ``missing``), each
     file read by its own header, with its path in ``_source_file``.
 
     Files are read in the sorted order of their paths by whoever orders by
     ``_source_file``; a frame itself has no order."""
     st = StructType([StructField(f, StringType(), True) for f in fields])
-    df = read_csv_by_name(spark, prefix, st, keep_file="_source_file")
+    df = read_csv_by_name(spark, prefix, st, keep_file="_source_file", multi_line=multi_line)
     return df.select(*[F.coalesce(F.col(f"`{f}`"), F.lit(missing)).alias(f) for f in fields], "_source_file")
 
 
@@ -237,11 +277,11 @@ def read_partitioned(spark: SparkSession, path: str, predicate: Column | str | N
 
 
 def read_mixed(spark: SparkSession, path: str, mapping: Sequence[tuple[str, str, str, str]],
-               csv_glob: str = "*.csv", json_glob: str = "*.json") -> DataFrame:
+               csv_glob: str = "*.csv", json_glob: str = "*.json", multi_line: bool = False) -> DataFrame:
     """A10: one table from CSV rows and JSON rows under one prefix (C4 mapping on each)."""
     # each CSV file by its own header; the sources that the mapping names, as text
     names = StructType([StructField(m[0], StringType(), True) for m in mapping])
-    csv = read_csv_by_name(spark, path, names, csv_glob)
+    csv = read_csv_by_name(spark, path, names, csv_glob, multi_line=multi_line)
     js = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", json_glob).json(path)
     return C.apply_mapping(csv, mapping).unionByName(C.apply_mapping(js, mapping), allowMissingColumns=True)
 
