@@ -72,6 +72,106 @@ def test_another_bucket_count_is_refused(spark, tmp):
     assert CDC.current_state(spark, target).count() == 50
 
 
+def _rows(df, *cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def _people(spark, *rows, schema="k int, t int, v string"):
+    return spark.createDataFrame(list(rows), schema)
+
+
+def test_a_merge_that_breaks_off_leaves_the_old_table(spark, tmp, monkeypatch):
+    target, rows = tmp("broken"), spark.range(60).selectExpr("id AS k", "1 AS t", "'old' AS v")
+    CDC.merge_upsert(spark, target, rows, "k", ["t"], buckets=8)
+    old = _rows(CDC.current_state(spark, target), "k", "t", "v")
+    newer = rows.withColumn("t", F.lit(2)).withColumn("v", F.lit("new"))
+    real = CDC._write
+
+    def some_buckets(df, path):
+        real(df.where(f"{CDC.BUCKET} < 4"), path)
+        raise OSError("killed between two buckets")
+
+    def no_manifest(*args):
+        raise OSError("killed before the manifest")
+
+    def half_a_manifest(spark, target, state):
+        fs, p = CDC._fs(spark, f"{target}/{CDC.MANIFESTS}/{state['version']:012d}.json")
+        out = fs.create(p, False)
+        out.write(bytearray(b'{"version": 2, "buck'))
+        out.close()
+        raise OSError("killed while writing the manifest")
+    for where, fault in (("_write", some_buckets), ("_commit", no_manifest), ("_commit", half_a_manifest)):
+        with monkeypatch.context() as m:
+            m.setattr(CDC, where, fault)
+            with pytest.raises(OSError):
+                CDC.merge_upsert(spark, target, newer, "k", ["t"], buckets=8)
+        assert _rows(CDC.current_state(spark, target), "k", "t", "v") == old
+    CDC.merge_upsert(spark, target, newer, "k", ["t"], buckets=8)
+    assert _rows(CDC.current_state(spark, target), "k", "t", "v") == [(k, 2, "new") for k in range(60)]
+    CDC.merge_upsert(spark, target, newer, "k", ["t"], buckets=8)
+    assert len(CDC._names(spark, f"{target}/{CDC.DATA}")) == 2      # what broke off is gone
+
+
+def test_a_reader_keeps_its_version(spark, tmp):
+    target = tmp("snapshot")
+    CDC.merge_upsert(spark, target, _people(spark, (1, 1, "a"), (2, 1, "b")), "k", ["t"], buckets=4)
+    before = CDC.current_state(spark, target)
+    CDC.merge_upsert(spark, target, _people(spark, (1, 2, "c")), "k", ["t"], buckets=4)
+    assert _rows(before, "k", "v") == [(1, "a"), (2, "b")] == _rows(CDC.current_state(spark, target, 1), "k", "v")
+    assert _rows(CDC.current_state(spark, target), "k", "v") == [(1, "c"), (2, "b")]
+    CDC.merge_upsert(spark, target, _people(spark, (1, 3, "d")), "k", ["t"], buckets=4)
+    assert CDC.versions(spark, target) == [3, 2]
+    with pytest.raises(ValueError):
+        CDC.current_state(spark, target, 1)
+    assert _rows(CDC.current_state(spark, target, 2), "k", "v") == [(1, "c"), (2, "b")]
+
+
+def test_of_two_merges_at_once_one_is_refused(spark, tmp, monkeypatch):
+    target = tmp("race")
+    CDC.merge_upsert(spark, target, _people(spark, (1, 1, "a")), "k", ["t"], buckets=4)
+    real = CDC._write
+
+    def meanwhile(df, path):
+        monkeypatch.undo()
+        CDC.merge_upsert(spark, target, _people(spark, (2, 1, "first")), "k", ["t"], buckets=4)
+        real(df, path)
+    monkeypatch.setattr(CDC, "_write", meanwhile)
+    with pytest.raises(RuntimeError):
+        CDC.merge_upsert(spark, target, _people(spark, (1, 2, "second")), "k", ["t"], buckets=4)
+    assert _rows(CDC.current_state(spark, target), "k", "v") == [(1, "a"), (2, "first")]
+
+
+def test_named_columns_are_updated_and_others_kept(spark, tmp):
+    target, schema = tmp("cols"), "k int, t int, v string, w int"
+    CDC.merge_upsert(spark, target, _people(spark, (1, 1, "a", 10), (2, 5, "b", 20), schema=schema), "k", ["t"], buckets=4)
+    changes = _people(spark, (1, 2, "x", 99), (2, 4, "stale", 99), (3, 1, "new", 99), schema=schema)
+    CDC.merge_upsert(spark, target, changes, "k", ["t"], buckets=4, cols=["v"])
+    assert _rows(CDC.current_state(spark, target), "k", "t", "v", F.coalesce("w", F.lit(-1))) == [(1, 2, "x", 10), (2, 5, "b", 20), (3, 1, "new", -1)]
+    with pytest.raises(ValueError, match="cols"):
+        CDC.merge_upsert(spark, target, changes.drop("w"), "k", ["t"], buckets=4)
+
+
+def test_a_new_column_is_refused_or_added(spark, tmp):
+    target = tmp("evolve")
+    CDC.merge_upsert(spark, target, _people(spark, (1, 1, "a"), (2, 1, "b")), "k", ["t"], buckets=4)
+    wider = _people(spark, (1, 2, "c", 7), schema="k int, t int, v string, extra int")
+    with pytest.raises(ValueError, match="extra"):
+        CDC.merge_upsert(spark, target, wider, "k", ["t"], buckets=4)
+    CDC.merge_upsert(spark, target, wider, "k", ["t"], buckets=4, evolve=True)
+    assert _rows(CDC.current_state(spark, target), "k", "v", F.coalesce("extra", F.lit(0))) == [(1, "c", 7), (2, "b", 0)]
+    CDC.merge_upsert(spark, target, _people(spark, (3, 1, "d")), "k", ["t"], buckets=4, cols=["v"])
+    assert CDC.current_state(spark, target).columns == ["k", "t", "v", "extra"]
+
+
+def test_null_keys_and_instants_merge(spark, tmp):
+    target, schema = tmp("nulls"), "k int, j string, t int, v string"
+    CDC.merge_upsert(spark, target, _people(spark, (None, "x", None, "a"), (1, None, 3, "b"), schema=schema), ["k", "j"], ["t"], buckets=4)
+    CDC.merge_upsert(spark, target, _people(spark, (None, "x", 1, "c"), (1, None, None, "old"), (None, None, 1, "n"), schema=schema), ["k", "j"], ["t"], buckets=4)
+    assert sorted(r.v for r in CDC.current_state(spark, target).collect()) == ["b", "c", "n"]
+    with pytest.raises(ValueError):
+        CDC.current_state(spark, tmp("nothing"))
+
+
 def test_a_check_without_result_does_not_pass(spark):
     checks = spark.createDataFrame([("a", "t", None, None, None, True, ""), ("b", "t", None, None, None, None, "")], Q.CHECK_SCHEMA)
     s = Q.summarise(checks).first()

@@ -535,6 +535,35 @@ def k2_merge_upsert(spark, sf):
     return CDC.current_state(spark, target).select("user_id", "ts", "event_id", "event_type", "value")
 
 
+@register("k2_merge_columns", LATEST_SQL.replace("event_type, value FROM (", "upper(event_type) AS event_type, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN value END AS value FROM (", 1))
+def k2_merge_columns(spark, sf):
+    """A merge adds the column ``value``; one that names ``event_type`` alone keeps the values that are there."""
+    e = _changes(T(spark, sf).events)
+    target, cut = scratch_dir(spark, "k2c-target"), F.lit("2024-01-16").cast("timestamp_ntz")
+    merge = lambda rows, **kw: CDC.merge_upsert(spark, target, rows, "user_id", ["ts", "event_id"], buckets=16, **kw)
+    merge(e.where(F.col("ts") < cut).drop("value"))
+    merge(e.where(F.col("ts") >= cut), evolve=True)
+    merge(e.withColumn("event_type", F.upper("event_type")).withColumn("value", F.lit(-1.0)), cols=["event_type"])
+    return CDC.current_state(spark, target).select("user_id", "ts", "event_id", "event_type", "value")
+
+
+@register("k2_versions", """SELECT 1 AS version, count(DISTINCT user_id) AS users, max(ts) AS newest FROM events WHERE ts < TIMESTAMP '2024-01-11'
+UNION ALL SELECT 2, count(DISTINCT user_id), max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-21'
+UNION ALL SELECT 3, count(DISTINCT user_id), max(ts) FROM events""")
+def k2_versions(spark, sf):
+    """Three merges, of which every state can still be read; frames opened before a merge do not see it."""
+    e = _changes(T(spark, sf).events)
+    target, opened = scratch_dir(spark, "k2v-target"), []
+    for day in ("2024-01-11", "2024-01-21", "2999-01-01"):
+        CDC.merge_upsert(spark, target, e.where(F.col("ts") < F.lit(day).cast("timestamp_ntz")), "user_id", ["ts", "event_id"], buckets=16, keep=3)
+        opened.append(CDC.current_state(spark, target))
+    out = None
+    for version, df in enumerate(opened, 1):
+        row = df.agg(F.count(F.lit(1)).alias("users"), F.max("ts").alias("newest")).select(F.lit(version).alias("version"), "users", "newest")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def _staging_stream(spark, sf, name, parts, max_files=4):
     """Write change files for each predicate in ``parts`` in turn and run the
     change stream after each drop; returns the target path."""
