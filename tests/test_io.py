@@ -222,3 +222,24 @@ def test_copy_into_takes_any_glob_and_catches_up(spark, tmp):
     assert LD.read_landing(spark, target).count() == 6
     with pytest.raises(ValueError):
         LD.copy_into(spark, src, target, "id int", log, asof, force=True, modified_after=asof)
+
+
+def test_files_that_break_off_are_failed_and_the_others_sent(spark, tmp):
+    import bz2
+    import gzip
+    import os
+    out, lines = tmp("delivery"), "".join(f'{{"a": {i}}}\n' for i in range(5000)).encode()
+    os.makedirs(f"{out}/sub")
+    packed = gzip.compress(lines)
+    files = {"whole.json": lines, "sub/whole.json.gz": packed, "two.json.gz": packed + packed, "b.json.bz2": bz2.compress(lines), "blank.json": b"\n\n",
+             "empty.json": b"", "torn.json.gz": packed[:len(packed) // 2], "tail.json.gz": packed[:-5], "no.json.gz": b"this is no archive"}
+    for name, data in files.items():
+        with open(f"{out}/{name}", "wb") as f:
+            f.write(data)
+    good, failed = W.read_delivery(spark, out, "*.json*")
+    assert sorted(os.path.basename(r.file_path) for r in failed.collect()) == ["no.json.gz", "tail.json.gz", "torn.json.gz"]
+    report = W.delivery_report(good, failed)
+    assert {os.path.basename(r.file_path): r.sent for r in report.where("failed = 0").collect()} == {
+        "whole.json": 5000, "whole.json.gz": 5000, "two.json.gz": 10_000, "b.json.bz2": 5000}
+    with pytest.raises(RuntimeError, match="3 file"):
+        W.raise_on_failures(W.report_summary(report))

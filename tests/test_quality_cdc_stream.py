@@ -264,3 +264,157 @@ def test_same_file_name_is_ignored_by_change_stream(spark, tmp):
     spark.createDataFrame([(1, 9, "new-name")], schema).coalesce(1).write.mode("append").json(staging)
     ST.run_available_now(ST.read_stream_json(spark, staging, schema), handler, ck)
     assert [tuple(r) for r in CDC.current_state(spark, target).select("k", "t", "v").collect()] == [(1, 9, "new-name")]
+
+
+# ---------------------------------------------------------------- rolling files
+def _rolled(spark, tmp, lengths, max_records, max_bytes, **kw):
+    """Sizes and records of the files that a batch of records of these text lengths rolls into."""
+    import glob
+    import os
+    out, tasks = tmp("rolled"), 4
+    rows = [(i, "x" * n, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i)) for i, n in enumerate(lengths)]
+    df = spark.createDataFrame(rows, "i int, s string, at timestamp").repartition(tasks)
+    ST.rolling_json(out, max_records, max_bytes, **kw)(df, 0)
+    ST.rolling_json(out, max_records, max_bytes, **kw)(df, 0)       # a replay
+    assert sorted(r.i for r in spark.read.json(out).select("i").collect()) == list(range(len(rows)))
+    files = glob.glob(f"{out}/batch_id=0/roll=*/part-*")
+    return [(os.path.getsize(f), [r.i for r in spark.read.json(f).select("i").collect()]) for f in files]
+
+
+def test_one_long_record_does_not_split_the_others(spark, tmp):
+    files = _rolled(spark, tmp, [100] * 2000 + [1_000_000] + [100] * 2000, 10_000, 100_000)
+    assert max(n for n, rows in files if len(rows) > 1) <= 100_000
+    assert len(files) <= 10 and sum(n > 100_000 for n, _ in files) == 1
+
+
+def test_files_close_by_count_size_and_time(spark, tmp):
+    assert max(len(rows) for _, rows in _rolled(spark, tmp, [10] * 950, 100, 10**6)) <= 100
+    files = _rolled(spark, tmp, [30, 900, 5000, 30_000, 60_000, 99_000] * 20, 10_000, 100_000)
+    assert max(n for n, _ in files) <= 100_000 and len(files) <= 20 + 20 + 10 + 5 + 4
+    files = _rolled(spark, tmp, [10] * 100, 10_000, 10**6, seconds=30, time_col="at")
+    assert sorted(len(rows) for _, rows in files) == [10, 30, 30, 30] and all(len({i // 30 for i in rows}) == 1 for _, rows in files)
+    with pytest.raises(ValueError):
+        ST.rolling_json("x", 1, 1, seconds=30)
+
+
+# ---------------------------------------------------------------- monitors
+def test_a_batch_is_counted_while_it_is_logged(spark, tmp, monkeypatch):
+    from tidewater.streaming import monitors as MON
+    logs, summary = tmp("mon-logs"), tmp("mon-summary")
+    handle = MON.monitor_handler(spark, logs, summary)
+    batch = spark.createDataFrame([("eyJ3aW5kb3dfZW5kIjogIngifQ==",), ("bm8ganNvbg==",)], "data string")
+    monkeypatch.setattr(type(spark), "read", property(lambda self: pytest.fail("the monitor reads nothing back")))
+    for batch_id, rows in enumerate((batch, batch.limit(0), batch.limit(1))):
+        handle(rows, batch_id)
+    handle(batch, 0)        # a replay
+    monkeypatch.undo()
+    got = spark.read.parquet(summary)
+    assert _rows(got, "batch_id", "received", "status") == [(0, 2, "ok"), (1, 0, "heartbeat"), (2, 1, "ok")]
+    assert got.where("summarised_at IS NULL").count() == 0 and spark.read.parquet(logs).count() == 3
+
+
+# ---------------------------------------------------------------- start positions
+LOG_SCHEMA = "shard_id string, sequence_number string, v int"
+
+
+def _append(spark, log, a, b, rows=7):
+    from tidewater.streaming import shards as SH
+    SH.append_segments(spark.range(a, b).selectExpr("concat('s/+', id % 3) AS shard_id", "string(id) AS sequence_number", "int(id) AS v"), log, segment_rows=rows)
+
+
+def _consume(spark, log, place, start="earliest"):
+    from tidewater.streaming import shards as SH
+    ST.run_available_now(SH.read_shards(spark, log, LOG_SCHEMA, start), f"{place}/out", f"{place}/ckpt")
+    return sorted(r.v for r in spark.read.schema("v int").parquet(f"{place}/out").collect())
+
+
+def test_consumers_start_where_they_ask_and_go_on_at_their_checkpoint(spark, tmp):
+    log, places = tmp("log"), [tmp(f"consumer-{i}") for i in range(3)]
+    _append(spark, log, 0, 100)
+    assert _consume(spark, log, places[0]) == list(range(100))
+    assert _consume(spark, log, places[1], "latest") == []
+    after = {"s/+0": 50, "s/+1": 10_000}
+    assert _consume(spark, log, places[2], after) == [v for v in range(100) if v % 3 == 2 or v % 3 == 0 and v > 50]
+    _append(spark, log, 100, 130)
+    assert _consume(spark, log, places[0], "latest") == list(range(130))         # its checkpoint counts, not the start
+    assert _consume(spark, log, places[1], "latest") == list(range(100, 130))
+    assert _consume(spark, log, places[1], "latest") == list(range(100, 130))
+    assert max(_consume(spark, log, places[2], after)) == 129
+
+
+def test_a_shard_that_comes_later_is_read_from_its_first_record(spark, tmp):
+    from tidewater.streaming import shards as SH
+    log, place = tmp("log-new"), tmp("consumer-new")
+    _append(spark, log, 0, 30)
+    assert _consume(spark, log, place, "latest") == []
+    SH.append_segments(spark.createDataFrame([("new", "1", 1000), ("new", "2", 1001)], LOG_SCHEMA), log)
+    assert _consume(spark, log, place, "latest") == [1000, 1001]
+
+
+def test_segments_hold_their_shards_records_in_order(spark, tmp):
+    log = tmp("log-order")
+    _append(spark, log, 0, 100)
+    files = spark.read.text(log).select("shard", "segment", "last", F.get_json_object("value", "$.v").cast("int").alias("v")).collect()
+    by = {}
+    for r in files:
+        by.setdefault((r.shard, int(r.segment)), []).append((r.v, int(r["last"])))
+    assert all(len(rows) <= 7 and max(v for v, _ in rows) == rows[0][1] for rows in by.values())
+    assert [v for (shard, _), rows in sorted(by.items()) if shard == "s/+1" for v, _ in sorted(rows)] == list(range(1, 100, 3))
+
+
+def test_lines_that_do_not_parse_are_dropped_or_kept(spark, tmp):
+    from tidewater.streaming import shards as SH
+    log = tmp("log-bad")
+    spark.createDataFrame([('{"shard_id": "a", "sequence_number": "1", "v": 1}', "a", "000000000000", "1"), ("{torn", "a", "000000000000", "1")],
+                          "value string, shard string, segment string, last string").coalesce(1).write.partitionBy("shard", "segment", "last").text(log)
+    assert _consume(spark, log, tmp("consumer-bad")) == [1]
+    out = tmp("kept")
+    ST.run_available_now(SH.read_shards(spark, log, LOG_SCHEMA, skip_bad=False), out, tmp("kept-ckpt"))
+    assert [r[0] for r in spark.read.parquet(out).where("v IS NULL").select("_corrupt_record").collect()] == ["{torn"]
+    with pytest.raises(ValueError):
+        SH.read_shards(spark, log, LOG_SCHEMA, "newest")
+
+
+# ---------------------------------------------------------------- failures in the middle of a batch
+def test_a_batch_that_fails_once_gives_the_same_rows(spark, tmp):
+    from pyspark.errors import StreamingQueryException
+    from tidewater.sources import writers as W
+    inbox = tmp("fault-inbox")
+    for part in range(4):
+        _readings(spark, inbox, range(part * 10, part * 10 + 10))
+    results = []
+    for fault in (None, "before", "after"):
+        out, ck, calls = tmp("fault-out"), tmp("fault-ck"), []
+
+        def write(batch, batch_id):
+            calls.append(batch_id)
+            broken = fault and calls.count(2) == 1 and batch_id == 2
+            if broken and fault == "before":
+                raise RuntimeError("before the write")
+            W.write_batch(batch, out, batch_id)
+            if broken:
+                raise RuntimeError("between write and commit")
+        src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA, max_files_per_trigger=1)
+        run = lambda: ST.run_available_now(ST.tumbling_count(src), write, ck)
+        if fault:
+            with pytest.raises(StreamingQueryException):
+                run()
+        run()
+        results.append(_rows(spark.read.parquet(out), "window_end", "record_count"))
+        assert calls.count(2) == (2 if fault else 1)
+    assert results[0] == results[1] == results[2] and results[0]
+
+
+def test_a_file_sink_whose_task_fails_shows_nothing_of_that_batch(spark, tmp):
+    from pyspark.errors import StreamingQueryException
+    inbox, out, ck = tmp("sink-inbox"), tmp("sink-out"), tmp("sink-ck")
+    for part in range(4):
+        _readings(spark, inbox, range(part * 10, part * 10 + 10))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA, max_files_per_trigger=1)
+    torn = src.withColumn("unit", F.when(F.col("sequence_number") == "25", F.raise_error(F.lit("fault"))).otherwise(F.col("unit")))
+    with pytest.raises(StreamingQueryException):
+        ST.run_available_now(torn, out, ck)
+    seen = _rows(spark.read.parquet(out), F.col("sequence_number").cast("int"))
+    assert all(x[0] // 10 != 2 for x in seen)
+    ST.run_available_now(src, out, ck)
+    assert _rows(spark.read.parquet(out), F.col("sequence_number").cast("int")) == [(i,) for i in range(40)]

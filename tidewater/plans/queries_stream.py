@@ -10,6 +10,7 @@ the input (end > max(ts) - 5 s) are not emitted, which the oracles encode.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidewater.operators import cdc as CDC
@@ -19,6 +20,7 @@ from tidewater.session import materialize, scratch_dir
 from tidewater.sources import loads as LD
 from tidewater.sources import writers as W
 from tidewater.streaming import monitors as MON
+from tidewater.streaming import shards as SH
 from tidewater.streaming import streams as ST
 
 ASOF = SI.ASOF
@@ -117,6 +119,44 @@ def j4_restart_exactly_once(spark, sf):
     return _ntz(spark.read.parquet(out), "window_end")
 
 
+@register("j4_failed_batch", f"""SELECT 'file sink' AS sink, count(*) AS rows, count(DISTINCT event_id) AS records, true AS failed_once FROM events
+UNION ALL SELECT 'write_batch', count(*), CAST(sum(record_count) AS BIGINT), true FROM ({_closed('1 HOUR')})""")
+def j4_failed_batch(spark, sf):
+    """Two queries fail in the middle of a batch and start again on their checkpoints.  The file sink's tasks fail while
+    they write; the other one's function fails between its write and the batch's commit.  Neither loses or repeats a row."""
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "j4f-inbox"), records_per_file=2_000)
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA, max_files_per_trigger=2)
+    # a task fails at a record in the middle of the input; the restarted query has no such fault
+    at = T(spark, sf).events.agg(F.percentile_approx("event_id", 0.5)).first()[0]
+    torn = src.withColumn("sequence_number", F.when(F.col("sequence_number") == str(at), F.raise_error(F.lit("fault"))).otherwise(F.col("sequence_number")))
+    files, ck = scratch_dir(spark, "j4f-out"), scratch_dir(spark, "j4f-ckpt")
+    failed = [_fails(lambda: ST.run_available_now(torn, files, ck))]
+    ST.run_available_now(src, files, ck)
+    windows, ck, calls = scratch_dir(spark, "j4b-out"), scratch_dir(spark, "j4b-ckpt"), []
+
+    def write(batch, batch_id):
+        W.write_batch(batch, windows, batch_id)
+        calls.append(batch_id)
+        if calls.count(2) == 1 and batch_id == 2 or batch_id == 0 and calls == [0]:
+            raise RuntimeError("fault between write and commit")
+    counts = ST.tumbling_count(src, "processing_time", "1 hour")
+    failed.append(_fails(lambda: ST.run_available_now(counts, write, ck)))
+    while _fails(lambda: ST.run_available_now(counts, write, ck)):
+        pass
+    rows = spark.read.parquet(files).agg(F.lit("file sink").alias("sink"), F.count(F.lit(1)).alias("rows"),
+                                         F.countDistinct("sequence_number").alias("records"), F.lit(failed[0]).alias("failed_once"))
+    return rows.unionByName(spark.read.parquet(windows).agg(
+        F.lit("write_batch").alias("sink"), F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("record_count"), F.lit(0)).alias("records"), F.lit(failed[1]).alias("failed_once")))
+
+
+def _fails(run):
+    try:
+        run()
+        return False
+    except StreamingQueryException:
+        return True
+
+
 @register("j5_independent_consumers", f"""SELECT 'archived' AS table_name, count(*) AS row_count FROM events
 UNION ALL SELECT 'enriched', count(*) FROM events
 UNION ALL SELECT 'windows', (SELECT count(*) FROM ({_closed('1 MINUTE')}))""")
@@ -316,6 +356,36 @@ def a14_read_new_files_twice(spark, sf):
     return _ntz(spark.read.parquet(out).select(*READ_COLS), "processing_time")
 
 
+@register("a17_start_positions", """WITH d AS (SELECT *, event_id < (SELECT (min(event_id) + max(event_id)) // 2 FROM events) AS early FROM events)
+SELECT 'earliest' AS consumer, count(*) AS records, CAST(sum(event_id) AS BIGINT) AS checksum FROM d
+UNION ALL SELECT 'latest', count(*), CAST(sum(event_id) AS BIGINT) FROM d WHERE NOT early
+UNION ALL SELECT 'after 100', count(*), CAST(sum(event_id) AS BIGINT) FROM d WHERE event_type <> 'click' OR event_id > 100
+UNION ALL SELECT 'stopped between', count(*), CAST(sum(event_id) AS BIGINT) FROM d""")
+def a17_start_positions(spark, sf):
+    """A log with a shard for each event type, written in two appends.  Consumers start at the earliest record, behind the
+    latest, and after a sequence number of one shard; one stops between the appends and goes on at its checkpoint."""
+    e = T(spark, sf).events
+    half = e.agg(F.floor((F.min("event_id") + F.max("event_id")) / 2)).first()[0]
+    log, schema = scratch_dir(spark, "a17-log"), "event_id long, event_type string, value double"
+    rows = e.select("event_id", "event_type", "value")
+    starts = {"earliest": "earliest", "latest": "latest", "after 100": {"click": 100}, "stopped between": "earliest"}
+    places = {name: (scratch_dir(spark, "a17-out"), scratch_dir(spark, "a17-ckpt")) for name in starts}
+
+    def consume(name, start):
+        ST.run_available_now(SH.read_shards(spark, log, schema, start, sequence="event_id"), *places[name])
+    SH.append_segments(rows.where(F.col("event_id") < half), log, "event_type", "event_id", segment_rows=1_000)
+    for name in ("latest", "stopped between"):
+        consume(name, starts[name])
+    SH.append_segments(rows.where(F.col("event_id") >= half), log, "event_type", "event_id", segment_rows=1_000)
+    out = None
+    for name, start in starts.items():
+        consume(name, start)
+        row = spark.read.schema("event_id long").parquet(places[name][0]).agg(F.count(F.lit(1)).alias("records"), F.sum("event_id").alias("checksum"))
+        row = row.select(F.lit(name).alias("consumer"), "records", "checksum")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 CSV_EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
@@ -452,6 +522,27 @@ def b8_rolling_file_sink(spark, sf):
                         F.coalesce(F.max("size") <= 100_000, F.lit(True)).alias("max_size"))
 
 
+@register("b8_rolling_long_records", """SELECT count(*) AS rows, true AS max_1000_per_file, true AS max_size, true AS one_day_per_file, true AS files_are_full FROM events""")
+def b8_rolling_long_records(spark, sf):
+    """A few very long records among short ones: files close by size, count and day, and the long ones do not decide
+    the size of the others' files."""
+    inbox = _write_readings(spark, sf, scratch_dir(spark, "b8l-inbox"))
+    src = ST.read_stream_json(spark, inbox, ST.SENSOR_SCHEMA)
+    long = src.withColumn("owner_name", F.when(F.col("sequence_number").cast("long") % 2000 == 0, F.repeat(F.lit("x"), 90_000)).otherwise(F.col("owner_name")))
+    out = scratch_dir(spark, "b8l-out")
+    ST.run_available_now(long, ST.rolling_json(out, 1000, 100_000, 86_400, "processing_time"), scratch_dir(spark, "b8l-ckpt"))
+    day = F.to_date(F.col("processing_time").cast("timestamp"))
+    per_file = spark.read.schema(ST.SENSOR_SCHEMA).json(out).groupBy(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("size")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct(day).alias("days"), F.min(day).alias("day"), F.max(F.length("owner_name")).alias("longest"))
+    # what a day needs at least: its short records' bytes and counts, and a file for each long one
+    short = F.col("longest") < 90_000
+    need = per_file.groupBy("day").agg(F.count_if(short).alias("files"), F.sum(F.when(short, F.col("size"))).alias("bytes"), F.sum(F.when(short, F.col("n"))).alias("records"))
+    full = need.agg(F.coalesce(F.max(F.col("files") - F.ceil(F.col("bytes") / 87_500) - F.ceil(F.col("records") / 1000)) <= 1, F.lit(True)).alias("files_are_full"))
+    figures = per_file.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"), F.coalesce(F.max("n") <= 1000, F.lit(True)).alias("max_1000_per_file"),
+                           F.coalesce(F.max("size") <= 100_000, F.lit(True)).alias("max_size"), F.coalesce(F.max("days") <= 1, F.lit(True)).alias("one_day_per_file"))
+    return figures.join(F.broadcast(full))
+
+
 @register("b14_copy_into", """SELECT event_id, ts, user_id, event_type, value,
        props || chr(10) || repeat(chr(34), 2) || 'more' || repeat(chr(34), 2) || ', ' || event_type AS props FROM events""")
 def b14_copy_into(spark, sf):

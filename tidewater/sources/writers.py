@@ -3,11 +3,14 @@ replacement, one file per partition, message framing and the delivery report."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.session import materialize
+
 # JSON text keeps microseconds (Spark's default JSON timestamp format stops at milliseconds).
 JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -130,6 +133,41 @@ def to_messages(df: DataFrame, key: str | None, partitions: int | None = None,
     return out.repartition(partitions) if partitions else out
 
 
+def _delivered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Executor side: the lines of each file, or, for one that does not unpack, the file alone.  Batches of
+    files are bounded in bytes by Spark."""
+    for b in batches:
+        for path, content in zip(b.column(0).to_pylist(), b.column(1)):
+            try:
+                codec = pa.Codec.detect(path).name
+            except (TypeError, ValueError):      # no suffix of a compressed file
+                codec = None
+            try:
+                data = content.as_buffer()
+                text = pa.input_stream(data, compression=codec).read() if codec else data.to_pybytes()
+                lines = [x for x in text.decode("utf-8", "replace").replace("\r\n", "\n").split("\n") if x] or [None]
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(lines), pa.string()), pa.array(lines, pa.string()), pa.array([True] * len(lines), pa.bool_())],
+                                                 ["file_path", "value", "whole"])
+            except (OSError, EOFError):
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([None], pa.string()), pa.array([False])], ["file_path", "value", "whole"])
+
+
+def read_delivery(spark: SparkSession, path: str, glob: str = "*") -> tuple[DataFrame, DataFrame]:
+    """``(file_path, value)`` of the record lines of all files that can be read, and the ``file_path`` of those that cannot.
+
+    A file is read as a whole or not at all: of one that breaks off (a torn gzip file, say) no line counts, while
+    Spark's own readers would pass what stands before the break.  A delivered file is bounded by its batch, a few
+    MB.  Files that could not even be opened are what the listing has and the rows have not; empty files
+    hold no records and are not failed."""
+    from tidewater.sources.readers import list_files
+    files = (spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+             .load(path).where("length > 0").select(F.col("_metadata.file_path").alias("file_path"), "content"))
+    rows = materialize(files.mapInArrow(_delivered, "file_path string, value string, whole boolean"), "delivery")
+    listed = list_files(spark, path, glob=glob).where("length > 0").select(F.col("path").alias("file_path"))
+    whole = rows.where("whole").select("file_path", "value")
+    return whole.where(F.col("value").isNotNull()), listed.join(whole.select("file_path"), "file_path", "left_anti")
+
+
 def delivery_report(lines: DataFrame, unreadable: DataFrame | None = None, value_col: str = "value",
                     file_col: str = "file_path") -> DataFrame:
     """Per file ``(file_path, records, sent, skipped, failed)`` from raw record lines.

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import columns as C
@@ -28,19 +27,19 @@ def parse_count_logs(logs: DataFrame) -> DataFrame:
 
 def monitor_handler(spark: SparkSession, log_path: str, summary_path: str, payload: str = "data"):
     """``foreachBatch`` function writing the batch's log rows and one
-    summary row ``(batch_id, received, status)``, keyed by batch id so a replay
+    summary row ``(batch_id, received, status, summarised_at)``, keyed by batch id so a replay
     does not duplicate them; an empty batch still writes a heartbeat summary.
 
-    The batch is read once: the summary counts the log rows that were written."""
+    The log rows are counted while they are written, so a batch costs the same however many came before."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         from tidewater.sources.writers import write_batch
-        write_batch(log_rows(batch, payload), log_path, batch_id)
-        try:
-            received = spark.read.parquet(log_path).where(F.col("batch_id") == batch_id).count()
-        except AnalysisException:       # nothing was ever written: no rows, no files
-            received = 0
-        write_batch(spark.createDataFrame([(int(received), "ok" if received else "heartbeat")],
-                                          "received long, status string"), summary_path, batch_id)
+        received = 0
+        if not batch.isEmpty():
+            seen = Observation()
+            write_batch(log_rows(batch, payload).observe(seen, F.count(F.lit(1)).alias("received")), log_path, batch_id)
+            received = seen.get["received"]
+        row = spark.createDataFrame([(int(received), "ok" if received else "heartbeat")], "received long, status string")
+        write_batch(row.withColumn("summarised_at", F.current_timestamp()), summary_path, batch_id)
     return handle
 
 

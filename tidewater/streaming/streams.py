@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StringType, StructField, StructType
@@ -187,20 +187,47 @@ def _writer(df: DataFrame, sink: str | Callable, checkpoint: str, output_mode: s
     return w
 
 
-def rolling_json(path: str, max_records: int, max_bytes: int) -> Callable:
-    """A ``foreachBatch`` sink of JSON lines whose files close at a record count or a size,
-    whichever comes first.
+#: Records of at most this share of a file's bytes fill files up to the rest of it; longer ones than the last go alone.
+ROLL_SHARES = (1 / 8, 1 / 2)
+
+
+def rolling_json(path: str, max_records: int, max_bytes: int, seconds: int | None = None, time_col: str | None = None) -> Callable:
+    """A ``foreachBatch`` sink of JSON lines whose files close at a record count, a size or
+    after some time, whichever comes first.
+
+    The bytes and records before each record are summed, inside its task and over the tasks before it,
+    and divided by what a file takes; the quotient is the record's file.  A file takes ``max_bytes`` less the longest
+    record that may begin in it, so none grows beyond the limit: records of up to an eighth of it fill
+    files to seven eighths, those of up to a half to one half, each of the longer ones is a file of its own (and only one
+    longer than ``max_bytes`` makes a larger file).  No record decides the size of other records' files.
+
+    A file holds records of one batch: with a trigger of 30 seconds it closes then (:func:`start_stream`).  For runs that
+    catch up, ``seconds`` closes files by the records' own arrival time ``time_col``.
+    A batch's folder is replaced as a whole, so a replay does not add to it."""
+    if (seconds is None) != (time_col is None):
+        raise ValueError("seconds and time_col go together")
 
-    A file gets at most as many records as would fit if each were as long as the
-    batch's longest; only a record longer than ``max_bytes`` makes a larger file, of
-    its own.  A batch's folder is replaced as a whole, so a replay does not add to it."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         with scratch_scope(batch.sparkSession):
-            lines = materialize(batch.select(json_text(*batch.columns).alias("value")), "rolling")
-            longest = lines.agg(F.max(F.octet_length("value"))).first()[0]
-            if longest is not None:
-                n = max(1, min(max_records, max_bytes // (longest + 1)))
-                lines.write.mode("overwrite").option("maxRecordsPerFile", n).text(f"{path}/batch_id={batch_id}")
+            slot = F.floor(F.unix_micros(F.col(time_col).cast("timestamp")) / (seconds * 1_000_000)) if seconds else F.lit(0)
+            lines = batch.select(json_text(*[F.col(f"`{c}`") for c in batch.columns]).alias("value"), F.coalesce(slot, F.lit(-1)).cast("long").alias("slot"))
+            size = F.octet_length("value") + 1
+            kind = F.when(size <= max_bytes * ROLL_SHARES[0], 0).when(size <= max_bytes * ROLL_SHARES[1], 1).otherwise(2)
+            lines = lines.select("*", size.alias("size"), kind.alias("kind"), F.monotonically_increasing_id().alias("at"))
+            lines = materialize(lines.withColumn("task", F.shiftright("at", 33)), "rolling")
+            group = ["slot", "kind"]
+            per = lines.groupBy(*group, "task").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("records"))
+            before = Window.partitionBy(*group).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)      # a row for each task
+            per = per.select(*group, "task", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("bytes", "records")])
+            inside = Window.partitionBy(*group, "task").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+            start = F.col("bytes_before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+            index = F.col("records_before") + F.coalesce(F.count(F.lit(1)).over(inside), F.lit(0))
+            room = F.when(F.col("kind") == 0, max_bytes * (1 - ROLL_SHARES[0])).otherwise(max_bytes * (1 - ROLL_SHARES[1]))
+            by_size = F.when(F.col("kind") == 2, index).otherwise(F.floor(start / room))
+            name = F.concat_ws("-", *[x.cast("string") for x in (F.col("slot"), F.col("kind"), by_size, F.floor(index / max_records))])
+            files = lines.join(per, [*group, "task"]).select("value", "at", name.alias("roll"))
+            (files.repartition("roll").sortWithinPartitions("roll", "at").drop("at")
+             .write.mode("overwrite").partitionBy("roll").text(f"{path}/batch_id={batch_id}"))
     return handle
 
 
