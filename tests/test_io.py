@@ -243,3 +243,23 @@ def test_files_that_break_off_are_failed_and_the_others_sent(spark, tmp):
         "whole.json": 5000, "whole.json.gz": 5000, "two.json.gz": 10_000, "b.json.bz2": 5000}
     with pytest.raises(RuntimeError, match="3 file"):
         W.raise_on_failures(W.report_summary(report))
+
+
+def test_a_table_has_the_columns_of_all_its_files(spark, tmp):
+    root = tmp("crawl-union")
+    spark.range(4).selectExpr("id", "id % 2 AS p").write.partitionBy("p").parquet(f"{root}/t")
+    spark.range(4).selectExpr("id").write.json(f"{root}/j")
+    one = {r.table_name: r.status for r in CAT.catalog_path(spark, root, "crawl_union").collect()}
+    assert one == {"t": "registered", "j": "registered"}
+    spark.range(4, 6).selectExpr("id", "string(id) AS more", "7 AS p").write.mode("append").partitionBy("p").parquet(f"{root}/t")
+    got = {r.table_name: (r.status, r.changes) for r in CAT.catalog_path(spark, root, "crawl_union").collect()}
+    assert got == {"t": ("updated", "+ more string"), "j": ("unchanged", None)}
+    t = spark.table("crawl_union.t")
+    assert t.count() == 6 and t.where("more IS NOT NULL AND p = 7").count() == 2
+    spark.range(1).selectExpr("id", "'x' AS more", "9 AS p").write.mode("append").partitionBy("p").parquet(f"{root}/t")
+    assert [r.status for r in CAT.catalog_path(spark, root, "crawl_union").collect()] == ["unchanged"] * 2
+    assert spark.table("crawl_union.t").where("p = 9").count() == 1         # its partition was recovered
+    name = CAT.register_table(spark, f"{root}/t", "crawl_union", "again")
+    assert spark.table(name).count() == 7 and spark.table(name).columns == ["id", "more", "p"]
+    with pytest.raises(ValueError):
+        CAT.register_table(spark, f"{root}/t", "crawl_union", "again", partition_by=("more",))

@@ -84,3 +84,48 @@ def test_merge_reads_touched_buckets_only(spark, tmp, monkeypatch):
     monkeypatch.setattr(CDC, "_merge", lambda current, *rest: read.extend(current.inputFiles()) or real(current, *rest))
     CDC.merge_upsert(spark, target, rows.where("k = 7"), "k", ["t"], buckets=16)
     assert len({re.search("_bucket=([0-9]+)", f)[1] for f in read}) == 1
+
+
+def _scans(plans, table):
+    return sum(p.count(f"/{table}.parquet") for p in plans)
+
+
+def test_channel_gold_scans_lineitem_once(spark, monkeypatch):
+    """Distinct videos are counted in the aggregation of the sums: judged on the frames that are written."""
+    import __spark_entry__ as E
+    from tidewater.operators import relational as R
+    plans = []
+    real = R.materialize
+    monkeypatch.setattr(R, "materialize", lambda df, name: plans.append(plan_of(df)) or real(df, name))
+    plans.append(plan_of(E.queries()["p4_channel_summary"](spark, SF)))
+    assert _scans(plans, "lineitem") == 1
+
+
+def test_medallion_reads_bronze_once_and_silver_once_for_gold(spark, tmp, monkeypatch):
+    from tidewater.plans import standins as SI
+    from tidewater.plans.flows import medallion as M
+    from tidewater.operators import relational as R
+    from tidewater.sources import writers as W
+    read, out = [], tmp("medallion-once")
+
+    def note(df):       # the tables that a frame about to be written reads, by file
+        read.append({name for name in ("lineitem.parquet", "clean_statistics") for f in df.inputFiles() if name in f})
+    for module, name in ((M, "materialize"), (R, "materialize")):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda df, label, real=real: note(df) or real(df, label))
+    write = W.write_idempotent       # write_rebalanced ends there, too
+    monkeypatch.setattr(W, "write_idempotent", lambda df, *a: note(df) or write(df, *a))
+    t = SI.Tables(spark, SF)
+    M.run(spark, SI.videos(t), SI.categories(t), out, SI.ASOF)
+    assert sum("lineitem.parquet" in x for x in read) == 1
+    assert sum("clean_statistics" in x for x in read) == 1
+
+
+def test_empty_columns_are_found_in_footers(spark, tmp):
+    from tidewater.sources import readers as RD
+    out, setting = tmp("footers"), spark.conf.get("spark.sql.parquet.aggregatePushdown")
+    spark.range(50).selectExpr("id", "cast(null AS string) AS gone", "if(id = 7, 'x', null) AS rare", "id % 3 AS p").write.partitionBy("p").parquet(out)
+    assert RD.filled_columns(spark, out) == ["id", "rare", "p"]
+    spark.range(5).selectExpr("id", "cast(null AS string) AS gone", "'y' AS extra", "1L AS p").write.mode("append").partitionBy("p").parquet(out)
+    assert set(RD.filled_columns(spark, out)) == {"id", "rare", "extra", "p"}
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == setting

@@ -331,6 +331,32 @@ def b11_catalog_path(spark, sf):
     return found.join(counts, "table_name", "left").select("table_name", "format", "status", "rows")
 
 
+@register("b11_crawl_again", """SELECT * FROM (VALUES ('customer', 'updated', '+ c_acctbal double', (SELECT count(*) FROM customer), (SELECT count(*) FROM customer WHERE c_custkey % 2 = 1)),
+  ('nation', 'unchanged', NULL, (SELECT count(*) FROM nation), NULL), ('region', 'rejected: files of different headers', NULL, NULL, NULL),
+  ('supplier', 'registered', NULL, (SELECT count(*) FROM supplier), NULL)) AS v(table_name, status, changes, rows, balances)""")
+def b11_crawl_again(spark, sf):
+    """A second crawl: one folder has got files with a column more, one a partition more, one files of another
+    header, one is new; the tables' rows are counted through the catalog."""
+    t = T(spark, sf)
+    root, db = scratch_dir(spark, "b11a"), f"crawl_{uuid.uuid4().hex[:8]}"
+    odd = F.col("c_custkey") % 2 == 1
+    t.customer.where(~odd).select("c_custkey", "c_name").write.parquet(f"{root}/customer")
+    t.nation.where(F.col("n_regionkey") < 3).write.partitionBy("n_regionkey").parquet(f"{root}/nation")
+    t.region.write.option("header", True).csv(f"{root}/region")
+    CAT.catalog_path(spark, root, db)
+    t.customer.where(odd).select("c_custkey", "c_name", "c_acctbal").write.mode("append").parquet(f"{root}/customer")
+    t.nation.where(F.col("n_regionkey") >= 3).write.mode("append").partitionBy("n_regionkey").parquet(f"{root}/nation")
+    t.region.select("r_name", "r_regionkey").write.mode("append").option("header", True).csv(f"{root}/region")
+    t.supplier.write.json(f"{root}/supplier")
+    found = CAT.catalog_path(spark, root, db).select("table_name", "status", "changes")
+    counts = None
+    for name in ("customer", "nation", "supplier"):
+        n = spark.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("rows"), (F.count("c_acctbal") if name == "customer" else F.lit(None).cast("long")).alias("balances"))
+        n = n.select(F.lit(name).alias("table_name"), "rows", "balances")
+        counts = n if counts is None else counts.unionByName(n)
+    return found.join(counts, "table_name", "left").select("table_name", "status", "changes", "rows", "balances")
+
+
 @register("b12_create_external", "SELECT * FROM region")
 def b12_create_external(spark, sf):
     out = scratch_dir(spark, "b12")

@@ -6,10 +6,12 @@ the session catalog; dropping an external table keeps its files."""
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def create_database(spark: SparkSession, db: str, location: str | None = None) -> None:
@@ -21,29 +23,39 @@ def create_database(spark: SparkSession, db: str, location: str | None = None) -
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{location}'")
 
 
-def _ddl_schema(df: DataFrame, skip: tuple[str, ...] = ()) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in skip)
-
-
 def register_table(spark: SparkSession, path: str, db: str, name: str, fmt: str = "parquet",
-                   partition_by: tuple[str, ...] = ()) -> str:
+                   partition_by: tuple[str, ...] = (), options: Mapping[str, str] | None = None,
+                   columns: StructType | None = None) -> str:
     """Create the database, drop and re-create the external table over
-    ``path`` and recover its partitions.  Returns the qualified name."""
+    ``path`` and recover its partitions.  Returns the qualified name.
+
+    Spark infers columns and partitions itself: of Parquet from the footers of all files (read by its
+    tasks), of JSON from all records.  ``partition_by`` is only checked against what it found, unless
+    ``columns`` declares the table's columns."""
     create_database(spark, db)
-    full = f"`{db}`.`{name}`"
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
-    probe = spark.read.format(fmt).load(path)
-    parts = partition_by or tuple(c for c in probe.columns if f"/{c}=" in _first_file(probe))
-    part_sql = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
-    spark.sql(f"CREATE TABLE {full} ({_ddl_schema(probe)}) USING {fmt} {part_sql} LOCATION '{path}'")
-    if parts:
-        spark.sql(f"MSCK REPAIR TABLE {full}")
+    spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
+    _create(spark, path, f"`{db}`.`{name}`", fmt, options, columns, partition_by)
+    found = tuple(c.name for c in spark.catalog.listColumns(f"`{db}`.`{name}`") if c.isPartition)
+    if partition_by and found != tuple(partition_by):
+        raise ValueError(f"{path} is partitioned by {found}, not by {tuple(partition_by)}")
     return f"{db}.{name}"
 
 
-def _first_file(df: DataFrame) -> str:
-    files = df.inputFiles()
-    return files[0] if files else ""
+def _create(spark: SparkSession, path: str, table: str, fmt: str, options: Mapping[str, str] | None = None,
+            columns: StructType | None = None, partition_by: tuple[str, ...] = ()) -> None:
+    """An external table of the columns that all its files have together (or of those declared)."""
+    given = {**({"mergeSchema": "true"} if fmt == "parquet" else {}), **(options or {})}
+    opts = f"OPTIONS ({', '.join(f"'{k}' '{v}'" for k, v in given.items())})" if given else ""
+    ddl = f"({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in columns.fields)})" if columns else ""
+    parts = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partition_by)})" if columns and partition_by else ""
+    spark.sql(f"CREATE TABLE {table} {ddl} USING {fmt} {opts} {parts} LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+
+
+def _columns(spark: SparkSession, table: str) -> list[tuple[str, str, bool]]:
+    """Names and types, whatever their order."""
+    return sorted((c.name, c.dataType, c.isPartition) for c in spark.catalog.listColumns(table))
 
 
 def create_external(spark: SparkSession, name: str, columns: str, path: str, fmt: str = "csv",
@@ -65,14 +77,16 @@ def create_landing(spark: SparkSession, name: str, columns: str, path: str, like
     return name
 
 
-def catalog_path(spark: SparkSession, root: str, db: str, known: Mapping[str, str] | None = None) -> DataFrame:
-    """One table per child folder of ``root`` (schema and partitions inferred),
-    refreshed on every run; tables registered before whose folder is gone are
-    marked ``deprecated=true``; a folder mixing formats is rejected.
+def catalog_path(spark: SparkSession, root: str, db: str) -> DataFrame:
+    """One table per child folder of ``root``, of the columns that all its files have together.
 
-    Returns ``(table_name, location, format, status)`` rows.
+    Returns ``(table_name, location, format, status, changes)`` rows.  A folder that is new is
+    ``registered``; one whose columns or partition columns differ from the registered table's is
+    ``updated``, with the differences; of others only the partitions are recovered (``unchanged``).
+    Tables registered before whose folder is gone are marked ``deprecated=true``.  A folder that
+    mixes formats, or CSV files of different headers, is rejected, and a table of it stays as it was.
     """
-    from tidewater.sources.readers import list_files
+    from tidewater.sources.readers import csv_headers, list_files
 
     files = list_files(spark, root).select("path")
     at = "/" + root.rstrip("/").replace("file:", "").lstrip("/") if "://" not in root or root.startswith("file:") else root.rstrip("/")
@@ -81,33 +95,55 @@ def catalog_path(spark: SparkSession, root: str, db: str, known: Mapping[str, st
                             F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)).alias("ext"))
                .where(~F.col("ext").isin("crc", "") & ~F.col("folder").startswith("_")
                       & ~F.col("folder").startswith("."))
-               .groupBy("folder").agg(F.sort_array(F.collect_set("ext")).alias("exts")).collect())
+               .groupBy("folder").agg(F.sort_array(F.collect_set("ext")).alias("exts")).collect())      # a row for each folder
     create_database(spark, db)
+    known = {t.name for t in spark.catalog.listTables(db) if t.tableType == "EXTERNAL"}
     rows, seen = [], set()
     for r in sorted(listing, key=lambda x: x["folder"]):
-        loc = f"{root.rstrip('/')}/{r['folder']}"
-        exts = list(r["exts"])
-        if len(exts) != 1:
-            rows.append((r["folder"], loc, ",".join(exts), "rejected: mixed formats"))
-            continue
-        fmt = {"parquet": "parquet", "json": "json", "csv": "csv"}.get(exts[0])
+        name, loc, exts = r["folder"], f"{root.rstrip('/')}/{r['folder']}", list(r["exts"])
+        seen.add(name)
+        fmt = exts[0] if len(exts) == 1 and exts[0] in ("parquet", "json", "csv") else None
         if fmt is None:
-            rows.append((r["folder"], loc, exts[0], "rejected: unknown format"))
+            rows.append((name, loc, ",".join(exts), "rejected: mixed formats" if len(exts) != 1 else "rejected: unknown format", None))
             continue
+        options = {}
         if fmt == "csv":
-            spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{r['folder']}`")
-            probe = spark.read.option("header", True).option("inferSchema", True).csv(loc)
-            spark.sql(f"CREATE TABLE `{db}`.`{r['folder']}` ({_ddl_schema(probe)}) USING csv "
-                      f"OPTIONS ('header' 'true') LOCATION '{loc}'")
-        else:
-            register_table(spark, loc, db, r["folder"], fmt)
-        seen.add(r["folder"])
-        rows.append((r["folder"], loc, fmt, "registered"))
-    for t in spark.catalog.listTables(db):
-        if t.name not in seen and t.tableType == "EXTERNAL":
-            spark.sql(f"ALTER TABLE `{db}`.`{t.name}` SET TBLPROPERTIES ('deprecated' = 'true')")
-            rows.append((t.name, None, None, "deprecated"))
-    return spark.createDataFrame(rows, "table_name string, location string, format string, status string")
+            if csv_headers(spark, loc).select("names").distinct().limit(2).count() > 1:
+                rows.append((name, loc, fmt, "rejected: files of different headers", None))
+                continue
+            options = {"header": "true", "inferSchema": "true"}
+        status, changes = _register(spark, loc, db, name, fmt, options, name in known)
+        rows.append((name, loc, fmt, status, changes))
+    for name in sorted(known - seen):
+        spark.sql(f"ALTER TABLE `{db}`.`{name}` SET TBLPROPERTIES ('deprecated' = 'true')")
+        rows.append((name, None, None, "deprecated", None))
+    return spark.createDataFrame(rows, "table_name string, location string, format string, status string, changes string")
+
+
+def _register(spark: SparkSession, loc: str, db: str, name: str, fmt: str, options: Mapping[str, str], known: bool) -> tuple[str, str | None]:
+    """Register a folder, or bring its table up to date; returns the status and what changed."""
+    table = f"`{db}`.`{name}`"
+    if not known:
+        _create(spark, loc, table, fmt, options)
+        return "registered", None
+    # what a table over the folder would be now, beside the one that is registered
+    probe = f"`{db}`.`_probe_{uuid.uuid4().hex[:8]}`"
+    _create(spark, loc, probe, fmt, options)
+    try:
+        before, now = _columns(spark, table), _columns(spark, probe)
+    finally:
+        spark.sql(f"DROP TABLE {probe}")
+    if before == now:
+        if any(part for _, _, part in now):
+            spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('deprecated')")
+        spark.catalog.refreshTable(table)
+        return "unchanged", None
+    spark.sql(f"DROP TABLE {table}")
+    _create(spark, loc, table, fmt, options)
+    show = lambda c: f"{c[0]} {c[1]}{' (partition)' if c[2] else ''}"
+    changes = [f"+ {show(c)}" for c in now if c not in before] + [f"- {show(c)}" for c in before if c not in now]
+    return "updated", "; ".join(changes)
 
 
 class Models:
