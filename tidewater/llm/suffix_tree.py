@@ -5,7 +5,8 @@ one end mark; the tree predicts the next symbol from the longest retained suffix
 of at most ``DEPTH`` preceding symbols.
 
 *   All (context, next symbol) counts of the training texts are gathered: each
-    task counts its own, a grouped sum adds them.  Counts of shorter contexts
+    task counts its own and packs them by the three newest symbols of the context, so that
+    a bucket has all that is needed to judge the longer ones.  Counts of shorter contexts
     are sums over the longest ones.
 *   A context is a candidate if it was seen ``LEAST_TIMES``, whatever the size of
     the table.  It is retained if its next-symbol counts diverge from those of its
@@ -40,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import id_and_text, short_batches
-from tidewater.llm.text import LOWER, SPACED, buffers, chunks, gathered, spans, word_hashes
+from tidewater.llm.text import LOWER, SPACED, buffers, chunks, gathered, mix, spans, word_hashes
 from tidewater.session import materialize
 
 DEPTH = 7                # longest context, in symbols (with the next one, the eight bytes of a key)
@@ -51,7 +52,9 @@ PULL = 5.0               # weight of the suffix's distribution in the smoothing,
 HEAD = 1 << 21           # words that are broadcast, at most
 TREE_ROWS = 6_000_000    # rows (context, symbol) of the tree that are broadcast, at most
 AT_ONCE = 1 << 21        # bytes of text
-KEYS_AT_ONCE = 1 << 22   # distinct keys that a task holds before it passes them on
+KEYS_AT_ONCE = 1 << 22   # keys that a task holds before it merges them, and passes them on if half of that many differ
+BLOCK_KEYS = 1 << 16     # keys in one row of a bucket
+LOCAL = 3                # contexts that agree in so many newest symbols are judged in one bucket
 BLANK, END = 0x20, 0x0A  # neither occurs in a word
 END_TOKEN = 1            # the end mark's key among the words
 GRAM, WORD, DOC = 0, 1, 2
@@ -108,21 +111,67 @@ class _Counter:
     def __init__(self):
         self.parts, self.size = [], 0
 
-    def add(self, keys: np.ndarray) -> None:
-        self.parts.append(np.unique(keys, return_counts=True))
+    def add(self, keys: np.ndarray, n: np.ndarray | None = None) -> None:
+        self.parts.append(np.unique(keys, return_counts=True) if n is None else (keys, n))
         self.size += len(self.parts[-1][0])
-
-    def take(self, kind: int) -> pa.RecordBatch:
-        keys, n = (np.concatenate(x) for x in zip(*self.parts))
-        order = np.argsort(keys)
-        keys, n = keys[order], n[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        if len(self.parts) > 8 and self.size > 4 * len(self.parts[0][0]):      # what came since is worth a merge
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct keys and their counts."""
+        if len(self.parts) > 1:
+            keys, n = (np.concatenate(x) for x in zip(*self.parts))
+            self.parts = []
+            order = np.argsort(keys, kind="stable")
+            keys, n = keys[order], n[order]
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            self.parts = [(keys[first], np.add.reduceat(n, first))]
+        self.size = sum(len(k) for k, _ in self.parts)
+        return self.parts[0] if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        out = self.merge()
         self.parts, self.size = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(first), kind, np.int32)), pa.array(keys[first]), pa.array(np.add.reduceat(n, first))], ["kind", "key", "n"])
+        return out
 
 
-def counts(docs: DataFrame) -> DataFrame:
-    """kind, key, n: counts of grams and words of all texts."""
+def _planes(values: np.ndarray) -> bytes:
+    """Eight bytes a value, all first bytes before all second ones: sorted keys and small counts then compress well."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _values(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def _bucket(kind: int, keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Grams whose three newest predecessors agree share a bucket; words are spread by their hash."""
+    of = keys >> np.uint64(32) & np.uint64(0xFFFFFF) if kind == GRAM else keys
+    return (mix(of) % np.uint64(buckets)).astype(np.int32)
+
+
+PACKED = "bucket int, kind int, keys binary, times binary"
+
+
+def _packed(kind: int, keys: np.ndarray, n: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Counts (sorted by key) as a few rows for each bucket, of ``BLOCK_KEYS`` keys at most."""
+    bucket = _bucket(kind, keys, buckets)
+    order = np.argsort(bucket, kind="stable")
+    keys, n, bucket = keys[order], n[order], bucket[order]
+    edges = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+    for a, b in zip(edges[:-1], edges[1:]):
+        for i in range(a, b, BLOCK_KEYS):
+            j = min(i + BLOCK_KEYS, b)
+            yield pa.RecordBatch.from_arrays([pa.array([int(bucket[a])], pa.int32()), pa.array([kind], pa.int32()),
+                                              pa.array([_planes(keys[i:j])]), pa.array([_planes(n[i:j].astype(np.int64))])], ["bucket", "kind", "keys", "times"])
+
+
+def _buckets(spark) -> int:
+    return min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
+
+
+def _counted(docs: DataFrame, buckets: int) -> DataFrame:
+    """Each task's counts of grams and words, by bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _Counter(), _Counter()
         for b in gathered(batches, 0, AT_ONCE):
@@ -130,24 +179,124 @@ def counts(docs: DataFrame) -> DataFrame:
             for _, d, o in chunks(data, offsets, AT_ONCE):
                 low = LOWER[d]
                 starts, ends, first = spans(low, o, SPACED)
-                own[GRAM].add(by_symbol(grams(*streams(low, o, starts, ends, first))).view(np.int64))
-                own[WORD].add(np.append(word_keys(low, starts, ends), np.full(len(o) - 1, END_TOKEN)))
+                own[GRAM].add(by_symbol(grams(*streams(low, o, starts, ends, first))))
+                own[WORD].add(np.append(word_keys(low, starts, ends), np.full(len(o) - 1, END_TOKEN)).view(np.uint64))
                 for kind, c in enumerate(own):
-                    if c.size > KEYS_AT_ONCE:
-                        yield c.take(kind)
+                    if c.size > KEYS_AT_ONCE and len(c.merge()[0]) > KEYS_AT_ONCE // 2:
+                        yield from _packed(kind, *c.take(), buckets)
         for kind, c in enumerate(own):
             if c.size:
-                yield c.take(kind)
+                yield from _packed(kind, *c.take(), buckets)
     short_batches(docs.sparkSession)
-    return docs.select("text").mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, PACKED)
+
+
+def _pack_rows(all_counts: DataFrame, buckets: int) -> DataFrame:
+    """Rows (kind, key, n) by bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kind, key, n = (b.column(i).to_numpy() for i in range(3))
+            for k in np.unique(kind):
+                own = np.flatnonzero(kind == k)
+                own = own[np.argsort(key[own].view(np.uint64), kind="stable")]
+                yield from _packed(int(k), key[own].view(np.uint64), n[own], buckets)
+    return all_counts.select("kind", "key", "n").mapInArrow(run, PACKED)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(kind, keys, counts) of each bucket, from its rows in a row."""
+    now, counter = None, _Counter()
+    for b in batches:
+        for bucket, kind, keys, n in zip(*(b.column(i).to_pylist() for i in range(4))):
+            if (bucket, kind) != now:
+                if now:
+                    yield now[1], *counter.take()
+                now = bucket, kind
+            counter.add(_values(keys, np.uint64), _values(n, np.int64))
+    if now:
+        yield now[1], *counter.take()
+
+
+def _together(packed: DataFrame) -> DataFrame:
+    return packed.repartition("bucket").sortWithinPartitions("bucket", "kind")
+
+
+def _slices(names: list[str], *cols) -> Iterator[pa.RecordBatch]:
+    """Record batches of 64 k rows at most."""
+    table = pa.Table.from_arrays([pa.array(c) for c in cols], names)
+    yield from table.to_batches(max_chunksize=1 << 16)
+
+
+def counts(docs: DataFrame) -> DataFrame:
+    """kind, key, n: counts of grams and words of all texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kind, keys, n in _merged(batches):
+            yield from _slices(["kind", "key", "n"], np.full(len(keys), kind, np.int32), keys.view(np.int64), n)
+    return _together(_counted(docs, _buckets(docs.sparkSession))).mapInArrow(run, "kind int, key long, n long")
+
+
+REDUCED = "kind int, level int, key long, n long, n_context long, symbols long, held boolean"
+
+
+def _level(keys: np.ndarray, n: np.ndarray, level: int) -> dict:
+    """Rows of one level from the sorted rows of the deepest, with their contexts' figures."""
+    key = keys >> np.uint64(8 * (DEPTH - level))
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    key, n = key[first], np.add.reduceat(n, first)
+    contexts, at, symbols = np.unique(key & np.uint64((1 << 8 * level) - 1), return_inverse=True, return_counts=True)
+    total = np.zeros(len(contexts), np.int64)
+    np.add.at(total, at, n)
+    return {"key": key, "n": n, "contexts": contexts, "at": at, "total": total, "symbols": symbols}
+
+
+def _retained(keys: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, dict, np.ndarray, np.ndarray]]:
+    """(level, rows, rows to pass on, whether a longer context holds theirs) of a bucket: from level ``LOCAL + 1`` on
+    the rows of retained contexts; of level ``LOCAL`` all."""
+    levels = [_level(keys, n, k) for k in range(LOCAL, DEPTH + 1)]
+    keep = [np.zeros(len(levels[0]["contexts"]), bool)]
+    for suffix, own in zip(levels, levels[1:]):
+        up = np.searchsorted(suffix["key"], own["key"] >> np.uint64(8))
+        p, q = own["n"] / own["total"][own["at"]], suffix["n"][up] / suffix["total"][suffix["at"][up]]
+        gain = np.bincount(own["at"], own["n"] * np.log(p / q), len(own["contexts"]))
+        keep.append((own["total"] >= LEAST_TIMES) & (gain >= LEAST_GAIN) & (gain >= COST * own["symbols"] * np.log(own["total"])))
+    for k in range(len(levels) - 1, 0, -1):      # suffixes of what is retained
+        up = np.searchsorted(levels[k - 1]["contexts"], levels[k]["contexts"][keep[k]] >> np.uint64(8))
+        keep[k - 1][up] = True
+    for k, (own, kept) in enumerate(zip(levels, keep)):
+        rows = np.flatnonzero(kept[own["at"]]) if k else np.arange(len(own["key"]))
+        yield LOCAL + k, own, rows, kept[own["at"]][rows]
+
+
+def _reduced(packed: DataFrame) -> DataFrame:
+    """Words with their counts; rows of retained contexts longer than ``LOCAL``; all rows of that length, of which ``held`` says
+    whether a longer context holds them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in REDUCED.split(", ")]
+        for kind, keys, n in _merged(batches):
+            if kind == WORD:
+                none = np.zeros(len(keys), np.int64)
+                yield from _slices(names, np.full(len(keys), WORD, np.int32), none.astype(np.int32), keys.view(np.int64), n, none, none, none > 0)
+                continue
+            for level, own, rows, held in _retained(keys, n):
+                at = own["at"][rows]
+                yield from _slices(names, np.full(len(rows), GRAM, np.int32), np.full(len(rows), level, np.int32), own["key"][rows].view(np.int64),
+                                   own["n"][rows], own["total"][at], own["symbols"][at].astype(np.int64), held)
+    return _together(packed).mapInArrow(run, REDUCED)
 
 
 def tree_table(all_counts: DataFrame) -> DataFrame:
     """level, key (symbol and context), n, and n_context and symbols of the retained contexts."""
-    rest = all_counts.where(F.col("kind") == GRAM).select("key", "n")
-    levels = rest.select(F.lit(DEPTH).alias("level"), "key", "n")
-    for level in reversed(range(DEPTH)):
-        rest = materialize(rest.groupBy(F.expr("shiftrightunsigned(key, 8)").alias("key")).agg(F.sum("n").alias("n")), f"level-{level}")
+    return _tree(materialize(_reduced(_pack_rows(all_counts.where(F.col("kind") == GRAM), _buckets(all_counts.sparkSession))), "tree-parts"))
+
+
+def _tree(reduced: DataFrame) -> DataFrame:
+    """The tree, from the buckets' parts: contexts of ``LOCAL`` symbols at most are few, and are judged together."""
+    deep = reduced.where((F.col("kind") == GRAM) & (F.col("level") > LOCAL)).select("level", "key", "n", "n_context", "symbols")
+    least = reduced.where((F.col("kind") == GRAM) & (F.col("level") == LOCAL))
+    rest = least.select("key", "n")
+    levels = rest.select(F.lit(LOCAL).alias("level"), "key", "n")
+    for level in reversed(range(LOCAL)):
+        rest = rest.groupBy(F.expr("shiftrightunsigned(key, 8)").alias("key")).agg(F.sum("n").alias("n"))
         levels = levels.union(rest.select(F.lit(level).alias("level"), "key", "n"))
     # a context has at most 256 next symbols, so its rows can be gathered
     levels = levels.withColumn("context", F.expr(CONTEXT))
@@ -158,11 +307,12 @@ def tree_table(all_counts: DataFrame) -> DataFrame:
     gain = F.col("n") * F.ln((F.col("n") / F.col("n_context")) / (F.col("n_suffix") / F.col("n_suffix_context")))
     kept = rows.where("level > 0").withColumn("suffix_key", F.expr("shiftrightunsigned(key, 8)")).join(above, ["level", "suffix_key"]) \
         .groupBy("level", "context", "n_context", "symbols").agg(F.sum(gain).alias("gain")) \
-        .where((F.col("gain") >= LEAST_GAIN) & (F.col("gain") >= COST * F.col("symbols") * F.ln("n_context")))
+        .where((F.col("gain") >= LEAST_GAIN) & (F.col("gain") >= COST * F.col("symbols") * F.ln("n_context"))).select("level", "context")
+    kept = kept.union(least.where("held").select("level", F.expr(CONTEXT).alias("context")).distinct())
     closed = kept.select("context", F.col("level").alias("of"), F.explode(F.sequence(F.lit(0), "level")).alias("level")) \
         .select("level", F.expr("shiftrightunsigned(context, 8 * (of - level))").alias("context"))
     closed = closed.union(rows.where("level = 0").select("level", "context")).distinct()
-    return rows.join(closed, ["level", "context"]).select("level", "key", "n", "n_context", "symbols")
+    return deep.union(rows.join(closed, ["level", "context"]).select("level", "key", "n", "n_context", "symbols"))
 
 
 def head_times(tree: DataFrame) -> int:
@@ -179,14 +329,16 @@ class Tree:
     """Contexts by length, as sorted arrays.  ``beyond``: level and context of those that go on in contexts that are not here."""
 
     def __init__(self, table: pa.Table, beyond: pa.Table | None = None):
-        level, key, n, total, symbols = (table.column(c).to_numpy() for c in ("level", "key", "n", "n_context", "symbols"))
+        level, key, n = (table.column(c).to_numpy() for c in ("level", "key", "n"))
         key = key.view(np.uint64)
+        exact = np.float32 if not len(n) or n.max() < 1 << 24 else np.float64       # whole numbers that the type holds
         self.levels, self.open = [], []
         for k in range(DEPTH + 1):
             own = np.flatnonzero(level == k)
             own = own[np.argsort(key[own], kind="stable")]
-            contexts, at = np.unique(key[own] & np.uint64((1 << 8 * k) - 1), return_index=True)
-            self.levels.append((contexts, total[own][at].astype(float), PULL * symbols[own][at], key[own], n[own].astype(float)))
+            contexts, at, symbols = np.unique(key[own] & np.uint64((1 << 8 * k) - 1), return_inverse=True, return_counts=True)
+            total = np.bincount(at, n[own], len(contexts))
+            self.levels.append((contexts, total, PULL * symbols, key[own], n[own].astype(exact)))
             more = np.zeros(0, np.uint64) if beyond is None else beyond.column("context").to_numpy()[beyond.column("level").to_numpy() == k].view(np.uint64)
             self.open.append(np.isin(contexts, more) if k else np.array([len(more) > 0]))
         root = np.zeros(256)
@@ -257,18 +409,18 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
     (a Column over doc_id) is false."""
     spark = df.sparkSession
     docs = id_and_text(df, id_col, text_col).withColumn("held_out", held_out)
-    gathered_counts = materialize(counts(docs.where(~F.col("held_out"))), "counts")
-    words = gathered_counts.where(F.col("kind") == WORD)
+    reduced = materialize(_reduced(_counted(docs.where(~F.col("held_out")), _buckets(spark))), "counts")
+    words = reduced.where(F.col("kind") == WORD)
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     least = max(1.0, total / HEAD)
     head = words.where(F.col("n") >= least).select("key", "n").toArrow()
     order = np.argsort(head.column("key").to_numpy())
-    tree = materialize(tree_table(gathered_counts), "tree")
+    tree = materialize(_tree(reduced), "tree")
     often = (F.col("n_context") >= head_times(tree)) | (F.col("level") == 0)
     tail, top = tree.where(~often), tree.where(often)
     deeper = tail.select((F.col("level") - 1).alias("level"), F.shiftrightunsigned(F.expr(CONTEXT), 8).alias("context")).distinct()
     beyond = top.select("level", F.expr(CONTEXT).alias("context")).distinct().join(deeper, ["level", "context"]).toArrow()
-    model = spark.sparkContext.broadcast((Tree(top.toArrow(), beyond), head.column("key").to_numpy()[order], head.column("n").to_numpy()[order]))
+    model = spark.sparkContext.broadcast((Tree(top.select(F.col("level").cast("byte").alias("level"), "key", "n").toArrow(), beyond), head.column("key").to_numpy()[order], head.column("n").to_numpy()[order]))
     schema = ("kind int, key long, row long, times long, info struct<doc_id: long, held_out: boolean, n_tokens: long, "
               "known: long, log_sum: double, score: double>")
     about = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("log_sum", pa.float64()), ("score", pa.float64())])
