@@ -102,3 +102,75 @@ def test_a_language_is_modelled_whatever_the_size_of_the_table(spark):
     assert models[0].log_p[:, 1] == pytest.approx(models[1].log_p[:, 1])
     rows = spark.createDataFrame([(1, "samekh ayin teth lamed " * 5, "xx", "h")], "id long, text string, declared string, host string")
     assert L.identify(rows, L.read_plain, models[1]).first().lang == "xx"
+
+
+@pytest.mark.parametrize("unit", ["<", "<html ", "<meta content-language ", "<!--", "<script>", "</script", "&#", "<html lang", "<meta content-language content=", "&#9", "&#x0", "lang = "])
+def test_a_page_is_read_in_linear_time(unit):
+    import time
+    page = unit * (1_000_000 // len(unit))
+    t0 = time.time()
+    L.page_text(page)
+    L.page_text("&#" + page + ";")
+    assert time.time() - t0 < 2
+
+
+def test_references_that_are_no_characters():
+    assert L.page_text("a&#" + "9" * 5000 + ";b&#" + "0" * 6000 + "65;&#x0000000041;&#65;&#1114112;&#xfffffffff;")[0] == "a\ufffdbAAA\ufffd\ufffd"
+
+
+def test_declared_languages():
+    declared = lambda html: L.page_text(html)[1]
+    assert declared("<HTML class=x LANG = 'de-AT'>") == "de" and declared("<html><meta http-equiv=content-language content=fr>") == "fr"
+    assert declared("<meta http-equiv='Content-Language' content='fr'><html lang=es>") == "es"      # the page's own tag goes first
+    assert declared("<html lang=english><body lang=en>") is None and declared("<html <meta lang=de>") is None
+    assert declared("<html><html lang=it><html lang=pt>") == "it" and declared("<meta content=de name=content-language>") is None
+    assert L.page_text("<p>a<b>b</b> 1 < 2 <!-- c --><script>x<y</script >d<style>")[0].split() == ["a", "b", "1", "<", "2", "d"]
+
+
+def brute_identify(pages, model):
+    """Every page by plain loops over the definition: verdicts, tables, host counts without the page's own verdict."""
+    import math
+    langs = model.languages
+    n, rows = len(langs), []
+    for page, html, url in pages:
+        text, declared = L.page_text(html or "")
+        raw = [c + 32 if 65 <= c < 91 else c if 97 <= c < 123 or c >= 128 else 32 for c in text.encode()]
+        grams = [raw[i] | raw[i + 1] << 8 | raw[i + 2] << 16 for i in range(len(raw) - 2) if raw[i:i + 3] != [32] * 3]
+        weight = 0.3 * min(1.0, 300 / max(len(grams), 1))
+        e = [weight * sum(model.log_p[(g * 0x9E3779B1 & 0xFFFFFFFF) >> 18, j] for g in grams) for j in range(n)]
+        host, domain, suffix, segment = L.split_address(url)
+        code = lambda x: n if not x else langs.index(x) if x in langs[:-1] else n - 1
+        rows.append((page, e, e.index(max(e)) if any(e) else n - 1, code(declared), code(segment), host, domain, suffix))
+
+    def table(at):
+        out = [[0.5] * n for _ in range(n + 1)]
+        for r in rows:
+            out[r[at]][r[2]] += 1
+        return [[math.log(x / sum(row[j] for row in out)) for j, x in enumerate(line)] for line in out]
+    declared, path, answers = table(3), table(4), {}
+    for page, e, own, d, s, *names in rows:
+        p = [0.99 / (n - 1)] * (n - 1) + [0.01]
+        for at, kappa in ((None, 1.0), (7, 50.0), (6, 20.0), (5, 10.0)):
+            seen = [0.0] * n
+            for r in rows:
+                seen[r[2]] += at is None or r[at] == names[at - 5]
+            seen[own] -= 1
+            p = [(x + kappa * y) / (sum(seen) + kappa) for x, y in zip(seen, p)]
+        log = [math.log(max(x, 1e-12)) + declared[d][j] + path[s][j] + e[j] for j, x in enumerate(p)]
+        out = [math.exp(x - max(log)) for x in log]
+        out = [x / sum(out) for x in out] if any(e) else [0.0] * (n - 1) + [1.0]
+        best = out.index(max(out))
+        answers[page] = (langs[best], out[best], best < n - 1 and out[best] >= 0.4)
+    return answers
+
+
+def test_query_equals_plain_loops(spark):
+    pages = [tuple(r) for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html", "url").collect()]
+    pages += [(10**6, None, None), (10**6 + 1, "<p>12 34", "//x.de/fr/"), (10**6 + 2, "<html lang=xx><p>der die das", "http://a.b.example.com/de/x")]
+    model = L.train(spark.read.parquet(f"{SF}/documents.parquet"))
+    want = brute_identify(pages, model)
+    got = L.identify(spark.createDataFrame(pages, "id long, html string, url string").repartition(3), L.read_pages, model).collect()
+    assert len(got) == len(want)
+    for r in got:
+        lang, sure, kept = want[r.id]
+        assert (r.lang, r.kept) == (lang, kept) and r.confidence == pytest.approx(sure, rel=1e-6)

@@ -54,16 +54,36 @@ _LETTER[97:123] = np.arange(97, 123)
 _LETTER[65:91] = np.arange(97, 123)
 _LETTER[0x80:] = np.arange(0x80, 256)
 _ADDRESS = re.compile(r"^(?:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)[^/?#]*([^?#]*)", re.I)
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[^>]*>", re.I | re.S)
-_DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b", re.I)
-_META = re.compile(r"<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?([a-z]{2,3})\b", re.I)
+# No tag reaches beyond the next "<": every pattern then reads a page once, whatever stands in it.
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[^<>]*>", re.I | re.S)
+_TAG = re.compile(r"<(html|meta)\b([^<>]*)", re.I)
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([a-z]{2,3})\b", re.I)
+_CONTENT = re.compile(r"content-language.*?content\s*=\s*[\"']?([a-z]{2,3})\b", re.I | re.S)
+# numeric references beyond the last character, and zeros before others: their digits are no number to be read
+_HUGE = re.compile(r"&#(?:0*[1-9][0-9]{7,}|x0*[1-9a-f][0-9a-f]{6,});?", re.I)
+_ZEROS = re.compile(r"(&#x?)0{4,}(?=[0-9a-f])", re.I)
 _SEGMENT = re.compile(r"/([a-z]{2})(?:[\-_][a-z]{2})?(?=/|$)", re.I)
 
 
 def page_text(html: str) -> tuple[str, str | None]:
-    """Visible text and declared language of a page."""
-    found = _DECLARED.search(html) or _META.search(html)
-    return markup.unescape(_HIDDEN.sub(" ", html)), found[1].lower() if found else None
+    """Visible text and declared language of a page: of the first ``html`` tag that names one, else of the first
+    ``meta`` tag that does.  Time grows with the page's length alone."""
+    found = None
+    for tag in _TAG.finditer(html):
+        is_html = tag[1].lower() == "html"
+        if is_html or found is None:
+            m = _LANG.search(tag[2]) if is_html else _declared_content(tag[2])
+            found = m[1].lower() if m else found
+            if m and is_html:
+                break
+    plain = _ZEROS.sub(r"\1", _HUGE.sub("\ufffd", _HIDDEN.sub(" ", html)))
+    return markup.unescape(plain), found
+
+
+def _declared_content(attributes: str) -> re.Match | None:
+    """The content attribute behind the first mention of the header."""
+    at = attributes.lower().find("content-language")
+    return _CONTENT.match(attributes, at) if at >= 0 else None
 
 
 def split_address(url: str | None) -> tuple[str, str, str, str | None]:
