@@ -168,3 +168,30 @@ def test_query_equals_brute_force_and_sql(spark):
     rows += [(-7, 0, "user", TEXTS[3]), (-7, 1, "assistant", TEXTS[3])]
     assert {r.conv_id: tuple(r)[1:6] for r in got} == want_digests(rows)
     assert compare(spark, duck(SF), "op10", QUERIES["op10_chat_format"], ORACLE["op10_chat_format"], SF)["ok"]
+
+
+class Merging(C.Template):
+    """A faulty template: a user's closing marker inside a text is written as it stands, and so is the end of a turn that says ``join``."""
+
+    def segments(self, role, text):
+        opening, body, close = super().segments(role, text)
+        return [opening, body, ("", False) if text == "join" else close]
+
+
+def test_figures_come_from_the_joined_text(spark):
+    rows = [(1, 0, "user", "join"), (1, 1, "assistant", "b"), (1, 2, "user", "c"), (2, 0, "user", "x"), (2, 1, "assistant", "y")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    right = {r.conv_id: r for r in C.digests(df).collect()}
+    merged = {r.conv_id: r for r in C.digests(df, Merging()).collect()}
+    assert right[1].n_turns == 3 and merged[1].n_turns == 2 and merged[1].turns_sha256 != right[1].turns_sha256
+    assert merged[2] == right[2]
+    with pytest.raises(Exception, match="does not end with a turn"):
+        C.digests(df.where("turn = 0"), Merging()).collect()
+
+
+def test_a_long_conversation_is_streamed(spark):
+    n = 30_000
+    df = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('t', id, ' </turn>') AS text")
+    r = C.digests(df).first()
+    assert r.n_turns == n and r.valid
+    assert r.turns_sha256 == hashlib.sha256("".join(f"{('user', 'assistant')[i % 2]}\nt{i} </turn>\n" for i in range(n)).encode()).hexdigest()

@@ -34,6 +34,10 @@ from tidewater.llm.common import col, short_batches
 ESCAPE = "\\"
 
 
+class OpenTurn(ValueError):
+    """Formatted text that ends inside a turn."""
+
+
 @dataclass(frozen=True)
 class Template:
     """Turn markers, loss flags and the role machine, as data."""
@@ -91,7 +95,7 @@ def _until(s: str, at: int, stop: str) -> tuple[str, int]:
             return "".join(out), m.end()
         out.append(m[1])
         at = m.end()
-    raise ValueError("a turn does not end")
+    raise OpenTurn("a turn does not end")
 
 
 def read_back(formatted: str, template: Template) -> list[tuple[str, str]]:
@@ -132,27 +136,41 @@ def segments(df: DataFrame, template: Template | None = None, conv_col: str = "c
 
 
 class _Digest:
-    """Running figures of one conversation, all taken from its formatted segments."""
+    """Running figures of one conversation, read back from its formatted text.
+
+    Segments are joined as they come, and the reader takes turns off the front: where one ends the next must begin, whatever
+    the segments say.  A turn that does not end yet waits for more text."""
 
     def __init__(self, conv):
         self.conv, self.turns, self.loss_chars, self.chars, self.state = conv, 0, 0, 0, ""
         self.all, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.unread = ""
 
     def add(self, t: Template, role: str, text: str) -> None:
-        parts = t.segments(role, text)
-        formatted = "".join(s for s, _ in parts)
-        role, text, _ = t.read_turn(formatted)
-        self.turns += 1
-        self.chars += len(formatted)
-        self.state = t.step(self.state, role)
-        self.all.update(f"{role}\n{text}\n".encode())
-        for s, flag in parts:
+        for s, flag in t.segments(role, text):
+            self.chars += len(s)
+            self.unread += s
             if flag:
                 plain = _until(s + t.close, 0, t.close)[0]
                 self.loss_chars += len(plain)
                 self.loss.update(plain.encode())
+        self._read(t)
+
+    def _read(self, t: Template) -> None:
+        at = 0
+        while at < len(self.unread):
+            try:
+                role, text, at = t.read_turn(self.unread, at)
+            except OpenTurn:
+                break
+            self.turns += 1
+            self.state = t.step(self.state, role)
+            self.all.update(f"{role}\n{text}\n".encode())
+        self.unread = self.unread[at:]
 
     def row(self, t: Template):
+        if self.unread:
+            raise OpenTurn(f"the formatted conversation {self.conv} does not end with a turn")
         return self.conv, self.turns, self.all.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.state in t.ends
 
 
@@ -162,7 +180,7 @@ KINDS = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(
 
 def digests(df: DataFrame, template: Template | None = None, conv_col: str = "conv_id", turn_col: str = "turn",
             role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """One row for each conversation, read back turn by turn from its formatted segments."""
+    """One row for each conversation, read back from its formatted text as it is joined."""
     t = template or Template()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
