@@ -84,3 +84,23 @@ def test_keep_passes_all_columns(spark, odd):
     assert kept.schema == odd.schema
     want = [r.doc_id for r in odd.collect() if not (lambda b: b[0] < 10 or 100 * b[4] > 20 * b[0])(brute(r.text))]
     assert sorted(map(repr, (r.doc_id for r in kept.collect()))) == sorted(map(repr, want))
+
+
+def test_threshold_weighs_good_against_bad():
+    good, bad = np.zeros(100), np.zeros(100)
+    good[[10, 40, 60]], bad[[39, 50, 70]] = (990, 8, 2), (1, 30, 69)
+    # at 0.40 1 % of the good rows would go, at 0.50 two in a thousand: worth it for the last 69 % of the bad ones
+    assert Q.threshold(good, bad, 0.005) == 0.50
+    assert Q.threshold(good, bad, 0.05) == 0.50
+    assert Q.threshold(good, bad, 0.0) == 0.70
+    assert Q.threshold(good, np.zeros(100), 0.005) == 0.41
+    assert Q.threshold(np.zeros(100), bad, 0.005) == 0.39
+
+
+def test_few_bad_rows_stay_and_few_good_ones_go(spark):
+    sf = SF.replace("sf0.001", "sf0.1")
+    docs, marks = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = Q.judge(docs, marks, F.col("quality") == 1).join(marks, "doc_id").where("NOT base_failed")
+    by = {r.quality: r.k for r in got.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
+    print("good kept", by[1], "bad kept", by[0])
+    assert by[1] >= 0.995 and by[0] <= 0.05

@@ -7,7 +7,8 @@ inside the box that all labelled rows span, and the mean path length gives the
 anomaly score.  (Splits are drawn in a node's box, not only between its own
 points, so a document in a region without good rows ends in an empty leaf after
 a few splits.)  The threshold is calibrated on the score histograms of all
-labelled rows: the lowest one that loses at most ``max_loss`` of the good rows.
+labelled rows, good and bad: of those that lose at most ``max_loss`` of the good rows, the one
+with the least cost, which is the share of bad rows kept and ``LOSS_WEIGHT`` times the share of good ones lost.
 
 Defined results: null or empty text has no words and fails the base rules;
 labels with a null id or null quality are left out; a row labelled more than
@@ -31,7 +32,8 @@ from tidewater.session import materialize
 
 TRAIN_ROWS = 20_000      # bound of the labelled sample that the trees are grown on
 TREES, ROWS_PER_TREE, DEPTH = 200, 256, 12
-MAX_LOSS = 0.001         # labelled good rows that the threshold may lose
+MAX_LOSS = 0.005         # labelled good rows that the threshold may lose
+LOSS_WEIGHT = 10.0       # a good row lost is as bad as so many bad ones kept (as shares)
 BINS = 2000
 MIN_WORDS, MAX_REPEAT_PCT = 10, 20
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -238,12 +240,22 @@ def fit(stats: DataFrame, labels: DataFrame, good, id_col: str = "doc_id", train
     counts = np.zeros((2, BINS))
     for r in hist:
         counts[int(r["good"]), r["bin"]] = r["count"]
-    kept_good = np.cumsum(counts[1]) / max(counts[1].sum(), 1)
-    # the threshold is the upper end of a bin: the lowest that keeps enough good rows
-    forest.threshold = (int(np.argmax(kept_good >= 1 - max_loss)) + 1) / BINS
+    forest.threshold = threshold(counts[1], counts[0], max_loss)
     return forest
 
 
+def threshold(good: np.ndarray, bad: np.ndarray, max_loss: float = MAX_LOSS) -> float:
+    """Score from which a document is rejected, the upper end of a bin of the two histograms.
+
+    Without bad rows it is the lowest that loses at most ``max_loss`` of the good ones."""
+    lost = (good.sum() - np.cumsum(good)) / max(good.sum(), 1)
+    kept = np.cumsum(bad) / max(bad.sum(), 1)
+    allowed = lost <= max_loss
+    cost = np.where(allowed, kept + LOSS_WEIGHT * lost, np.inf) if bad.sum() else np.where(allowed, -lost, np.inf)
+    best = np.flatnonzero(cost <= cost.min() + 1e-12)       # the highest of equals rejects least; without bad rows the lowest
+    return (int(best[-1] if bad.sum() else best[0]) + 1) / len(good)
+
+
 def _matrix(features: pa.Array) -> np.ndarray:
     return features.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
 
