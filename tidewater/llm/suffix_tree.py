@@ -50,9 +50,9 @@ LEAST_TIMES = 5          # but so many times
 LEAST_GAIN, COST = 5.0, 0.3     # n * KL, in nats
 PULL = 5.0               # weight of the suffix's distribution in the smoothing, for each symbol seen
 HEAD = 1 << 21           # words that are broadcast, at most
-TREE_ROWS = 6_000_000    # rows (context, symbol) of the tree that are broadcast, at most
+TREE_ROWS = 4_000_000    # rows (context, symbol) of the tree that are broadcast, at most
 AT_ONCE = 1 << 21        # bytes of text
-KEYS_AT_ONCE = 1 << 22   # keys that a task holds before it merges them, and passes them on if half of that many differ
+KEYS_AT_ONCE = 1 << 21   # keys that a task holds before it merges them, and passes them on if half of that many differ
 BLOCK_KEYS = 1 << 16     # keys in one row of a bucket
 LOCAL = 3                # contexts that agree in so many newest symbols are judged in one bucket
 BLANK, END = 0x20, 0x0A  # neither occurs in a word
