@@ -18,8 +18,8 @@ of at most ``DEPTH`` preceding symbols.
 
 The tree grows with the corpus.  Its most frequent contexts, with ``TREE_ROWS``
 rows at most, are broadcast; a suffix is at least as frequent as its context, so
-they form a tree themselves.  Where a text leaves it at a context that goes on
-beyond it, the gram meets the rest of its contexts in a join.  Words (for the
+they form a tree themselves.  A filter of ``FILTER_BITS`` bits says which contexts may be among the
+others: where a text leaves the tree at such a context, the gram meets the rest of its contexts in a join.  Words (for the
 unigram base score) are treated alike: those that make up at least 1 / ``HEAD``
 of all tokens (so ``HEAD`` at most) are broadcast, and the tokens of all others
 meet their counts in a join.
@@ -32,7 +32,7 @@ count is 0; an empty table gives an empty table; other columns are not carried.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +51,7 @@ LEAST_GAIN, COST = 5.0, 0.3     # n * KL, in nats
 PULL = 5.0               # weight of the suffix's distribution in the smoothing, for each symbol seen
 HEAD = 1 << 21           # words that are broadcast, at most
 TREE_ROWS = 4_000_000    # rows (context, symbol) of the tree that are broadcast, at most
+FILTER_BITS = 1 << 27    # of the filter of the other contexts (16 MB)
 AT_ONCE = 1 << 21        # bytes of text
 KEYS_AT_ONCE = 1 << 21   # keys that a task holds before it merges them, and passes them on if half of that many differ
 BLOCK_KEYS = 1 << 16     # keys in one row of a bucket
@@ -325,22 +326,49 @@ def head_times(tree: DataFrame) -> int:
     return 1 << least
 
 
-class Tree:
-    """Contexts by length, as sorted arrays.  ``beyond``: level and context of those that go on in contexts that are not here."""
+def _bits(level: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """Place of each context in the filter."""
+    return mix(context + level.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(FILTER_BITS - 1)
+
+
+def tail_filter(tail: DataFrame) -> np.ndarray | None:
+    """A bit for each context of ``tail`` (its hash's; others may share it), in words of 64; None without contexts.
+
+    Tasks set the bits and Spark joins them, so what reaches the driver has at most ``FILTER_BITS`` / 64 rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                bit = np.unique(_bits(b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64)))
+                word, first = np.unique(bit >> np.uint64(6), return_index=True)
+                ones = np.bitwise_or.reduceat(np.uint64(1) << (bit & np.uint64(63)), first)
+                yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(ones.view(np.int64))], ["word", "bits"])
+    contexts = tail.select("level", F.expr(CONTEXT).alias("context"))
+    found = contexts.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    if not len(found):
+        return None
+    out = np.zeros(FILTER_BITS >> 6, np.uint64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
 
-    def __init__(self, table: pa.Table, beyond: pa.Table | None = None):
-        level, key, n = (table.column(c).to_numpy() for c in ("level", "key", "n"))
-        key = key.view(np.uint64)
-        exact = np.float32 if not len(n) or n.max() < 1 << 24 else np.float64       # whole numbers that the type holds
-        self.levels, self.open = [], []
+
+class Tree:
+    """Contexts by length, as sorted arrays.  ``table`` gives the rows (key, n) of a level; ``beyond`` is the
+    filter of contexts that are not here."""
+
+    def __init__(self, table: pa.Table | Callable[[int], pa.Table], beyond: np.ndarray | None = None):
+        if isinstance(table, pa.Table):
+            whole = table
+            table = lambda k: whole.filter(pa.array(whole.column("level").to_numpy() == k))
+        self.levels, self.beyond = [], beyond
         for k in range(DEPTH + 1):
-            own = np.flatnonzero(level == k)
-            own = own[np.argsort(key[own], kind="stable")]
-            contexts, at, symbols = np.unique(key[own] & np.uint64((1 << 8 * k) - 1), return_inverse=True, return_counts=True)
-            total = np.bincount(at, n[own], len(contexts))
-            self.levels.append((contexts, total, PULL * symbols, key[own], n[own].astype(exact)))
-            more = np.zeros(0, np.uint64) if beyond is None else beyond.column("context").to_numpy()[beyond.column("level").to_numpy() == k].view(np.uint64)
-            self.open.append(np.isin(contexts, more) if k else np.array([len(more) > 0]))
+            rows = table(k)
+            key, n = rows.column("key").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+            own = np.argsort(key, kind="stable")
+            key, n = key[own], n[own]
+            exact = np.float32 if not len(n) or n.max() < 1 << 24 else np.float64       # whole numbers that the type holds
+            contexts, at, symbols = np.unique(key & np.uint64((1 << 8 * k) - 1), return_inverse=True, return_counts=True)
+            total = np.bincount(at, n, len(contexts))
+            self.levels.append((contexts, total, PULL * symbols, key, n.astype(exact)))
         root = np.zeros(256)
         root[self.levels[0][3].astype(np.int64)] = self.levels[0][4]
         self.root = (root + 1) / (root.sum() + 256)
@@ -352,19 +380,18 @@ class Tree:
 
     def walk(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For sorted distinct keys with the symbol first: its probability after the longest suffix of the
-        context that is here, that suffix's length, and whether it goes on beyond this tree.
+        context that is here, that suffix's length, and whether it may go on beyond this tree.
 
         Keys of a common symbol and suffix stand together, so each level looks up its own distinct ones only.
         """
         run = keys >> np.uint64(8 * DEPTH)
         run = run[np.flatnonzero(np.append(True, run[1:] != run[:-1]))] if len(keys) else run
-        p, kept = self.root[run.astype(np.int64)], np.ones(len(run), bool)
-        depth, more = np.zeros(len(run), np.int32), np.full(len(run), self.open[0][0])
+        p, kept, depth = self.root[run.astype(np.int64)], np.ones(len(run), bool), np.zeros(len(run), np.int32)
         for k, (contexts, total, pull, rows, n) in enumerate(self.levels[1:], 1):
             own = keys >> np.uint64(8 * (DEPTH - k))
             own = own[np.flatnonzero(np.append(True, own[1:] != own[:-1]))] if len(keys) else own
             above = np.searchsorted(run, own >> np.uint64(8))
-            p, kept, depth, more, run = p[above], kept[above], depth[above], more[above], own
+            p, kept, depth, run = p[above], kept[above], depth[above], own
             if not len(contexts):
                 kept[:] = False
                 continue
@@ -377,7 +404,14 @@ class Tree:
             row = np.minimum(np.searchsorted(rows, own[live]), len(rows) - 1)
             seen = np.where(rows[row] == own[live], n[row], 0.0)
             p[live] = (seen + pull[at] * p[live]) / (total[at] + pull[at])
-            depth[live], more[live] = k, self.open[k][at]
+            depth[live] = k
+        more = np.zeros(len(keys), bool)
+        if self.beyond is not None and len(keys):
+            out = np.flatnonzero(depth < DEPTH)
+            next_level = depth[out].astype(np.uint64) + np.uint64(1)
+            context = keys[out] >> np.uint64(8) * (np.uint64(DEPTH) - next_level) & (np.uint64(1) << np.uint64(8) * next_level) - np.uint64(1)
+            bit = _bits(next_level, context)
+            more[out] = self.beyond[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1) == 1
         return p, depth, more
 
 
@@ -418,9 +452,10 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
     tree = materialize(_tree(reduced), "tree")
     often = (F.col("n_context") >= head_times(tree)) | (F.col("level") == 0)
     tail, top = tree.where(~often), tree.where(often)
-    deeper = tail.select((F.col("level") - 1).alias("level"), F.shiftrightunsigned(F.expr(CONTEXT), 8).alias("context")).distinct()
-    beyond = top.select("level", F.expr(CONTEXT).alias("context")).distinct().join(deeper, ["level", "context"]).toArrow()
-    model = spark.sparkContext.broadcast((Tree(top.select(F.col("level").cast("byte").alias("level"), "key", "n").toArrow(), beyond), head.column("key").to_numpy()[order], head.column("n").to_numpy()[order]))
+    beyond = tail_filter(tail)
+    # level by level, so that the driver holds little beside the tree itself
+    whole = Tree(lambda k: top.where(F.col("level") == k).select("key", "n").toArrow(), beyond)
+    model = spark.sparkContext.broadcast((whole, head.column("key").to_numpy()[order], head.column("n").to_numpy()[order]))
     schema = ("kind int, key long, row long, times long, info struct<doc_id: long, held_out: boolean, n_tokens: long, "
               "known: long, log_sum: double, score: double>")
     about = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("log_sum", pa.float64()), ("score", pa.float64())])
@@ -466,7 +501,7 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
     short_batches(spark)
     parts = docs.select("doc_id", "text", "held_out").mapInArrow(run, schema)
     rare = words.where(F.col("n") < least).select("kind", "key", F.log10(F.col("n") + 1.0).alias("value"))
-    if len(beyond):
+    if beyond is not None:
         parts = materialize(parts, "parts")
         rare = rare.union(rare_grams(parts, tail, model).select(F.lit(GRAM).alias("kind"), "key", "value"))
     met = parts.join(rare, ["kind", "key"], "left")
