@@ -50,7 +50,7 @@ LEAST_TIMES = 5          # but so many times
 LEAST_GAIN, COST = 5.0, 0.3     # n * KL, in nats
 PULL = 5.0               # weight of the suffix's distribution in the smoothing, for each symbol seen
 HEAD = 1 << 21           # words that are broadcast, at most
-TREE_ROWS = 4_000_000    # rows (context, symbol) of the tree that are broadcast, at most
+TREE_ROWS = 8_000_000    # rows (context, symbol) of the tree that are broadcast, at most (about 130 MB)
 FILTER_BITS = 1 << 27    # of the filter of the other contexts (16 MB)
 AT_ONCE = 1 << 21        # bytes of text
 KEYS_AT_ONCE = 1 << 21   # keys that a task holds before it merges them, and passes them on if half of that many differ
@@ -317,13 +317,16 @@ def _tree(reduced: DataFrame) -> DataFrame:
 
 
 def head_times(tree: DataFrame) -> int:
-    """Least number of times of the contexts that are broadcast: the least power of two by which they have ``TREE_ROWS`` rows at most."""
-    sizes = {r["size"]: r["count"] for r in tree.where("level > 0").groupBy(F.floor(F.log2("n_context")).cast("int").alias("size")).count().collect()}
-    least, held = 63, 0
-    while least > 0 and held + sizes.get(least - 1, 0) <= TREE_ROWS:
-        least -= 1
-        held += sizes.get(least, 0)
-    return 1 << least
+    """Least number of times of the contexts that are broadcast, so that they have ``TREE_ROWS`` rows at most: a number
+    below 64, or a power of two."""
+    step = F.when(F.col("n_context") < 64, F.col("n_context")).otherwise(F.expr("shiftleft(1L, cast(floor(log2(n_context)) as int))"))
+    held, least = 0, 1 << 62
+    for r in sorted(tree.where("level > 0").groupBy(step.alias("times")).count().collect(), reverse=True):     # at most 128 rows
+        held += r["count"]
+        if held > TREE_ROWS:
+            break
+        least = r["times"]
+    return least
 
 
 def _bits(level: np.ndarray, context: np.ndarray) -> np.ndarray:
