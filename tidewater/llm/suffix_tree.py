@@ -32,7 +32,7 @@ count is 0; an empty table gives an empty table; other columns are not carried.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +54,8 @@ TREE_ROWS = 8_000_000    # rows (context, symbol) of the tree that are broadcast
 FILTER_BITS = 1 << 27    # of the filter of the other contexts (16 MB)
 AT_ONCE = 1 << 21        # bytes of text
 KEYS_AT_ONCE = 1 << 21   # keys that a task holds before it merges them, and passes them on if half of that many differ
+PIECE_ROWS = 1 << 19     # rows of the tree that reach the driver at once
+EXACT = 1 << 24          # below it, whole numbers fit a float of four bytes
 BLOCK_KEYS = 1 << 16     # keys in one row of a bucket
 LOCAL = 3                # contexts that agree in so many newest symbols are judged in one bucket
 BLANK, END = 0x20, 0x0A  # neither occurs in a word
@@ -354,24 +356,50 @@ def tail_filter(tail: DataFrame) -> np.ndarray | None:
     return out
 
 
+def _levels(table: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
+    """Contexts, their counts and numbers of symbols, row keys and counts of each level of a tree's rows."""
+    level, key, n = (table.column(c).to_numpy() for c in ("level", "key", "n"))
+    for k in range(DEPTH + 1):
+        own = np.flatnonzero(level == k)
+        rows = key[own].view(np.uint64)
+        own, rows = own[np.argsort(rows)], np.sort(rows)
+        contexts, at, symbols = np.unique(rows & np.uint64((1 << 8 * k) - 1), return_inverse=True, return_counts=True)
+        yield contexts, np.bincount(at, n[own], len(contexts)), symbols, rows, n[own]
+
+
+def _collected(tree: DataFrame) -> Iterator[tuple[np.ndarray, ...]]:
+    """The same from a frame: a level's contexts, and its rows in pieces of ``PIECE_ROWS`` or one symbol, so that
+    the driver holds little beside what it keeps."""
+    sizes = {(r["level"], r["symbol"]): r["count"] for r in tree.groupBy("level", F.expr("cast(shiftrightunsigned(key, 8 * level) AS int)").alias("symbol")).count().collect()}
+    for k in range(DEPTH + 1):
+        own = tree.where(F.col("level") == k)
+        about = own.select(F.expr(CONTEXT).alias("context"), "n_context", "symbols").distinct().toArrow()
+        contexts = about.column("context").to_numpy().view(np.uint64)
+        order = np.argsort(contexts)
+        keys, n = [], []
+        pieces, held = [0], 0
+        for c in range(256):
+            if held and held + sizes.get((k, c), 0) > PIECE_ROWS:
+                pieces.append(c)
+                held = 0
+            held += sizes.get((k, c), 0)
+        for low, high in zip(pieces, [*pieces[1:], 256]):       # the symbol is a key's highest byte, so pieces follow each other
+            rows = own.where(F.shiftrightunsigned("key", 8 * k).between(low, high - 1)).select("key", "n").toArrow()
+            key = rows.column("key").to_numpy().view(np.uint64)
+            at = np.argsort(key)
+            times = rows.column("n").to_numpy()[at]
+            keys.append(key[at])
+            n.append(times.astype(np.float32) if not len(times) or times.max() < EXACT else times.astype(np.float64))
+        yield contexts[order], about.column("n_context").to_numpy()[order], about.column("symbols").to_numpy()[order], np.concatenate(keys), np.concatenate(n)
+
+
 class Tree:
-    """Contexts by length, as sorted arrays.  ``table`` gives the rows (key, n) of a level; ``beyond`` is the
-    filter of contexts that are not here."""
+    """Contexts by length, as sorted arrays.  ``beyond`` is the filter of contexts that are not here."""
 
-    def __init__(self, table: pa.Table | Callable[[int], pa.Table], beyond: np.ndarray | None = None):
-        if isinstance(table, pa.Table):
-            whole = table
-            table = lambda k: whole.filter(pa.array(whole.column("level").to_numpy() == k))
+    def __init__(self, rows: pa.Table | DataFrame, beyond: np.ndarray | None = None):
         self.levels, self.beyond = [], beyond
-        for k in range(DEPTH + 1):
-            rows = table(k)
-            key, n = rows.column("key").to_numpy().view(np.uint64), rows.column("n").to_numpy()
-            own = np.argsort(key, kind="stable")
-            key, n = key[own], n[own]
-            exact = np.float32 if not len(n) or n.max() < 1 << 24 else np.float64       # whole numbers that the type holds
-            contexts, at, symbols = np.unique(key & np.uint64((1 << 8 * k) - 1), return_inverse=True, return_counts=True)
-            total = np.bincount(at, n, len(contexts))
-            self.levels.append((contexts, total, PULL * symbols, key, n.astype(exact)))
+        for contexts, total, symbols, key, n in _levels(rows) if isinstance(rows, pa.Table) else _collected(rows):
+            self.levels.append((contexts, total.astype(np.float64), PULL * symbols, key, n.astype(np.float32 if not len(n) or n.max() < EXACT else np.float64)))
         root = np.zeros(256)
         root[self.levels[0][3].astype(np.int64)] = self.levels[0][4]
         self.root = (root + 1) / (root.sum() + 256)
@@ -456,9 +484,7 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
     often = (F.col("n_context") >= head_times(tree)) | (F.col("level") == 0)
     tail, top = tree.where(~often), tree.where(often)
     beyond = tail_filter(tail)
-    # level by level, so that the driver holds little beside the tree itself
-    whole = Tree(lambda k: top.where(F.col("level") == k).select("key", "n").toArrow(), beyond)
-    model = spark.sparkContext.broadcast((whole, head.column("key").to_numpy()[order], head.column("n").to_numpy()[order]))
+    model = spark.sparkContext.broadcast((Tree(top, beyond), head.column("key").to_numpy()[order], head.column("n").to_numpy()[order]))
     schema = ("kind int, key long, row long, times long, info struct<doc_id: long, held_out: boolean, n_tokens: long, "
               "known: long, log_sum: double, score: double>")
     about = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("log_sum", pa.float64()), ("score", pa.float64())])
