@@ -52,9 +52,9 @@ PULL = 5.0               # weight of the suffix's distribution in the smoothing,
 HEAD = 1 << 21           # words that are broadcast, at most
 TREE_ROWS = 8_000_000    # rows (context, symbol) of the tree that are broadcast, at most (about 130 MB)
 FILTER_BITS = 1 << 27    # of the filter of the other contexts (16 MB)
-AT_ONCE = 1 << 21        # bytes of text
+AT_ONCE = 1 << 20        # bytes of text
 KEYS_AT_ONCE = 1 << 21   # keys that a task holds before it merges them, and passes them on if half of that many differ
-PIECE_ROWS = 1 << 19     # rows of the tree that reach the driver at once
+PIECE_ROWS = 1 << 20     # rows of the tree that reach the driver at once
 EXACT = 1 << 24          # below it, whole numbers fit a float of four bytes
 BLOCK_KEYS = 1 << 16     # keys in one row of a bucket
 LOCAL = 3                # contexts that agree in so many newest symbols are judged in one bucket
@@ -368,28 +368,35 @@ def _levels(table: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def _collected(tree: DataFrame) -> Iterator[tuple[np.ndarray, ...]]:
-    """The same from a frame: a level's contexts, and its rows in pieces of ``PIECE_ROWS`` or one symbol, so that
-    the driver holds little beside what it keeps."""
-    sizes = {(r["level"], r["symbol"]): r["count"] for r in tree.groupBy("level", F.expr("cast(shiftrightunsigned(key, 8 * level) AS int)").alias("symbol")).count().collect()}
-    for k in range(DEPTH + 1):
+    """The same from a frame.  Small levels come together; of a large one first the contexts, then the rows in pieces of
+    ``PIECE_ROWS`` or one symbol, so that the driver holds little beside what it keeps."""
+    symbol = F.expr("cast(shiftrightunsigned(key, 8 * level) AS int)")
+    sizes: dict[int, dict[int, int]] = {k: {} for k in range(DEPTH + 1)}
+    for r in tree.groupBy("level", symbol.alias("symbol")).count().collect():      # a row for each level and byte
+        sizes[r["level"]][r["symbol"]] = r["count"]
+    small = [k for k in sizes if sum(sizes[k].values()) <= PIECE_ROWS // 4]
+    together = list(_levels(tree.where(F.col("level").isin(small)).select("level", "key", "n").toArrow()))
+    for k in sizes:
+        if k in small:
+            yield together[k]
+            continue
         own = tree.where(F.col("level") == k)
         about = own.select(F.expr(CONTEXT).alias("context"), "n_context", "symbols").distinct().toArrow()
         contexts = about.column("context").to_numpy().view(np.uint64)
         order = np.argsort(contexts)
-        keys, n = [], []
         pieces, held = [0], 0
         for c in range(256):
-            if held and held + sizes.get((k, c), 0) > PIECE_ROWS:
+            if held and held + sizes[k].get(c, 0) > PIECE_ROWS:
                 pieces.append(c)
                 held = 0
-            held += sizes.get((k, c), 0)
+            held += sizes[k].get(c, 0)
+        keys, n = [], []
         for low, high in zip(pieces, [*pieces[1:], 256]):       # the symbol is a key's highest byte, so pieces follow each other
-            rows = own.where(F.shiftrightunsigned("key", 8 * k).between(low, high - 1)).select("key", "n").toArrow()
-            key = rows.column("key").to_numpy().view(np.uint64)
+            rows = own.where(symbol.between(low, high - 1)).select("key", "n").toArrow()
+            key, times = rows.column("key").to_numpy().view(np.uint64), rows.column("n").to_numpy()
             at = np.argsort(key)
-            times = rows.column("n").to_numpy()[at]
             keys.append(key[at])
-            n.append(times.astype(np.float32) if not len(times) or times.max() < EXACT else times.astype(np.float64))
+            n.append(times[at].astype(np.float32) if times.max() < EXACT else times[at].astype(np.float64))
         yield contexts[order], about.column("n_context").to_numpy()[order], about.column("symbols").to_numpy()[order], np.concatenate(keys), np.concatenate(n)
 
 
