@@ -405,8 +405,9 @@ class Tree:
 
     def __init__(self, rows: pa.Table | DataFrame, beyond: np.ndarray | None = None):
         self.levels, self.beyond = [], beyond
-        for contexts, total, symbols, key, n in _levels(rows) if isinstance(rows, pa.Table) else _collected(rows):
-            self.levels.append((contexts, total.astype(np.float64), PULL * symbols, key, n.astype(np.float32 if not len(n) or n.max() < EXACT else np.float64)))
+        for k, (contexts, total, symbols, key, n) in enumerate(_levels(rows) if isinstance(rows, pa.Table) else _collected(rows)):
+            of = np.searchsorted(contexts, key & np.uint64((1 << 8 * k) - 1)).astype(np.int32)      # each row's context
+            self.levels.append((contexts, total.astype(np.float64), PULL * symbols, key, n.astype(np.float32 if not len(n) or n.max() < EXACT else np.float64), of))
         root = np.zeros(256)
         root[self.levels[0][3].astype(np.int64)] = self.levels[0][4]
         self.root = (root + 1) / (root.sum() + 256)
@@ -422,29 +423,41 @@ class Tree:
 
         Keys of a common symbol and suffix stand together, so each level looks up its own distinct ones only.
         """
-        run = keys >> np.uint64(8 * DEPTH)
-        run = run[np.flatnonzero(np.append(True, run[1:] != run[:-1]))] if len(keys) else run
-        p, kept, depth = self.root[run.astype(np.int64)], np.ones(len(run), bool), np.zeros(len(run), np.int32)
-        for k, (contexts, total, pull, rows, n) in enumerate(self.levels[1:], 1):
-            own = keys >> np.uint64(8 * (DEPTH - k))
-            own = own[np.flatnonzero(np.append(True, own[1:] != own[:-1]))] if len(keys) else own
-            above = np.searchsorted(run, own >> np.uint64(8))
-            p, kept, depth, run = p[above], kept[above], depth[above], own
+        if not len(keys):
+            return np.zeros(0), np.zeros(0, np.int32), np.zeros(0, bool)
+        p, kept, depth = np.ones(1), np.ones(1, bool), np.zeros(1, np.int32)
+        group = np.zeros(len(keys), np.int32)           # each key's place among the distinct ones of a level
+        for k, (contexts, total, pull, rows, n, of) in enumerate(self.levels):
+            part = keys >> np.uint64(8 * (DEPTH - k))
+            new = np.append(True, part[1:] != part[:-1])
+            first = np.flatnonzero(new)
+            own, above = part[first], group[first]
+            group = np.cumsum(new, dtype=np.int32) - np.int32(1)
+            p, kept, depth = p[above], kept[above], depth[above]
+            if k == 0:
+                p = self.root[own.astype(np.int64)]
+                continue
             if not len(contexts):
                 kept[:] = False
                 continue
             live = np.flatnonzero(kept)
-            context = own[live] & np.uint64((1 << 8 * k) - 1)
-            at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
-            hit = contexts[at] == context
-            kept[live[~hit]] = False
-            live, at = live[hit], at[hit]
-            row = np.minimum(np.searchsorted(rows, own[live]), len(rows) - 1)
-            seen = np.where(rows[row] == own[live], n[row], 0.0)
+            own = own[live]
+            row = np.minimum(np.searchsorted(rows, own), len(rows) - 1)     # both are sorted
+            met = rows[row] == own
+            at, seen = of[row], np.where(met, n[row], 0.0)
+            rest = np.flatnonzero(~met)                 # a context may be here without the symbol
+            context = own[rest] & np.uint64((1 << 8 * k) - 1)
+            place = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
+            gone = contexts[place] != context
+            at[rest] = place
+            kept[live[rest[gone]]] = False
+            here = np.ones(len(live), bool)
+            here[rest[gone]] = False
+            live, at, seen = live[here], at[here], seen[here]
             p[live] = (seen + pull[at] * p[live]) / (total[at] + pull[at])
             depth[live] = k
         more = np.zeros(len(keys), bool)
-        if self.beyond is not None and len(keys):
+        if self.beyond is not None:
             out = np.flatnonzero(depth < DEPTH)
             next_level = depth[out].astype(np.uint64) + np.uint64(1)
             context = keys[out] >> np.uint64(8) * (np.uint64(DEPTH) - next_level) & (np.uint64(1) << np.uint64(8) * next_level) - np.uint64(1)
