@@ -53,7 +53,7 @@ HEAD = 1 << 21           # words that are broadcast, at most
 TREE_ROWS = 8_000_000    # rows (context, symbol) of the tree that are broadcast, at most (about 130 MB)
 FILTER_BITS = 1 << 27    # of the filter of the other contexts (16 MB)
 AT_ONCE = 1 << 20        # bytes of text
-KEYS_AT_ONCE = 1 << 21   # keys that a task holds before it merges them, and passes them on if half of that many differ
+KEYS_AT_ONCE = 1 << 20   # keys that a task holds before it merges them, and passes them on if half of that many differ
 PIECE_ROWS = 1 << 20     # rows of the tree that reach the driver at once
 EXACT = 1 << 24          # below it, whole numbers fit a float of four bytes
 BLOCK_KEYS = 1 << 16     # keys in one row of a bucket
@@ -115,7 +115,9 @@ class _Counter:
         self.parts, self.size = [], 0
 
     def add(self, keys: np.ndarray, n: np.ndarray | None = None) -> None:
-        self.parts.append(np.unique(keys, return_counts=True) if n is None else (keys, n))
+        if n is None:
+            keys, n = np.unique(keys, return_counts=True)
+        self.parts.append((keys, n.astype(np.uint32) if not len(n) or n.max() < 1 << 24 else n))      # narrow until they are summed
         self.size += len(self.parts[-1][0])
         if len(self.parts) > 8 and self.size > 4 * len(self.parts[0][0]):      # what came since is worth a merge
             self.merge()
@@ -128,9 +130,9 @@ class _Counter:
             order = np.argsort(keys, kind="stable")
             keys, n = keys[order], n[order]
             first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-            self.parts = [(keys[first], np.add.reduceat(n, first))]
+            self.parts = [(keys[first], np.add.reduceat(n, first, dtype=np.int64))]
         self.size = sum(len(k) for k, _ in self.parts)
-        return self.parts[0] if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        return (self.parts[0][0], self.parts[0][1].astype(np.int64)) if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
         out = self.merge()
