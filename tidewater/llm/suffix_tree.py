@@ -406,14 +406,23 @@ class Tree:
     """Contexts by length, as sorted arrays.  ``beyond`` is the filter of contexts that are not here."""
 
     def __init__(self, rows: pa.Table | DataFrame, beyond: np.ndarray | None = None):
-        self.levels, self.beyond = [], beyond
-        for k, (contexts, total, symbols, key, n) in enumerate(_levels(rows) if isinstance(rows, pa.Table) else _collected(rows)):
-            of = np.searchsorted(contexts, key & np.uint64((1 << 8 * k) - 1)).astype(np.int32)      # each row's context
-            self.levels.append((contexts, total.astype(np.float64), PULL * symbols, key, n.astype(np.float32 if not len(n) or n.max() < EXACT else np.float64), of))
+        self.levels, self.beyond, self.of = [], beyond, []
+        for contexts, total, symbols, key, n in _levels(rows) if isinstance(rows, pa.Table) else _collected(rows):
+            self.levels.append((contexts, total.astype(np.float64), PULL * symbols, key, n.astype(np.float32 if not len(n) or n.max() < EXACT else np.float64)))
         root = np.zeros(256)
         root[self.levels[0][3].astype(np.int64)] = self.levels[0][4]
         self.root = (root + 1) / (root.sum() + 256)
 
+    def places(self) -> list[np.ndarray]:
+        """Each row's context, by level; found where the tree is used, as it need not travel."""
+        if not self.of:
+            for k, (contexts, _, _, rows, _) in enumerate(self.levels):
+                of = np.empty(len(rows), np.int32)
+                for i in range(0, len(rows), PIECE_ROWS):
+                    of[i:i + PIECE_ROWS] = np.searchsorted(contexts, rows[i:i + PIECE_ROWS] & np.uint64((1 << 8 * k) - 1))
+                self.of.append(of)
+        return self.of
+
     def probabilities(self, keys: np.ndarray) -> np.ndarray:
         """Probability of the symbol of each key (of ``grams``) after the longest suffix of its context."""
         distinct, same = np.unique(by_symbol(keys), return_inverse=True)
@@ -429,7 +438,7 @@ class Tree:
             return np.zeros(0), np.zeros(0, np.int32), np.zeros(0, bool)
         p, kept, depth = np.ones(1), np.ones(1, bool), np.zeros(1, np.int32)
         group = np.zeros(len(keys), np.int32)           # each key's place among the distinct ones of a level
-        for k, (contexts, total, pull, rows, n, of) in enumerate(self.levels):
+        for k, ((contexts, total, pull, rows, n), of) in enumerate(zip(self.levels, self.places())):
             part = keys >> np.uint64(8 * (DEPTH - k))
             new = np.append(True, part[1:] != part[:-1])
             first = np.flatnonzero(new)
