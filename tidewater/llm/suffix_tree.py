@@ -515,7 +515,9 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
     often = (F.col("n_context") >= head_times(tree)) | (F.col("level") == 0)
     tail, top = tree.where(~often), tree.where(often)
     beyond = tail_filter(tail)
-    model = spark.sparkContext.broadcast((Tree(top, beyond), head.column("key").to_numpy()[order], head.column("n").to_numpy()[order]))
+    whole = Tree(top, beyond)
+    model = spark.sparkContext.broadcast((whole, head.column("key").to_numpy()[order], head.column("n").to_numpy()[order]))
+    whole.levels = []       # the tasks read what was broadcast; the driver needs its own copy no more
     schema = ("kind int, key long, row long, times long, info struct<doc_id: long, held_out: boolean, n_tokens: long, "
               "known: long, log_sum: double, score: double>")
     about = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("log_sum", pa.float64()), ("score", pa.float64())])
