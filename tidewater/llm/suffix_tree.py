@@ -50,11 +50,11 @@ LEAST_TIMES = 5          # but so many times
 LEAST_GAIN, COST = 5.0, 0.3     # n * KL, in nats
 PULL = 5.0               # weight of the suffix's distribution in the smoothing, for each symbol seen
 HEAD = 1 << 21           # words that are broadcast, at most
-TREE_ROWS = 8_000_000    # rows (context, symbol) of the tree that are broadcast, at most (about 130 MB)
+TREE_ROWS = 7_000_000    # rows (context, symbol) of the tree that are broadcast, at most (about 110 MB)
 FILTER_BITS = 1 << 27    # of the filter of the other contexts (16 MB)
 AT_ONCE = 1 << 20        # bytes of text
 KEYS_AT_ONCE = 1 << 20   # keys that a task holds before it merges them, and passes them on if half of that many differ
-PIECE_ROWS = 1 << 20     # rows of the tree that reach the driver at once
+PIECE_ROWS = 1 << 19     # rows of the tree that reach the driver at once
 EXACT = 1 << 24          # below it, whole numbers fit a float of four bytes
 BLOCK_KEYS = 1 << 16     # keys in one row of a bucket
 LOCAL = 3                # contexts that agree in so many newest symbols are judged in one bucket
@@ -374,9 +374,11 @@ def _collected(tree: DataFrame) -> Iterator[tuple[np.ndarray, ...]]:
     ``PIECE_ROWS`` or one symbol, so that the driver holds little beside what it keeps."""
     symbol = F.expr("cast(shiftrightunsigned(key, 8 * level) AS int)")
     sizes: dict[int, dict[int, int]] = {k: {} for k in range(DEPTH + 1)}
-    for r in tree.groupBy("level", symbol.alias("symbol")).count().collect():      # a row for each level and byte
-        sizes[r["level"]][r["symbol"]] = r["count"]
-    small = [k for k in sizes if sum(sizes[k].values()) <= PIECE_ROWS // 4]
+    largest = dict.fromkeys(sizes, 0)
+    for r in tree.groupBy("level", symbol.alias("symbol")).agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("most")).collect():     # one for each level and byte
+        sizes[r["level"]][r["symbol"]] = r["rows"]
+        largest[r["level"]] = max(largest[r["level"]], r["most"])
+    small = [k for k in sizes if sum(sizes[k].values()) <= PIECE_ROWS // 2]
     together = list(_levels(tree.where(F.col("level").isin(small)).select("level", "key", "n").toArrow()))
     for k in sizes:
         if k in small:
@@ -392,14 +394,18 @@ def _collected(tree: DataFrame) -> Iterator[tuple[np.ndarray, ...]]:
                 pieces.append(c)
                 held = 0
             held += sizes[k].get(c, 0)
-        keys, n = [], []
+        keys = np.empty(sum(sizes[k].values()), np.uint64)
+        n = np.empty(len(keys), np.float32 if largest[k] < EXACT else np.float64)
+        done = 0
         for low, high in zip(pieces, [*pieces[1:], 256]):       # the symbol is a key's highest byte, so pieces follow each other
             rows = own.where(symbol.between(low, high - 1)).select("key", "n").toArrow()
-            key, times = rows.column("key").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+            key = rows.column("key").to_numpy().view(np.uint64)
             at = np.argsort(key)
-            keys.append(key[at])
-            n.append(times[at].astype(np.float32) if times.max() < EXACT else times[at].astype(np.float64))
-        yield contexts[order], about.column("n_context").to_numpy()[order], about.column("symbols").to_numpy()[order], np.concatenate(keys), np.concatenate(n)
+            keys[done:done + len(at)], n[done:done + len(at)] = key[at], rows.column("n").to_numpy()[at]
+            done += len(at)
+            del rows, key, at
+            pa.default_memory_pool().release_unused()
+        yield contexts[order], about.column("n_context").to_numpy()[order], about.column("symbols").to_numpy()[order], keys, n
 
 
 class Tree:
@@ -408,7 +414,7 @@ class Tree:
     def __init__(self, rows: pa.Table | DataFrame, beyond: np.ndarray | None = None):
         self.levels, self.beyond, self.of = [], beyond, []
         for contexts, total, symbols, key, n in _levels(rows) if isinstance(rows, pa.Table) else _collected(rows):
-            self.levels.append((contexts, total.astype(np.float64), PULL * symbols, key, n.astype(np.float32 if not len(n) or n.max() < EXACT else np.float64)))
+            self.levels.append((contexts, total.astype(np.float64), PULL * symbols, key, n.astype(np.float32 if not len(n) or n.max() < EXACT else np.float64, copy=False)))
         root = np.zeros(256)
         root[self.levels[0][3].astype(np.int64)] = self.levels[0][4]
         self.root = (root + 1) / (root.sum() + 256)
@@ -510,13 +516,16 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     least = max(1.0, total / HEAD)
     head = words.where(F.col("n") >= least).select("key", "n").toArrow()
-    order = np.argsort(head.column("key").to_numpy())
+    head_keys, head_n = head.column("key").to_numpy(), head.column("n").to_numpy()
+    order = np.argsort(head_keys)
+    head_keys, head_n = head_keys[order], head_n[order]
+    del head, order
     tree = materialize(_tree(reduced), "tree")
     often = (F.col("n_context") >= head_times(tree)) | (F.col("level") == 0)
     tail, top = tree.where(~often), tree.where(often)
     beyond = tail_filter(tail)
     whole = Tree(top, beyond)
-    model = spark.sparkContext.broadcast((whole, head.column("key").to_numpy()[order], head.column("n").to_numpy()[order]))
+    model = spark.sparkContext.broadcast((whole, head_keys, head_n))
     whole.levels = []       # the tasks read what was broadcast; the driver needs its own copy no more
     schema = ("kind int, key long, row long, times long, info struct<doc_id: long, held_out: boolean, n_tokens: long, "
               "known: long, log_sum: double, score: double>")
