@@ -50,7 +50,7 @@ LEAST_TIMES = 5          # but so many times
 LEAST_GAIN, COST = 5.0, 0.3     # n * KL, in nats
 PULL = 5.0               # weight of the suffix's distribution in the smoothing, for each symbol seen
 HEAD = 1 << 21           # words that are broadcast, at most
-TREE_ROWS = 7_000_000    # rows (context, symbol) of the tree that are broadcast, at most (about 110 MB)
+TREE_ROWS = 10_000_000   # rows (context, symbol) of the tree that are broadcast, at most (about 160 MB)
 FILTER_BITS = 1 << 27    # of the filter of the other contexts (16 MB)
 AT_ONCE = 1 << 20        # bytes of text
 KEYS_AT_ONCE = 1 << 20   # keys that a task holds before it merges them, and passes them on if half of that many differ
