@@ -50,7 +50,7 @@ LEAST_TIMES = 5          # but so many times
 LEAST_GAIN, COST = 5.0, 0.3     # n * KL, in nats
 PULL = 5.0               # weight of the suffix's distribution in the smoothing, for each symbol seen
 HEAD = 1 << 21           # words that are broadcast, at most
-TREE_ROWS = 10_000_000   # rows (context, symbol) of the tree that are broadcast, at most (about 160 MB)
+TREE_ROWS = 8_000_000    # rows (context, symbol) of the tree that are broadcast, at most (about 120 MB)
 FILTER_BITS = 1 << 27    # of the filter of the other contexts (16 MB)
 AT_ONCE = 1 << 20        # bytes of text
 KEYS_AT_ONCE = 1 << 20   # keys that a task holds before it merges them, and passes them on if half of that many differ
@@ -414,7 +414,7 @@ class Tree:
     def __init__(self, rows: pa.Table | DataFrame, beyond: np.ndarray | None = None):
         self.levels, self.beyond, self.of = [], beyond, []
         for contexts, total, symbols, key, n in _levels(rows) if isinstance(rows, pa.Table) else _collected(rows):
-            self.levels.append((contexts, total.astype(np.float64), PULL * symbols, key, n.astype(np.float32 if not len(n) or n.max() < EXACT else np.float64, copy=False)))
+            self.levels.append((contexts, total.astype(np.uint32 if not len(total) or total.max() < 1 << 32 else np.float64), symbols.astype(np.uint16), key, n.astype(np.float32 if not len(n) or n.max() < EXACT else np.float64, copy=False)))
         root = np.zeros(256)
         root[self.levels[0][3].astype(np.int64)] = self.levels[0][4]
         self.root = (root + 1) / (root.sum() + 256)
@@ -444,7 +444,7 @@ class Tree:
             return np.zeros(0), np.zeros(0, np.int32), np.zeros(0, bool)
         p, kept, depth = np.ones(1), np.ones(1, bool), np.zeros(1, np.int32)
         group = np.zeros(len(keys), np.int32)           # each key's place among the distinct ones of a level
-        for k, ((contexts, total, pull, rows, n), of) in enumerate(zip(self.levels, self.places())):
+        for k, ((contexts, total, symbols, rows, n), of) in enumerate(zip(self.levels, self.places())):
             part = keys >> np.uint64(8 * (DEPTH - k))
             new = np.append(True, part[1:] != part[:-1])
             first = np.flatnonzero(new)
@@ -471,7 +471,8 @@ class Tree:
             here = np.ones(len(live), bool)
             here[rest[gone]] = False
             live, at, seen = live[here], at[here], seen[here]
-            p[live] = (seen + pull[at] * p[live]) / (total[at] + pull[at])
+            pull = PULL * symbols[at]
+            p[live] = (seen + pull * p[live]) / (total[at] + pull)
             depth[live] = k
         more = np.zeros(len(keys), bool)
         if self.beyond is not None:
@@ -543,7 +544,8 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
                 symbols, so = streams(low, o, starts, ends, first)
                 gram = by_symbol(grams(symbols, so))
                 order = np.argsort(gram)
-                gram, owner = gram[order], np.repeat(np.arange(n), np.diff(so))[order]
+                gram, owner = gram[order], np.repeat(np.arange(n, dtype=np.int32), np.diff(so))[order]
+                del order, symbols
                 new = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
                 p, _, more = tree.walk(gram[new])
                 many = np.diff(np.append(new, len(gram)))
@@ -551,7 +553,7 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
                 if more.any():                 # the contexts beyond the broadcast ones, by a join
                     out = np.repeat(more, many)
                     distinct, same = np.unique(gram[out], return_inverse=True)
-                    pair, many = np.unique(owner[out] * len(distinct) + same, return_counts=True)
+                    pair, many = np.unique(owner[out].astype(np.int64) * len(distinct) + same, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), GRAM, np.int32)), pa.array(distinct[pair % len(distinct)].view(np.int64)),
                                                       pa.array(row + 2 * (pair // len(distinct))), pa.array(many, pa.int64()), pa.nulls(len(pair), about)], NAMES)
                 # unigrams: the head here, the rest by a join
