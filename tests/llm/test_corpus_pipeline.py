@@ -79,5 +79,5 @@ def test_stages_on_odd_rows_and_empty_tables(spark, odd):
 def test_registration(spark):
     import __spark_entry__ as E
     names = [k for k in E.queries() if k.startswith("op") and k[2].isdigit()]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14)) and "pipeline" in E.queries()
     assert set(E.oracle_sql()) <= set(E.queries())
