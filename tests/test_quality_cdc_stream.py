@@ -418,3 +418,20 @@ def test_a_file_sink_whose_task_fails_shows_nothing_of_that_batch(spark, tmp):
     assert all(x[0] // 10 != 2 for x in seen)
     ST.run_available_now(src, out, ck)
     assert _rows(spark.read.parquet(out), F.col("sequence_number").cast("int")) == [(i,) for i in range(40)]
+
+
+# ---------------------------------------------------------------- batches of a run over an inbox
+def test_batches_do_not_grow_with_the_inbox(spark, tmp, monkeypatch):
+    """60 files are read in as many batches as 600 would be, each of them once."""
+    from functools import partial
+    from tidewater.plans import queries_stream as QS
+    sf, made = tmp("inbox-tables"), []
+    spark.range(60).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, id) AS ts", "id % 3 AS user_id", "'a' AS event_type",
+                               "double(id) AS value", "'{}' AS props").coalesce(1).write.parquet(f"{sf}/events.parquet")
+    monkeypatch.setattr(QS, "_write_readings", partial(QS._write_readings, records_per_file=1))
+    fresh = QS.scratch_dir
+    monkeypatch.setattr(QS, "scratch_dir", lambda s, name: made.append((name, fresh(s, name))) or made[-1][1])
+    row = QS.j6_continuous_global_avg(spark, sf).first()
+    assert (row.avg_value, row.n) == (29.5, 60)
+    commits = spark.read.format("binaryFile").load(f"{dict(made)['j6-ckpt']}/commits").count()
+    assert 3 <= commits <= QS.BATCHES + 1
