@@ -2,7 +2,7 @@
 external), JSON (lines, arrays, glued objects, nested items), arrival-time
 folders, Hive partitions, mixed formats and file listings.
 
-Only one helper runs Python inside tasks, per file and bounded by a file: the
+Only one helper runs Python inside tasks, file by file and bounded by a file: the
 splitter of glued JSON objects.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -179,14 +179,24 @@ def read_json_array(spark: SparkSession, path: str, schema: str | StructType | N
     return r.json(path)
 
 
-def _split_glued(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+#: Records and characters of one Arrow batch of split objects.
+SPLIT_RECORDS, SPLIT_CHARS = 5_000, 1 << 20
+
+
+def _split_glued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Executor side: split ``{..}{..}`` text into one JSON text per object.
     ``raw_decode`` respects strings, so ``}{`` inside a value is not a boundary;
-    text that does not decode is kept as one bad record."""
+    text that does not decode is kept as one bad record.  One file's text is decoded at a
+    time and its objects leave in small batches, so memory does not grow with a task's files."""
     dec = json.JSONDecoder()
-    for pdf in batches:
-        paths, docs, good = [], [], []
-        for p, text in zip(pdf["path"], pdf["value"]):
+    for batch in batches:
+        for p, value in zip(batch.column(0), batch.column(1)):
+            docs, good, size = [], [], 0
+            text, path = value.as_py(), p.as_py()
+
+            def split() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([pa.array([path] * len(docs), pa.string()), pa.array(docs, pa.string()), pa.array(good, pa.bool_())],
+                                                  ["path", "doc", "good"])
             i, n = 0, len(text)
             while i < n:
                 while i < n and text[i] in " \t\r\n,":
@@ -201,9 +211,13 @@ def _split_glued(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     j = n if nxt < 0 else nxt
                     good.append(False)
                 docs.append(text[i:j])
-                paths.append(p)
+                size += j - i
                 i = j
-        yield pd.DataFrame({"path": paths, "doc": docs, "good": good})
+                if len(docs) >= SPLIT_RECORDS or size >= SPLIT_CHARS:
+                    yield split()
+                    docs, good, size = [], [], 0
+            if docs:
+                yield split()
 
 
 def read_json_concat(spark: SparkSession, path: str, schema: str | StructType, skip_bad: bool = True,
@@ -211,13 +225,13 @@ def read_json_concat(spark: SparkSession, path: str, schema: str | StructType, s
     """Files of JSON objects glued together without separators.
 
     Each file (bounded by the delivery flush size) is one ``wholetext`` row; the
-    splitter runs per file inside tasks and the objects are typed by Spark's
+    splitter runs file by file inside tasks and the objects are typed by Spark's
     ``from_json``.  ``spark.read.json`` would keep only the first object.  A piece
     that is no object is dropped, or with ``skip_bad=False`` kept as a row whose
     ``corrupt`` column holds its text.
     """
     raw = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
-    docs = raw.mapInPandas(_split_glued, "path string, doc string, good boolean")
+    docs = raw.mapInArrow(_split_glued, "path string, doc string, good boolean")
     typed = F.from_json("doc", schema)
     good = F.col("good") & F.startswith("doc", F.lit("{")) & typed.isNotNull()
     if skip_bad:
