@@ -263,3 +263,31 @@ def test_a_table_has_the_columns_of_all_its_files(spark, tmp):
     assert spark.table(name).count() == 7 and spark.table(name).columns == ["id", "more", "p"]
     with pytest.raises(ValueError):
         CAT.register_table(spark, f"{root}/t", "crawl_union", "again", partition_by=("more",))
+
+
+def test_glued_objects_leave_in_small_batches():
+    """A task's files are split one by one: no batch holds all their objects."""
+    import pyarrow as pa
+    texts = ["".join(f'{{"a": {i}}}' for i in range(RD.SPLIT_RECORDS + 10)), "", '{"a": 1}' + '{"s": "' + "x" * RD.SPLIT_CHARS + '"}{bad']
+    given = pa.RecordBatch.from_arrays([pa.array(["p", "q", "r"]), pa.array(texts)], ["path", "value"])
+    got = [b.to_pydict() for b in RD._split_glued(iter([given, given]))]
+    assert max(len(b["doc"]) for b in got) == RD.SPLIT_RECORDS
+    assert [sum(len(b["doc"]) for b in got if b["path"][0] == p) for p in "pr"] == [2 * RD.SPLIT_RECORDS + 20, 6]
+    assert "".join(d for b in got for d in b["doc"]) == 2 * "".join(texts)
+    assert [d for b in got for d, g in zip(b["doc"], b["good"]) if not g] == ["{bad", "{bad"]
+
+
+def test_one_file_per_partition_does_not_sort_its_rows(spark, tmp):
+    """A task that writes several values keeps their files open: a sort would hold all its rows."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    rows = spark.range(3000).withColumn("p", F.when(F.col("id") % 4 > 0, F.col("id") % 4))
+    out = W.write_one_file_per_partition(rows, tmp("onefile-open"), ["p"])
+    assert spark.conf.get(key) == before
+    assert spark.read.parquet(out).groupBy("p").count().where("count = 750").count() == 4
+    assert RD.list_files(spark, out, suffix=".parquet").count() == 4
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+    mine = [x for x in plans if out in x and "InsertIntoHadoopFsRelationCommand" in x]
+    assert mine and not any("Sort" in x for x in mine)

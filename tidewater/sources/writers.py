@@ -18,6 +18,10 @@ JSON_OPTIONS = {
 }
 
 
+#: Files that a task of :func:`write_one_file_per_partition` writes at once.
+OPEN_FILES = 8
+
+
 def json_text(*cols) -> "F.Column":
     """Row -> JSON object text with microsecond timestamps."""
     return F.to_json(F.struct(*cols), JSON_OPTIONS)
@@ -84,11 +88,19 @@ def write_one_file_per_partition(df: DataFrame, path: str, partition_by: Sequenc
     ``repartition(*keys)`` sends each partition value to one task in parallel,
     instead of funnelling the whole table through one task with ``coalesce(1)``.
     A partition value is one task's work by definition, so this is for small
-    tables; large ones are written with :func:`write_rebalanced`.
+    tables; large ones are written with :func:`write_rebalanced`.  A task keeps the
+    files of a few values open at once instead of sorting its rows by value, so it does not
+    hold them; only the rows of further values are sorted.
     """
-    (df.repartition(*[F.col(k) for k in partition_by]).write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    conf, key = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    conf.set(key, str(max(OPEN_FILES, int(before))))
+    try:
+        (df.repartition(*[F.col(k) for k in partition_by]).write.mode(mode)
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(path))
+    finally:
+        conf.set(key, before)
     return path
 
 
