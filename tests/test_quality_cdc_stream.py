@@ -435,3 +435,20 @@ def test_batches_do_not_grow_with_the_inbox(spark, tmp, monkeypatch):
     assert (row.avg_value, row.n) == (29.5, 60)
     commits = spark.read.format("binaryFile").load(f"{dict(made)['j6-ckpt']}/commits").count()
     assert 3 <= commits <= QS.BATCHES + 1
+
+
+def test_small_segments_share_a_task(spark, tmp, monkeypatch):
+    """A reader plans tasks by bytes: 99 segments are few tasks, each record is read once."""
+    from tidewater.streaming import shards as SH
+    log = tmp("log-many")
+    _append(spark, log, 0, 297, rows=3)
+    reader = SH.ShardReader({"path": log})
+    end = reader.latestOffset()
+    tasks = reader.partitions({}, end)
+    assert sum(end.values()) == 99 and len(tasks) == 3
+    assert sorted(n for t in tasks for n, _ in t.files) == sorted(3 * list(range(33)))
+    lines = [(s, n, x) for t in tasks for b in reader.read(t) for s, n, x in zip(*b.to_pydict().values())]
+    assert len(lines) == 297 and len({(s, n) for s, n, _ in lines}) == 99
+    monkeypatch.setattr(SH, "SPLIT", 1)
+    assert len(reader.partitions({}, end)) == 99        # a segment that fills a split is a task of its own
+    assert [f for t in reader.partitions({s: 31 for s in end}, end) for f in t.files] == [f for t in tasks for f in t.files if f[0] >= 31]

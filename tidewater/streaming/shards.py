@@ -8,14 +8,16 @@ record of an older segment is ever read.
 A consumer starts at the earliest segment, behind the latest, or after a given sequence number of each
 shard.  Its offsets are the next segment of every shard and live in the checkpoint: a
 restart goes on where it stopped, whatever start was asked for.  Segments are
-taken whole and one by one, each a file of its own, so a busy shard is read by many tasks.
+taken whole, each a file of its own.  A task reads as many neighbouring ones of a shard as fill
+a split, so a busy shard is read by many tasks and small segments do not cost a task each.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import sys
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -32,6 +34,8 @@ from tidewater.sources.writers import json_text
 
 EARLIEST, LATEST = "earliest", "latest"
 LINES = 10_000          # records of one Arrow batch
+SPLIT = 4 << 20         # bytes of segments that one task reads; a larger segment is a task of its own
+FEW = 8                 # so many segments are looked up one by one, more of them by one listing of their shard
 
 
 def append_segments(df: DataFrame, path: str, shard: str = "shard_id", sequence: str = "sequence_number", segment_rows: int = 10_000) -> None:
@@ -62,9 +66,9 @@ def append_segments(df: DataFrame, path: str, shard: str = "shard_id", sequence:
      .write.mode("append").partitionBy("shard", "segment", "last").text(path))
 
 
-class _Segment(InputPartition):
-    def __init__(self, shard: str, segment: int, file: str):
-        self.shard, self.segment, self.file = shard, segment, file
+class _Segments(InputPartition):
+    def __init__(self, shard: str, files: list[tuple[int, str]]):
+        self.shard, self.files = shard, files
 
 
 class ShardReader(DataSourceStreamReader):
@@ -82,13 +86,19 @@ class ShardReader(DataSourceStreamReader):
         found = store.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
         return sorted(x.base_name.partition("=")[2] for x in found if x.base_name.startswith(f"{key}="))
 
-    def _file(self, store: pafs.FileSystem, root: str, shard: str, segment: int) -> str | None:
-        """The segment's file; None while there is none."""
-        folder = pafs.FileSelector(f"{root}/shard={shard}/segment={segment:012d}", allow_not_found=True, recursive=True)
-        files = [x.path for x in store.get_file_info(folder) if x.is_file and not x.base_name.startswith((".", "_"))]
-        if len(files) > 1:
-            raise ValueError(f"two writers wrote segment {segment} of shard {unquote(shard)}: {files}")
-        return files[0] if files else None
+    def _files(self, store: pafs.FileSystem, root: str, shard: str, segments: Sequence[int]) -> dict[int, pafs.FileInfo]:
+        """The files of those segments that have one."""
+        top, found = f"{root}/shard={shard}", {}
+        for folder in [f"{top}/segment={n:012d}" for n in segments] if len(segments) <= FEW else [top]:
+            for x in store.get_file_info(pafs.FileSelector(folder, allow_not_found=True, recursive=True)):
+                if x.is_file and not x.base_name.startswith((".", "_")):
+                    number = re.search(r"/segment=(\d+)/last=[^/]*/[^/]*$", x.path)
+                    if number:
+                        found.setdefault(int(number[1]), []).append(x)
+        for n in segments:
+            if len(found.get(n, [])) > 1:
+                raise ValueError(f"two writers wrote segment {n} of shard {unquote(shard)}: {[x.path for x in found[n]]}")
+        return {n: found[n][0] for n in segments if n in found}
 
     def _advance(self) -> dict[str, int]:
         """Follow each shard's segments as far as they come without a gap."""
@@ -101,7 +111,7 @@ class ShardReader(DataSourceStreamReader):
                 while at + 1 in present:
                     at += 1
                 self.known[shard] = at
-            while self._file(store, root, shard, self.known[shard]):
+            while self._files(store, root, shard, [self.known[shard]]):
                 self.known[shard] += 1
         return dict(self.known)
 
@@ -133,33 +143,39 @@ class ShardReader(DataSourceStreamReader):
                 numbers = range(start[shard], until)
             else:       # a shard of which nothing was read: from its first segment that is still there
                 numbers = [n for n in map(int, self._names(store, f"{root}/shard={shard}", "segment")) if n < until]
+            files = self._files(store, root, shard, numbers)
+            size = SPLIT
             for n in numbers:
-                file = self._file(store, root, shard, n)
-                if file is None:
+                if n not in files:
                     raise FileNotFoundError(f"segment {n} of shard {unquote(shard)} is gone from {self.path}")
-                out.append(_Segment(shard, n, file))
+                if size + files[n].size > SPLIT:
+                    out.append(_Segments(shard, []))
+                    size = 0
+                out[-1].files.append((n, files[n].path))
+                size += files[n].size
         return out
 
-    def read(self, partition: _Segment) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Segments) -> Iterator[pa.RecordBatch]:
         store, _ = self._folder()
         shard = unquote(partition.shard)
+        rows = []       # (segment, line)
 
-        def batch(lines: list[str]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([shard] * len(lines)), pa.array([partition.segment] * len(lines), pa.int64()), pa.array(lines)],
+        def batch(part: list[tuple[int, str]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([shard] * len(part)), pa.array([n for n, _ in part], pa.int64()), pa.array([x for _, x in part])],
                                               ["shard", "segment", "value"])
-        with store.open_input_stream(partition.file) as stream:     # compressed files by their suffix
-            lines = []
-            rest = b""
-            while block := stream.read(1 << 20):
-                *whole, rest = (rest + block).split(b"\n")
-                lines += [x.decode("utf-8", "replace") for x in whole if x]
-                while len(lines) >= LINES:
-                    yield batch(lines[:LINES])
-                    lines = lines[LINES:]
-            if rest:
-                lines.append(rest.decode("utf-8", "replace"))
-            if lines:
-                yield batch(lines)
+        for segment, file in partition.files:
+            with store.open_input_stream(file) as stream:     # compressed files by their suffix
+                rest = b""
+                while block := stream.read(1 << 20):
+                    *whole, rest = (rest + block).split(b"\n")
+                    rows += [(segment, x.decode("utf-8", "replace")) for x in whole if x]
+                    while len(rows) >= LINES:
+                        yield batch(rows[:LINES])
+                        rows = rows[LINES:]
+                if rest:
+                    rows.append((segment, rest.decode("utf-8", "replace")))
+        if rows:
+            yield batch(rows)
 
 
 class ShardLog(DataSource):
