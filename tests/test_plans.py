@@ -129,3 +129,17 @@ def test_empty_columns_are_found_in_footers(spark, tmp):
     spark.range(5).selectExpr("id", "cast(null AS string) AS gone", "'y' AS extra", "1L AS p").write.mode("append").partitionBy("p").parquet(out)
     assert set(RD.filled_columns(spark, out)) == {"id", "rare", "extra", "p"}
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == setting
+
+
+def test_wide_joins_of_large_tables_get_more_tasks(spark, monkeypatch):
+    """Tasks grow with the lines, beyond the session's shuffle partitions; the rows stay the same."""
+    from tidewater.plans import standins as SI
+    t = SI.Tables(spark, SF)
+    want = {f: f(t) for f in (SI.videos, SI.trips, SI.categories)}
+    monkeypatch.setattr(SI, "ROWS_PER_TASK", 500)
+    n = t.lineitem.count() // 500
+    assert n > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for f, before in want.items():
+        now = f(t)
+        assert f", {n}), REPARTITION_BY_NUM" in plan_of(now) and "REPARTITION_BY_NUM" not in plan_of(before)
+        assert now.exceptAll(before).count() == 0 and now.count() == before.count()

@@ -42,6 +42,17 @@ class Tables:
                 .select("n_nationkey", "n_name", "r_name"))
 
 
+# Rows of a wide join or aggregation that one task takes.
+ROWS_PER_TASK = 250_000
+
+
+def spread(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """Deal ``df`` by ``key`` to as many tasks as ``rows`` ask for, so that a task's memory does not grow with the
+    table.  A table that the session's shuffle partitions suffice for is left to the planner."""
+    n = rows // ROWS_PER_TASK
+    return df.repartition(n, key) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def trips(t: Tables) -> DataFrame:
     """Ride trips: one per lineitem row.
 
@@ -58,8 +69,8 @@ def trips(t: Tables) -> DataFrame:
     # pick / drop are the 25-row nation table: broadcast is bounded by definition
     cu = t.customer.select("c_custkey", "c_nationkey").join(F.broadcast(pick), "c_nationkey")
     su = t.supplier.select("s_suppkey", "s_nationkey").join(F.broadcast(drop), "s_nationkey")
-    j = (li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(cu, F.col("o_custkey") == F.col("c_custkey"))
+    oc = od.join(cu, F.col("o_custkey") == F.col("c_custkey"))      # orders meet their customers first: the lines are shuffled once
+    j = (spread(li, t.lineitem.count(), "l_orderkey").join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
          .join(su, F.col("l_suppkey") == F.col("s_suppkey")))
     return j.select(
         F.col("o_orderstatus").alias("vendor_id"),
@@ -87,9 +98,10 @@ def videos(t: Tables) -> DataFrame:
     od = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     cu = t.customer.select("c_custkey", "c_nationkey").join(F.broadcast(geo), "c_nationkey")  # 25 rows
     pa = t.part.select("p_partkey", "p_name", "p_brand")
-    j = (li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(cu, F.col("o_custkey") == F.col("c_custkey"))
-         .join(pa, F.col("l_partkey") == F.col("p_partkey")))
+    oc = od.join(cu, F.col("o_custkey") == F.col("c_custkey"))      # orders meet their customers first, the lines follow
+    rows = t.lineitem.count()       # from the files' footers
+    lines = spread(li, rows, "l_orderkey").join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
+    j = spread(lines, rows, "l_partkey").join(spread(pa, rows, "p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
     return j.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("video_id"),
         F.date_format("l_shipdate", "yy.dd.MM").alias("trending_date"),
@@ -112,8 +124,8 @@ def videos(t: Tables) -> DataFrame:
 
 
 def categories(t: Tables) -> DataFrame:
-    """Category reference rows ``(id, snippet_title)``: part key -> part type."""
-    return t.part.select(F.col("p_partkey").alias("id"), F.col("p_type").alias("snippet_title"))
+    """Category reference rows ``(id, snippet_title)``: part key -> part type; dealt as the videos that look them up."""
+    return spread(t.part, t.lineitem.count(), "p_partkey").select(F.col("p_partkey").alias("id"), F.col("p_type").alias("snippet_title"))
 
 
 def coins(t: Tables, asof: str = ASOF) -> DataFrame:
