@@ -149,7 +149,7 @@ def run(spark: SparkSession, trips: DataFrame, out: str, landing: bool = False)
     with scratch_scope(spark):
         if landing:
             schema = ", ".join(f"`{c}` string" for c in trips.columns)
-            trips = read_csv_by_name(spark, write_csv(trips, f"{out}/raw"), schema)
+            trips = read_csv_by_name(spark, write_csv(trips, f"{out}/raw", compression="gzip"), schema, "*.csv.gz")
         g = grain(refine(trips))
         for name, d in dimensions(g).items():
             write_parquet(d, f"{out}/{name}")

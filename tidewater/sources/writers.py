@@ -110,13 +110,14 @@ def write_rebalanced(df: DataFrame, path: str, partition_by: Sequence[str]) -> s
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite",
-              index_col: str | None = None, order: Sequence[str] | None = None) -> str:
-    """CSV with a header; optional 1-based row index column by ``order``."""
+              index_col: str | None = None, order: Sequence[str] | None = None, compression: str = "none") -> str:
+    """CSV with a header; optional 1-based row index column by ``order``.  Compressed files
+    are named so (``*.csv.gz``)."""
     if index_col:
         from tidewater.operators.relational import global_rank
         df = global_rank(df, [F.col(c) for c in (order or df.columns)], index_col)
         df = df.select(index_col, *[c for c in df.columns if c != index_col])
-    df.write.mode(mode).option("header", header).option("escape", '"').csv(path)
+    df.write.mode(mode).option("header", header).option("escape", '"').option("compression", compression).csv(path)
     return path
 
 
