@@ -117,3 +117,28 @@ def test_query_matches_oracle(spark, name):
     from tests.oracle_compare import compare, duck
     r = compare(spark, duck(SF), name, E.queries()[name], E.oracle_sql()[name], SF)
     assert r["ok"], r
+
+
+def test_trips_land_compressed(spark, tmp):
+    from tidewater.plans import standins as SI
+    from tidewater.plans.flows import rides
+    from tidewater.sources import readers as RD
+    out, trips = tmp("rides-landing"), SI.trips(SI.Tables(spark, SF))
+    facts = rides.run(spark, trips, out, landing=True)["facts"]
+    assert RD.list_files(spark, f"{out}/raw", suffix=".csv.gz").count() > 0 and RD.list_files(spark, f"{out}/raw", suffix=".csv").count() == 0
+    assert facts.agg(F.sum("total_trips")).first()[0] == trips.count()
+
+
+def test_gold_shuffles_no_row_before_its_roll_ups(spark, tmp, monkeypatch):
+    """What the gold tables share is written as the rows come, once."""
+    from tidewater.plans import standins as SI
+    from tidewater.plans.flows import medallion as M
+    shared, kept = [], M.materialize
+    monkeypatch.setattr(M, "materialize", lambda df, name: shared.append(df) or kept(df, name))
+    bronze = SI.videos(SI.Tables(spark, SF))
+    gold = M.run(spark, bronze, None, tmp("medallion-shared"), SI.ASOF)
+    assert len(shared) == 1
+    plan = shared[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+    assert gold["trending_analytics"].agg(F.sum("total_videos")).first()[0] == bronze.count()
+    assert gold["category_analytics"].agg(F.sum("video_count")).first()[0] == bronze.count()
